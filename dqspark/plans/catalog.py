@@ -59,3 +59,29 @@ CHECK_QUERIES: dict[str, Query] = {
 
 def all_queries() -> dict[str, Query]:
     return dict(CHECK_QUERIES)
+
+
+# --- The checker (P01–P06) and its audit rows (W1) --------------------------
+
+from ..operators import findings as FND  # noqa: E402
+from .checker import run_all_checks  # noqa: E402
+
+AUDIT_CONTRACT_COLUMNS = [
+    "check_timestamp", "check_type", "table_name", "record_id", "issue_type",
+    "issue_description", "severity", "status", "assigned_to", "resolution_notes", "resolved_at",
+]
+
+CHECKER_QUERIES: dict[str, Query] = {
+    "checker_patient_completeness": _q(lambda t: FND.check_patient_completeness(t.patient_records).details),
+    "checker_claims_discrepancies": _q(
+        lambda t: FND.check_claims_discrepancies(t.claims, t.claims_line_items).details),
+    "checker_temporal_anomalies": _q(lambda t: FND.check_temporal_anomalies(t.claims).details),
+    "checker_duplicate_records": _q(lambda t: FND.check_duplicate_records(t.patient_records).details),
+    "checker_provider_credentials": _q(lambda t: FND.check_provider_credentials(t.providers, AS_OF).details),
+    # audit_id is a hash DuckDB cannot reproduce and run_id a label; the
+    # comparison covers every other audit column.
+    "audit_issues": _q(lambda t: run_all_checks(t, AS_OF).audit.select(*AUDIT_CONTRACT_COLUMNS)),
+    "run_check_counts": _q(lambda t: run_all_checks(t, AS_OF).check_counts),
+    "run_summary": _q(lambda t: run_all_checks(t, AS_OF).summary),
+}
+CHECK_QUERIES.update(CHECKER_QUERIES)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .checker_sql import CHECKER
 from .checks_sql import CHECKS
 from .fixtures_sql import with_tables
 
 
 def all_oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for name, (tables, body) in CHECKS.items():
-        out[name] = with_tables(tables, body)
+    for group in (CHECKS, CHECKER):
+        for name, (tables, body) in group.items():
+            out[name] = with_tables(tables, body)
     return out
