@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import claims as C
 from ..operators import encounters as E
@@ -85,3 +86,37 @@ CHECKER_QUERIES: dict[str, Query] = {
     "run_summary": _q(lambda t: run_all_checks(t, AS_OF).summary),
 }
 CHECK_QUERIES.update(CHECKER_QUERIES)
+
+
+# --- Declared constraints (K1–K7) -------------------------------------------
+
+from ..operators import constraints as K  # noqa: E402
+from ..sources.schemas import AUDIT_STATUSES, CLAIM_STATUSES, PATIENT_RECORDS, SEVERITIES  # noqa: E402
+
+CONSTRAINT_QUERIES: dict[str, Query] = {
+    "pk_claims_line_items": _q(lambda t: K.check_primary_key(t.claims_line_items, "line_item_id")),
+    "pk_claims": _q(lambda t: K.check_primary_key(t.claims, "claim_id")),
+    "not_null_providers": _q(lambda t: K.check_not_null(t.providers, ["provider_name"], "provider_id")),
+    "unique_provider_npi": _q(lambda t: K.check_unique(t.providers, "npi_number")),
+    "fk_claims_patient": _q(
+        lambda t: K.check_foreign_key(t.claims, t.patient_records, "patient_id", None, "claim_id")),
+    "fk_claims_provider": _q(
+        lambda t: K.check_foreign_key(t.claims, t.providers, "provider_id", None, "claim_id", broadcast_parent=True)),
+    "fk_line_items_claim": _q(
+        lambda t: K.check_foreign_key(t.claims_line_items, t.claims, "claim_id", None, "line_item_id")),
+    "fk_encounters_patient": _q(
+        lambda t: K.check_foreign_key(t.encounters, t.patient_records, "patient_id", None, "encounter_id")),
+    "domain_claims_status": _q(lambda t: K.check_domain(t.claims, "status", CLAIM_STATUSES, "claim_id")),
+    "domain_audit_severity": _q(lambda t: K.check_domain(t.quality_audit_log, "severity", SEVERITIES, "audit_id")),
+    "domain_audit_status": _q(lambda t: K.check_domain(t.quality_audit_log, "status", AUDIT_STATUSES, "audit_id")),
+    "max_length_patient_records": _q(
+        lambda t: K.check_max_length(t.patient_records, PATIENT_RECORDS.max_lengths, "patient_id")),
+    "decimal_range_line_totals": _q(
+        lambda t: K.check_decimal_range(
+            t.claims_line_items.groupBy("claim_id").agg(F.sum("line_item_amount").alias("calculated_total")),
+            ["calculated_total"], 10, 2, "claim_id")),
+    "table_violations_claims": _q(
+        lambda t: K.check_table(t.claims, "claims",
+                                {"patient_records": t.patient_records, "providers": t.providers})),
+}
+CHECK_QUERIES.update(CONSTRAINT_QUERIES)
