@@ -120,3 +120,35 @@ CONSTRAINT_QUERIES: dict[str, Query] = {
                                 {"patient_records": t.patient_records, "providers": t.providers})),
 }
 CHECK_QUERIES.update(CONSTRAINT_QUERIES)
+
+
+# --- Metrics (R3, M1–M6) ----------------------------------------------------
+
+from ..operators import metrics as MT  # noqa: E402
+
+
+def _metric_inputs(t):
+    run = run_all_checks(t, AS_OF)
+    return dict(
+        completeness=MT.completeness_rates(t.patient_records, t.claims, t.providers),
+        accuracy=MT.accuracy_rates(t.patient_records, t.claims, t.claims_line_items, AS_OF),
+        errors=MT.error_rates(run.audit, {"patient_records": t.patient_records, "claims": t.claims,
+                                          "providers": t.providers}),
+        resolution=MT.resolution_times(t.quality_audit_log),
+        trend=MT.weekly_error_trend(t.quality_audit_log),
+    )
+
+
+METRIC_QUERIES: dict[str, Query] = {
+    "quality_metrics": _q(lambda t: MT.quality_metrics(t.patient_records, t.claims, AS_OF)),
+    "completeness_rates": _q(lambda t: MT.completeness_rates(t.patient_records, t.claims, t.providers)),
+    "accuracy_rates": _q(lambda t: MT.accuracy_rates(t.patient_records, t.claims, t.claims_line_items, AS_OF)),
+    "error_rates": _q(lambda t: MT.error_rates(
+        run_all_checks(t, AS_OF).audit,
+        {"patient_records": t.patient_records, "claims": t.claims, "providers": t.providers})),
+    "resolution_times": _q(lambda t: MT.resolution_times(t.quality_audit_log)),
+    "weekly_error_trend": _q(lambda t: MT.weekly_error_trend(t.quality_audit_log)),
+    # metric_id is a hash DuckDB cannot reproduce; every other column is compared.
+    "quality_metric_rows": _q(lambda t: MT.metric_rows(AS_OF, **_metric_inputs(t)).drop("metric_id")),
+}
+CHECK_QUERIES.update(METRIC_QUERIES)
