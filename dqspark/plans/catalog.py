@@ -152,3 +152,34 @@ METRIC_QUERIES: dict[str, Query] = {
     "quality_metric_rows": _q(lambda t: MT.metric_rows(AS_OF, **_metric_inputs(t)).drop("metric_id")),
 }
 CHECK_QUERIES.update(METRIC_QUERIES)
+
+
+# --- Table maintenance, report and look-up (W2, W3, P07, R4) ----------------
+
+from ..operators.updates import apply_updates  # noqa: E402
+from ..sources.readers import conform  # noqa: E402
+from .registry import investigate  # noqa: E402
+from .sinks import report_preview  # noqa: E402
+
+RUN_TS = dt.datetime.combine(AS_OF, dt.time())
+UPDATE_TS = dt.datetime.combine(AS_OF, dt.time(12))
+
+
+def _processed_pending(t):
+    """W3 over the whole claims table: every PENDING claim is processed on
+    the reference date; the trigger stamps the updated rows."""
+    base = conform(t.claims, "claims", now=RUN_TS)
+    updates = t.claims.filter(F.col("status") == "PENDING").select(
+        "claim_id", F.lit("PROCESSED").alias("status"), F.lit(AS_OF).alias("processing_date"))
+    return apply_updates(base, updates, "claim_id", now=UPDATE_TS)
+
+
+MAINTENANCE_QUERIES: dict[str, Query] = {
+    "conformed_claims": _q(lambda t: conform(t.claims, "claims", now=RUN_TS)),
+    "conformed_encounters": _q(lambda t: conform(t.encounters, "encounters", now=RUN_TS)),
+    "claims_after_processing": _q(_processed_pending),
+    # row_json is compared through the rows it previews (record_id, rank).
+    "report_preview": _q(lambda t: report_preview(run_all_checks(t, AS_OF)).drop("row_json")),
+    "investigate_claims_billing_validation": _q(lambda t: investigate(t, "claims", "billing_validation", AS_OF)),
+}
+CHECK_QUERIES.update(MAINTENANCE_QUERIES)
