@@ -49,14 +49,15 @@ def _discrepancy_pct(diff, total):
 
 
 def claim_line_mismatch(claims: DataFrame, lines: DataFrame, tolerance=R.AMOUNT_TOLERANCE,
-                        sort: bool = True, with_service_columns: bool = True,
+                        sort: bool = False, with_service_columns: bool = True,
                         with_issue_type: bool = True) -> DataFrame:
     """Claims whose line items do not add up to the claim total.
 
     A claim with no lines has a calculated total of 0 and a count of 0; a
     difference strictly above ``tolerance`` is reported; the percentage is
     of the claim total, NULL when that total is 0; a NULL total is never
-    reported. Largest discrepancy first.
+    reported. ``sort=True`` orders by the
+    largest discrepancy first (the reference's ORDER BY).
     """
     extra = ["service_date", "status"] if with_service_columns else []
     t = claim_line_totals(claims, lines, extra)
@@ -121,9 +122,9 @@ def temporal_anomalies(claims: DataFrame) -> DataFrame:
 
 
 def long_pending_claims(claims: DataFrame, as_of: dt.date | str, days: int = R.PENDING_DAYS,
-                        statuses=R.OPEN_STATUSES, sort: bool = True) -> DataFrame:
+                        statuses=R.OPEN_STATUSES, sort: bool = False) -> DataFrame:
     """Open claims submitted more than ``days`` days before ``as_of``;
-    oldest first."""
+    ``sort=True``: oldest first."""
     out = claims.filter(F.col("status").isin(*statuses) & before("submission_date", as_of, days)).select(
         "claim_id", "patient_id", "provider_id", "submission_date", "status",
         days_between(date_lit(as_of), F.col("submission_date")).alias("days_pending"),
@@ -162,8 +163,8 @@ def orphan_claims_provider(claims: DataFrame, providers: DataFrame, broadcast_pa
     )
 
 
-def high_amount_claims(claims: DataFrame, threshold=R.HIGH_AMOUNT_THRESHOLD, sort: bool = True) -> DataFrame:
-    """C17: claim totals strictly above ``threshold``; largest first."""
+def high_amount_claims(claims: DataFrame, threshold=R.HIGH_AMOUNT_THRESHOLD, sort: bool = False) -> DataFrame:
+    """C17: claim totals strictly above ``threshold``; ``sort=True``: largest first."""
     out = claims.filter(F.col("claim_total_amount") > money(threshold)).select(
         "claim_id", "patient_id", "provider_id", "service_date", "claim_total_amount",
         F.lit(R.ISSUE_HIGH_AMOUNT).alias("issue_type"),
@@ -173,7 +174,7 @@ def high_amount_claims(claims: DataFrame, threshold=R.HIGH_AMOUNT_THRESHOLD, sor
 
 def frequent_claimants(claims: DataFrame, patients: DataFrame, as_of: dt.date | str,
                        window_months: int = R.FREQUENCY_WINDOW_MONTHS,
-                       min_count: int = R.FREQUENCY_MIN_COUNT, sort: bool = True) -> DataFrame:
+                       min_count: int = R.FREQUENCY_MIN_COUNT, sort: bool = False) -> DataFrame:
     """Patients with more than ``min_count`` claims serviced since
     ``as_of`` minus the window (no upper bound). Claims are counted per
     patient before the join (partial aggregation absorbs a hot patient); the
@@ -198,7 +199,7 @@ def frequent_claimants(claims: DataFrame, patients: DataFrame, as_of: dt.date |
 
 
 def claim_discrepancies_inner(claims: DataFrame, lines: DataFrame, tolerance=R.AMOUNT_TOLERANCE,
-                              sort: bool = True) -> DataFrame:
+                              sort: bool = False) -> DataFrame:
     """R2: the README's variant of C06 with an inner join: claims without any
     line are not reported; the percentage is NULL for a zero total."""
     totals = lines.groupBy("claim_id").agg(F.sum("line_item_amount").alias("calculated_total"))

@@ -62,7 +62,7 @@ def check_patient_completeness(patients: DataFrame) -> CheckResult:
     return CheckResult("patient_completeness", R.CHECKER_PATIENT_COMPLETENESS[0], details, issues)
 
 
-def check_claims_discrepancies(claims: DataFrame, lines: DataFrame, sort: bool = True) -> CheckResult:
+def check_claims_discrepancies(claims: DataFrame, lines: DataFrame, sort: bool = False) -> CheckResult:
     """C06 without service date, status and label; CRITICAL above 1000,
     else HIGH. The run summary adds ``total_discrepancy``."""
     base = C.claim_line_mismatch(claims, lines, sort=False, with_service_columns=False, with_issue_type=False)
@@ -90,7 +90,7 @@ def check_temporal_anomalies(claims: DataFrame) -> CheckResult:
     return CheckResult("temporal_anomalies", R.CHECKER_TEMPORAL_ANOMALIES[0], details, issues)
 
 
-def check_duplicate_records(patients: DataFrame, sort: bool = True, **kw) -> CheckResult:
+def check_duplicate_records(patients: DataFrame, sort: bool = False, **kw) -> CheckResult:
     """C13 without label, keyed on the group's smallest id; MEDIUM. The
     run summary adds ``total_duplicates``. A group with more ids than one row
     holds is reported once per slice of ids."""
@@ -108,7 +108,7 @@ def check_duplicate_records(patients: DataFrame, sort: bool = True, **kw) -> Che
                        {"total_duplicates": ("_amount", "bigint")})
 
 
-def check_provider_credentials(providers: DataFrame, as_of: dt.date | str, sort: bool = True) -> CheckResult:
+def check_provider_credentials(providers: DataFrame, as_of: dt.date | str, sort: bool = False) -> CheckResult:
     """C11 without label, ordered by expiry; CRITICAL."""
     base = V.expired_licenses(providers, as_of, with_issue_type=False, sort=False)
     details = base.orderBy("license_expiry_date") if sort else base

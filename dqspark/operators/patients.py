@@ -57,10 +57,10 @@ def patient_completeness_summary(patients: DataFrame) -> DataFrame:
     )
 
 
-def incomplete_patients(patients: DataFrame, sort: bool = True, with_contact_columns: bool = False,
+def incomplete_patients(patients: DataFrame, sort: bool = False, with_contact_columns: bool = False,
                         with_timestamps: bool = True) -> DataFrame:
     """Active patients missing a required field or all contact details,
-    with the list of what is missing; newest first (NULL ``created_at`` first,
+    with the list of what is missing; ``sort=True``: newest first (NULL ``created_at`` first,
     as PostgreSQL's DESC)."""
     cols = ["patient_id", "name", "date_of_birth", "insurance_id", "primary_provider"]
     if with_contact_columns:
@@ -78,7 +78,7 @@ def incomplete_patients(patients: DataFrame, sort: bool = True, with_contact_col
 
 
 def invalid_dob(patients: DataFrame, as_of: dt.date | str, min_date: str = R.MIN_BIRTH_DATE,
-                max_age: int = R.MAX_AGE_YEARS, sort: bool = True) -> DataFrame:
+                max_age: int = R.MAX_AGE_YEARS, sort: bool = False) -> DataFrame:
     """Birth date in the future, before ``min_date``, or an age above
     ``max_age`` whole years. Applies to all patients, active or not."""
     today = date_lit(as_of)
@@ -115,8 +115,8 @@ def duplicate_patient_groups(patients: DataFrame, **kw) -> DuplicateGroups:
     return duplicates(keyed, ["name", "date_of_birth"], "patient_id", "patient_ids", **kw)
 
 
-def duplicate_patients(patients: DataFrame, sort: bool = True, **kw) -> DataFrame:
-    """Active patients sharing name and birth date; largest groups first."""
+def duplicate_patients(patients: DataFrame, sort: bool = False, **kw) -> DataFrame:
+    """Active patients sharing name and birth date; ``sort=True``: largest groups first."""
     out = duplicate_patient_groups(patients, **kw).members.select(
         "name", "date_of_birth", "duplicate_count", "patient_ids",
         F.lit(R.ISSUE_DUPLICATE_PATIENT).alias("issue_type"),
@@ -125,7 +125,7 @@ def duplicate_patients(patients: DataFrame, sort: bool = True, **kw) -> DataFram
 
 
 def stale_patients(patients: DataFrame, as_of: dt.datetime | dt.date | str,
-                   years: int = R.STALE_YEARS, sort: bool = True) -> DataFrame:
+                   years: int = R.STALE_YEARS, sort: bool = False) -> DataFrame:
     """Active patients not updated for more than ``years`` years before
     the run timestamp; the day count uses the date part of ``updated_at``."""
     now = as_timestamp(as_of)
