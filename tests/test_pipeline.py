@@ -1,0 +1,174 @@
+"""Run-level behaviour: invariants between checks, plans
+(§5.4), sinks, updates, conform and the incremental stream."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from dqspark.operators import claims as C
+from dqspark.operators import constraints as K
+from dqspark.operators.updates import apply_updates
+from dqspark.plans import sinks
+from dqspark.plans.checker import run_all_checks
+from dqspark.plans.registry import investigate
+from dqspark.sources.readers import conform, read_table
+
+from .conftest import SMALL
+
+AS_OF = dt.date(2024, 2, 1)
+
+
+def _ids(df, col):
+    return {r[0] for r in df.select(col).collect()}
+
+
+def test_summary_total_equals_audit_rows(spark, tables):
+    run = run_all_checks(tables, AS_OF)
+    s = run.summary.first()
+    assert s["total_issues_found"] == run.audit.count()
+    assert s["status"] == "FAIL" and s["checks_performed"] == 5
+    counts = {r["check_key"]: r["issues_found"] for r in run.check_counts.collect()}
+    assert sum(counts.values()) == s["total_issues_found"]
+    assert counts["temporal_anomalies"] == run.checks["temporal_anomalies"].details.count()
+
+
+def test_materialized_run_matches_lazy_run(spark, tables):
+    lazy = run_all_checks(tables, AS_OF).summary.first()
+    saved = run_all_checks(tables, AS_OF, materialize=True).summary.first()
+    assert lazy == saved
+
+
+def test_temporal_rows_are_the_union_of_c08_and_c09(tables):
+    t = tables
+    union = _ids(C.submitted_before_service(t.claims), "claim_id") | _ids(C.processed_before_submission(t.claims), "claim_id")
+    both = _ids(C.submitted_before_service(t.claims), "claim_id") & _ids(C.processed_before_submission(t.claims), "claim_id")
+    p03 = C.temporal_anomalies(t.claims)
+    assert p03.count() == len(union) and _ids(p03, "claim_id") == union
+    assert both, "fixture should hold claims with both anomalies"
+
+
+def test_foreign_key_violations_are_orphans(tables):
+    fk = _ids(K.check_foreign_key(tables.claims, tables.patient_records, "patient_id", None, "claim_id"), "claim_id")
+    orphan = _ids(C.orphan_claims_patient(tables.claims, tables.patient_records), "claim_id")
+    assert fk < orphan
+
+
+def test_inner_discrepancies_within_c06(tables):
+    r2 = _ids(C.claim_discrepancies_inner(tables.claims, tables.claims_line_items), "claim_id")
+    c06 = _ids(C.claim_line_mismatch(tables.claims, tables.claims_line_items), "claim_id")
+    assert r2 <= c06
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_orphan_checks_plan_as_anti_joins(spark):
+    q = entry.queries()
+    for name in ("orphan_claims_patient", "orphan_claims_provider"):
+        df = q[name](spark, SMALL)
+        df.collect()
+        assert "LeftAnti" in _plan(df)
+
+
+def test_no_python_evaluation_in_any_plan(spark):
+    for name, fn in entry.queries().items():
+        text = fn(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "PythonUDF" not in text and "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
+
+
+def test_filters_reach_the_parquet_scan(spark, tables, scratch):
+    path = os.path.join(scratch, "claims")
+    tables.claims.write.parquet(path)
+    stored = read_table(spark, path, "claims")
+    plan = C.high_amount_claims(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(claim_total_amount), GreaterThan(claim_total_amount,50000.00)]" in plan
+    pending = C.long_pending_claims(stored, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(submission_date,2024-01-02)" in pending
+    assert "ReadSchema: struct<claim_id:string,patient_id:string,provider_id:string,submission_date:date,status:string>" in pending
+
+
+def test_audit_sink_is_idempotent_per_run(spark, tables, scratch):
+    path = os.path.join(scratch, "audit")
+    run = run_all_checks(tables, AS_OF, run_id="r1")
+    n = run.audit.count()
+    sinks.append_audit(run.audit, path)
+    sinks.append_audit(run.audit, path)            # a retried job
+    assert spark.read.parquet(path).count() == n
+    sinks.append_audit(run_all_checks(tables, AS_OF, run_id="r2").audit, path)   # a new run repeats findings
+    log = spark.read.parquet(path)
+    assert log.count() == 2 * n
+    assert log.select("audit_id").distinct().count() == 2 * n
+
+
+def test_report_preview_and_exports(spark, tables, scratch):
+    run = run_all_checks(tables, AS_OF)
+    prev = sinks.report_preview(run, n=3).collect()
+    per_check = {}
+    for r in prev:
+        per_check.setdefault(r["check_key"], []).append(r["preview_rank"])
+        json.loads(r["row_json"])
+    assert all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= 3 for v in per_check.values())
+    out = os.path.join(scratch, "json")
+    sinks.export_json(run, out)
+    assert spark.read.json(os.path.join(out, "summary")).first()["status"] == "FAIL"
+    assert spark.read.json(os.path.join(out, "claims_discrepancies")).count() == \
+        run.checks["claims_discrepancies"].details.count()
+    csv_path = os.path.join(scratch, "csv")
+    details = investigate(tables, "patient_records", "completeness", AS_OF)
+    sinks.export_csv(details, csv_path)
+    back = spark.read.option("header", "true").csv(csv_path)
+    assert back.count() == details.count() and "missing_fields" in back.columns
+
+
+def test_apply_updates_trigger_and_inserts(spark):
+    base = spark.createDataFrame(
+        [("c1", "PENDING", Decimal("1.00"), dt.datetime(2020, 1, 1)),
+         ("c2", "PAID", Decimal("2.00"), dt.datetime(2020, 1, 1))],
+        "claim_id string, status string, claim_total_amount decimal(10,2), updated_at timestamp_ntz")
+    upd = spark.createDataFrame([("c1", "PENDING", None), ("c9", "PAID", Decimal("9.00"))],
+                                "claim_id string, status string, claim_total_amount decimal(10,2)")
+    now = dt.datetime(2024, 2, 1, 12)
+    out = {r["claim_id"]: r for r in apply_updates(base, upd, "claim_id", now).collect()}
+    # unchanged values still stamp updated_at; explicit NULL is written
+    assert out["c1"]["updated_at"] == now and out["c1"]["claim_total_amount"] is None
+    assert out["c2"]["updated_at"] == dt.datetime(2020, 1, 1)
+    assert "c9" not in out
+    out2 = {r["claim_id"]: r for r in apply_updates(base, upd, "claim_id", now, insert_missing=True,
+                                                     table="claims").collect()}
+    assert out2["c9"]["status"] == "PAID" and out2["c9"]["updated_at"] == now
+
+
+def test_conform_defaults_keep_explicit_nulls(spark):
+    df = spark.createDataFrame([("c1", None)], "claim_id string, adjustment_amount decimal(10,2)")
+    lines = spark.createDataFrame([("c1",)], "claim_id string")
+    now = dt.datetime(2024, 2, 1)
+    row = conform(df, "claims", now=now).first()
+    assert row["adjustment_amount"] is None and row["created_at"] == now and row["status"] is None
+    line = conform(lines.withColumn("line_item_id", F.lit(1)), "claims_line_items").first()
+    assert line["quantity"] == 1
+    enc = conform(spark.createDataFrame([("e1",)], "encounter_id string"), "encounters", now=now).first()
+    assert enc["documentation_complete"] is False and enc["billing_submitted"] is False
+
+
+def test_incremental_stream_matches_batch(spark, tables, scratch):
+    from dqspark.operators.findings import check_patient_completeness
+    from dqspark.streaming.incremental import start_audit_stream
+
+    src = os.path.join(scratch, "src")
+    patients = tables.patient_records
+    patients.repartition(3).write.parquet(src)
+    q = start_audit_stream(spark, "patient_records", src, os.path.join(scratch, "sink"),
+                           os.path.join(scratch, "ckpt"), AS_OF, max_files_per_trigger=1)
+    q.awaitTermination(120)
+    got = spark.read.parquet(os.path.join(scratch, "sink"))
+    want = check_patient_completeness(patients).issues
+    assert got.select("run_id").distinct().count() >= 2
+    assert sorted(_ids(got, "record_id")) == sorted(_ids(want, "record_id"))
+    assert got.count() == want.count()
