@@ -14,10 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import claims as C
+from ..operators import constraints as K
 from ..operators import encounters as E
+from ..operators import findings as FND
+from ..operators import metrics as MT
 from ..operators import patients as P
 from ..operators import providers as V
+from ..operators.updates import apply_updates
 from ..sources.fixtures import FIXTURE_AS_OF, load_fixtures
+from ..sources.readers import conform
+from ..sources.schemas import AUDIT_STATUSES, CLAIM_STATUSES, PATIENT_RECORDS, SEVERITIES
+from .checker import run_all_checks
+from .registry import investigate
+from .sinks import report_preview
 
 AS_OF = dt.date.fromisoformat(FIXTURE_AS_OF)
 
@@ -58,14 +67,8 @@ CHECK_QUERIES: dict[str, Query] = {
 }
 
 
-def all_queries() -> dict[str, Query]:
-    return dict(CHECK_QUERIES)
-
-
 # --- The checker (P01–P06) and its audit rows (W1) --------------------------
 
-from ..operators import findings as FND  # noqa: E402
-from .checker import run_all_checks  # noqa: E402
 
 AUDIT_CONTRACT_COLUMNS = [
     "check_timestamp", "check_type", "table_name", "record_id", "issue_type",
@@ -85,13 +88,10 @@ CHECKER_QUERIES: dict[str, Query] = {
     "run_check_counts": _q(lambda t: run_all_checks(t, AS_OF).check_counts),
     "run_summary": _q(lambda t: run_all_checks(t, AS_OF).summary),
 }
-CHECK_QUERIES.update(CHECKER_QUERIES)
 
 
 # --- Declared constraints (K1–K7) -------------------------------------------
 
-from ..operators import constraints as K  # noqa: E402
-from ..sources.schemas import AUDIT_STATUSES, CLAIM_STATUSES, PATIENT_RECORDS, SEVERITIES  # noqa: E402
 
 CONSTRAINT_QUERIES: dict[str, Query] = {
     "pk_claims_line_items": _q(lambda t: K.check_primary_key(t.claims_line_items, "line_item_id")),
@@ -119,13 +119,10 @@ CONSTRAINT_QUERIES: dict[str, Query] = {
         lambda t: K.check_table(t.claims, "claims",
                                 {"patient_records": t.patient_records, "providers": t.providers})),
 }
-CHECK_QUERIES.update(CONSTRAINT_QUERIES)
 
 
 # --- Metrics (R3, M1–M6) ----------------------------------------------------
 
-from ..operators import metrics as MT  # noqa: E402
-
 
 def _metric_inputs(t):
     run = run_all_checks(t, AS_OF)
@@ -151,15 +148,10 @@ METRIC_QUERIES: dict[str, Query] = {
     # metric_id is a hash DuckDB cannot reproduce; every other column is compared.
     "quality_metric_rows": _q(lambda t: MT.metric_rows(AS_OF, **_metric_inputs(t)).drop("metric_id")),
 }
-CHECK_QUERIES.update(METRIC_QUERIES)
 
 
 # --- Table maintenance, report and look-up (W2, W3, P07, R4) ----------------
 
-from ..operators.updates import apply_updates  # noqa: E402
-from ..sources.readers import conform  # noqa: E402
-from .registry import investigate  # noqa: E402
-from .sinks import report_preview  # noqa: E402
 
 RUN_TS = dt.datetime.combine(AS_OF, dt.time())
 UPDATE_TS = dt.datetime.combine(AS_OF, dt.time(12))
@@ -182,4 +174,10 @@ MAINTENANCE_QUERIES: dict[str, Query] = {
     "report_preview": _q(lambda t: report_preview(run_all_checks(t, AS_OF)).drop("row_json")),
     "investigate_claims_billing_validation": _q(lambda t: investigate(t, "claims", "billing_validation", AS_OF)),
 }
-CHECK_QUERIES.update(MAINTENANCE_QUERIES)
+
+
+def all_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {}
+    for group in (CHECK_QUERIES, CHECKER_QUERIES, CONSTRAINT_QUERIES, METRIC_QUERIES, MAINTENANCE_QUERIES):
+        out.update(group)
+    return out

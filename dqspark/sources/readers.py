@@ -36,18 +36,22 @@ def read_table(
 ) -> DataFrame:
     """Read one healthcare table with its declared schema.
 
-    ``fmt`` is ``parquet``, ``csv`` (header row expected; arrays are not
-    representable in CSV) or ``json``. Files written by other tools may lack
-    columns; pass the result through ``conform`` to add them.
+    ``fmt`` is ``parquet``, ``csv`` or ``json``. CSV is matched by header
+    name, not position: the file's columns are read as text and each declared
+    column present is cast to its type (a malformed value fails the read, as
+    an INSERT would; arrays are not representable in CSV). Files written by
+    other tools may lack columns; pass the result through ``conform`` to add
+    them with their defaults.
     """
     spec = _spec(table)
     reader = spark.read.options(**options)
     if fmt == "csv":
-        reader = reader.option("header", "true")
-        schema = T.StructType(
-            [f for f in spec.schema.fields if not isinstance(f.dataType, T.ArrayType)]
-        )
-        return reader.schema(schema).csv(path)
+        raw = reader.option("header", "true").option("inferSchema", "false").csv(path)
+        declared = {f.name: f.dataType for f in spec.schema.fields}
+        return raw.select(*[
+            F.col(c).cast(declared[c]).alias(c) for c in raw.columns
+            if c in declared and not isinstance(declared[c], T.ArrayType)
+        ])
     if fmt == "json":
         return reader.schema(spec.schema).json(path)
     return reader.parquet(path)

@@ -172,3 +172,34 @@ def test_incremental_stream_matches_batch(spark, tables, scratch):
     assert got.select("run_id").distinct().count() >= 2
     assert sorted(_ids(got, "record_id")) == sorted(_ids(want, "record_id"))
     assert got.count() == want.count()
+
+
+def test_daily_run_writes_every_output(spark, tables, scratch):
+    from dqspark.plans.daily_run import daily_run, load_tables
+
+    root = os.path.join(scratch, "tables")
+    for name in ("patient_records", "providers", "claims", "claims_line_items", "encounters", "quality_audit_log"):
+        getattr(tables, name).write.parquet(os.path.join(root, name))
+    stored = load_tables(spark, root)
+    assert stored.claims.columns[:3] == ["claim_id", "patient_id", "provider_id"] and len(stored.claims.columns) == 16
+    out = os.path.join(scratch, "out")
+    run = daily_run(stored, AS_OF, out, run_id="day1")
+    total = run.summary.first()["total_issues_found"]
+    assert spark.read.parquet(os.path.join(out, "quality_audit_log")).count() == total
+    metrics = spark.read.parquet(os.path.join(out, "quality_metrics"))
+    assert {r["category"] for r in metrics.collect()} >= {"completeness", "accuracy", "error_rate", "trend"}
+    assert spark.read.parquet(os.path.join(out, "report_preview")).count() <= 50
+    daily_run(stored, AS_OF, out, run_id="day1")          # retry of the same run: no duplicates
+    assert spark.read.parquet(os.path.join(out, "quality_audit_log")).count() == total
+
+
+def test_csv_and_json_sources_use_the_declared_schema(spark, tables, scratch):
+    path = os.path.join(scratch, "claims_csv")
+    tables.claims.write.option("header", "true").csv(path)
+    back = read_table(spark, path, "claims", fmt="csv")
+    assert dict(back.dtypes)["claim_total_amount"] == "decimal(10,2)"
+    assert dict(back.dtypes)["service_date"] == "date"
+    # columns absent from the file stay absent; conform adds them with defaults
+    assert "created_at" not in back.columns and back.count() == tables.claims.count()
+    got = back.select("claim_id", "claim_total_amount").exceptAll(tables.claims.select("claim_id", "claim_total_amount"))
+    assert got.count() == 0
