@@ -85,18 +85,45 @@ def providers(supplier: DataFrame) -> DataFrame:
     )
 
 
+def _line_cents():
+    """A line's amount in whole cents (below 12,000.00)."""
+    return F.round(F.col("l_extendedprice") * 100).cast("bigint") % 1200000
+
+
+def _orphan_line():
+    """Lines attached to the claim id 'C-missing', which no claim has."""
+    return F.col("l_partkey") % 83 == 0
+
+
 def claims_line_items(lineitem: DataFrame) -> DataFrame:
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint") % 1200000
     return lineitem.select(
-        F.when(F.col("l_partkey") % 83 == 0, F.lit("C-missing"))
+        F.when(_orphan_line(), F.lit("C-missing"))
         .otherwise(F.concat(F.lit("C"), F.col("l_orderkey").cast("string")))
         .alias("claim_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_item_id"),
-        (cents.cast("decimal(10,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)").alias("line_item_amount"),
+        (_line_cents().cast("decimal(10,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)").alias("line_item_amount"),
+    )
+
+
+def order_line_totals(lineitem: DataFrame) -> DataFrame:
+    """Sum of line amounts per order, for the claim totals.
+
+    Same values as summing ``claims_line_items.line_item_amount`` per claim
+    id and joining on ``'C' || o_orderkey``: the 'C-missing' lines never
+    match a claim, so they are dropped first; the rest are keyed by the
+    numeric order key (no per-line string building) and summed as integer
+    cents (an order has at most seven lines below 12,000.00 each), then
+    turned back into an exact DECIMAL.
+    """
+    return (
+        lineitem.filter(~_orphan_line())
+        .groupBy(F.col("l_orderkey").alias("lt_orderkey"))
+        .agg(F.sum(_line_cents()).alias("lt_cents"))
+        .select("lt_orderkey", (F.col("lt_cents").cast("decimal(20,0)") * F.lit(Decimal("0.01"))).alias("lt"))
     )
 
 
-def claims(orders: DataFrame, lines: DataFrame) -> DataFrame:
+def claims(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     o = orders.select(
         F.col("o_orderkey").alias("k"),
         F.concat(F.lit("C"), F.col("o_orderkey").cast("string")).alias("cid"),
@@ -106,10 +133,9 @@ def claims(orders: DataFrame, lines: DataFrame) -> DataFrame:
     # Every 61st order is submitted twice under a second claim id.
     dup = o.filter(F.col("k") % 61 == 0).withColumn("cid", F.concat(F.col("cid"), F.lit("-dup")))
     o = o.unionByName(dup)
-    # Line totals are aggregated before the join (partial aggregation absorbs
-    # the hot 'C-missing' id).
-    lt = lines.groupBy("claim_id").agg(F.sum("line_item_amount").alias("lt"))
-    x = o.join(lt, F.concat(F.lit("C"), o["k"].cast("string")) == lt["claim_id"], "left")
+    # Line totals are aggregated per order before the join.
+    lt = order_line_totals(lineitem)
+    x = o.join(lt, o["k"] == lt["lt_orderkey"], "left")
     k = F.col("k")
     extra = (
         F.when(k % 37 == 0, F.lit(Decimal("150.25")))
@@ -240,7 +266,7 @@ class HealthcareTables:
 
     @property
     def claims(self) -> DataFrame:
-        return claims(self._src("orders"), self.claims_line_items)
+        return claims(self._src("orders"), self._src("lineitem"))
 
     @property
     def encounters(self) -> DataFrame:
