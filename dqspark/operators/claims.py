@@ -61,7 +61,7 @@ def claim_line_mismatch(claims: DataFrame, lines: DataFrame, tolerance=R.AMOUNT_
     """
     extra = ["service_date", "status"] if with_service_columns else []
     t = claim_line_totals(claims, lines, extra)
-    diff = F.abs(F.col("claim_total_amount") - F.col("calculated_total"))
+    diff = _line_diff()
     out_cols = ["claim_id", "patient_id", "provider_id"] + extra + [
         "claim_total_amount", "calculated_total", "line_item_count",
         diff.alias("discrepancy_amount"),
@@ -69,20 +69,49 @@ def claim_line_mismatch(claims: DataFrame, lines: DataFrame, tolerance=R.AMOUNT_
     ]
     if with_issue_type:
         out_cols.append(F.lit(R.ISSUE_CLAIM_MISMATCH).alias("issue_type"))
-    out = t.filter(diff > money(tolerance)).select(*out_cols)
+    out = t.filter(claim_line_mismatch_condition(tolerance)).select(*out_cols)
     return out.orderBy(F.col("discrepancy_amount").desc()) if sort else out
 
 
-def payment_mismatch(claims: DataFrame, statuses=R.PAID_STATUSES, tolerance=R.AMOUNT_TOLERANCE) -> DataFrame:
-    """Processed or paid claims whose total differs from insurer +
-    patient + adjustment parts (a missing part counts as 0)."""
-    parts = (
+def _line_diff():
+    return F.abs(F.col("claim_total_amount") - F.col("calculated_total"))
+
+
+def claim_line_mismatch_condition(tolerance=R.AMOUNT_TOLERANCE):
+    """Row predicate of C06 over ``claim_line_totals`` rows."""
+    return _line_diff() > money(tolerance)
+
+
+def _parts():
+    return (
         F.coalesce(F.col("insurance_paid_amount"), money(0))
         + F.coalesce(F.col("patient_responsibility"), money(0))
         + F.coalesce(F.col("adjustment_amount"), money(0))
     )
+
+
+def payment_mismatch_condition(statuses=R.PAID_STATUSES, tolerance=R.AMOUNT_TOLERANCE):
+    """Row predicate of C07."""
+    return F.col("status").isin(*statuses) & (F.abs(F.col("claim_total_amount") - _parts()) > money(tolerance))
+
+
+def submitted_before_service_condition():
+    """Row predicate of C08."""
+    return F.col("submission_date") < F.col("service_date")
+
+
+def processed_before_submission_condition():
+    """Row predicate of C09."""
+    p = F.col("processing_date")
+    return p.isNotNull() & (p < F.col("submission_date"))
+
+
+def payment_mismatch(claims: DataFrame, statuses=R.PAID_STATUSES, tolerance=R.AMOUNT_TOLERANCE) -> DataFrame:
+    """Processed or paid claims whose total differs from insurer +
+    patient + adjustment parts (a missing part counts as 0)."""
+    parts = _parts()
     diff = F.abs(F.col("claim_total_amount") - parts)
-    return claims.filter(F.col("status").isin(*statuses) & (diff > money(tolerance))).select(
+    return claims.filter(payment_mismatch_condition(statuses, tolerance)).select(
         "claim_id", "patient_id", "provider_id", "claim_total_amount", "insurance_paid_amount",
         "patient_responsibility", "adjustment_amount", parts.alias("sum_of_parts"),
         diff.alias("difference"), F.lit(R.ISSUE_PAYMENT_MISMATCH).alias("issue_type"),
@@ -91,7 +120,7 @@ def payment_mismatch(claims: DataFrame, statuses=R.PAID_STATUSES, tolerance=R.AM
 
 def submitted_before_service(claims: DataFrame) -> DataFrame:
     """Submission dated before the service (negative day difference)."""
-    return claims.filter(F.col("submission_date") < F.col("service_date")).select(
+    return claims.filter(submitted_before_service_condition()).select(
         "claim_id", "patient_id", "service_date", "submission_date",
         days_between(F.col("submission_date"), F.col("service_date")).alias("days_difference"),
         F.lit(R.ISSUE_SUBMISSION_BEFORE_SERVICE).alias("issue_type"),
@@ -100,8 +129,7 @@ def submitted_before_service(claims: DataFrame) -> DataFrame:
 
 def processed_before_submission(claims: DataFrame) -> DataFrame:
     """Processing dated before submission."""
-    p = F.col("processing_date")
-    return claims.filter(p.isNotNull() & (p < F.col("submission_date"))).select(
+    return claims.filter(processed_before_submission_condition()).select(
         "claim_id", "patient_id", "submission_date", "processing_date",
         F.lit(R.ISSUE_PROCESSING_BEFORE_SUBMISSION).alias("issue_type"),
     )

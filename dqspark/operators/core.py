@@ -99,7 +99,8 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
 
     ``LEFT JOIN parent ... WHERE parent.key IS NULL`` is written as a
     ``left_anti`` join (Spark does not rewrite the outer-join form). NULL child
-    keys are reported unless ``null_passes`` (foreign-key semantics). Only the
+    keys are reported unless ``null_passes`` (foreign-key semantics); they skip
+    the join (no shuffle of a NULL hot key). Only the
     parent's key column is read. ``broadcast_parent`` hints a broadcast when a
     measured count shows the parent fits; otherwise AQE picks the strategy
     from runtime sizes and splits a skewed child key.
@@ -108,9 +109,13 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
     parent_keys = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull())
     if broadcast_parent:
         parent_keys = bounded_broadcast(parent_keys)
+    keyed = child.filter(F.col(key).isNotNull())
+    found = keyed.join(parent_keys, keyed[key] == parent_keys["_pk"], "left_anti")
     if null_passes:
-        child = child.filter(F.col(key).isNotNull())
-    return child.join(parent_keys, child[key] == parent_keys["_pk"], "left_anti")
+        return found
+    # A NULL key never matches, and all NULL keys would hash to one shuffle
+    # partition: those rows bypass the join instead of being shuffled.
+    return found.unionByName(child.filter(F.col(key).isNull()))
 
 
 def before(col: str | Column, as_of: dt.date | str, days: int) -> Column:

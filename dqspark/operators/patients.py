@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -77,16 +77,34 @@ def incomplete_patients(patients: DataFrame, sort: bool = False, with_contact_co
     return out
 
 
+def invalid_dob_condition(as_of: dt.date | str, min_date: str = R.MIN_BIRTH_DATE,
+                          max_age: int = R.MAX_AGE_YEARS) -> Column:
+    """Row predicate of C03 (NULL birth dates are not reported)."""
+    today = date_lit(as_of)
+    dob = F.col("date_of_birth")
+    return (dob > today) | (dob < F.lit(min_date).cast("date")) | (age_years(dob, today) > max_age)
+
+
+def invalid_phone_condition(digits: int = R.PHONE_DIGITS) -> Column:
+    """Row predicate of C04: an active patient's phone without exactly
+    ``digits`` digits."""
+    phone = F.col("contact_phone")
+    n_digits = F.length(F.regexp_replace(phone, R.NON_DIGIT_PATTERN, ""))
+    return is_true(F.col("is_active")) & phone.isNotNull() & (n_digits != digits)
+
+
+def invalid_email_condition(pattern: str = R.EMAIL_PATTERN) -> Column:
+    """Row predicate of C05: an active patient's e-mail not matching ``pattern``."""
+    email = F.col("contact_email")
+    return is_true(F.col("is_active")) & email.isNotNull() & ~email.rlike(pattern)
+
+
 def invalid_dob(patients: DataFrame, as_of: dt.date | str, min_date: str = R.MIN_BIRTH_DATE,
                 max_age: int = R.MAX_AGE_YEARS, sort: bool = False) -> DataFrame:
     """Birth date in the future, before ``min_date``, or an age above
     ``max_age`` whole years. Applies to all patients, active or not."""
-    today = date_lit(as_of)
-    dob = F.col("date_of_birth")
-    age = age_years(dob, today)
-    out = patients.filter(
-        (dob > today) | (dob < F.lit(min_date).cast("date")) | (age > max_age)
-    ).select(
+    age = age_years(F.col("date_of_birth"), date_lit(as_of))
+    out = patients.filter(invalid_dob_condition(as_of, min_date, max_age)).select(
         "patient_id", "name", "date_of_birth", age.alias("age"),
         F.lit(R.ISSUE_INVALID_DOB).alias("issue_type"),
     )
@@ -95,17 +113,14 @@ def invalid_dob(patients: DataFrame, as_of: dt.date | str, min_date: str = R.MIN
 
 def invalid_phone(patients: DataFrame, digits: int = R.PHONE_DIGITS) -> DataFrame:
     """Active patients whose phone does not have exactly ``digits`` digits."""
-    phone = F.col("contact_phone")
-    n_digits = F.length(F.regexp_replace(phone, R.NON_DIGIT_PATTERN, ""))
-    return _active(patients).filter(phone.isNotNull() & (n_digits != digits)).select(
+    return patients.filter(invalid_phone_condition(digits)).select(
         "patient_id", "name", "contact_phone", F.lit(R.ISSUE_INVALID_PHONE).alias("issue_type"),
     )
 
 
 def invalid_email(patients: DataFrame, pattern: str = R.EMAIL_PATTERN) -> DataFrame:
     """Active patients whose e-mail does not match ``pattern``."""
-    email = F.col("contact_email")
-    return _active(patients).filter(email.isNotNull() & ~email.rlike(pattern)).select(
+    return patients.filter(invalid_email_condition(pattern)).select(
         "patient_id", "name", "contact_email", F.lit(R.ISSUE_INVALID_EMAIL).alias("issue_type"),
     )
 
