@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from .plans.daily_run import daily_run, load_tables
-from .session import DEFAULT_CONF, checkpoint_dir
+from .session import CLUSTER_CONF, DEFAULT_CONF, apply_defaults, checkpoint_dir
 
 
 def main(argv=None) -> None:
@@ -25,10 +25,9 @@ def main(argv=None) -> None:
     ap.add_argument("--run-id", default=None)
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     args = ap.parse_args(argv)
-    builder = SparkSession.builder.appName("dqspark-run")
-    for key, value in DEFAULT_CONF.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = SparkSession.builder.appName("dqspark-run").getOrCreate()
+    apply_defaults(spark, {k: v for k, v in DEFAULT_CONF.items() if not k.startswith("spark.ui")})
+    apply_defaults(spark, CLUSTER_CONF)
     checkpoint_dir(spark)
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
     run = daily_run(load_tables(spark, args.tables, args.format), as_of, args.out, run_id=args.run_id)

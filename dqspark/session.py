@@ -23,6 +23,32 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB): many
+# shuffle partitions that AQE coalesces to ~256 MB each, big scan splits, and
+# skew splitting for a hot key holding a large share of a table. Applied by
+# ``python -m dqspark`` only where the submitter has not set them.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def apply_defaults(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set each key of ``conf`` unless the submitter set it (``--conf`` or
+    spark-defaults); SQL settings have built-in defaults, so "set" is read
+    from the application's SparkConf, not from ``spark.conf``."""
+    submitted = spark.sparkContext.getConf()
+    for key, value in conf.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "dqspark") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for key, value in DEFAULT_CONF.items():
