@@ -118,6 +118,12 @@ CONSTRAINT_QUERIES: dict[str, Query] = {
     "table_violations_claims": _q(
         lambda t: K.check_table(t.claims, "claims",
                                 {"patient_records": t.patient_records, "providers": t.providers})),
+    "table_violations_providers": _q(lambda t: K.check_table(t.providers, "providers")),
+    "table_violations_claims_line_items": _q(
+        lambda t: K.check_table(t.claims_line_items, "claims_line_items", {"claims": t.claims})),
+    "table_violations_encounters": _q(
+        lambda t: K.check_table(t.encounters, "encounters",
+                                {"patient_records": t.patient_records, "providers": t.providers})),
 }
 
 

@@ -87,6 +87,60 @@ TABLE_VIOLATIONS_CLAIMS = "\nUNION ALL\n".join(
     ]
 )
 
+_PROVIDER_LIMITS = [("provider_id", 50), ("provider_name", 255), ("specialty", 100), ("npi_number", 10),
+                    ("license_number", 50), ("license_state", 2), ("contact_email", 255)]
+
+TABLE_VIOLATIONS_PROVIDERS = "\nUNION ALL\n".join(
+    [
+        "SELECT 'providers' AS table_name, 'primary_key' AS constraint_type, 'provider_id' AS column_name, "
+        "provider_id AS record_id, 'occurrences=' || COUNT(*) AS detail FROM providers "
+        "GROUP BY provider_id HAVING COUNT(*) > 1 OR provider_id IS NULL",
+        "SELECT 'providers', 'not_null', 'provider_name', provider_id, NULL FROM providers WHERE provider_name IS NULL",
+        "SELECT 'providers', 'unique', 'npi_number', npi_number, 'occurrences=' || COUNT(*) FROM providers "
+        "WHERE npi_number IS NOT NULL GROUP BY npi_number HAVING COUNT(*) > 1",
+    ]
+    + [
+        f"SELECT 'providers', 'max_length', '{c}', provider_id, CAST(length({c}) AS VARCHAR) FROM providers "
+        f"WHERE length({c}) > {n}"
+        for c, n in _PROVIDER_LIMITS
+    ]
+)
+
+TABLE_VIOLATIONS_LINE_ITEMS = "\nUNION ALL\n".join(
+    [
+        "SELECT 'claims_line_items' AS table_name, 'primary_key' AS constraint_type, 'line_item_id' AS column_name, "
+        "CAST(line_item_id AS VARCHAR) AS record_id, 'occurrences=' || COUNT(*) AS detail FROM claims_line_items "
+        "GROUP BY line_item_id HAVING COUNT(*) > 1 OR line_item_id IS NULL",
+        "SELECT 'claims_line_items', 'foreign_key', 'claim_id', CAST(l.line_item_id AS VARCHAR), l.claim_id "
+        "FROM claims_line_items l WHERE l.claim_id IS NOT NULL AND l.claim_id NOT IN (SELECT claim_id FROM claims)",
+        "SELECT 'claims_line_items', 'max_length', 'claim_id', CAST(line_item_id AS VARCHAR), "
+        "CAST(length(claim_id) AS VARCHAR) FROM claims_line_items WHERE length(claim_id) > 50",
+        "SELECT 'claims_line_items', 'decimal_range', 'line_item_amount', CAST(line_item_id AS VARCHAR), "
+        "CAST(line_item_amount AS VARCHAR) FROM claims_line_items "
+        "WHERE line_item_amount IS NOT NULL AND TRY_CAST(line_item_amount AS DECIMAL(10,2)) IS NULL",
+    ]
+)
+
+_ENCOUNTER_LIMITS = [("encounter_id", 50), ("patient_id", 50), ("provider_id", 50), ("encounter_type", 50)]
+
+TABLE_VIOLATIONS_ENCOUNTERS = "\nUNION ALL\n".join(
+    [
+        "SELECT 'encounters' AS table_name, 'primary_key' AS constraint_type, 'encounter_id' AS column_name, "
+        "encounter_id AS record_id, 'occurrences=' || COUNT(*) AS detail FROM encounters "
+        "GROUP BY encounter_id HAVING COUNT(*) > 1 OR encounter_id IS NULL",
+        "SELECT 'encounters', 'not_null', 'encounter_date', encounter_id, NULL FROM encounters WHERE encounter_date IS NULL",
+        "SELECT 'encounters', 'foreign_key', 'patient_id', e.encounter_id, e.patient_id FROM encounters e "
+        "WHERE e.patient_id IS NOT NULL AND e.patient_id NOT IN (SELECT patient_id FROM patient_records)",
+        "SELECT 'encounters', 'foreign_key', 'provider_id', e.encounter_id, e.provider_id FROM encounters e "
+        "WHERE e.provider_id IS NOT NULL AND e.provider_id NOT IN (SELECT provider_id FROM providers)",
+    ]
+    + [
+        f"SELECT 'encounters', 'max_length', '{c}', encounter_id, CAST(length({c}) AS VARCHAR) FROM encounters "
+        f"WHERE length({c}) > {n}"
+        for c, n in _ENCOUNTER_LIMITS
+    ]
+)
+
 CONSTRAINTS = {
     "pk_claims_line_items": (["claims_line_items"], PK_CLAIMS_LINE_ITEMS),
     "pk_claims": (["claims"], PK_CLAIMS),
@@ -102,4 +156,7 @@ CONSTRAINTS = {
     "max_length_patient_records": (["patient_records"], MAX_LENGTH_PATIENT_RECORDS),
     "decimal_range_line_totals": (["claims_line_items"], DECIMAL_RANGE_LINE_TOTALS),
     "table_violations_claims": (["claims", "patient_records", "providers"], TABLE_VIOLATIONS_CLAIMS),
+    "table_violations_providers": (["providers"], TABLE_VIOLATIONS_PROVIDERS),
+    "table_violations_claims_line_items": (["claims_line_items", "claims"], TABLE_VIOLATIONS_LINE_ITEMS),
+    "table_violations_encounters": (["encounters", "patient_records", "providers"], TABLE_VIOLATIONS_ENCOUNTERS),
 }
