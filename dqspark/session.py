@@ -62,10 +62,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder, set to a scratch folder only
-    when the cluster did not name one (tests, local runs)."""
+    """The session's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    On a cluster it must be named by the cluster (a shared file system
+    folder); a machine-local folder would not survive the loss of the node
+    holding it, so none is invented there. Only a local-mode session (tests,
+    local runs) without the setting gets a scratch folder.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
         current = tempfile.mkdtemp(prefix="dqspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
