@@ -228,7 +228,7 @@ def frequent_claimants(claims: DataFrame, patients: DataFrame, as_of: dt.date |
 
 def claim_discrepancies_inner(claims: DataFrame, lines: DataFrame, tolerance=R.AMOUNT_TOLERANCE,
                               sort: bool = False) -> DataFrame:
-    """R2: the README's variant of C06 with an inner join: claims without any
+    """R2: the reference's documented variant of C06 with an inner join: claims without any
     line are not reported; the percentage is NULL for a zero total."""
     totals = lines.groupBy("claim_id").agg(F.sum("line_item_amount").alias("calculated_total"))
     t = claims.select("claim_id", "claim_total_amount").join(totals, "claim_id", "inner")

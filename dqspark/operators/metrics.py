@@ -17,7 +17,7 @@ from ..functions.exprs import all_of, as_timestamp, date_lit, pct, ts_lit
 from . import claims as C
 from . import patients as P
 
-# The data_type labels of the README's metrics query.
+# The data_type labels of the reference's metrics query.
 PATIENT_DATA_TYPE = "Patient Records"
 CLAIMS_DATA_TYPE = "Claims"
 PROCESSED_STATUS = "PROCESSED"
@@ -28,7 +28,7 @@ def _patients_complete():
 
 
 def quality_metrics(patients: DataFrame, claims: DataFrame, as_of: dt.date | str, days: int = R.RECENT_DAYS) -> DataFrame:
-    """The README's two-row metrics table.
+    """The reference's documented two-row metrics table.
 
     Patients are complete with the four required fields and recent when
     created within ``days`` days of ``as_of``; claims are complete when
@@ -58,7 +58,7 @@ def quality_metrics(patients: DataFrame, claims: DataFrame, as_of: dt.date | str
 def completeness_rates(patients: DataFrame, claims: DataFrame, providers: DataFrame) -> DataFrame:
     """M1: share of records with all required fields, per table (patients:
     the four required fields; providers: the four credential fields; claims:
-    the README's rule, status PROCESSED)."""
+    the reference's documented rule, status PROCESSED)."""
     def rate(df, table, cond):
         return df.agg(
             F.lit(table).alias("table_name"),

@@ -1,6 +1,6 @@
 """``investigate(table, check_type)`` (R4): look up a check by table and kind.
 
-The README's usage is ``investigate_discrepancies(table='claims',
+The reference's documented usage is ``investigate_discrepancies(table='claims',
 check_type='billing_validation')`` followed by a CSV export; here the
 registry maps (table, check type) to the operator and returns its lazy
 detail DataFrame, which ``sinks.export_csv`` writes.
