@@ -10,8 +10,9 @@ Skew: a single key may hold a large share of all rows (the fixture's hot
 patient ``P7`` holds a third of the claims). Counting, min/max and sums are
 partially aggregated map-side, so a hot key costs one row per map task. The
 only per-group collection, the id list of a duplicate group, is split into
-slices of at most ``max_ids_per_row`` ids by a hash salt, so no single task
-or row ever holds an unbounded group.
+``ceil(count / max_ids_per_row)`` hash buckets of the ids (about
+``max_ids_per_row`` ids each), so no single task or row holds an unbounded
+group.
 """
 
 from __future__ import annotations
@@ -53,7 +54,8 @@ class DuplicateGroups:
     ``groups``: one row per duplicated key with ``count_col``.
     ``members``: the group's ids as sorted arrays, one row per group when the
     group has at most ``max_ids_per_row`` ids, else several rows each holding
-    a disjoint slice (every row repeats the keys and the full count).
+    a disjoint hash bucket of about that many ids (every row repeats the keys
+    and the full count).
     """
 
     groups: DataFrame
