@@ -135,17 +135,23 @@ def processed_before_submission(claims: DataFrame) -> DataFrame:
     )
 
 
+def temporal_anomaly_condition():
+    """Row predicate of P03: C08 or C09."""
+    return submitted_before_service_condition() | processed_before_submission_condition()
+
+
+def anomaly_type():
+    """P03's label; the submission test wins when both hold."""
+    sub, proc = F.col("submission_date"), F.col("processing_date")
+    return (F.when(submitted_before_service_condition(), F.lit(R.ANOMALY_SUBMISSION_BEFORE_SERVICE))
+            .when(proc < sub, F.lit(R.ANOMALY_PROCESSING_BEFORE_SUBMISSION)))
+
+
 def temporal_anomalies(claims: DataFrame) -> DataFrame:
-    """P03 core: C08 and C09 in one pass, one row per claim; the submission
-    test wins when both hold."""
-    sub, serv, proc = F.col("submission_date"), F.col("service_date"), F.col("processing_date")
-    before_service = sub < serv
-    before_submission = proc.isNotNull() & (proc < sub)
-    return claims.filter(before_service | before_submission).select(
+    """P03 core: C08 and C09 in one pass, one row per claim."""
+    return claims.filter(temporal_anomaly_condition()).select(
         "claim_id", "patient_id", "service_date", "submission_date", "processing_date",
-        F.when(before_service, F.lit(R.ANOMALY_SUBMISSION_BEFORE_SERVICE))
-        .when(proc < sub, F.lit(R.ANOMALY_PROCESSING_BEFORE_SUBMISSION))
-        .alias("anomaly_type"),
+        anomaly_type().alias("anomaly_type"),
     )
 
 

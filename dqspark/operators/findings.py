@@ -35,10 +35,10 @@ class CheckResult:
     totals: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
-def _issues(details: DataFrame, vocab: tuple[str, str, str, str], record_id: Column,
-            description: Column, severity: Column, amount: Column | None = None) -> DataFrame:
+def _issue_cols(vocab: tuple[str, str, str, str], record_id: Column, description: Column,
+                severity: Column, amount: Column | None = None) -> list[Column]:
     _, check_type, table_name, issue_type = vocab
-    return details.select(
+    return [
         F.lit(check_type).alias("check_type"),
         F.lit(table_name).alias("table_name"),
         record_id.cast("string").alias("record_id"),
@@ -46,9 +46,35 @@ def _issues(details: DataFrame, vocab: tuple[str, str, str, str], record_id: Col
         description.alias("issue_description"),
         severity.alias("severity"),
         (amount if amount is not None else F.lit(None)).cast("decimal(38,2)").alias("_amount"),
+    ]
+
+
+def _issues(details: DataFrame, vocab: tuple[str, str, str, str], record_id: Column,
+            description: Column, severity: Column, amount: Column | None = None) -> DataFrame:
+    return details.select(*_issue_cols(vocab, record_id, description, severity, amount))
+
+
+def _discrepancy_issue_cols() -> list[Column]:
+    """P02's audit columns over rows with claim_total_amount,
+    calculated_total and discrepancy_amount."""
+    disc = F.col("discrepancy_amount")
+    description = F.concat(
+        F.lit("Claim total: $"), money_text(F.col("claim_total_amount")),
+        F.lit(", Line items sum: $"), money_text(F.col("calculated_total")),
+        F.lit(", Discrepancy: $"), money_text(disc),
+    )
+    return _issue_cols(
+        R.CHECKER_CLAIMS_DISCREPANCIES, F.col("claim_id"), description,
+        F.when(disc > money(R.CRITICAL_DISCREPANCY), F.lit("CRITICAL")).otherwise(F.lit("HIGH")),
+        amount=disc,
     )
 
 
+def _temporal_issue_cols() -> list[Column]:
+    """P03's audit columns over rows with anomaly_type."""
+    return _issue_cols(R.CHECKER_TEMPORAL_ANOMALIES, F.col("claim_id"), F.col("anomaly_type"), F.lit("HIGH"))
+
+
 def check_patient_completeness(patients: DataFrame) -> CheckResult:
     """C02 with contact columns, no timestamps, unsorted; HIGH when more
     than two fields are missing, else MEDIUM."""
@@ -67,18 +93,8 @@ def check_claims_discrepancies(claims: DataFrame, lines: DataFrame, sort: bool =
     else HIGH. The run summary adds ``total_discrepancy``."""
     base = C.claim_line_mismatch(claims, lines, sort=False, with_service_columns=False, with_issue_type=False)
     details = base.orderBy(F.col("discrepancy_amount").desc()) if sort else base
-    disc = F.col("discrepancy_amount")
-    description = F.concat(
-        F.lit("Claim total: $"), money_text(F.col("claim_total_amount")),
-        F.lit(", Line items sum: $"), money_text(F.col("calculated_total")),
-        F.lit(", Discrepancy: $"), money_text(disc),
-    )
     # Audit rows come from the unsorted plan: the sort is for presentation only.
-    issues = _issues(
-        base, R.CHECKER_CLAIMS_DISCREPANCIES, F.col("claim_id"), description,
-        F.when(disc > money(R.CRITICAL_DISCREPANCY), F.lit("CRITICAL")).otherwise(F.lit("HIGH")),
-        amount=disc,
-    )
+    issues = base.select(*_discrepancy_issue_cols())
     return CheckResult("claims_discrepancies", R.CHECKER_CLAIMS_DISCREPANCIES[0], details, issues,
                        {"total_discrepancy": ("_amount", "decimal(38,2)")})
 
@@ -86,7 +102,7 @@ def check_claims_discrepancies(claims: DataFrame, lines: DataFrame, sort: bool =
 def check_temporal_anomalies(claims: DataFrame) -> CheckResult:
     """C08 and C09 in one pass; HIGH."""
     details = C.temporal_anomalies(claims)
-    issues = _issues(details, R.CHECKER_TEMPORAL_ANOMALIES, F.col("claim_id"), F.col("anomaly_type"), F.lit("HIGH"))
+    issues = details.select(*_temporal_issue_cols())
     return CheckResult("temporal_anomalies", R.CHECKER_TEMPORAL_ANOMALIES[0], details, issues)
 
 
