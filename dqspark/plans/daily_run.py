@@ -2,7 +2,7 @@
 
 Reads the healthcare tables, runs the checker's five checks once
 (checkpointed), appends the audit rows, writes the quality metrics, the
-report preview and the JSON export. Every output is written by the
+report preview, the HTML report and the JSON export. Every output is written by the
 executors, partitioned by run or date with dynamic overwrite, so rerunning
 the same ``run_id`` after a failure replaces its own output.
 """
@@ -32,11 +32,12 @@ class DailyRunPaths:
     metrics: str
     preview: str
     export: str
+    html: str
 
     @classmethod
     def under(cls, root: str) -> "DailyRunPaths":
         return cls(*(os.path.join(root, n) for n in ("quality_audit_log", "quality_metrics", "report_preview",
-                                                      "results")))
+                                                      "results", "quality_report")))
 
 
 def load_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> SimpleNamespace:
@@ -72,4 +73,5 @@ def daily_run(tables, as_of: dt.date, out_root: str, run_id: str | None = None,
     sinks.append_metrics(MT.metric_rows(as_of, ts, **metric_parts), paths.metrics)
     sinks.write_partitioned(sinks.report_preview(run).withColumn("run_id", F.lit(rid)), paths.preview, "run_id")
     sinks.export_json(run, os.path.join(paths.export, rid))
+    sinks.write_html_report(run, os.path.join(paths.html, rid), generated_at=ts.isoformat())
     return run

@@ -10,6 +10,9 @@ the reference).
 
 from __future__ import annotations
 
+import html
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,3 +101,43 @@ def export_json(run: RunResult, path: str) -> None:
         check.details.write.mode("overwrite").json(f"{path}/{key}")
     run.summary.write.mode("overwrite").json(f"{path}/summary")
     run.check_counts.write.mode("overwrite").json(f"{path}/check_counts")
+
+
+def render_html_report(run: RunResult, generated_at: str, n: int = R.REPORT_PREVIEW_ROWS) -> str:
+    """P07 as a page: summary, then per check its issue count and first
+    ``n`` rows. Only the bounded preview (at most five times ``n`` rows),
+    the five counts and the one-row summary reach the driver."""
+    summary = run.summary.first().asDict()
+    counts = {r["check_key"]: (r["check_name"], r["issues_found"]) for r in run.check_counts.collect()}
+    previews: dict[str, list[dict]] = {}
+    for r in report_preview(run, n).orderBy("check_key", "preview_rank").collect():
+        previews.setdefault(r["check_key"], []).append(json.loads(r["row_json"]))
+    esc = html.escape
+    out = [
+        "<!DOCTYPE html><html><head><title>Healthcare Data Quality Report</title></head><body>",
+        "<h1>Healthcare Data Quality Report</h1>",
+        f"<p><strong>Report Generated:</strong> {esc(generated_at)}</p>",
+        f"<p><strong>Total Checks Performed:</strong> {summary['checks_performed']}</p>",
+        f"<p><strong>Total Issues Found:</strong> {summary['total_issues_found']}</p>",
+        f"<p><strong>Overall Status:</strong> {esc(summary['status'])}</p>",
+    ]
+    for key in run.checks:
+        name, found = counts[key]
+        out.append(f"<h2>{esc(name)}</h2><p><strong>Issues Found:</strong> {found}</p>")
+        rows = previews.get(key, [])
+        if found and rows:
+            cols = list(run.checks[key].details.columns)
+            out.append("<table><tr>" + "".join(f"<th>{esc(c)}</th>" for c in cols) + "</tr>")
+            for row in rows:
+                out.append("<tr>" + "".join(f"<td>{esc(str(row.get(c, '')))}</td>" for c in cols) + "</tr>")
+            out.append("</table>")
+    out.append("</body></html>")
+    return "\n".join(out)
+
+
+def write_html_report(run: RunResult, path: str, generated_at: str, n: int = R.REPORT_PREVIEW_ROWS) -> None:
+    """Write the page as one text file under ``path`` through Spark, so it
+    lands on the same (shared) file system as the other outputs."""
+    page = render_html_report(run, generated_at, n)
+    spark = run.summary.sparkSession
+    spark.createDataFrame([(page,)], "value string").coalesce(1).write.mode("overwrite").text(path)

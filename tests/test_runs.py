@@ -203,3 +203,16 @@ def test_csv_and_json_sources_use_the_declared_schema(spark, tables, scratch):
     assert "created_at" not in back.columns and back.count() == tables.claims.count()
     got = back.select("claim_id", "claim_total_amount").exceptAll(tables.claims.select("claim_id", "claim_total_amount"))
     assert got.count() == 0
+
+
+def test_html_report_is_bounded_and_complete(spark, tables, scratch):
+    run = run_all_checks(tables, AS_OF)
+    page = sinks.render_html_report(run, "2024-02-01T00:00:00", n=2)
+    for name in ("Patient Completeness", "Claims Discrepancies", "Temporal Anomalies", "Duplicate Records",
+                 "Provider Credentials", "FAIL"):
+        assert name in page
+    assert page.count("<tr>") <= 5 * 3
+    out = os.path.join(scratch, "report")
+    sinks.write_html_report(run, out, "2024-02-01T00:00:00")
+    text = "\n".join(r["value"] for r in spark.read.text(out).collect())
+    assert text.startswith("<!DOCTYPE html>") and "Total Issues Found" in text
