@@ -216,3 +216,19 @@ def test_html_report_is_bounded_and_complete(spark, tables, scratch):
     sinks.write_html_report(run, out, "2024-02-01T00:00:00")
     text = "\n".join(r["value"] for r in spark.read.text(out).collect())
     assert text.startswith("<!DOCTYPE html>") and "Total Issues Found" in text
+
+
+def test_line_totals_aggregate_before_the_join(spark, tables):
+    df = C.claim_line_mismatch(tables.claims, tables.claims_line_items)
+    plan = _plan(df)
+    assert "partial_sum(line_item_amount" in plan and "LeftOuter" in plan
+    # the join's line side is the aggregate, not the raw lines
+    join_at = plan.index("LeftOuter")
+    assert "HashAggregate(keys=[claim_id" in plan[join_at:]
+
+
+def test_findings_are_unsorted_unless_asked(spark, tables):
+    plain = _plan(C.long_pending_claims(tables.claims, AS_OF))
+    ordered = _plan(C.long_pending_claims(tables.claims, AS_OF, sort=True))
+    assert "Sort [" not in plain and "rangepartitioning" not in plain
+    assert "Sort [submission_date" in ordered
