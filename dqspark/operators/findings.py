@@ -11,7 +11,7 @@ appended in one job instead of one INSERT and commit per finding.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,13 +27,34 @@ ISSUE_COLUMNS = ["check_type", "table_name", "record_id", "issue_type", "issue_d
 
 @dataclass(frozen=True)
 class CheckResult:
+    """One check of a run.
+
+    ``base`` holds the detail rows, unsorted; ``details`` applies the
+    reference's ORDER BY when the check was built with ``sort=True``;
+    ``issues`` projects ``base`` to audit columns. ``checkpointed()`` saves
+    ``base`` once so details, issues, exports and previews all read it.
+    """
+
     key: str
     check_name: str
-    details: DataFrame
-    issues: DataFrame
+    base: DataFrame
+    issue_columns: tuple
+    order: tuple = ()
     # summary column -> (issue column summed into it, result type)
     totals: dict[str, tuple[str, str]] = field(default_factory=dict)
 
+    @property
+    def details(self) -> DataFrame:
+        return self.base.orderBy(*self.order) if self.order else self.base
+
+    @property
+    def issues(self) -> DataFrame:
+        return self.base.select(*self.issue_columns)
+
+    def checkpointed(self) -> "CheckResult":
+        """Reliable checkpoint of ``base`` into ``spark.checkpoint.dir``."""
+        return replace(self, base=self.base.checkpoint(eager=True))
+
 
 def _issue_cols(vocab: tuple[str, str, str, str], record_id: Column, description: Column,
                 severity: Column, amount: Column | None = None) -> list[Column]:
@@ -49,11 +70,6 @@ def _issue_cols(vocab: tuple[str, str, str, str], record_id: Column, description
     ]
 
 
-def _issues(details: DataFrame, vocab: tuple[str, str, str, str], record_id: Column,
-            description: Column, severity: Column, amount: Column | None = None) -> DataFrame:
-    return details.select(*_issue_cols(vocab, record_id, description, severity, amount))
-
-
 def _discrepancy_issue_cols() -> list[Column]:
     """P02's audit columns over rows with claim_total_amount,
     calculated_total and discrepancy_amount."""
@@ -78,32 +94,31 @@ def _temporal_issue_cols() -> list[Column]:
 def check_patient_completeness(patients: DataFrame) -> CheckResult:
     """C02 with contact columns, no timestamps, unsorted; HIGH when more
     than two fields are missing, else MEDIUM."""
-    details = P.incomplete_patients(patients, sort=False, with_contact_columns=True, with_timestamps=False)
+    base = P.incomplete_patients(patients, sort=False, with_contact_columns=True, with_timestamps=False)
     mf = F.col("missing_fields")
-    issues = _issues(
-        details, R.CHECKER_PATIENT_COMPLETENESS, F.col("patient_id"),
+    cols = _issue_cols(
+        R.CHECKER_PATIENT_COMPLETENESS, F.col("patient_id"),
         F.concat(F.lit(R.MISSING_FIELDS_PREFIX), F.array_join(mf, ", ")),
         F.when(F.size(mf) > R.HIGH_MISSING_FIELDS, F.lit("HIGH")).otherwise(F.lit("MEDIUM")),
     )
-    return CheckResult("patient_completeness", R.CHECKER_PATIENT_COMPLETENESS[0], details, issues)
+    return CheckResult("patient_completeness", R.CHECKER_PATIENT_COMPLETENESS[0], base, tuple(cols))
 
 
 def check_claims_discrepancies(claims: DataFrame, lines: DataFrame, sort: bool = False) -> CheckResult:
     """C06 without service date, status and label; CRITICAL above 1000,
     else HIGH. The run summary adds ``total_discrepancy``."""
     base = C.claim_line_mismatch(claims, lines, sort=False, with_service_columns=False, with_issue_type=False)
-    details = base.orderBy(F.col("discrepancy_amount").desc()) if sort else base
-    # Audit rows come from the unsorted plan: the sort is for presentation only.
-    issues = base.select(*_discrepancy_issue_cols())
-    return CheckResult("claims_discrepancies", R.CHECKER_CLAIMS_DISCREPANCIES[0], details, issues,
+    # Audit rows come from the unsorted rows: the sort is for presentation only.
+    order = (F.col("discrepancy_amount").desc(),) if sort else ()
+    return CheckResult("claims_discrepancies", R.CHECKER_CLAIMS_DISCREPANCIES[0], base,
+                       tuple(_discrepancy_issue_cols()), order,
                        {"total_discrepancy": ("_amount", "decimal(38,2)")})
 
 
 def check_temporal_anomalies(claims: DataFrame) -> CheckResult:
     """C08 and C09 in one pass; HIGH."""
-    details = C.temporal_anomalies(claims)
-    issues = details.select(*_temporal_issue_cols())
-    return CheckResult("temporal_anomalies", R.CHECKER_TEMPORAL_ANOMALIES[0], details, issues)
+    base = C.temporal_anomalies(claims)
+    return CheckResult("temporal_anomalies", R.CHECKER_TEMPORAL_ANOMALIES[0], base, tuple(_temporal_issue_cols()))
 
 
 def check_duplicate_records(patients: DataFrame, sort: bool = False, **kw) -> CheckResult:
@@ -113,27 +128,27 @@ def check_duplicate_records(patients: DataFrame, sort: bool = False, **kw) -> Ch
     base = P.duplicate_patient_groups(patients, **kw).members.select(
         "name", "date_of_birth", "duplicate_count", "patient_ids"
     )
-    details = base.orderBy(F.col("duplicate_count").desc()) if sort else base
     ids = F.col("patient_ids")
-    issues = _issues(
-        base, R.CHECKER_DUPLICATE_RECORDS, F.element_at(ids, 1),
+    cols = _issue_cols(
+        R.CHECKER_DUPLICATE_RECORDS, F.element_at(ids, 1),
         F.concat(F.lit(R.DUPLICATES_PREFIX), F.array_join(ids, ", ")), F.lit("MEDIUM"),
         amount=F.col("duplicate_count"),
     )
-    return CheckResult("duplicate_records", R.CHECKER_DUPLICATE_RECORDS[0], details, issues,
+    order = (F.col("duplicate_count").desc(),) if sort else ()
+    return CheckResult("duplicate_records", R.CHECKER_DUPLICATE_RECORDS[0], base, tuple(cols), order,
                        {"total_duplicates": ("_amount", "bigint")})
 
 
 def check_provider_credentials(providers: DataFrame, as_of: dt.date | str, sort: bool = False) -> CheckResult:
     """C11 without label, ordered by expiry; CRITICAL."""
     base = V.expired_licenses(providers, as_of, with_issue_type=False, sort=False)
-    details = base.orderBy("license_expiry_date") if sort else base
-    issues = _issues(
-        base, R.CHECKER_PROVIDER_CREDENTIALS, F.col("provider_id"),
+    cols = _issue_cols(
+        R.CHECKER_PROVIDER_CREDENTIALS, F.col("provider_id"),
         F.concat(F.lit("License expired "), F.col("days_expired").cast("string"), F.lit(" days ago")),
         F.lit("CRITICAL"),
     )
-    return CheckResult("provider_credentials", R.CHECKER_PROVIDER_CREDENTIALS[0], details, issues)
+    order = (F.col("license_expiry_date").asc(),) if sort else ()
+    return CheckResult("provider_credentials", R.CHECKER_PROVIDER_CREDENTIALS[0], base, tuple(cols), order)
 
 
 def audit_issues(results: list[CheckResult], run_ts: dt.datetime | str, run_id: str | None = None) -> DataFrame:

@@ -60,11 +60,11 @@ def report_preview(run: RunResult, n: int = R.REPORT_PREVIEW_ROWS) -> DataFrame:
     for key, check in run.checks.items():
         order, id_expr = orders[key]
         id_col = F.col(id_expr) if isinstance(id_expr, str) else id_expr
-        d = check.details.select("*", id_col.cast("string").alias("_record_id"))
+        d = check.base.select("*", id_col.cast("string").alias("_record_id"))
         top = d.orderBy(*order, F.col("_record_id")).limit(n)
         # A window over the ≤ n rows left after the top-n: one small task.
         w = Window.orderBy(*order, F.col("_record_id"))
-        fields = [c for c in check.details.columns]
+        fields = list(check.base.columns)
         parts.append(top.select(
             F.lit(key).alias("check_key"),
             F.row_number().over(w).alias("preview_rank"),
