@@ -21,6 +21,19 @@ from .readers import read_source
 FIXTURE_AS_OF = "2024-02-01"
 SERVICE_DATE_SHIFT_DAYS = 8210
 
+# Declared schemas of the source tables (the test data's layout), so reading
+# them needs no schema-inference job.
+SOURCE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 
 def _anchor():
@@ -86,8 +99,17 @@ def providers(supplier: DataFrame) -> DataFrame:
 
 
 def _line_cents():
-    """A line's amount in whole cents (below 12,000.00)."""
-    return F.round(F.col("l_extendedprice") * 100).cast("bigint") % 1200000
+    """A line's amount in whole cents (below 12,000.00).
+
+    The rule is ``ROUND(l_extendedprice * 100)``. For a non-negative double
+    y below 2**52, HALF_UP rounding of its shortest decimal form (Spark's
+    ROUND, which builds a BigDecimal per row) equals ``floor(y + 0.5)``:
+    a shortest form ending in .5 means y is exactly N.5, and y + 0.5 cannot
+    round up because y's distance to N.5 is a multiple of its own ulp.
+    Prices are non-negative, so the cheap form is used; the SQL oracle keeps
+    ROUND and every claims query compares the amounts.
+    """
+    return F.floor(F.col("l_extendedprice") * 100 + 0.5) % 1200000
 
 
 def _orphan_line():
@@ -255,7 +277,7 @@ class HealthcareTables:
         self.sf_dir = sf_dir
 
     def _src(self, name: str) -> DataFrame:
-        return read_source(self.spark, self.sf_dir, name)
+        return read_source(self.spark, self.sf_dir, name, SOURCE_SCHEMAS.get(name))
 
     @property
     def patient_records(self) -> DataFrame:

@@ -18,9 +18,11 @@ from ..functions.exprs import as_date, as_timestamp, date_lit, ts_lit
 from .schemas import TABLES, TableSpec
 
 
-def read_source(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """One of the driver's Parquet tables, ``{directory}/{name}.parquet``."""
-    return spark.read.parquet(os.path.join(directory, f"{name}.parquet"))
+def read_source(spark: SparkSession, directory: str, name: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """One of the driver's Parquet tables, ``{directory}/{name}.parquet``.
+    With a declared ``schema`` no footer-reading job is needed to infer it."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(os.path.join(directory, f"{name}.parquet"))
 
 
 def _spec(table: str | TableSpec) -> TableSpec:
