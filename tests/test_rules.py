@@ -240,3 +240,40 @@ def test_sort_option_applies_reference_order(spark):
     claims = spark.createDataFrame([claim("a", "60000.00"), claim("b", "90000.00"), claim("c", "70000.00")],
                                    CLAIM_SCHEMA)
     assert [r["claim_id"] for r in C.high_amount_claims(claims, sort=True).collect()] == ["b", "c", "a"]
+
+
+def test_incomplete_patients_desc_puts_null_created_first(spark):
+    rows = [patient("old", name=None), patient("new", name=None), patient("nocreated", name=None)]
+    rows[1] = rows[1][:7] + (dt.datetime(2023, 1, 1),) + rows[1][8:]
+    rows[2] = rows[2][:7] + (None,) + rows[2][8:]
+    df = spark.createDataFrame(rows, PATIENT_SCHEMA)
+    assert [r["patient_id"] for r in P.incomplete_patients(df, sort=True).collect()] == ["nocreated", "new", "old"]
+
+
+def test_all_fields_missing(spark):
+    df = spark.createDataFrame([patient("none", name=None, dob=None, ins=None, prov=None, phone=None, email=None)],
+                               PATIENT_SCHEMA)
+    row = FND.check_patient_completeness(df).issues.first()
+    assert row["severity"] == "HIGH"
+    assert row["issue_description"] == ("Missing fields: name, date_of_birth, insurance_id, primary_provider, "
+                                        "contact_info")
+    assert P.missing_field_counts(df).first()["missing_fields_count"] == 4
+
+
+def test_run_on_empty_tables_passes(spark):
+    from dqspark.plans.checker import run_all_checks
+
+    tables = {
+        "patient_records": spark.createDataFrame([], PATIENT_SCHEMA),
+        "claims": spark.createDataFrame([], CLAIM_SCHEMA),
+        "claims_line_items": spark.createDataFrame([], LINE_SCHEMA),
+        "providers": spark.createDataFrame(
+            [], "provider_id string, provider_name string, license_number string, license_state string, "
+                "license_expiry_date date, is_active boolean"),
+    }
+    run = run_all_checks(tables, AS_OF)
+    s = run.summary.first()
+    assert (s["total_issues_found"], s["status"], s["total_discrepancy"], s["total_duplicates"]) == \
+        (0, "PASS", Decimal("0.00"), 0)
+    assert sorted(r["issues_found"] for r in run.check_counts.collect()) == [0] * 5
+    assert run.audit.count() == 0
