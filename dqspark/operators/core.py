@@ -96,7 +96,7 @@ def duplicates(
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None,
-            null_passes: bool = False, broadcast_parent: bool = False) -> DataFrame:
+            null_passes: bool = False, broadcast_parent: bool = False, salt_buckets: int = 0) -> DataFrame:
     """Child rows with no parent row on ``key``.
 
     ``LEFT JOIN parent ... WHERE parent.key IS NULL`` is written as a
@@ -106,13 +106,25 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
     parent's key column is read. ``broadcast_parent`` hints a broadcast when a
     measured count shows the parent fits; otherwise AQE picks the strategy
     from runtime sizes and splits a skewed child key.
+
+    ``salt_buckets=n`` salts the join explicitly, for clusters where AQE's
+    skew handling is off: each child row takes bucket ``hash(row) mod n``
+    and each parent key is replicated to all ``n`` buckets, so a hot key is
+    spread over ``n`` tasks at the price of ``n`` copies of the parent keys.
+    The result is the same rows.
     """
     pk = parent_key or key
     parent_keys = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull())
     if broadcast_parent:
         parent_keys = bounded_broadcast(parent_keys)
     keyed = child.filter(F.col(key).isNotNull())
-    found = keyed.join(parent_keys, keyed[key] == parent_keys["_pk"], "left_anti")
+    if salt_buckets and salt_buckets > 1:
+        salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*keyed.columns), F.lit(salt_buckets)))
+        keys = parent_keys.select("_pk", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_psalt"))
+        cond = (salted[key] == keys["_pk"]) & (salted["_salt"] == keys["_psalt"])
+        found = salted.join(keys, cond, "left_anti").drop("_salt")
+    else:
+        found = keyed.join(parent_keys, keyed[key] == parent_keys["_pk"], "left_anti")
     if null_passes:
         return found
     # A NULL key never matches, and all NULL keys would hash to one shuffle

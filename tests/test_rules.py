@@ -277,3 +277,14 @@ def test_run_on_empty_tables_passes(spark):
         (0, "PASS", Decimal("0.00"), 0)
     assert sorted(r["issues_found"] for r in run.check_counts.collect()) == [0] * 5
     assert run.audit.count() == 0
+
+
+def test_salted_anti_join_gives_the_same_orphans(spark):
+    from dqspark.operators.core import orphans
+
+    rows = [claim(f"h{i}", pid="HOT") for i in range(40)] + [claim("o1", pid="GONE"), claim("n1", pid=None)]
+    claims = spark.createDataFrame(rows, CLAIM_SCHEMA)
+    patients = spark.createDataFrame([patient("HOT")], PATIENT_SCHEMA)
+    plain = ids(orphans(claims, patients, "patient_id"), "claim_id")
+    salted = ids(orphans(claims, patients, "patient_id", salt_buckets=8), "claim_id")
+    assert plain == salted == ["n1", "o1"]
