@@ -11,6 +11,7 @@ derived table grows linearly with its source table.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -268,8 +269,10 @@ def quality_audit_log(events: DataFrame) -> DataFrame:
 class HealthcareTables:
     """Lazily derived tables for one test-data directory.
 
-    Each property builds a fresh logical plan over the Parquet sources, so a
-    check only scans the source columns it needs.
+    Each table's logical plan is built once per instance (no data is
+    cached; Catalyst still prunes every use to the source columns it needs),
+    so a query using a table in several branches pays for building its plan
+    once.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -279,27 +282,27 @@ class HealthcareTables:
     def _src(self, name: str) -> DataFrame:
         return read_source(self.spark, self.sf_dir, name, SOURCE_SCHEMAS.get(name))
 
-    @property
+    @cached_property
     def patient_records(self) -> DataFrame:
         return patient_records(self._src("customer"))
 
-    @property
+    @cached_property
     def providers(self) -> DataFrame:
         return providers(self._src("supplier"))
 
-    @property
+    @cached_property
     def claims_line_items(self) -> DataFrame:
         return claims_line_items(self._src("lineitem"))
 
-    @property
+    @cached_property
     def claims(self) -> DataFrame:
         return claims(self._src("orders"), self._src("lineitem"))
 
-    @property
+    @cached_property
     def encounters(self) -> DataFrame:
         return encounters(self._src("events"))
 
-    @property
+    @cached_property
     def quality_audit_log(self) -> DataFrame:
         return quality_audit_log(self._src("events"))
 
