@@ -318,4 +318,12 @@ class HealthcareTables:
 
 
 def load_fixtures(spark: SparkSession, sf_dir: str) -> HealthcareTables:
-    return HealthcareTables(spark, sf_dir)
+    """The derived tables of ``sf_dir``, built once per session and folder,
+    as a user loads tables once and runs every check over them. Only the
+    lazy plans are shared: no data is cached, and every action re-reads the
+    Parquet sources."""
+    registry = spark.__dict__.setdefault("_dqspark_fixture_tables", {})
+    tables = registry.get(sf_dir)
+    if tables is None:
+        tables = registry[sf_dir] = HealthcareTables(spark, sf_dir)
+    return tables
