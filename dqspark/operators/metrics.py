@@ -168,7 +168,7 @@ def metric_rows(as_of: dt.date | str, run_ts: dt.datetime | str | None = None,
         parts.append(trend.select(
             F.lit("weekly_findings").alias("metric_name"), F.col("findings").cast("double").alias("value"),
             F.lit("trend").alias("category"),
-            F.concat(F.date_format("week_start", "yyyy-MM-dd"), F.lit(" "), F.col("issue_type")).alias("notes")))
+            F.concat(F.col("week_start").cast("string"), F.lit(" "), F.col("issue_type")).alias("notes")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

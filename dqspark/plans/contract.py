@@ -2,9 +2,10 @@
 
 Values are exposed in types both Spark and DuckDB render identically:
 decimals as DOUBLE, integers as BIGINT, dates as ``yyyy-MM-dd`` text,
-timestamps as ``yyyy-MM-dd HH:mm:ss.ffffff`` text and arrays as
-comma-joined text (element order kept; id lists are already sorted by the
-operators). A pure per-row projection: no shuffle.
+timestamps as ``yyyy-MM-dd HH:mm:ss[.f]`` text (fraction without trailing
+zeros, as both engines print it) and arrays as comma-joined text (element
+order kept; id lists are already sorted by the operators). A pure per-row
+projection: no shuffle.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ def to_contract(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
-        elif isinstance(t, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif isinstance(t, (T.DateType, T.TimestampNTZType, T.TimestampType)):
+            # Dates and zone-less timestamps cast to text without passing
+            # through the session time zone (a DST gap cannot shift them).
+            c = c.cast("string")
         elif isinstance(t, T.ArrayType):
             c = F.array_join(c, ",")
         cols.append(c.alias(field.name))

@@ -101,7 +101,7 @@ issues AS (
 
 AUDIT_ISSUES = f"""
 WITH {_ISSUES.strip()}
-SELECT '2024-02-01 00:00:00.000000' AS check_timestamp, check_type, table_name, record_id, issue_type,
+SELECT '2024-02-01 00:00:00' AS check_timestamp, check_type, table_name, record_id, issue_type,
   issue_description, severity, 'OPEN' AS status, CAST(NULL AS VARCHAR) AS assigned_to,
   CAST(NULL AS VARCHAR) AS resolution_notes, CAST(NULL AS VARCHAR) AS resolved_at
 FROM issues

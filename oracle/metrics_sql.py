@@ -100,7 +100,7 @@ _TREND_ROWS = """
 """
 
 WEEKLY_ERROR_TREND = f"""
-SELECT strftime(week_start, '%Y-%m-%d') AS week_start, issue_type, findings FROM ({_TREND_ROWS}) w
+SELECT CAST(week_start AS VARCHAR) AS week_start, issue_type, findings FROM ({_TREND_ROWS}) w
 """
 
 QUALITY_METRIC_ROWS = f"""
@@ -117,10 +117,10 @@ m AS (
   UNION ALL
   SELECT 'avg_resolution_hours', avg_resolution_hours, 'resolution_time', check_type FROM ({_RESOLUTION_ROWS}) d
   UNION ALL
-  SELECT 'weekly_findings', CAST(findings AS DOUBLE), 'trend', strftime(week_start, '%Y-%m-%d') || ' ' || issue_type
+  SELECT 'weekly_findings', CAST(findings AS DOUBLE), 'trend', CAST(week_start AS VARCHAR) || ' ' || issue_type
   FROM ({_TREND_ROWS}) e)
 SELECT '2024-02-01' AS metric_date, metric_name, CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS metric_value,
-  CAST(NULL AS DOUBLE) AS target_value, category, notes, '2024-02-01 00:00:00.000000' AS created_at
+  CAST(NULL AS DOUBLE) AS target_value, category, notes, '2024-02-01 00:00:00' AS created_at
 FROM m
 """
 
