@@ -232,3 +232,18 @@ def test_findings_are_unsorted_unless_asked(spark, tables):
     ordered = _plan(C.long_pending_claims(tables.claims, AS_OF, sort=True))
     assert "Sort [" not in plain and "rangepartitioning" not in plain
     assert "Sort [submission_date" in ordered
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    names = ["incomplete_patients", "stale_patients", "quality_metrics", "weekly_error_trend",
+             "resolution_times", "audit_issues", "claims_after_processing"]
+    q = entry.queries()
+    base = {n: sorted(map(tuple, q[n](spark, SMALL).collect()), key=repr) for n in names}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/Sao_Paulo", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for n in names:
+                assert sorted(map(tuple, q[n](spark, SMALL).collect()), key=repr) == base[n], (zone, n)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
