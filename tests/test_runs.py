@@ -247,3 +247,17 @@ def test_results_do_not_depend_on_the_session_time_zone(spark):
                 assert sorted(map(tuple, q[n](spark, SMALL).collect()), key=repr) == base[n], (zone, n)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_results_do_not_depend_on_ansi_mode(spark):
+    names = ["patient_completeness_summary", "claim_line_mismatch", "payment_mismatch", "accuracy_rates",
+             "run_summary", "table_violations_claims", "conformed_claims"]
+    q = entry.queries()
+    base = {n: sorted(map(tuple, q[n](spark, SMALL).collect()), key=repr) for n in names}
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false" if old == "true" else "true")
+        for n in names:
+            assert sorted(map(tuple, q[n](spark, SMALL).collect()), key=repr) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
