@@ -3,8 +3,8 @@
 
 from __future__ import annotations
 
-from .checker_sql import _C_TOTALS_4, _P03_TYPE, _P03_WHERE, _P04_GROUPS, _P05_ROWS
-from .checks_sql import CLAIM_LINE_MISMATCH, D, M, TS, _PATIENT_INCOMPLETE_WHERE
+from .checker_sql import _C_TOTALS_4, _P03_WHERE, _P04_GROUPS, _P05_ROWS
+from .checks_sql import CLAIM_LINE_MISMATCH, D, M, _PATIENT_INCOMPLETE_WHERE
 
 _NOW = "'2024-02-01 00:00:00'"
 _LATER = "'2024-02-01 12:00:00'"
