@@ -261,3 +261,22 @@ def test_results_do_not_depend_on_ansi_mode(spark):
             assert sorted(map(tuple, q[n](spark, SMALL).collect()), key=repr) == base[n], n
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_bucketed_claims_and_lines_need_no_shuffle(spark, tables, scratch):
+    from dqspark.sources.readers import read_stored, store_bucketed
+
+    store_bucketed(tables.claims, "dq_claims_b", "claim_id", 8, os.path.join(scratch, "claims_b"))
+    store_bucketed(tables.claims_line_items, "dq_lines_b", "claim_id", 8, os.path.join(scratch, "lines_b"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = C.claim_line_mismatch(read_stored(spark, "dq_claims_b"), read_stored(spark, "dq_lines_b"))
+        rows = df.count()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning(claim_id" not in plan
+        assert rows == C.claim_line_mismatch(tables.claims, tables.claims_line_items).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS dq_claims_b")
+        spark.sql("DROP TABLE IF EXISTS dq_lines_b")
