@@ -22,6 +22,7 @@ def spark():
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", "8")
+    builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="dqspark-test-wh-"))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
