@@ -38,7 +38,16 @@ CHECKER_PROVIDER_CREDENTIALS = ("Provider Credentials", "credential_check", "pro
 ANOMALY_SUBMISSION_BEFORE_SERVICE = "Submission before service"
 ANOMALY_PROCESSING_BEFORE_SUBMISSION = "Processing before submission"
 MISSING_FIELDS_PREFIX = "Missing fields: "
+DISCREPANCY_TOTAL_PREFIX = "Claim total: $"
+DISCREPANCY_LINES_PREFIX = ", Line items sum: $"
+DISCREPANCY_AMOUNT_PREFIX = ", Discrepancy: $"
 DUPLICATES_PREFIX = "Duplicate patients found: "
+EXPIRED_PREFIX = "License expired "
+EXPIRED_SUFFIX = " days ago"
+SEVERITY_MEDIUM = "MEDIUM"
+SEVERITY_HIGH = "HIGH"
+SEVERITY_CRITICAL = "CRITICAL"
+AUDIT_OPEN = "OPEN"
 RUN_STATUS_FAIL = "FAIL"
 RUN_STATUS_PASS = "PASS"
 

@@ -75,20 +75,20 @@ def _discrepancy_issue_cols() -> list[Column]:
     calculated_total and discrepancy_amount."""
     disc = F.col("discrepancy_amount")
     description = F.concat(
-        F.lit("Claim total: $"), money_text(F.col("claim_total_amount")),
-        F.lit(", Line items sum: $"), money_text(F.col("calculated_total")),
-        F.lit(", Discrepancy: $"), money_text(disc),
+        F.lit(R.DISCREPANCY_TOTAL_PREFIX), money_text(F.col("claim_total_amount")),
+        F.lit(R.DISCREPANCY_LINES_PREFIX), money_text(F.col("calculated_total")),
+        F.lit(R.DISCREPANCY_AMOUNT_PREFIX), money_text(disc),
     )
     return _issue_cols(
         R.CHECKER_CLAIMS_DISCREPANCIES, F.col("claim_id"), description,
-        F.when(disc > money(R.CRITICAL_DISCREPANCY), F.lit("CRITICAL")).otherwise(F.lit("HIGH")),
+        F.when(disc > money(R.CRITICAL_DISCREPANCY), F.lit(R.SEVERITY_CRITICAL)).otherwise(F.lit(R.SEVERITY_HIGH)),
         amount=disc,
     )
 
 
 def _temporal_issue_cols() -> list[Column]:
     """P03's audit columns over rows with anomaly_type."""
-    return _issue_cols(R.CHECKER_TEMPORAL_ANOMALIES, F.col("claim_id"), F.col("anomaly_type"), F.lit("HIGH"))
+    return _issue_cols(R.CHECKER_TEMPORAL_ANOMALIES, F.col("claim_id"), F.col("anomaly_type"), F.lit(R.SEVERITY_HIGH))
 
 
 def check_patient_completeness(patients: DataFrame) -> CheckResult:
@@ -99,7 +99,7 @@ def check_patient_completeness(patients: DataFrame) -> CheckResult:
     cols = _issue_cols(
         R.CHECKER_PATIENT_COMPLETENESS, F.col("patient_id"),
         F.concat(F.lit(R.MISSING_FIELDS_PREFIX), F.array_join(mf, ", ")),
-        F.when(F.size(mf) > R.HIGH_MISSING_FIELDS, F.lit("HIGH")).otherwise(F.lit("MEDIUM")),
+        F.when(F.size(mf) > R.HIGH_MISSING_FIELDS, F.lit(R.SEVERITY_HIGH)).otherwise(F.lit(R.SEVERITY_MEDIUM)),
     )
     return CheckResult("patient_completeness", R.CHECKER_PATIENT_COMPLETENESS[0], base, tuple(cols))
 
@@ -131,7 +131,7 @@ def check_duplicate_records(patients: DataFrame, sort: bool = False, **kw) -> Ch
     ids = F.col("patient_ids")
     cols = _issue_cols(
         R.CHECKER_DUPLICATE_RECORDS, F.element_at(ids, 1),
-        F.concat(F.lit(R.DUPLICATES_PREFIX), F.array_join(ids, ", ")), F.lit("MEDIUM"),
+        F.concat(F.lit(R.DUPLICATES_PREFIX), F.array_join(ids, ", ")), F.lit(R.SEVERITY_MEDIUM),
         amount=F.col("duplicate_count"),
     )
     order = (F.col("duplicate_count").desc(),) if sort else ()
@@ -144,8 +144,8 @@ def check_provider_credentials(providers: DataFrame, as_of: dt.date | str, sort:
     base = V.expired_licenses(providers, as_of, with_issue_type=False, sort=False)
     cols = _issue_cols(
         R.CHECKER_PROVIDER_CREDENTIALS, F.col("provider_id"),
-        F.concat(F.lit("License expired "), F.col("days_expired").cast("string"), F.lit(" days ago")),
-        F.lit("CRITICAL"),
+        F.concat(F.lit(R.EXPIRED_PREFIX), F.col("days_expired").cast("string"), F.lit(R.EXPIRED_SUFFIX)),
+        F.lit(R.SEVERITY_CRITICAL),
     )
     order = (F.col("license_expiry_date").asc(),) if sort else ()
     return CheckResult("provider_credentials", R.CHECKER_PROVIDER_CREDENTIALS[0], base, tuple(cols), order)
@@ -174,7 +174,7 @@ def audit_rows(issues: DataFrame, run_ts: dt.datetime | str, run_id: str | None
         F.xxhash64(F.lit(run), "check_type", "record_id", "issue_description").alias("audit_id"),
         ts_lit(run_ts).alias("check_timestamp"),
         *ISSUE_COLUMNS,
-        F.lit("OPEN").alias("status"),
+        F.lit(R.AUDIT_OPEN).alias("status"),
         F.lit(None).cast("string").alias("assigned_to"),
         F.lit(None).cast("string").alias("resolution_notes"),
         F.lit(None).cast("timestamp_ntz").alias("resolved_at"),
