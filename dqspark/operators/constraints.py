@@ -8,7 +8,7 @@ table's constraints from its ``TableSpec`` and returns one uniform frame
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,11 +118,58 @@ def _uniform(df: DataFrame, table: str, kind: str, column, record_id, detail) ->
     )
 
 
+def row_violations(df: DataFrame, table: str | TableSpec) -> DataFrame:
+    """The row-local constraints of ``table`` (NOT NULL, domains, VARCHAR
+    lengths, decimal ranges) in ONE pass over ``df``.
+
+    Each row yields an array of (constraint_type, column_name, detail)
+    structs for the rules it breaks, exploded into uniform rows; the table
+    is scanned once however many columns and rules it has.
+    """
+    spec = table if isinstance(table, TableSpec) else TABLES[table]
+    pk = spec.primary_key
+    present = set(df.columns)
+    rules: list[tuple[Column, str, str, Column]] = []   # (violated?, type, column, detail)
+    for c in spec.not_null:
+        if c in present:
+            rules.append((F.col(c).isNull(), "not_null", c, F.lit(None).cast("string")))
+    for c, values in spec.domains:
+        if c in present:
+            rules.append((~F.col(c).isin(*values), "domain", c, F.col(c).cast("string")))
+    for c, n in spec.max_lengths.items():
+        if c in present:
+            rules.append((F.char_length(F.col(c)) > n, "max_length", c, F.char_length(F.col(c)).cast("string")))
+    for c in spec.decimal_columns:
+        if c in present:
+            t = spec.column(c).dtype
+            bad = F.col(c).isNotNull() & F.col(c).try_cast(T.DecimalType(t.precision, t.scale)).isNull()
+            rules.append((bad, "decimal_range", c, F.col(c).cast("string")))
+    if not rules:
+        return df.filter(F.lit(False)).select(*[F.lit(None).cast("string").alias(n) for n in VIOLATION_COLUMNS])
+    # A NULL predicate (e.g. NULL not in a domain) is not a violation.
+    hits = [F.when(F.coalesce(cond, F.lit(False)),
+                   F.struct(F.lit(kind).alias("constraint_type"), F.lit(col).alias("column_name"),
+                            detail.alias("detail")))
+            for cond, kind, col, detail in rules]
+    any_hit = F.lit(False)
+    for cond, _, _, _ in rules:
+        any_hit = any_hit | F.coalesce(cond, F.lit(False))
+    return (
+        df.filter(any_hit)
+        .select(F.col(pk).cast("string").alias("record_id"), F.explode(F.array_compact(F.array(*hits))).alias("v"))
+        .select(F.lit(spec.name).alias("table_name"), "v.constraint_type", "v.column_name", "record_id",
+                "v.detail")
+    )
+
+
 def check_table(df: DataFrame, table: str | TableSpec, parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """Every declared constraint of ``table`` over ``df``, as uniform rows.
 
-    ``parents`` maps parent table names to DataFrames for the foreign keys;
-    keys whose parent is not given are skipped.
+    Keys need their own plans (a count per key for PRIMARY KEY and UNIQUE,
+    an anti join per FOREIGN KEY); every row-local rule comes from the single
+    pass of ``row_violations``. ``parents`` maps parent table names to
+    DataFrames for the foreign keys; keys whose parent is not given are
+    skipped.
     """
     spec = table if isinstance(table, TableSpec) else TABLES[table]
     pk = spec.primary_key
@@ -130,10 +177,6 @@ def check_table(df: DataFrame, table: str | TableSpec, parents: dict[str, DataFr
         _uniform(check_primary_key(df, pk), spec.name, "primary_key", pk, F.col(pk),
                  F.concat(F.lit("occurrences="), F.col("occurrences").cast("string")))
     ]
-    not_null = [c for c in spec.not_null if c in df.columns]
-    if not_null:
-        parts.append(_uniform(check_not_null(df, not_null, pk), spec.name, "not_null",
-                              F.col("column_name"), F.col(pk), F.lit(None)))
     for col in spec.unique:
         if col in df.columns:
             parts.append(_uniform(check_unique(df, col), spec.name, "unique", col, F.col(col),
@@ -142,21 +185,7 @@ def check_table(df: DataFrame, table: str | TableSpec, parents: dict[str, DataFr
         if parents and parent in parents and col in df.columns:
             parts.append(_uniform(check_foreign_key(df, parents[parent], col, parent_col, pk), spec.name,
                                   "foreign_key", col, F.col(pk), F.col(col)))
-    for col, values in spec.domains:
-        if col in df.columns:
-            parts.append(_uniform(check_domain(df, col, values, pk), spec.name, "domain", col,
-                                  F.col(pk), F.col(col)))
-    if spec.max_lengths:
-        parts.append(_uniform(check_max_length(df, spec.max_lengths, pk), spec.name, "max_length",
-                              F.col("column_name"), F.col(pk), F.col("length")))
-    by_type: dict[tuple[int, int], list[str]] = {}
-    for c in spec.decimal_columns:
-        if c in df.columns:
-            t = spec.column(c).dtype
-            by_type.setdefault((t.precision, t.scale), []).append(c)
-    for (precision, scale), cols in by_type.items():
-        parts.append(_uniform(check_decimal_range(df, cols, precision, scale, pk), spec.name, "decimal_range",
-                              F.col("column_name"), F.col(pk), F.col("value")))
+    parts.append(row_violations(df, spec).select(*VIOLATION_COLUMNS))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
