@@ -35,11 +35,15 @@ def apply_updates(base: DataFrame, updates: DataFrame, key: str, now: dt.datetim
       DDL defaults (``updated_at`` = ``now`` by default, not by trigger).
     * ``updates`` must hold each key at most once (check it with
       ``check_primary_key``); several matches would make UPDATE ambiguous.
+    * When ``table`` is given, only the tables with the trigger
+      (``TOUCHED_TABLES``) stamp ``touch_column``.
 
     Plan: ``base`` LEFT JOIN ``updates``. The update set is usually small, so
     it is broadcast behind a measured row bound and ``base`` is streamed
     without a shuffle; beyond the bound it is a shuffle join on ``key``.
     """
+    if table is not None and table not in TOUCHED_TABLES:
+        touch_column = None          # no updated_at trigger on this table
     upd_cols = [c for c in updates.columns if c != key and c in base.columns]
     u = updates.select(key, *[F.col(c).alias(f"_u_{c}") for c in upd_cols], F.lit(True).alias("_matched"))
     if broadcast_updates:

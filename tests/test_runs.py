@@ -297,3 +297,14 @@ def test_incremental_claims_stream_matches_batch(spark, tables, scratch):
     assert got.count() == want.count()
     assert got.select("record_id", "issue_description").exceptAll(
         want.select("record_id", "issue_description")).count() == 0
+
+
+def test_updates_stamp_only_tables_with_the_trigger(spark):
+    base = spark.createDataFrame([("a1", "OPEN", dt.datetime(2020, 1, 1))],
+                                 "audit_id string, status string, updated_at timestamp_ntz")
+    upd = spark.createDataFrame([("a1", "RESOLVED")], "audit_id string, status string")
+    now = dt.datetime(2024, 2, 1, 12)
+    row = apply_updates(base, upd, "audit_id", now, table="quality_audit_log").first()
+    assert row["status"] == "RESOLVED" and row["updated_at"] == dt.datetime(2020, 1, 1)
+    row = apply_updates(base, upd, "audit_id", now).first()
+    assert row["updated_at"] == now
