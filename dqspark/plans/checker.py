@@ -1,7 +1,7 @@
 """``run_all_checks`` (P06): the checker's five checks, audit rows, summary.
 
 Plan shape: the five issue projections are unioned into one DataFrame with a
-``check_type`` tag and an ``_amount`` column (P02's discrepancy, P04's group
+``check_key`` tag and an ``_amount`` column (P02's discrepancy, P04's group
 size). The per-check counts and the two totals come from ONE aggregation
 over that union — partial aggregation on every task, a single-row final
 merge — so the run needs no driver-side loop over results.
@@ -86,7 +86,7 @@ def summarize(checks: dict[str, FND.CheckResult], findings: DataFrame) -> tuple[
 def run_all_checks(tables, as_of: dt.date | str, run_ts: dt.datetime | str | None = None,
                    run_id: str | None = None, materialize: bool = False) -> RunResult:
     """P06. Nothing executes until an action on the returned DataFrames,
-    unless ``materialize`` checkpoints the findings first."""
+    unless ``materialize`` checkpoints each check's detail rows first."""
     ts = as_timestamp(run_ts if run_ts is not None else as_of)
     checks = build_checks(tables, as_of)
     if materialize:
