@@ -308,3 +308,13 @@ def test_updates_stamp_only_tables_with_the_trigger(spark):
     assert row["status"] == "RESOLVED" and row["updated_at"] == dt.datetime(2020, 1, 1)
     row = apply_updates(base, upd, "audit_id", now).first()
     assert row["updated_at"] == now
+
+
+def test_table_constraints_scan_the_table_once_for_row_rules(spark, tables, scratch):
+    path = os.path.join(scratch, "claims_k")
+    tables.claims.write.parquet(path)
+    stored = read_table(spark, path, "claims")
+    df = K.check_table(stored, "claims", {"patient_records": tables.patient_records, "providers": tables.providers})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # primary key count, two foreign-key anti joins, one pass for every row rule
+    assert plan.count(f"[file:{path}") == 4
