@@ -317,4 +317,18 @@ def test_table_constraints_scan_the_table_once_for_row_rules(spark, tables, scra
     df = K.check_table(stored, "claims", {"patient_records": tables.patient_records, "providers": tables.providers})
     plan = df._jdf.queryExecution().executedPlan().toString()
     # primary key count, two foreign-key anti joins, one pass for every row rule
-    assert plan.count(f"[file:{path}") == 4
+    assert plan.count(f"[file:{path}]") == 4
+
+
+def test_accuracy_rates_read_each_table_once(spark, tables, scratch):
+    from dqspark.operators import metrics as MT
+
+    paths = {}
+    for name in ("patient_records", "claims", "claims_line_items"):
+        paths[name] = os.path.join(scratch, name)
+        getattr(tables, name).write.parquet(paths[name])
+    stored = {n: read_table(spark, p, n) for n, p in paths.items()}
+    df = MT.accuracy_rates(stored["patient_records"], stored["claims"], stored["claims_line_items"], AS_OF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert all(plan.count(f"[file:{p}]") == 1 for p in paths.values())
+    assert df.count() == 2
