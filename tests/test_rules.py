@@ -288,3 +288,26 @@ def test_salted_anti_join_gives_the_same_orphans(spark):
     plain = ids(orphans(claims, patients, "patient_id"), "claim_id")
     salted = ids(orphans(claims, patients, "patient_id", salt_buckets=8), "claim_id")
     assert plain == salted == ["n1", "o1"]
+
+
+def test_constraint_edges(spark):
+    from dqspark.operators import constraints as K
+
+    df = spark.createDataFrame([
+        ("r1", 99999999.99, None, "ok", "PAID"),
+        ("r2", 100000000.00, None, "x" * 11, "VOID"),
+        ("r3", 1.005, "n", None, None),
+        ("r3", -99999999.994, "n", "ok", "PAID"),
+    ], "id string, amount double, note string, code string, status string")
+    # overflow is rejected; extra scale only rounds (half up, still fits)
+    bad = K.check_decimal_range(df, ["amount"], 10, 2, "id").collect()
+    assert [(r["id"], r["column_name"]) for r in bad] == [("r2", "amount")]
+    both = {(r["id"], r["column_name"]) for r in K.check_not_null(df, ["note", "code"], "id").collect()}
+    assert both == {("r1", "note"), ("r2", "note"), ("r3", "code")}
+    longs = K.check_max_length(df, {"code": 10, "note": 0}, "id").collect()
+    assert sorted((r["id"], r["column_name"], r["length"]) for r in longs) == [
+        ("r2", "code", 11), ("r3", "note", 1), ("r3", "note", 1)]
+    assert [r["id"] for r in K.check_domain(df, "status", ("PAID",), "id").collect()] == ["r2"]
+    pk = {r["id"]: r["occurrences"] for r in K.check_primary_key(df, "id").collect()}
+    assert pk == {"r3": 2}
+    assert K.check_unique(df.withColumn("u", F.lit(None).cast("string")), "u").count() == 0
