@@ -311,3 +311,12 @@ def test_constraint_edges(spark):
     pk = {r["id"]: r["occurrences"] for r in K.check_primary_key(df, "id").collect()}
     assert pk == {"r3": 2}
     assert K.check_unique(df.withColumn("u", F.lit(None).cast("string")), "u").count() == 0
+
+
+def test_conform_rounds_extra_scale_half_up(spark):
+    from dqspark.sources.readers import conform
+
+    df = spark.createDataFrame([("c1", "12.345"), ("c2", "12.344"), ("c3", "-0.005")],
+                               "claim_id string, claim_total_amount string")
+    got = {r["claim_id"]: r["claim_total_amount"] for r in conform(df, "claims", now="2024-02-01").collect()}
+    assert got == {"c1": Decimal("12.35"), "c2": Decimal("12.34"), "c3": Decimal("-0.01")}
