@@ -332,3 +332,12 @@ def test_accuracy_rates_read_each_table_once(spark, tables, scratch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert all(plan.count(f"[file:{p}]") == 1 for p in paths.values())
     assert df.count() == 2
+
+
+def test_investigate_unknown_pair_lists_known_ones(tables):
+    import pytest
+
+    with pytest.raises(KeyError) as err:
+        investigate(tables, "claims", "no_such_check", AS_OF)
+    assert "claims/billing_validation" in str(err.value)
+    assert investigate(tables, "providers", "credentials", AS_OF).columns[0] == "provider_id"
