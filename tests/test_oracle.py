@@ -59,3 +59,10 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(sdf.columns) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert _rows(sdf.columns, s_rows) == _rows(d_cols, d_rows)
+
+
+def test_oracle_sql_reads_only_the_registered_views():
+    for name, sql in entry.oracle_sql().items():
+        low = sql.lower()
+        assert "read_parquet" not in low and "/root/" not in low, name
+        assert " limit " not in low, name
