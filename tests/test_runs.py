@@ -341,3 +341,10 @@ def test_investigate_unknown_pair_lists_known_ones(tables):
         investigate(tables, "claims", "no_such_check", AS_OF)
     assert "claims/billing_validation" in str(err.value)
     assert investigate(tables, "providers", "credentials", AS_OF).columns[0] == "provider_id"
+
+
+def test_only_the_report_preview_limits_rows(spark):
+    for name, fn in entry.queries().items():
+        text = fn(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        has_limit = "GlobalLimit" in text or "LocalLimit" in text
+        assert has_limit == (name == "report_preview"), name
