@@ -348,3 +348,18 @@ def test_only_the_report_preview_limits_rows(spark):
         text = fn(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
         has_limit = "GlobalLimit" in text or "LocalLimit" in text
         assert has_limit == (name == "report_preview"), name
+
+
+def test_bench_prints_one_json_line():
+    import subprocess
+    import sys as _sys
+
+    env = dict(os.environ, BENCH_SF_DIR=SMALL, BENCH_REPEAT="1", BENCH_CPUS="2",
+               BENCH_QUERIES="invalid_phone,expired_licenses")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([_sys.executable, os.path.join(root, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=600, check=True).stdout.strip().splitlines()
+    assert len(out) == 1
+    d = json.loads(out[0])
+    assert d["unit"] == "sec" and d["sf"] == 0.001 and set(d["queries"]) == {"invalid_phone", "expired_licenses"}
+    assert abs(d["value"] - sum(d["queries"].values())) < 1e-3
