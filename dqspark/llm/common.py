@@ -101,3 +101,19 @@ def ship(spark: SparkSession) -> None:
         out.write(data.getvalue())
     sc.addPyFile(f"{uri}/dqspark.zip")
     _SHIPPED.add(sc.applicationId)
+
+
+def split_words(texts):
+    """Of an Arrow text column, lower-cased in A-Z: the words (runs without
+    ASCII white space) of all texts in order, and the row each comes from."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    text = pc.fill_null(texts.cast(pa.large_string()), "")
+    for ch in "\t\n\x0b\f\r":
+        text = pc.replace_substring(text, ch, " ")
+    lists = pc.split_pattern(text, " ")
+    doc, flat = pc.list_parent_indices(lists), pc.list_flatten(lists)
+    full = pc.not_equal(flat, "")
+    # Lower-cased last: Arrow's kernel needs an array that is no slice.
+    return pc.ascii_lower(flat.filter(full)), doc.filter(full).to_numpy(zero_copy_only=False)
