@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import ship
 from .exact_dedup import OP10_SQL, op10_exact_dedup
+from .lang_id import op2_language_id
 from .lm_lattice import op1_lattice_score
 from .ngram_join import op8_ngram_jaccard
 from .packing import op4_best_fit_packing
+from .secrets import op9_secret_scan
 from .token_store import op7_token_store
 
-_QUERIES = [op1_lattice_score, op4_best_fit_packing, op7_token_store, op8_ngram_jaccard, op10_exact_dedup]
+_QUERIES = [op1_lattice_score, op2_language_id, op4_best_fit_packing, op7_token_store, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup]
 
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
