@@ -49,7 +49,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_saved, saved, split_words, text_slices
+from .common import drop_saved, fresh, saved, split_words, text_slices
 from .components import connected_components
 
 SHINGLE = 5
@@ -255,7 +255,7 @@ def _only(value, bounds, rows):
     return value[at], np.concatenate([[0], np.cumsum(n)])
 
 
-_SUMMARY = ["row", "doc_id", "n_shingles", "class", "check", "signature", "times"]
+_SUMMARY = ["text_key", "doc_id", "n_shingles", "class", "check", "signature", "times"]
 
 
 def _summarise(salt: int):
@@ -280,7 +280,7 @@ def _summarise(salt: int):
                 n = np.diff(bounds)
                 key, check = _class_keys(value, bounds, salt)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("row"), rows.column("doc_id"), pa.array(n), pa.array(key), pa.array(check),
+                    [rows.column("text_key"), rows.column("doc_id"), pa.array(n), pa.array(key), pa.array(check),
                      pa.nulls(b - a, pa.int64()), pa.nulls(b - a, pa.int64())], names=_SUMMARY)
                 new = _first_of(key, n, seen)
                 _, sig, _ = signatures(*_only(value, bounds, new), None)
@@ -394,21 +394,23 @@ def _close(x: str, y: str) -> str:
 
 
 def components(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, n_shingles, component_id`` of every row of ``docs``,
-    which has a column ``row`` (long, one value per row)."""
-    rows = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """``doc_id, text_key, n_shingles, component_id, group`` of every row of
+    ``docs`` (doc_id, text); ``text_key`` is a hash of the text, ``group`` the
+    component's class (NULL for the empty set)."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       F.xxhash64(F.col("text").cast("string")).alias("text_key"))
     salt, clash = -1, True
     while clash:  # two sets of one name: name them anew
         salt += 1
-        summary = saved(rows.mapInArrow(_summarise(salt), "row long, doc_id long, n_shingles long, class long, "
+        summary = saved(rows.mapInArrow(_summarise(salt), "text_key long, doc_id long, n_shingles long, class long, "
                                         "check long, signature long, times long"), "set-summary")
-        documents = summary.filter("row IS NOT NULL").select("row", "doc_id", "n_shingles", "class", "check")
-        # One class per distinct set; its smallest row stands for it.
+        documents = summary.filter("signature IS NULL").select("text_key", "doc_id", "n_shingles", "class", "check")
+        # One class per distinct set; one of its texts stands for it.
         classes = saved(documents.filter("n_shingles > 0").groupBy("class").agg(
-            F.min("row").alias("row"), F.first("n_shingles").alias("n"),
+            F.min(F.struct("doc_id", "text_key")).alias("of"), F.first("n_shingles").alias("n"),
             (F.min("check") != F.max("check")).alias("clash")), "classes")
         elements, clash = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.bool_or("clash"), F.lit(False))).first()
-    common = (summary.filter("row IS NULL").groupBy("signature").agg(F.sum("times").alias("times"))
+    common = (summary.filter("signature IS NOT NULL").groupBy("signature").agg(F.sum("times").alias("times"))
               .filter(F.col("times") >= FREQUENT_TIMES)
               .orderBy(F.desc("times"), "signature").limit(FREQUENT).select("signature").collect())  # at most FREQUENT
     frequent = np.sort(np.array([r.signature for r in common], np.int64).astype(np.uint64))
@@ -416,9 +418,12 @@ def components(docs: DataFrame) -> DataFrame:
 
     shared = saved(rows.select("text").mapInArrow(_emit(frequent, buckets, salt), _EMITTED).groupBy("bucket").applyInArrow(
         _shared, "signature long, class long, code int"), "shared-signatures")
-    wanted = classes.join(shared.select("class").distinct(), "class", "left_semi").select("row", "class")
-    sets = saved(rows.select("row", "text").join(wanted, "row").select("class", "text").mapInArrow(
-        _set_blobs, "class long, shingles binary"), "sets")
+    wanted = classes.join(shared.select("class").distinct(), "class", "left_semi").select(
+        "class", F.col("of.doc_id").alias("of_id"), F.col("of.text_key").alias("of_key"))
+    # Rows that repeat an id and its text give the same set; one is taken.
+    sets = saved(rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")))
+                 .select("class", "text").mapInArrow(_set_blobs, "class long, shingles binary")
+                 .dropDuplicates(["class"]), "sets")
 
     # Stars: each class against the smallest class of each of its signatures.
     least = shared.groupBy("signature").agg(F.min(F.struct("class", "code")).alias("centre"))
@@ -447,17 +452,25 @@ def components(docs: DataFrame) -> DataFrame:
     # A component's id is the smallest doc_id of all its rows, copies included.
     smallest = named.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("smallest"))
     return named.join(smallest, "group", "left").select(
-        "row", "doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"), "group")
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a row number that stays the same however often it is read:
-    rows are numbered by the file split they come from."""
-    return docs.withColumn("row", F.monotonically_increasing_id())
+        "doc_id", "text_key", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"), "group")
 
 
 def join(docs: DataFrame) -> DataFrame:
-    return components(numbered(docs.select("doc_id", "text"))).drop("row", "group")
+    """Contract rows: set size and component of every document."""
+    return components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those of a component that are not its
+    smallest (by id, then text hash); all columns as they were. Rows that
+    repeat an id and its text stay or go together."""
+    key, one = fresh(docs, "dq_text_key"), saved(components(docs), "components")
+    first = one.filter("group IS NOT NULL").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    gone = saved(one.join(first, "group").filter(~F.struct("doc_id", "text_key").eqNullSafe(F.col("first")))
+                 .select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct(), "near-copies")
+    marked = docs.withColumn(key, F.xxhash64(F.col("text").cast("string")))
+    return marked.join(gone, marked["doc_id"].eqNullSafe(gone["gone_id"]) & (marked[key] == gone["gone_key"]),
+                       "left_anti").select(*docs.columns)
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
