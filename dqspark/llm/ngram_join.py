@@ -49,7 +49,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_saved, fresh, saved, split_words, text_slices
+from .common import drop_saved, fresh, saved, text_slices
 from .components import connected_components
 
 SHINGLE = 5
@@ -78,50 +78,107 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 # --- sets -----------------------------------------------------------------------
 
-_WORDS: dict[str, int] = {}
+_BASE = 0xC6A4A7935BD1E995
+_BLOCK = 1 << 20
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_FOLD[9:14] = 32
 
 
-def word_hashes(words: pa.Array) -> np.ndarray:
-    """64-bit hashes of words; a worker remembers the ones it has met."""
-    import xxhash
+@functools.lru_cache(maxsize=None)
+def _powers(base: int) -> np.ndarray:
+    """``base ** k`` modulo 2**64 for k below a block, then of whole blocks."""
+    def table(b):
+        out = np.full(_BLOCK, b, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+    with np.errstate(over="ignore"):
+        small = table(base)
+        return small, table(int(small[-1]) * base & (1 << 64) - 1)
 
-    if len(_WORDS) > 1_000_000:
-        _WORDS.clear()
-    out, known, digest = np.empty(len(words), np.uint64), _WORDS.get, xxhash.xxh3_64_intdigest
-    for i, w in enumerate(words.to_pylist()):
-        h = known(w)
-        if h is None:
-            h = digest(w)
-            if len(w) < 40:
-                _WORDS[w] = h
-        out[i] = h
-    return out
+
+def _power(base: int, k: np.ndarray) -> np.ndarray:
+    small, large = _powers(base)
+    with np.errstate(over="ignore"):
+        return small[k & (_BLOCK - 1)] * large[k >> 20]
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (lower-cased in A-Z) and the text of each.
+
+    A word's hash is a polynomial in its bytes, taken from running sums over
+    the whole buffer, then mixed with its length."""
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    texts = pa.concat_arrays([texts])
+    offset = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offset[0]:offset[-1]] if data and len(texts) else np.zeros(0, np.uint8)
+    offset = offset - offset[0]
+    folded = _FOLD[raw]
+    inside = folded != 32
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    edges = offset[1:-1][offset[1:-1] < len(raw)]
+    begin[edges] = inside[edges]  # a text's first character starts a word
+    last = inside.copy()
+    last[:-1] &= ~inside[1:]
+    cuts = edges[edges > 0] - 1
+    last[cuts] = inside[cuts]
+    start, end = np.flatnonzero(begin), np.flatnonzero(last) + 1
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        for a in range(0, len(raw), _BLOCK):  # block by block, to stay small
+            b = min(a + _BLOCK, len(raw))
+            term = (folded[a:b].astype(np.uint64) + np.uint64(1)) * _power(_BASE, np.arange(a, b))
+            sums[a + 1:b + 1] = np.cumsum(term, dtype=np.uint64) + sums[a]
+        h = (sums[end] - sums[start]) * _power(pow(_BASE, -1, 1 << 64), start)
+        h = mix(h ^ mix((end - start).astype(np.uint64)))
+    return h, np.searchsorted(offset, start, side="right") - 1
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The texts' sets, sorted, one after another, and where each begins (one
     more at the end)."""
-    flat, doc = split_words(texts)
     n = len(texts)
-    coded = flat.dictionary_encode()
-    h = word_hashes(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else np.zeros(0, np.uint64)
+    h, doc = word_hashes(texts)
     words = np.bincount(doc, minlength=n)
-    grams = np.where(words >= SHINGLE, words - SHINGLE + 1, np.minimum(words, 1))
-    owner = np.repeat(np.arange(n), grams)
-    first = np.repeat(np.cumsum(words) - words, grams) + np.arange(len(owner)) - np.repeat(np.cumsum(grams) - grams, grams)
-    length = np.minimum(words, SHINGLE)[owner]
-    value = np.zeros(len(owner), np.uint64)
+    first = np.cumsum(words) - words
+    rolled, short = np.zeros(len(h), np.uint64), {}
     with np.errstate(over="ignore"):
         for k in range(SHINGLE):
-            here = k < length
-            at = np.minimum(first + k, max(len(h) - 1, 0))
-            value = np.where(here, mix(value * np.uint64(0x9E3779B97F4A7C15) + (h[at] if len(h) else 0) + np.uint64(k + 1)), value)
-    order = np.lexsort((value, owner))
-    value, owner = value[order], owner[order]
+            m = len(h) - k
+            if m <= 0:
+                break
+            rolled[:m] = mix(rolled[:m] * np.uint64(0x9E3779B97F4A7C15) + h[k:] + np.uint64(k + 1))
+            if k + 1 < SHINGLE:  # texts of k + 1 words are one shingle
+                at = np.flatnonzero(words == k + 1)
+                short.update(zip(at.tolist(), rolled[first[at]].tolist()))
+    grams = np.where(words >= SHINGLE, words - SHINGLE + 1, np.minimum(words, 1))
+    ends = np.cumsum(grams)
+    at = np.arange(int(ends[-1]) if n else 0) + np.repeat(first - (ends - grams), grams)
+    value = rolled[at]
+    for row, only in short.items():
+        value[ends[row] - 1] = only
     new = np.ones(len(value), bool)
-    new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-    value, owner = value[new], owner[new]
-    return value, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    for p, q in zip((ends - grams).tolist(), ends.tolist()):
+        value[p:q].sort()
+    new[1:] = value[1:] != value[:-1]
+    new[(ends - grams)[grams > 0]] = True
+    owner = np.repeat(np.arange(n), grams)
+    return value[new], np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=n))])
+
+
+CELLS = 256
+
+
+def sketches(value: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Per set, how many elements fall into each of 256 cells (255 at most).
+    Two sets differ in at least as many elements as their cells' counts."""
+    out = []
+    cell = (mix(value + np.uint64(0x5851F42D4C957F2D)) >> np.uint64(56)).astype(np.int64)
+    for p, q in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        out.append(np.minimum(np.bincount(cell[p:q], minlength=CELLS), 255).astype(np.uint8).tobytes())
+    return out
 
 
 # --- segments -------------------------------------------------------------------
@@ -187,11 +244,11 @@ def signatures(value: np.ndarray, bounds: np.ndarray, frequent: np.ndarray | Non
         with np.errstate(over="ignore"):
             # A subset's hash is a sum, so one element is taken out by subtraction.
             body = mix(h + np.uint64(0x632BE59BD9B4E019))
-            order = np.argsort(cell, kind="stable")
             held = np.bincount(cell, minlength=cells)
-            csum = np.concatenate([np.zeros(1, np.uint64), np.cumsum(body[order], dtype=np.uint64)])
-            ends = np.cumsum(held)
-            subset = csum[ends] - csum[ends - held]
+            # Sums of the halves are exact in doubles; their carry makes the sum modulo 2**64.
+            low_half = np.bincount(cell, (body & np.uint64(0xFFFFFFFF)).astype(float), minlength=cells).astype(np.uint64)
+            high_half = np.bincount(cell, (body >> np.uint64(32)).astype(float), minlength=cells).astype(np.uint64)
+            subset = low_half + (high_half << np.uint64(32))
             tag = mix(salt + np.tile(np.arange(1, segments + 1, dtype=np.uint64), len(rows)))
             sub = mix(subset + tag)
             gone = seg < allowed
@@ -255,7 +312,7 @@ def _only(value, bounds, rows):
     return value[at], np.concatenate([[0], np.cumsum(n)])
 
 
-_SUMMARY = ["text_key", "doc_id", "n_shingles", "class", "check", "signature", "times"]
+_SUMMARY = ["text_key", "doc_id", "n_shingles", "class", "check", "sketch", "signature", "times"]
 
 
 def _summarise(salt: int):
@@ -281,7 +338,8 @@ def _summarise(salt: int):
                 key, check = _class_keys(value, bounds, salt)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("text_key"), rows.column("doc_id"), pa.array(n), pa.array(key), pa.array(check),
-                     pa.nulls(b - a, pa.int64()), pa.nulls(b - a, pa.int64())], names=_SUMMARY)
+                     pa.array(sketches(value, bounds), pa.binary()), pa.nulls(b - a, pa.int64()),
+                     pa.nulls(b - a, pa.int64())], names=_SUMMARY)
                 new = _first_of(key, n, seen)
                 _, sig, _ = signatures(*_only(value, bounds, new), None)
                 pending.append(np.unique(sig, return_counts=True))
@@ -293,7 +351,7 @@ def _summarise(salt: int):
             more = t > 1
             nothing = pa.nulls(int(more.sum()), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [nothing] * 5 + [pa.array(s[more].astype(np.int64)), pa.array(t[more])], names=_SUMMARY)
+                [nothing] * 5 + [pa.nulls(len(nothing), pa.binary()), pa.array(s[more].astype(np.int64)), pa.array(t[more])], names=_SUMMARY)
     return run
 
 
@@ -388,6 +446,37 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "b").join(right, "a").mapInArrow(_verify, "a long, b long")
 
 
+def _possible_rows(batches):
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+                for c in ("xs", "ys"))
+        apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
+        n = batch.column("n").to_numpy()
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(
+            pa.array(7 * apart <= n))
+
+
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs whose cell counts leave room for a link: linked sets differ in at
+    most a seventh of their sizes' sum."""
+    left = classes.select(F.col("class").alias("b"), F.col("sketch").alias("xs"), F.col("n").alias("n_b"))
+    right = classes.select(F.col("class").alias("a"), F.col("sketch").alias("ys"), F.col("n").alias("n_a"))
+    return (pairs.join(left, "b").join(right, "a").select("a", "b", "xs", "ys", (F.col("n_a") + F.col("n_b")).alias("n"))
+            .mapInArrow(_possible_rows, "a long, b long"))
+
+
+def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Whole sets of those of ``classes`` that stand in ``pairs``, from their texts."""
+    named = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    wanted = saved(classes.join(named, "class", "left_semi").select(
+        "class", F.coalesce("of.doc_id", F.lit(-1)).alias("id"), F.col("of.text_key").alias("text_key")), "wanted")
+    # A NULL id reads as -1: the text's hash still tells such rows apart. Rows
+    # that repeat an id and its text give the same set; one is taken.
+    texts = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text_key", "text")
+    return (texts.join(wanted, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("class", "text")
+            .mapInArrow(_set_blobs, "class long, shingles binary"))
+
+
 def _close(x: str, y: str) -> str:
     """Size codes that a linked pair may have: 3/4 is five twelfths of a doubling."""
     return f"(abs({x} - {y}) <= 6 OR greatest({x}, {y}) = 255)"
@@ -403,11 +492,12 @@ def components(docs: DataFrame) -> DataFrame:
     while clash:  # two sets of one name: name them anew
         salt += 1
         summary = saved(rows.mapInArrow(_summarise(salt), "text_key long, doc_id long, n_shingles long, class long, "
-                                        "check long, signature long, times long"), "set-summary")
-        documents = summary.filter("signature IS NULL").select("text_key", "doc_id", "n_shingles", "class", "check")
+                                        "check long, sketch binary, signature long, times long"), "set-summary")
+        documents = summary.filter("signature IS NULL").select("text_key", "doc_id", "n_shingles", "class", "check", "sketch")
         # One class per distinct set; one of its texts stands for it.
         classes = saved(documents.filter("n_shingles > 0").groupBy("class").agg(
             F.min(F.struct("doc_id", "text_key")).alias("of"), F.first("n_shingles").alias("n"),
+            F.first("sketch").alias("sketch"),
             (F.min("check") != F.max("check")).alias("clash")), "classes")
         elements, clash = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.bool_or("clash"), F.lit(False))).first()
     common = (summary.filter("signature IS NOT NULL").groupBy("signature").agg(F.sum("times").alias("times"))
@@ -418,19 +508,14 @@ def components(docs: DataFrame) -> DataFrame:
 
     shared = saved(rows.select("text").mapInArrow(_emit(frequent, buckets, salt), _EMITTED).groupBy("bucket").applyInArrow(
         _shared, "signature long, class long, code int"), "shared-signatures")
-    wanted = classes.join(shared.select("class").distinct(), "class", "left_semi").select(
-        "class", F.col("of.doc_id").alias("of_id"), F.col("of.text_key").alias("of_key"))
-    # Rows that repeat an id and its text give the same set; one is taken.
-    sets = saved(rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")))
-                 .select("class", "text").mapInArrow(_set_blobs, "class long, shingles binary")
-                 .dropDuplicates(["class"]), "sets")
-
     # Stars: each class against the smallest class of each of its signatures.
     least = shared.groupBy("signature").agg(F.min(F.struct("class", "code")).alias("centre"))
     stars = saved(shared.join(least, "signature").filter(F.col("class") != F.col("centre.class"))
                   .filter(_close("code", "centre.code"))
                   .select(F.col("centre.class").alias("a"), F.col("class").alias("b")).distinct(), "stars")
-    links = saved(_verified(stars, sets), "links")
+    near = saved(_possible(stars, classes), "possible")
+    sets = saved(_sets_of(near, classes, rows), "sets")
+    links = saved(_verified(near, sets), "links")
     found = saved(connected_components(links), "components")
 
     # What the stars left apart: pairs of a signature in different components.
@@ -441,13 +526,15 @@ def components(docs: DataFrame) -> DataFrame:
     pairs = (apart.alias("p").join(apart.alias("q"), F.expr(
         f"p.signature = q.signature AND p.class < q.class AND p.label <> q.label AND {_close('p.code', 'q.code')}"))
         .select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
-    more = saved(_verified(pairs, sets), "links")
-    if not more.isEmpty():
+    near = saved(_possible(pairs, classes), "possible")
+    if not near.isEmpty():
+        further = saved(_sets_of(near, classes.join(sets.select("class"), "class", "left_anti"), rows), "sets")
+        more = saved(_verified(near, sets.unionByName(further)), "links")
         found = saved(connected_components(links.unionByName(more)), "components")
     for table in (shared, sets, stars, labelled):
         drop_saved(table)
 
-    named = documents.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(
+    named = documents.drop("sketch").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "group", F.when(F.col("n_shingles") > 0, F.coalesce("component", "class")))
     # A component's id is the smallest doc_id of all its rows, copies included.
     smallest = named.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("smallest"))
