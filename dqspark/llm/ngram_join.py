@@ -53,12 +53,12 @@ from .common import drop_saved, fresh, saved, text_slices
 from .components import connected_components
 
 SHINGLE = 5
-FREQUENT = 50_000
+FREQUENT = 200_000
 """Signatures kept as frequent, at most (8 bytes each)."""
-FREQUENT_TIMES = 200
+FREQUENT_TIMES = 50
 """Distinct sets that make a signature frequent."""
 CHANCE = 4
-COUNTERS = 4096
+COUNTERS = 65_536
 """Misra-Gries counters a task passes on."""
 RATIO = 16 / 9
 """Width of a size band."""
@@ -168,19 +168,29 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return value[new], np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=n))])
 
 
-CELLS = 256
+PER_CELL = 8
 
 
 def sketches(value: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Per set, how many elements fall into each of 256 cells (255 at most).
-    Two sets differ in at least as many elements as their cells' counts."""
-    out = []
-    cell = (mix(value + np.uint64(0x5851F42D4C957F2D)) >> np.uint64(56)).astype(np.int64)
+    """Per set, how many elements (255 at most) fall into each cell of the
+    universe, for as many cells as hold about ``PER_CELL`` elements. Two sets
+    differ in at least as many elements as their cells' counts."""
+    out, h = [], mix(value + np.uint64(0x5851F42D4C957F2D))
     for p, q in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        out.append(np.minimum(np.bincount(cell[p:q], minlength=CELLS), 255).astype(np.uint8).tobytes())
+        bits = max(4, ((q - p) // PER_CELL).bit_length())
+        cell = (h[p:q] >> np.uint64(64 - bits)).astype(np.int64)
+        out.append(np.minimum(np.bincount(cell, minlength=1 << bits), 255).astype(np.uint8).tobytes())
     return out
 
 
+def cells_apart(x: bytes, y: bytes) -> int:
+    """The least difference two sketches prove; the finer one's cells are joined."""
+    x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    if len(x) > len(y):
+        x, y = y, x
+    return int(np.abs(x - y.reshape(len(x), -1).sum(axis=1)).sum())
+
+
 # --- segments -------------------------------------------------------------------
 
 def band_edges(band: int) -> tuple[int, int]:
@@ -419,14 +429,37 @@ def _shared(key, table):
                      "code": pa.array(n[same].astype(np.int32))})
 
 
-def _set_blobs(batches):
-    for batch in batches:
-        for a, b in text_slices(batch):
-            rows = batch.slice(a, b - a)
-            value, bounds = shingle_sets(rows.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("class"), pa.array([value[p:q].tobytes() for p, q in zip(bounds, bounds[1:])], pa.binary())],
-                names=["class", "shingles"])
+BITS_PER_ROW, MOST_BITS = 32, 1 << 26
+"""A filter of wanted rows has at most 8 MB, however many there are."""
+
+
+def _row_filter(wanted: DataFrame, n: int) -> np.ndarray:
+    """Bits of the wanted rows' text hashes."""
+    bits = 1 << max(10, min(MOST_BITS, n * BITS_PER_ROW).bit_length() - 1)
+    slot = F.pmod("text_key", F.lit(bits))
+    words = wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("s") % 64).cast("int"))).alias("w")).collect()
+    out = np.zeros(bits // 64, np.uint64)
+    out[[r.word for r in words]] = np.array([r.w for r in words], np.int64).astype(np.uint64)
+    return out
+
+
+def _set_blobs(wanted: np.ndarray):
+    """Sets of the rows that the filter lets through."""
+
+    def run(batches):
+        for batch in batches:
+            key = np.mod(batch.column("text_key").to_numpy(), len(wanted) * 64)
+            through = (wanted[key >> 6] >> (key & 63).astype(np.uint64)) & np.uint64(1)
+            batch = batch.filter(pa.array(through.astype(bool)))
+            for a, b in text_slices(batch) if batch.num_rows else []:
+                rows = batch.slice(a, b - a)
+                value, bounds = shingle_sets(rows.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("id"), rows.column("text_key"),
+                     pa.array([value[p:q].tobytes() for p, q in zip(bounds, bounds[1:])], pa.binary())],
+                    names=["id", "text_key", "shingles"])
+    return run
 
 
 def _verify(batches):
@@ -448,12 +481,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _possible_rows(batches):
     for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
-                for c in ("xs", "ys"))
-        apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
-        n = batch.column("n").to_numpy()
+        ok = [7 * cells_apart(x, y) <= n for x, y, n in zip(*(batch.column(c).to_pylist() for c in ("xs", "ys", "n")))]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(
-            pa.array(7 * apart <= n))
+            pa.array(ok, pa.bool_()))
 
 
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -473,8 +503,8 @@ def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     # A NULL id reads as -1: the text's hash still tells such rows apart. Rows
     # that repeat an id and its text give the same set; one is taken.
     texts = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text_key", "text")
-    return (texts.join(wanted, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("class", "text")
-            .mapInArrow(_set_blobs, "class long, shingles binary"))
+    some = texts.mapInArrow(_set_blobs(_row_filter(wanted, wanted.count())), "id long, text_key long, shingles binary")
+    return some.join(wanted, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("class", "shingles")
 
 
 def _close(x: str, y: str) -> str:
