@@ -13,9 +13,10 @@ from .lm_lattice import op1_lattice_score
 from .ngram_join import op8_ngram_jaccard
 from .packing import op4_best_fit_packing
 from .secrets import op9_secret_scan
+from .toxicity import op5_toxicity
 from .token_store import op7_token_store
 
-_QUERIES = [op1_lattice_score, op2_language_id, op4_best_fit_packing, op7_token_store, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup]
+_QUERIES = [op1_lattice_score, op2_language_id, op4_best_fit_packing, op5_toxicity, op7_token_store, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup]
 
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
