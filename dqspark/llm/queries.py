@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import ship
+from .ann import op6_nearest_neighbours
 from .exact_dedup import OP10_SQL, op10_exact_dedup
 from .lang_id import op2_language_id
 from .lm_lattice import op1_lattice_score
@@ -14,9 +15,10 @@ from .ngram_join import op8_ngram_jaccard
 from .packing import op4_best_fit_packing
 from .secrets import op9_secret_scan
 from .toxicity import op5_toxicity
+from .sp_codec import op3_sentencepiece
 from .token_store import op7_token_store
 
-_QUERIES = [op1_lattice_score, op2_language_id, op4_best_fit_packing, op5_toxicity, op7_token_store, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup]
+_QUERIES = [op1_lattice_score, op2_language_id, op3_sentencepiece, op4_best_fit_packing, op5_toxicity, op6_nearest_neighbours, op7_token_store, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup]
 
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
