@@ -247,10 +247,23 @@ def _number_words(classes: int):
     return run
 
 
+def _larger(batches, rows: int = 100_000):
+    """Batches joined to about ``rows`` rows: lattices of one length are then many at a time."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _expect(path: str, logp: np.ndarray):
     def run(batches):
         pieces, total = pieces_of(path), None
-        for batch in batches:
+        for batch in _larger(batches):
             got = expected_counts(batch.column("word"), batch.column("c").to_numpy().astype(float), pieces, logp)
             total = got if total is None else total + got
         if total is not None:
@@ -263,7 +276,7 @@ def _expect(path: str, logp: np.ndarray):
 def _score_words(path: str, logp: np.ndarray):
     def run(batches):
         pieces = pieces_of(path)
-        for batch in batches:
+        for batch in _larger(batches):
             # Rows come sorted by word: each distinct word of the batch is scored once.
             coded = batch.column("word").dictionary_encode()
             lp = word_log_probability(coded.dictionary, pieces, logp)
