@@ -58,8 +58,8 @@ def base_spans(text: str, lower: str) -> list[tuple[int, int, str]]:
 
 
 def mixed_enough(s: str) -> bool:
-    """A candidate holds digits and letters; words and numbers alone are none."""
-    return any(c.isdigit() for c in s) and any(c.isalpha() for c in s)
+    """A candidate holds letters and two digits; words and numbered names are none."""
+    return sum(c.isdigit() for c in s) >= 2 and any(c.isalpha() for c in s)
 
 
 def candidates(text: str, lower: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
