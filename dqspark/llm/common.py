@@ -62,7 +62,7 @@ def scan_partitions(df: DataFrame) -> int:
     return max(df.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def text_slices(batch, column: str = "text", most: int = 8_000_000):
+def text_slices(batch, column: str = "text", most: int = 5_000_000):
     """Row ranges ``(from, to)`` of an Arrow batch with about ``most`` bytes of
     text each (one row at least), so that long texts don't pile up in memory."""
     import numpy as np

@@ -48,7 +48,7 @@ class BatchEncoder:
     learnt again, which changes speed only.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
