@@ -69,7 +69,7 @@ def report_preview(run: RunResult, n: int = R.REPORT_PREVIEW_ROWS) -> DataFrame:
             F.lit(key).alias("check_key"),
             F.row_number().over(w).alias("preview_rank"),
             F.col("_record_id").alias("record_id"),
-            F.to_json(F.struct(*fields)).alias("row_json"),
+            F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("row_json"),
         ))
     previews = parts[0]
     for p in parts[1:]:
@@ -98,9 +98,9 @@ def export_json(run: RunResult, path: str) -> None:
     and the run summary under ``path/summary`` — written by the executors,
     nothing collected on the driver. Dates are ISO text, amounts numbers."""
     for key, check in run.checks.items():
-        check.details.write.mode("overwrite").json(f"{path}/{key}")
-    run.summary.write.mode("overwrite").json(f"{path}/summary")
-    run.check_counts.write.mode("overwrite").json(f"{path}/check_counts")
+        check.details.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{key}")
+    run.summary.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary")
+    run.check_counts.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/check_counts")
 
 
 def render_html_report(run: RunResult, generated_at: str, n: int = R.REPORT_PREVIEW_ROWS) -> str:

@@ -72,7 +72,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):  # local-cluster[..] has executors of its own
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
         current = tempfile.mkdtemp(prefix="dqspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

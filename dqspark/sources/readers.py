@@ -55,7 +55,8 @@ def read_table(
             if c in declared and not isinstance(declared[c], T.ArrayType)
         ])
     if fmt == "json":
-        return reader.schema(spec.schema).json(path)
+        # A malformed record fails the read instead of becoming NULL fields.
+        return reader.option("mode", "FAILFAST").schema(spec.schema).json(path)
     return reader.parquet(path)
 
 

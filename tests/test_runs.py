@@ -8,6 +8,7 @@ import json
 import os
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -363,3 +364,13 @@ def test_bench_prints_one_json_line():
     d = json.loads(out[0])
     assert d["unit"] == "sec" and d["sf"] == 0.001 and set(d["queries"]) == {"invalid_phone", "expired_licenses"}
     assert abs(d["value"] - sum(d["queries"].values())) < 1e-3
+
+
+def test_malformed_json_fails_the_read(spark, scratch):
+    from dqspark.sources.readers import read_table
+
+    path = os.path.join(scratch, "claims.json")
+    with open(path, "w") as f:
+        f.write(json.dumps({"claim_id": "C1", "claim_total_amount": "oops"}) + "\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        read_table(spark, path, "claims", "json").collect()
