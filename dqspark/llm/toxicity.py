@@ -17,8 +17,9 @@ The model is fitted on a bounded sample of labelled rows, at most ``SAMPLE``
 of each class (those with the smallest hash of id and text).
 
 Defined cases: NULL and empty texts have no window and get the score of a text
-without a distance; rows without a label, or with one repeated, train as often
-as they are labelled; without both classes every score is the share of toxic
+without a distance; rows without a label don't train; a row repeated with its
+label is drawn once and counts as often as it stands there in the classes'
+shares; without both classes every score is the share of toxic
 rows (0 if none); repeated rows are scored each; whole texts of any length are
 read; an empty table gives no row; extra columns are ignored.
 """
@@ -40,6 +41,7 @@ from .common import fold, saved, text_slices
 GRAM = 6
 WORDS = 8
 SAMPLE = 4000
+PARTS = 64
 FOLDS = 5
 LEVEL = 6
 MOST_GRAMS = 2000
@@ -136,19 +138,36 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 30, ridg
     return b
 
 
-def fit(train: DataFrame) -> Model:
-    """Fit on ``doc_id, text, toxic`` (0 or 1; other labels are left out)."""
-    rows = train.filter("toxic IN (0, 1)").select(F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("string").alias("text"),
-                                                  F.xxhash64("doc_id", "text").alias("draw"))
-    shares = {r.toxic: (r.n, r["last"]) for r in rows.withColumn(
-        "nth", F.row_number().over(W.partitionBy("toxic").orderBy("draw"))).groupBy("toxic").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("nth") <= SAMPLE, F.col("draw"))).alias("last")).collect()}
-    total = sum(n for n, _ in shares.values())
-    share = shares.get(1, (0, 0))[0] / total if total else 0.0
+def draws(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, draw, toxic, n``: the labelled rows without their texts, which
+    stay where they are until the sample is known; equal rows as one, with
+    their number."""
+    drawn = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("draw"))
+    known = labels.filter("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    return drawn.join(known, "doc_id").groupBy("doc_id", "draw", "toxic").agg(F.count(F.lit(1)).alias("n"))
+
+
+def first_draws(rows: DataFrame) -> DataFrame:
+    """The ``SAMPLE`` smallest draws of each class: first of each of ``PARTS``
+    parts, so that no task reads a whole class, then of what these leave."""
+    for by in (["toxic", F.pmod("draw", F.lit(PARTS))], ["toxic"]):
+        rows = (rows.withColumn("nth", F.row_number().over(W.partitionBy(*by).orderBy("draw", "doc_id")))
+                .filter(F.col("nth") <= SAMPLE).drop("nth"))
+    return rows.select("doc_id", "draw", "toxic")
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Fit on ``doc_id, text`` of ``docs`` and ``doc_id, toxic`` (0 or 1; other labels are left out) of ``labels``."""
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = saved(draws(docs, labels), "toxicity-draws")
+    shares = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
+    total = sum(shares.values())
+    share = shares.get(1, 0) / total if total else 0.0
     if len(shares) < 2:
         return Model(b"", b"", None, share)
-    sample = saved(rows.filter(" OR ".join(f"(toxic = {k} AND draw <= {last})" for k, (_, last) in shares.items()))
-                   .select("toxic", "text", "draw"), "toxicity-sample")
+    chosen = F.broadcast(first_draws(rows))  # 2 * SAMPLE rows of three numbers at most
+    sample = saved(docs.withColumn("draw", F.xxhash64("doc_id", "text")).join(chosen, ["doc_id", "draw"])
+                   .dropDuplicates(["doc_id", "draw", "toxic"]).select("toxic", "text", "draw"), "toxicity-sample")
     # Copies of a text would count as so many witnesses: one stands for all.
     once = sample.dropDuplicates(["toxic", "text"])
     size = {r.toxic: r["count"] for r in once.groupBy("toxic").count().collect()}
@@ -170,7 +189,7 @@ def fit(train: DataFrame) -> Model:
     got = sample.select("toxic", "text").mapInArrow(_feature_rows(bare), "toxic int, features array<double>").collect()  # 2 * SAMPLE rows at most
     y = np.array([r.toxic for r in got], float)
     drawn = {k: max(1, int((y == k).sum())) for k in (0, 1)}
-    w = np.where(y == 1, shares[1][0] / drawn[1], shares[0][0] / drawn[0])
+    w = np.where(y == 1, shares[1] / drawn[1], shares[0] / drawn[0])
     return Model(content[0], content[1], logistic(np.array([r.features for r in got]), y, w / w.mean()), share)
 
 
@@ -193,11 +212,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(_score(model), "doc_id long, held_out boolean, score double, predicted int")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    learn = docs.filter(fold("doc_id", FOLDS) != 0).select("doc_id", "text")
-    return learn.join(labels.filter("toxic IS NOT NULL").select("doc_id", "toxic"), "doc_id")
-
-
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return score(docs, fit(training_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))))
+    learn = docs.filter(fold("doc_id", FOLDS) != 0)
+    return score(docs, fit(learn, spark.read.parquet(f"{sf_dir}/labels.parquet")))

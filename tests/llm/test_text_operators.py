@@ -336,3 +336,23 @@ def test_pipeline_stages(spark, tmp_path):
             assert docs.columns == columns
     assert docs.count() >= len(before)
     assert corpus_pipeline.run(spark, SMALL).count() == docs.count()
+
+
+def test_op5_sample_of_repeated_rows(spark, odd):
+    """Equal rows are drawn once, counted as often as they occur; missing labels and ids don't train."""
+    labels = spark.createDataFrame([(i, t) for i, t in [(4, 1), (5, 1), (6, 0), (6, 0), (7, None), (8, 2), (None, 1), (99, 0)]],
+                                   "doc_id long, toxic int")
+    rows = {(r.doc_id, r.toxic): r.n for r in toxicity.draws(odd, labels).collect()}
+    assert rows == {(4, 1): 1, (5, 1): 2, (6, 0): 2}
+    assert toxicity.fit(odd, labels).share == 3 / 5
+    empty = toxicity.fit(odd.limit(0), labels)
+    assert empty.share == 0 and {r.score for r in toxicity.score(odd, empty).collect()} == {0.0}
+
+
+def test_op5_first_draws_are_the_smallest(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 7)
+    monkeypatch.setattr(toxicity, "PARTS", 3)
+    rows = [(i, (i * 7919) % 1009 - 500, i % 2) for i in range(300)]
+    got = toxicity.first_draws(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, draw long, toxic int, n long")).collect()
+    want = [r for k in (0, 1) for r in sorted((r for r in rows if r[2] == k), key=lambda r: r[1])[:7]]
+    assert sorted(tuple(r) for r in got) == sorted(want)
