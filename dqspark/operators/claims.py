@@ -174,10 +174,11 @@ def duplicate_claim_groups(claims: DataFrame, **kw) -> DuplicateGroups:
 
 def duplicate_claims(claims: DataFrame, **kw) -> DataFrame:
     """C14: claims equal on patient, provider, service date and amount; NULL
-    keys group together."""
+    keys group together. A group is its row of ``part`` 0; later parts continue
+    its ids."""
     return duplicate_claim_groups(claims, **kw).members.select(
         "patient_id", "provider_id", "service_date", "claim_total_amount", "duplicate_count",
-        "claim_ids", F.lit(R.ISSUE_DUPLICATE_CLAIM).alias("issue_type"),
+        "claim_ids", F.lit(R.ISSUE_DUPLICATE_CLAIM).alias("issue_type"), "part",
     )
 
 

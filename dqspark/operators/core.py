@@ -10,9 +10,9 @@ Skew: a single key may hold a large share of all rows (the fixture's hot
 patient ``P7`` holds a third of the claims). Counting, min/max and sums are
 partially aggregated map-side, so a hot key costs one row per map task. The
 only per-group collection, the id list of a duplicate group, is split into
-``ceil(count / max_ids_per_row)`` hash buckets of the ids (about
-``max_ids_per_row`` ids each), so no single task or row holds an unbounded
-group.
+numbered parts of about ``max_ids_per_row`` ids, so no single task or row
+holds an unbounded group. Part 0 is the group's finding; further parts only
+continue its id list and are never counted.
 """
 
 from __future__ import annotations
@@ -51,11 +51,12 @@ def incomplete(
 class DuplicateGroups:
     """Result of ``duplicates``.
 
-    ``groups``: one row per duplicated key with ``count_col``.
-    ``members``: the group's ids as sorted arrays, one row per group when the
-    group has at most ``max_ids_per_row`` ids, else several rows each holding
-    a disjoint hash bucket of about that many ids (every row repeats the keys
-    and the full count).
+    ``groups``: one row per duplicated key with ``count_col`` and ``first_id``,
+    the group's smallest id.
+    ``members``: the group's ids as sorted arrays, one row per ``part``. Every
+    group has exactly one part 0, which holds its smallest id; a group with
+    more than ``max_ids_per_row`` ids goes on in further parts (disjoint hash
+    buckets of the ids; every row repeats the keys and the full count).
     """
 
     groups: DataFrame
@@ -75,23 +76,24 @@ def duplicates(
     NULL keys form one group (SQL GROUP BY). Plan: a partially aggregated
     count per key; the (usually few) duplicated keys are joined back to the
     rows to pick up their ids; the ids are collected per (key, slice) where
-    the slice is ``hash(id) mod ceil(count / max_ids_per_row)``. The join
-    back uses null-safe equality so NULL keys meet again.
+    the slice is ``hash(id) mod ceil(count / max_ids_per_row)``, counted from the
+    slice of the smallest id. The join back uses null-safe equality so NULL keys meet again.
     """
     rows = df.select(*keys, id_col)
-    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)
+    groups = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(count_col), F.min(id_col).alias("first_id")
+    ).filter(F.col(count_col) > 1)
     n_slices = F.ceil(F.col(count_col) / F.lit(max_ids_per_row)).cast("int")
     tagged = groups.select(
-        *[F.col(k).alias(f"_g_{k}") for k in keys], count_col, n_slices.alias("_slices")
+        *[F.col(k).alias(f"_g_{k}") for k in keys], count_col,
+        n_slices.alias("_slices"), F.pmod(F.xxhash64("first_id"), n_slices).alias("_first"),
     )
     cond = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
     joined = rows.join(tagged, cond, "inner").select(
         *keys, count_col, id_col,
-        F.pmod(F.xxhash64(F.col(id_col)), F.col("_slices")).alias("_slice"),
+        F.pmod(F.pmod(F.xxhash64(F.col(id_col)), F.col("_slices")) - F.col("_first"), F.col("_slices")).alias("part"),
     )
-    members = joined.groupBy(*keys, count_col, "_slice").agg(
-        F.sort_array(F.collect_list(id_col)).alias(ids_out)
-    ).drop("_slice")
+    members = joined.groupBy(*keys, count_col, "part").agg(F.sort_array(F.collect_list(id_col)).alias(ids_out))
     return DuplicateGroups(groups=groups, members=members)
 
 

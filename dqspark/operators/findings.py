@@ -43,13 +43,18 @@ class CheckResult:
     # summary column -> (issue column summed into it, result type)
     totals: dict[str, tuple[str, str]] = field(default_factory=dict)
 
+    @property
+    def findings(self) -> DataFrame:
+        """One row per finding: rows that only continue a finding's ids are left out."""
+        return self.base.filter(F.col("part") == 0).drop("part") if "part" in self.base.columns else self.base
+
     @property
     def details(self) -> DataFrame:
         return self.base.orderBy(*self.order) if self.order else self.base
 
     @property
     def issues(self) -> DataFrame:
-        return self.base.select(*self.issue_columns)
+        return self.findings.select(*self.issue_columns)
 
     def checkpointed(self) -> "CheckResult":
         """Reliable checkpoint of ``base`` into ``spark.checkpoint.dir``."""
@@ -123,10 +128,10 @@ def check_temporal_anomalies(claims: DataFrame) -> CheckResult:
 
 def check_duplicate_records(patients: DataFrame, sort: bool = False, **kw) -> CheckResult:
     """C13 without label, keyed on the group's smallest id; MEDIUM. The
-    run summary adds ``total_duplicates``. A group with more ids than one row
-    holds is reported once per slice of ids."""
+    run summary adds ``total_duplicates``. A group is one finding whatever its
+    size: ids beyond one row's bound stand in detail rows with ``part`` > 0."""
     base = P.duplicate_patient_groups(patients, **kw).members.select(
-        "name", "date_of_birth", "duplicate_count", "patient_ids"
+        "name", "date_of_birth", "duplicate_count", "patient_ids", "part"
     )
     ids = F.col("patient_ids")
     cols = _issue_cols(
@@ -134,7 +139,7 @@ def check_duplicate_records(patients: DataFrame, sort: bool = False, **kw) -> Ch
         F.concat(F.lit(R.DUPLICATES_PREFIX), F.array_join(ids, ", ")), F.lit(R.SEVERITY_MEDIUM),
         amount=F.col("duplicate_count"),
     )
-    order = (F.col("duplicate_count").desc(),) if sort else ()
+    order = (F.col("duplicate_count").desc(), F.col("name"), F.col("date_of_birth"), F.col("part")) if sort else ()
     return CheckResult("duplicate_records", R.CHECKER_DUPLICATE_RECORDS[0], base, tuple(cols), order,
                        {"total_duplicates": ("_amount", "bigint")})
 

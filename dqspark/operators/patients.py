@@ -131,12 +131,13 @@ def duplicate_patient_groups(patients: DataFrame, **kw) -> DuplicateGroups:
 
 
 def duplicate_patients(patients: DataFrame, sort: bool = False, **kw) -> DataFrame:
-    """Active patients sharing name and birth date; ``sort=True``: largest groups first."""
+    """Active patients sharing name and birth date; ``sort=True``: largest
+    groups first. A group is its row of ``part`` 0; later parts continue its ids."""
     out = duplicate_patient_groups(patients, **kw).members.select(
         "name", "date_of_birth", "duplicate_count", "patient_ids",
-        F.lit(R.ISSUE_DUPLICATE_PATIENT).alias("issue_type"),
+        F.lit(R.ISSUE_DUPLICATE_PATIENT).alias("issue_type"), "part",
     )
-    return out.orderBy(F.col("duplicate_count").desc()) if sort else out
+    return out.orderBy(F.col("duplicate_count").desc(), "name", "date_of_birth", "part") if sort else out
 
 
 def stale_patients(patients: DataFrame, as_of: dt.datetime | dt.date | str,

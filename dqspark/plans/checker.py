@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.exprs import as_timestamp
 from ..operators import findings as FND
+from ..operators.core import MAX_IDS_PER_ROW
 from ..session import checkpoint_dir
 
 
@@ -36,7 +37,7 @@ class RunResult:
     summary: DataFrame        # one row
 
 
-def build_checks(tables, as_of: dt.date | str) -> dict[str, FND.CheckResult]:
+def build_checks(tables, as_of: dt.date | str, max_ids_per_row: int = MAX_IDS_PER_ROW) -> dict[str, FND.CheckResult]:
     """The five checks of the reference's checker, in its order. ``tables``
     is anything with ``patient_records``, ``providers``, ``claims`` and
     ``claims_line_items`` attributes (e.g. ``HealthcareTables``) or a dict."""
@@ -45,7 +46,7 @@ def build_checks(tables, as_of: dt.date | str) -> dict[str, FND.CheckResult]:
         FND.check_patient_completeness(t.patient_records),
         FND.check_claims_discrepancies(t.claims, t.claims_line_items),
         FND.check_temporal_anomalies(t.claims),
-        FND.check_duplicate_records(t.patient_records),
+        FND.check_duplicate_records(t.patient_records, max_ids_per_row=max_ids_per_row),
         FND.check_provider_credentials(t.providers, as_of),
     ]
     return {c.key: c for c in checks}
@@ -84,11 +85,12 @@ def summarize(checks: dict[str, FND.CheckResult], findings: DataFrame) -> tuple[
 
 
 def run_all_checks(tables, as_of: dt.date | str, run_ts: dt.datetime | str | None = None,
-                   run_id: str | None = None, materialize: bool = False) -> RunResult:
+                   run_id: str | None = None, materialize: bool = False,
+                   max_ids_per_row: int = MAX_IDS_PER_ROW) -> RunResult:
     """P06. Nothing executes until an action on the returned DataFrames,
     unless ``materialize`` checkpoints each check's detail rows first."""
     ts = as_timestamp(run_ts if run_ts is not None else as_of)
-    checks = build_checks(tables, as_of)
+    checks = build_checks(tables, as_of, max_ids_per_row)
     if materialize:
         # Each check's detail rows are computed once and saved; the audit
         # rows, the summary, exports and previews all read the saved rows.

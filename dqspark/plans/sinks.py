@@ -60,11 +60,11 @@ def report_preview(run: RunResult, n: int = R.REPORT_PREVIEW_ROWS) -> DataFrame:
     for key, check in run.checks.items():
         order, id_expr = orders[key]
         id_col = F.col(id_expr) if isinstance(id_expr, str) else id_expr
-        d = check.base.select("*", id_col.cast("string").alias("_record_id"))
+        d = check.findings.select("*", id_col.cast("string").alias("_record_id"))
         top = d.orderBy(*order, F.col("_record_id")).limit(n)
         # A window over the ≤ n rows left after the top-n: one small task.
         w = Window.orderBy(*order, F.col("_record_id"))
-        fields = list(check.base.columns)
+        fields = list(check.findings.columns)
         parts.append(top.select(
             F.lit(key).alias("check_key"),
             F.row_number().over(w).alias("preview_rank"),
@@ -126,7 +126,7 @@ def render_html_report(run: RunResult, generated_at: str, n: int = R.REPORT_PREV
         out.append(f"<h2>{esc(name)}</h2><p><strong>Issues Found:</strong> {found}</p>")
         rows = previews.get(key, [])
         if found and rows:
-            cols = list(run.checks[key].details.columns)
+            cols = list(run.checks[key].findings.columns)
             out.append("<table><tr>" + "".join(f"<th>{esc(c)}</th>" for c in cols) + "</tr>")
             for row in rows:
                 out.append("<tr>" + "".join(f"<td>{esc(str(row.get(c, '')))}</td>" for c in cols) + "</tr>")

@@ -221,6 +221,32 @@ def test_duplicates_group_null_keys_and_slice_large_groups(spark):
     assert all_ids == sorted(f"h{i:02d}" for i in range(25))
 
 
+@pytest.mark.parametrize("cap", [1, 4, 100_000])
+def test_duplicate_findings_do_not_depend_on_the_id_bound(spark, cap):
+    from dqspark.plans.checker import run_all_checks
+    from dqspark.plans.sinks import report_preview
+
+    people = [patient(f"p{i:02d}", name="Same Name") for i in range(12)] + [patient(f"q{i}", name="Twin") for i in range(2)]
+    run = run_all_checks({
+        "patient_records": spark.createDataFrame(people, PATIENT_SCHEMA),
+        "claims": spark.createDataFrame([], CLAIM_SCHEMA),
+        "claims_line_items": spark.createDataFrame([], LINE_SCHEMA),
+        "providers": spark.createDataFrame(
+            [], "provider_id string, provider_name string, license_number string, license_state string, "
+                "license_expiry_date date, is_active boolean"),
+    }, AS_OF, max_ids_per_row=cap)
+    found = {r["check_key"]: r["issues_found"] for r in run.check_counts.collect()}
+    assert found["duplicate_records"] == 2
+    assert run.summary.first()["total_duplicates"] == 14
+    audit = run.audit.filter("check_type = 'duplicate_check'").collect()
+    assert sorted(r["record_id"] for r in audit) == ["p00", "q0"]
+    preview = report_preview(run).filter("check_key = 'duplicate_records'").orderBy("preview_rank").collect()
+    assert [(r["record_id"], r["preview_rank"]) for r in preview] == [("p00", 1), ("q0", 2)]
+    details = run.checks["duplicate_records"].details.collect()
+    assert sorted(i for r in details for i in r["patient_ids"]) == sorted(p[0] for p in people)
+    assert all(len(r["patient_ids"]) == r["duplicate_count"] for r in details) == (cap > 12)
+
+
 def test_expired_licenses_and_incomplete_providers(spark):
     df = spark.createDataFrame([
         ("D1", "a", "Cardiology", "1", "L1", "CA", D(2024, 1, 31), "x@y.org", True),
