@@ -189,11 +189,9 @@ def orphan_claims_patient(claims: DataFrame, patients: DataFrame) -> DataFrame:
     )
 
 
-def orphan_claims_provider(claims: DataFrame, providers: DataFrame, broadcast_parent: bool = True) -> DataFrame:
-    """Claims whose provider does not exist, a NULL provider included.
-    The provider key set is a dimension: broadcast behind a measured count."""
-    return orphans(claims.select("claim_id", "provider_id", "service_date"), providers, "provider_id",
-                   broadcast_parent=broadcast_parent).select(
+def orphan_claims_provider(claims: DataFrame, providers: DataFrame) -> DataFrame:
+    """Claims whose provider does not exist, a NULL provider included."""
+    return orphans(claims.select("claim_id", "provider_id", "service_date"), providers, "provider_id").select(
         "claim_id", "provider_id", "service_date", F.lit(R.ISSUE_ORPHAN_PROVIDER).alias("issue_type"),
     )
 

@@ -50,11 +50,10 @@ def check_unique(df: DataFrame, column: str) -> DataFrame:
 
 
 def check_foreign_key(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None,
-                      id_col: str, broadcast_parent: bool = False) -> DataFrame:
+                      id_col: str) -> DataFrame:
     """K4: child rows whose non-NULL key has no parent. Unlike the orphan
     checks C15/C16, a NULL foreign key passes, as in SQL."""
-    return orphans(child.select(id_col, key), parent, key, parent_key, null_passes=True,
-                   broadcast_parent=broadcast_parent)
+    return orphans(child.select(id_col, key), parent, key, parent_key, null_passes=True)
 
 
 def check_domain(df: DataFrame, column: str, values, id_col: str) -> DataFrame:

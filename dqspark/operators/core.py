@@ -4,7 +4,6 @@
 * ``duplicates``  — groups of rows sharing a key, with their ids.
 * ``orphans``     — child rows whose key has no parent row (anti join).
 * ``before``      — "older than N days" cut-off on a date column.
-* ``bounded_broadcast`` — broadcast hint behind a measured row bound.
 
 Skew: a single key may hold a large share of all rows (the fixture's hot
 patient ``P7`` holds a third of the claims). Counting, min/max and sums are
@@ -27,8 +26,6 @@ from ..functions.exprs import any_of, date_lit, missing_fields
 
 # Largest id list carried by one output row of a duplicate group.
 MAX_IDS_PER_ROW = 100_000
-# Largest number of rows hinted for broadcast after a measured count.
-MAX_BROADCAST_ROWS = 2_000_000
 
 
 def incomplete(
@@ -98,16 +95,16 @@ def duplicates(
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None,
-            null_passes: bool = False, broadcast_parent: bool = False, salt_buckets: int = 0) -> DataFrame:
+            null_passes: bool = False, salt_buckets: int = 0) -> DataFrame:
     """Child rows with no parent row on ``key``.
 
     ``LEFT JOIN parent ... WHERE parent.key IS NULL`` is written as a
     ``left_anti`` join (Spark does not rewrite the outer-join form). NULL child
     keys are reported unless ``null_passes`` (foreign-key semantics); they skip
     the join (no shuffle of a NULL hot key). Only the
-    parent's key column is read. ``broadcast_parent`` hints a broadcast when a
-    measured count shows the parent fits; otherwise AQE picks the strategy
-    from runtime sizes and splits a skewed child key.
+    parent's key column is read. No side is hinted: Spark broadcasts the parent
+    keys when their measured bytes allow it, else shuffles and splits a skewed
+    child key.
 
     ``salt_buckets=n`` salts the join explicitly, for clusters where AQE's
     skew handling is off: each child row takes bucket ``hash(row) mod n``
@@ -117,8 +114,6 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
     """
     pk = parent_key or key
     parent_keys = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull())
-    if broadcast_parent:
-        parent_keys = bounded_broadcast(parent_keys)
     keyed = child.filter(F.col(key).isNotNull())
     if salt_buckets and salt_buckets > 1:
         salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*keyed.columns), F.lit(salt_buckets)))
@@ -139,12 +134,3 @@ def before(col: str | Column, as_of: dt.date | str, days: int) -> Column:
     literal, so the comparison is pushed to the Parquet scan."""
     c = F.col(col) if isinstance(col, str) else col
     return c < F.date_sub(date_lit(as_of), days)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` only when a count proves it has at most ``max_rows``
-    rows; otherwise ``df`` unchanged (a shuffle join, with AQE free to
-    broadcast it later from measured sizes). Meant for narrow key-only
-    projections of dimension tables, where the count is a cheap job."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -13,18 +13,27 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.exprs import ts_lit
 from ..sources.readers import conform
-from .core import bounded_broadcast
 
 # Tables carrying the reference's updated_at trigger.
 TOUCHED_TABLES = ("patient_records", "claims", "encounters")
 
 
+def _once_per_key(updates: DataFrame, key: str) -> DataFrame:
+    """``updates`` itself; its plan fails on a key that occurs twice."""
+    repeated = (F.col("_n") > 1) & F.col(key).isNotNull()
+    message = F.concat(F.lit(f"repeated update key {key}="), F.col(key).cast("string"))
+    return (updates.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+            .filter(F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+            .drop("_n"))
+
+
 def apply_updates(base: DataFrame, updates: DataFrame, key: str, now: dt.datetime | str,
                   touch_column: str | None = "updated_at", insert_missing: bool = False,
-                  table: str | None = None, broadcast_updates: bool = True) -> DataFrame:
+                  table: str | None = None) -> DataFrame:
     """Return ``base`` with ``updates`` applied on ``key``.
 
     * Matched rows take every non-key column present in ``updates`` (an
@@ -33,21 +42,20 @@ def apply_updates(base: DataFrame, updates: DataFrame, key: str, now: dt.datetim
     * Update rows whose key is absent from ``base`` are ignored, unless
       ``insert_missing``: then they are appended, conformed to ``table``'s
       DDL defaults (``updated_at`` = ``now`` by default, not by trigger).
-    * ``updates`` must hold each key at most once (check it with
-      ``check_primary_key``); several matches would make UPDATE ambiguous.
+    * ``updates`` must hold each key at most once: a repeated key fails the
+      job, as MERGE does. NULL keys match nothing.
     * When ``table`` is given, only the tables with the trigger
       (``TOUCHED_TABLES``) stamp ``touch_column``.
 
-    Plan: ``base`` LEFT JOIN ``updates``. The update set is usually small, so
-    it is broadcast behind a measured row bound and ``base`` is streamed
-    without a shuffle; beyond the bound it is a shuffle join on ``key``.
+    Plan: ``base`` LEFT JOIN ``updates``. Only the update rows are
+    counted per key beforehand; Spark broadcasts them to ``base`` when their
+    measured bytes allow it, else both sides shuffle on ``key``.
     """
     if table is not None and table not in TOUCHED_TABLES:
         touch_column = None          # no updated_at trigger on this table
+    updates = _once_per_key(updates, key)
     upd_cols = [c for c in updates.columns if c != key and c in base.columns]
     u = updates.select(key, *[F.col(c).alias(f"_u_{c}") for c in upd_cols], F.lit(True).alias("_matched"))
-    if broadcast_updates:
-        u = bounded_broadcast(u)
     joined = base.join(u, key, "left")
     matched = F.coalesce(F.col("_matched"), F.lit(False))
     cols = []
@@ -62,8 +70,7 @@ def apply_updates(base: DataFrame, updates: DataFrame, key: str, now: dt.datetim
             cols.append(F.col(c))
     out = joined.select(*cols)
     if insert_missing:
-        # Keys of base that the update set touches: a semi join against the
-        # (broadcast) update keys, so base is not shuffled to find them.
+        # Keys of base that the update set touches.
         hit = base.select(key).join(u.select(key), key, "left_semi")
         new_rows = updates.join(hit, key, "left_anti")
         if table is not None:

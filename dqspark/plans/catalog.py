@@ -101,7 +101,7 @@ CONSTRAINT_QUERIES: dict[str, Query] = {
     "fk_claims_patient": _q(
         lambda t: K.check_foreign_key(t.claims, t.patient_records, "patient_id", None, "claim_id")),
     "fk_claims_provider": _q(
-        lambda t: K.check_foreign_key(t.claims, t.providers, "provider_id", None, "claim_id", broadcast_parent=True)),
+        lambda t: K.check_foreign_key(t.claims, t.providers, "provider_id", None, "claim_id")),
     "fk_line_items_claim": _q(
         lambda t: K.check_foreign_key(t.claims_line_items, t.claims, "claim_id", None, "line_item_id")),
     "fk_encounters_patient": _q(

@@ -3,14 +3,16 @@
 Reads the healthcare tables, runs the checker's five checks once
 (checkpointed), appends the audit rows, writes the quality metrics, the
 report preview, the HTML report and the JSON export. Every output is written by the
-executors, partitioned by run or date with dynamic overwrite, so rerunning
-the same ``run_id`` after a failure replaces its own output.
+executors, partitioned by run with dynamic overwrite, so rerunning the same
+``run_id`` after a failure replaces its own output. Without a ``run_id`` every
+run gets a new one and adds its rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from dataclasses import dataclass
 from types import SimpleNamespace
 
@@ -40,26 +42,36 @@ class DailyRunPaths:
                                                       "results", "quality_report")))
 
 
-def load_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> SimpleNamespace:
-    """``root/<table>`` for each input table, conformed to its declared schema."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its own file system (any Hadoop URI)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def load_tables(spark: SparkSession, root: str, fmt: str = "parquet", audit_log: str | None = None) -> SimpleNamespace:
+    """``root/<table>`` for each input table, conformed to its declared schema.
+
+    ``audit_log`` names the log that M4 and M5 read and must exist; without
+    it, ``root/quality_audit_log`` is read where there is one.
+    """
     out = {}
     for name in INPUT_TABLES:
         path = os.path.join(root, name)
         out[name] = conform(read_table(spark, path, name, fmt=fmt), TABLES[name])
-    audit = os.path.join(root, "quality_audit_log")
-    if os.path.exists(audit):
+    audit = audit_log or os.path.join(root, "quality_audit_log")
+    if audit_log or path_exists(spark, audit):
         out["quality_audit_log"] = spark.read.parquet(audit)
     return SimpleNamespace(**out)
 
 
 def daily_run(tables, as_of: dt.date, out_root: str, run_id: str | None = None,
               run_ts: dt.datetime | None = None) -> RunResult:
-    """Run the checks and write every output under ``out_root``."""
-    ts = run_ts or dt.datetime.combine(as_of, dt.time())
-    rid = run_id or ts.strftime("%Y%m%dT%H%M%S")
+    """Run the checks and write every output under ``out_root``. ``run_ts`` is
+    the clock unless given."""
+    ts = run_ts or dt.datetime.now().replace(microsecond=0)
+    rid = run_id or f"{ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     paths = DailyRunPaths.under(out_root)
     run = run_all_checks(tables, as_of, run_ts=ts, run_id=rid, materialize=True)
-    sinks.append_audit(run.audit, paths.audit)
     t = tables if not isinstance(tables, dict) else SimpleNamespace(**tables)
     metric_parts = dict(
         completeness=MT.completeness_rates(t.patient_records, t.claims, t.providers),
@@ -70,7 +82,9 @@ def daily_run(tables, as_of: dt.date, out_root: str, run_id: str | None = None,
     log = getattr(t, "quality_audit_log", None)
     if log is not None:
         metric_parts.update(resolution=MT.resolution_times(log), trend=MT.weekly_error_trend(log))
-    sinks.append_metrics(MT.metric_rows(as_of, ts, **metric_parts), paths.metrics)
+    # M4 and M5 may read the log this run writes to: metrics go first.
+    sinks.append_metrics(MT.metric_rows(as_of, ts, **metric_parts), paths.metrics, rid)
+    sinks.append_audit(run.audit, paths.audit)
     sinks.write_partitioned(sinks.report_preview(run).withColumn("run_id", F.lit(rid)), paths.preview, "run_id")
     sinks.export_json(run, os.path.join(paths.export, rid))
     sinks.write_html_report(run, os.path.join(paths.html, rid), generated_at=ts.isoformat())

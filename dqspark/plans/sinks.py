@@ -2,7 +2,7 @@
 CSV exports (P08, R4).
 
 Writes are idempotent per run: the audit log and the metrics table are
-partitioned by ``run_id`` / ``metric_date`` and written with dynamic
+partitioned by ``run_id`` (and ``metric_date``) and written with dynamic
 partition overwrite, so a retried job replaces its own partition instead of
 duplicating it, while every new run adds a partition (the append-only log of
 the reference).
@@ -33,9 +33,9 @@ def preview_order() -> dict:
     }
 
 
-def write_partitioned(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> None:
+def write_partitioned(df: DataFrame, path: str, *partition_cols: str, fmt: str = "parquet") -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).format(fmt).save(path))
+     .partitionBy(*partition_cols).format(fmt).save(path))
 
 
 def append_audit(audit: DataFrame, path: str) -> None:
@@ -43,9 +43,10 @@ def append_audit(audit: DataFrame, path: str) -> None:
     write_partitioned(audit, path, "run_id")
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """M6 sink: metric rows, partition ``metric_date``."""
-    write_partitioned(metrics, path, "metric_date")
+def append_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
+    """M6 sink: metric rows, partitions ``metric_date`` and ``run_id``: only a
+    retry of the same run replaces rows."""
+    write_partitioned(metrics.withColumn("run_id", F.lit(run_id)), path, "metric_date", "run_id")
 
 
 def report_preview(run: RunResult, n: int = R.REPORT_PREVIEW_ROWS) -> DataFrame:

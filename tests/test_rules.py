@@ -305,6 +305,19 @@ def test_run_on_empty_tables_passes(spark):
     assert run.audit.count() == 0
 
 
+def test_updates_fail_on_a_repeated_key(spark):
+    from dqspark.operators.updates import apply_updates
+
+    base = spark.createDataFrame([("k1", 1), ("k2", 2)], "id string, v int")
+    once = spark.createDataFrame([("k1", 5), (None, 7), (None, 8)], "id string, v int")
+    out = apply_updates(base, once, "id", AS_OF, touch_column=None)
+    assert sorted(map(tuple, out.collect())) == [("k1", 5), ("k2", 2)]
+    twice = once.unionByName(spark.createDataFrame([("k1", 6)], "id string, v int"))
+    for insert in (False, True):
+        with pytest.raises(Exception, match="repeated update key id=k1"):
+            apply_updates(base, twice, "id", AS_OF, touch_column=None, insert_missing=insert).collect()
+
+
 def test_salted_anti_join_gives_the_same_orphans(spark):
     from dqspark.operators.core import orphans
 

@@ -194,6 +194,28 @@ def test_daily_run_writes_every_output(spark, tables, scratch):
     assert spark.read.parquet(os.path.join(out, "quality_audit_log")).count() == total
 
 
+def test_same_day_runs_add_rows_and_a_retry_replaces_only_itself(spark, tables, scratch):
+    from dqspark.plans.daily_run import daily_run, load_tables
+
+    root = os.path.join(scratch, "same")
+    for name in ("patient_records", "providers", "claims", "claims_line_items", "encounters"):
+        getattr(tables, name).write.parquet(os.path.join(root, name))
+    uri = f"file://{root}"
+    first = daily_run(load_tables(spark, uri), AS_OF, uri, run_id="a")
+    total = first.summary.first()["total_issues_found"]
+    stored = load_tables(spark, uri)
+    assert stored.quality_audit_log.count() == total          # found through a URI too
+    daily_run(stored, AS_OF, uri)                              # another run of the day, a new id
+    daily_run(load_tables(spark, uri), AS_OF, uri, run_id="a")  # retry, log read and written in one folder
+    log = spark.read.parquet(os.path.join(root, "quality_audit_log"))
+    assert log.count() == 2 * total and log.select("run_id").distinct().count() == 2
+    metrics = spark.read.parquet(os.path.join(root, "quality_metrics"))
+    by_run = metrics.groupBy("run_id").pivot("category").count().collect()
+    assert len(by_run) == 2 and all(r["trend"] for r in by_run)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        load_tables(spark, uri, audit_log=f"{uri}/no_such_log")
+
+
 def test_csv_and_json_sources_use_the_declared_schema(spark, tables, scratch):
     path = os.path.join(scratch, "claims_csv")
     tables.claims.write.option("header", "true").csv(path)
