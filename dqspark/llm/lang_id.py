@@ -36,6 +36,7 @@ BITS = 11
 DIM = 1 << BITS
 CENTROIDS = 4
 PER_LANGUAGE = 1500
+PARTS = 64
 SLACK = 0.6
 FOLDS = 5
 UNKNOWN = "und"
@@ -143,9 +144,11 @@ def fit(train: DataFrame) -> Model:
     """Fit on rows ``doc_id, text, lang``; those without a language are left out."""
     rows = train.filter("lang IS NOT NULL AND text IS NOT NULL").select(
         F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("draw"))
-    limit = rows.select("lang", "draw").withColumn("nth", F.row_number().over(
-        W.partitionBy("lang").orderBy("draw"))).filter(f"nth <= {PER_LANGUAGE}").groupBy("lang").agg(F.max("draw").alias("last"))
-    limits_by = {r.lang: r["last"] for r in limit.collect()}  # one number per language
+    first = rows.select("lang", "draw")
+    # The first of each part, then of what the parts leave: no task reads a whole language.
+    for by in (["lang", F.pmod("draw", F.lit(PARTS))], ["lang"]):
+        first = first.withColumn("nth", F.row_number().over(W.partitionBy(*by).orderBy("draw"))).filter(f"nth <= {PER_LANGUAGE}")
+    limits_by = {r.lang: r["last"] for r in first.groupBy("lang").agg(F.max("draw").alias("last")).collect()}  # one number per language
     if not limits_by:
         return Model([], np.zeros((0, DIM)), np.ones(DIM), {})
     last = F.create_map(*[F.lit(x) for kv in limits_by.items() for x in kv])
