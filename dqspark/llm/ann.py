@@ -8,8 +8,10 @@ step cells down or up, in order of the summed squared distances to the cell
 borders. Candidates of all tables are merged and ranked by the exact cosine in
 double precision on the original vectors.
 
-A bucket is met in parts of about ``PART`` rows, so copies of one vector do
-not gather in a task. A query that finds fewer than ``k`` is searched exactly,
+Rows that repeat an id and its vector are one row. A bucket is met in parts of
+about ``PART`` rows, dealt by id and vector, so neither copies of one vector
+nor an id of many vectors gather in a task; a part ranks its ids by their best
+row, and the k best ids of every part hold the k best of all. A query that finds fewer than ``k`` is searched exactly,
 in blocks, against all rows.
 
 Defined cases: vectors that are NULL, empty, zero or hold a NULL or non-finite
@@ -111,18 +113,21 @@ def _rank(k: int):
             return schema.empty_table()
         c, ids = _matrix(rows), rows.column("vec_id").to_numpy()
         norm = np.sqrt((c * c).sum(axis=1))
+        # Rows of an id side by side: the cut is among ids, each by its best row.
+        order = np.argsort(ids, kind="stable")
+        c, norm = c[order], norm[order]
+        ids, first = np.unique(ids[order], return_index=True)
         out = ([], [], [])
         for q, v in zip(queries.column("vec_id").to_pylist(), _matrix(queries)):
             # Row by row sums: equal vectors get equal scores wherever they stand.
-            score = (c * v).sum(axis=1) / (norm * np.sqrt((v * v).sum()))
+            score = np.maximum.reduceat((c * v).sum(axis=1) / (norm * np.sqrt((v * v).sum())), first)
             score[ids == q] = -np.inf
             if len(score) > 4 * k:
                 edge = -np.partition(-score, k)[k]
                 near = np.flatnonzero(score >= edge)
             else:
                 near = np.arange(len(score))
-            near = near[np.lexsort((ids[near], -score[near]))]
-            near = near[np.sort(np.unique(ids[near], return_index=True)[1])][:k]
+            near = near[np.lexsort((ids[near], -score[near]))][:k]
             near = near[score[near] > -np.inf]
             out[0].extend([q] * len(near))
             out[1].extend(ids[near].tolist())
@@ -157,12 +162,12 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, probes: int = PROBES) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k nearest found of each query row."""
-    rows, asked = usable(vectors), usable(queries)
+    rows, asked = usable(vectors).distinct(), usable(queries).distinct()
     index = saved(rows.mapInArrow(_hash_rows(1), _HASHED), "ann-index")
     parts = index.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
 
     def part(n):
-        return F.pmod(F.xxhash64("vec_id"), n).cast("int").alias("part")
+        return F.pmod(F.xxhash64("vec_id", "embedding"), n).cast("int").alias("part")
 
     stored = index.join(parts, "bucket").select("bucket", part(F.col("parts")), "vec_id", "embedding")
     visits = asked.mapInArrow(_hash_rows(probes), _HASHED).join(parts, "bucket").select(

@@ -206,6 +206,28 @@ def test_op6_odd_vectors_and_few_rows(spark):
     assert ann.search(v.limit(0), v.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("part", [4000, 16])
+def test_op6_repeated_neighbour_leaves_room_for_others(spark, monkeypatch, part):
+    """Id 7 is nearest and stands 60 times, 30 of them with vectors of their own."""
+    monkeypatch.setattr(ann, "PART", part)
+    rng = np.random.default_rng(3)
+    q = rng.normal(size=8)
+    rows = [(0, q)] * 2 + [(7, q * 2)] * 30 + [(7, q + 0.01 * rng.normal(size=8)) for _ in range(30)]
+    rows += [(i, q + 0.5 * rng.normal(size=8)) for i in range(20, 60)]
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in rows], "vec_id long, embedding array<double>")
+    best = {}
+    for i, x in rows:
+        best[i] = max(best.get(i, -2), float(x @ q / np.sqrt((x @ x) * (q @ q))))
+    want = sorted((i for i in best if i), key=lambda i: (-best[i], i))[:5]
+    for probes in (ann.PROBES, 1):  # one probe finds fewer than five: searched exactly
+        got = ann.search(v, v.filter("vec_id = 0"), probes=probes).orderBy("rank").collect()
+        assert len(got) == 5 and got[0].vec_id == 7
+        assert all(r.score == pytest.approx(best[r.vec_id]) for r in got)
+    ranked = ann._rank(5)((), pa.table({"vec_id": [0], "embedding": [q.tolist()]}), pa.table(
+        {"vec_id": [i for i, _ in rows], "embedding": [x.tolist() for _, x in rows]}))
+    assert ranked.column("vec_id").to_pylist() == want
+
+
 def test_perturbations_come_in_order():
     down = np.array([0.1, 0.45, 0.8])
     steps = ann.perturbations(down, 27)
