@@ -10,8 +10,8 @@ patient ``P7`` holds a third of the claims). Counting, min/max and sums are
 partially aggregated map-side, so a hot key costs one row per map task. The
 only per-group collection, the id list of a duplicate group, is split into
 numbered parts of about ``max_ids_per_row`` ids, so no single task or row
-holds an unbounded group. Part 0 is the group's finding; further parts only
-continue its id list and are never counted.
+holds an unbounded group. ``one_row_per_group`` joins the parts where the
+result is one row a group with all its ids (findings, audit text).
 """
 
 from __future__ import annotations
@@ -94,6 +94,15 @@ def duplicates(
     return DuplicateGroups(groups=groups, members=members)
 
 
+def one_row_per_group(members: DataFrame, ids: str) -> DataFrame:
+    """The rows of ``members`` with a group's parts joined again: all its ids,
+    sorted, in one row, whatever bound the parts were made with. Only parts are
+    shuffled, so a task merges as many rows of a group as it has parts."""
+    columns = [c for c in members.columns if c != "part"]
+    joined = members.groupBy(*[c for c in columns if c != ids]).agg(F.sort_array(F.flatten(F.collect_list(ids))).alias(ids))
+    return joined.select(*columns)
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None,
             null_passes: bool = False, salt_buckets: int = 0) -> DataFrame:
     """Child rows with no parent row on ``key``.

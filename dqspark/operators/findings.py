@@ -21,6 +21,7 @@ from ..functions.exprs import money, money_text, ts_lit
 from . import claims as C
 from . import patients as P
 from . import providers as V
+from .core import one_row_per_group
 
 ISSUE_COLUMNS = ["check_type", "table_name", "record_id", "issue_type", "issue_description", "severity"]
 
@@ -42,11 +43,13 @@ class CheckResult:
     order: tuple = ()
     # summary column -> (issue column summed into it, result type)
     totals: dict[str, tuple[str, str]] = field(default_factory=dict)
+    # the ids that ``base`` spreads over numbered parts of a finding
+    parted: str | None = None
 
     @property
     def findings(self) -> DataFrame:
-        """One row per finding: rows that only continue a finding's ids are left out."""
-        return self.base.filter(F.col("part") == 0).drop("part") if "part" in self.base.columns else self.base
+        """One row per finding, with the ids of all its parts."""
+        return one_row_per_group(self.base, self.parted) if self.parted else self.base
 
     @property
     def details(self) -> DataFrame:
@@ -129,7 +132,7 @@ def check_temporal_anomalies(claims: DataFrame) -> CheckResult:
 def check_duplicate_records(patients: DataFrame, sort: bool = False, **kw) -> CheckResult:
     """C13 without label, keyed on the group's smallest id; MEDIUM. The
     run summary adds ``total_duplicates``. A group is one finding whatever its
-    size: ids beyond one row's bound stand in detail rows with ``part`` > 0."""
+    size, its audit text lists all ids; detail rows hold them in numbered parts."""
     base = P.duplicate_patient_groups(patients, **kw).members.select(
         "name", "date_of_birth", "duplicate_count", "patient_ids", "part"
     )
@@ -141,7 +144,7 @@ def check_duplicate_records(patients: DataFrame, sort: bool = False, **kw) -> Ch
     )
     order = (F.col("duplicate_count").desc(), F.col("name"), F.col("date_of_birth"), F.col("part")) if sort else ()
     return CheckResult("duplicate_records", R.CHECKER_DUPLICATE_RECORDS[0], base, tuple(cols), order,
-                       {"total_duplicates": ("_amount", "bigint")})
+                       {"total_duplicates": ("_amount", "bigint")}, "patient_ids")
 
 
 def check_provider_credentials(providers: DataFrame, as_of: dt.date | str, sort: bool = False) -> CheckResult:

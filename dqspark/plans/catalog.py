@@ -20,6 +20,7 @@ from ..operators import findings as FND
 from ..operators import metrics as MT
 from ..operators import patients as P
 from ..operators import providers as V
+from ..operators.core import one_row_per_group
 from ..operators.updates import apply_updates
 from ..sources.fixtures import FIXTURE_AS_OF, load_fixtures
 from ..sources.readers import conform
@@ -53,8 +54,8 @@ CHECK_QUERIES: dict[str, Query] = {
     "long_pending_claims": _q(lambda t: C.long_pending_claims(t.claims, AS_OF)),
     "expired_licenses": _q(lambda t: V.expired_licenses(t.providers, AS_OF)),
     "incomplete_providers": _q(lambda t: V.incomplete_providers(t.providers)),
-    "duplicate_patients": _q(lambda t: P.duplicate_patients(t.patient_records).drop("part")),
-    "duplicate_claims": _q(lambda t: C.duplicate_claims(t.claims).drop("part")),
+    "duplicate_patients": _q(lambda t: one_row_per_group(P.duplicate_patients(t.patient_records), "patient_ids")),
+    "duplicate_claims": _q(lambda t: one_row_per_group(C.duplicate_claims(t.claims), "claim_ids")),
     "orphan_claims_patient": _q(lambda t: C.orphan_claims_patient(t.claims, t.patient_records)),
     "orphan_claims_provider": _q(lambda t: C.orphan_claims_provider(t.claims, t.providers)),
     "high_amount_claims": _q(lambda t: C.high_amount_claims(t.claims)),
@@ -80,7 +81,7 @@ CHECKER_QUERIES: dict[str, Query] = {
     "checker_claims_discrepancies": _q(
         lambda t: FND.check_claims_discrepancies(t.claims, t.claims_line_items).details),
     "checker_temporal_anomalies": _q(lambda t: FND.check_temporal_anomalies(t.claims).details),
-    "checker_duplicate_records": _q(lambda t: FND.check_duplicate_records(t.patient_records).details.drop("part")),
+    "checker_duplicate_records": _q(lambda t: FND.check_duplicate_records(t.patient_records).findings),
     "checker_provider_credentials": _q(lambda t: FND.check_provider_credentials(t.providers, AS_OF).details),
     # audit_id is a hash DuckDB cannot reproduce and run_id a label; the
     # comparison covers every other audit column.

@@ -247,6 +247,26 @@ def test_duplicate_findings_do_not_depend_on_the_id_bound(spark, cap):
     assert all(len(r["patient_ids"]) == r["duplicate_count"] for r in details) == (cap > 12)
 
 
+@pytest.mark.parametrize("cap", [1, 4, 100_000])
+def test_duplicate_audit_rows_and_groups_are_whole_at_every_id_bound(spark, cap):
+    from dqspark.operators.core import one_row_per_group
+
+    people = [patient(f"p{i:02d}", name="Same Name") for i in range(12)] + [patient(f"q{i}", name="Twin") for i in range(2)]
+    check = FND.check_duplicate_records(spark.createDataFrame(people, PATIENT_SCHEMA), max_ids_per_row=cap)
+    got = sorted(tuple(r) for r in FND.audit_issues([check], "2024-02-01 00:00:00").drop("audit_id", "check_timestamp").collect())
+    names = [", ".join(f"p{i:02d}" for i in range(12)), "q0, q1"]
+    assert [r[:6] for r in got] == [
+        ("duplicate_check", "patient_records", first, "potential_duplicate", f"Duplicate patients found: {ids}", "MEDIUM")
+        for first, ids in zip(["p00", "q0"], names)]
+    rows = [claim(f"h{i:02d}", pid="HOT", service=D(2023, 1, 1), total="5.00") for i in range(25)]
+    rows += [claim(f"n{i}", pid=None, service=D(2023, 1, 1), total="5.00") for i in range(2)]
+    parts = C.duplicate_claims(spark.createDataFrame(rows, CLAIM_SCHEMA), max_ids_per_row=cap)
+    whole = one_row_per_group(parts, "claim_ids")
+    assert whole.columns == [c for c in parts.columns if c != "part"]
+    assert {r["patient_id"]: r["claim_ids"] for r in whole.collect()} == {
+        "HOT": [f"h{i:02d}" for i in range(25)], None: ["n0", "n1"]} and whole.count() == 2
+
+
 def test_expired_licenses_and_incomplete_providers(spark):
     df = spark.createDataFrame([
         ("D1", "a", "Cardiology", "1", "L1", "CA", D(2024, 1, 31), "x@y.org", True),
