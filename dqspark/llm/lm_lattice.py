@@ -298,10 +298,13 @@ class Totals:
         self.discount = min(0.95, max(0.1, once / max(1, once + 2 * twice)))
 
     def discounted(self, c, below):
-        """Discounted relative frequency of counts, the freed mass spread as ``below``."""
+        """Log of the discounted relative frequency of counts, the freed mass
+        spread as ``below`` (a log too: long words fall beneath any double)."""
         if not self.n:
             return below
-        return np.maximum(c - self.discount, 0) / self.n + self.discount * self.v / self.n * below
+        with np.errstate(divide="ignore"):
+            own = np.log(np.maximum(c - self.discount, 0) / self.n)
+        return np.logaddexp(own, math.log(self.discount * self.v / self.n) + below)
 
 
 def _score_documents(every: Totals, kinds: list[Totals], end_lp: float, concentration: float):
@@ -317,8 +320,8 @@ def _score_documents(every: Totals, kinds: list[Totals], end_lp: float, concentr
         counts[local] = pc.list_flatten(words.column("c")).to_numpy().reshape(-1, len(kinds))
         c = counts.sum(axis=1)
         base, known = np.log10((c + 0.1) / floor), c > 0
-        common = every.discounted(c, np.maximum(np.exp(lp), 1e-250))
-        end_common = every.discounted(every.ends, math.exp(end_lp))
+        common = every.discounted(c, lp)
+        end_common = every.discounted(every.ends, end_lp)
 
         raw = docs.column("words").combine_chunks()
         w = np.frombuffer(b"".join(raw.to_pylist()), "<i4")
@@ -331,6 +334,7 @@ def _score_documents(every: Totals, kinds: list[Totals], end_lp: float, concentr
         first = np.flatnonzero(new)
         again = np.empty(len(w))
         again[order] = np.arange(len(w)) - np.repeat(first, np.diff(np.append(first, len(w))))
+        repeats = np.flatnonzero(again)
         before = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
         def total(x):
@@ -338,9 +342,11 @@ def _score_documents(every: Totals, kinds: list[Totals], end_lp: float, concentr
 
         told = np.empty((len(kinds), len(raw)))
         for i, kind in enumerate(kinds):
-            p = concentration * kind.discounted(counts[:, i], common)
-            p_end = concentration * kind.discounted(kind.ends, end_common)
-            told[i] = math.log(prior[i]) + total(np.log(again + p[w])) + np.log(p_end)
+            p = math.log(concentration) + kind.discounted(counts[:, i], common)
+            p_end = math.log(concentration) + kind.discounted(kind.ends, end_common)
+            each = p[w]
+            each[repeats] = np.log(again[repeats] + np.exp(each[repeats]))
+            told[i] = math.log(prior[i]) + total(each) + p_end
         told = np.logaddexp.reduce(told, axis=0) - total(np.log(before + concentration)) - np.log(sizes + concentration)
         return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
                          "n_tokens": pa.array(sizes.astype(np.int64) + 1),

@@ -104,6 +104,32 @@ def test_op1_base_score_and_gain(spark, small):
     assert len(got) == len(tokens)
 
 
+def test_op1_long_words_score_their_whole_lattice(spark):
+    """Untrained, a document's first word is its lattice value and nothing else."""
+    texts = ["q" * 5000, "q" * 150, "ꙮ" * 5000, "q" * 5000 + " " + "q" * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").filter("text is not null")
+    got = {r.doc_id: r.score for r in lm_lattice.score(docs, folds=1).collect()}
+    pieces = lm_lattice.pieces_of(lm_lattice.default_vocabulary())
+    logp = np.log(pieces.first)
+    lp = lm_lattice.word_log_probability(pa.array(texts[:3]), pieces, logp)
+    end = logp[pieces.end] - math.log(pieces.first[pieces.marked].sum() + pieces.first[pieces.end])
+    c = lm_lattice.CONCENTRATION
+    for i in range(3):
+        assert got[i] == pytest.approx((lp[i] + math.log(c / (1 + c)) + end) / math.log(10))
+    # The second time the word follows itself: 1 / (1 + c), its own weight is nothing beside 1.
+    assert got[3] == pytest.approx((lp[0] - math.log(1 + c) + math.log(c / (2 + c)) + end) / math.log(10))
+    assert got[0] < 20 * got[1] < 0
+
+
+def test_op1_counted_words_are_mixed_in_log_space(spark):
+    """A trained document: counts and lattice as in plain doubles, far below them too."""
+    t = lm_lattice.Totals({"once_a": 3, "twice_a": 1, "n_a": 9, "v_a": 5}, "a", 2)
+    c, below = np.array([0, 1, 4]), np.array([-20.0, -3.0, -9.0])
+    plain = np.maximum(c - t.discount, 0) / t.n + t.discount * t.v / t.n * np.exp(below)
+    assert np.allclose(np.exp(t.discounted(c, below)), plain)
+    assert t.discounted(0, -5000.0) == pytest.approx(-5000 + math.log(t.discount * t.v / t.n))
+
+
 def test_op1_odd_rows(spark, odd):
     got = lm_lattice.score(odd, rounds=1).collect()
     assert len(got) == len(ODD)
