@@ -360,6 +360,21 @@ def test_novel_secrets_and_redaction(spark):
     assert secrets.scan(rows.limit(0)).count() == 0
 
 
+def test_digit_poor_keys_are_found_and_words_are_not(spark):
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYzGqTwNvHjK"] + ["".join(rng.choices(letters, k=n)) for n in (16, 20, 24, 32) * 10]
+    words = ["authenticationManagerFactory", "user_authentication_backend", "responsibilities", "nichtchzulichein",
+             "src/main/java/com/example/security/TokenProvider", "OAuth2ClientCredentials", "4952935900253052"]
+    text = [f"the credential {k} is used" for k in keys + words]
+    rows = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(rows).collect()}
+    assert [got[i] for i in range(len(keys))] == [f"novel:15:{15 + len(k)}" for k in keys]
+    assert not any(got[i] for i in range(len(keys), len(text)))
+    out = {r.doc_id: r.text for r in secrets.redact(rows).collect()}
+    assert all(out[i] == "the credential [SECRET] is used" for i in range(len(keys)))
+
+
 # --- pipeline -----------------------------------------------------------------
 
 def test_pipeline_stages(spark, tmp_path):
