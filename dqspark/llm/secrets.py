@@ -1,7 +1,8 @@
 """Secret scans with dictionary-primed zstandard novelty (operator 9).
 
 Base kinds are patterns. Further candidates are strings of key characters
-near a word that announces a secret; plain numbers are none, and strings with
+near a word that announces a secret, name and value of ``name=value`` each by
+itself; plain numbers are none, and strings with
 fewer than two digits are none if they are made of words (``WORDY``). A
 candidate is reported when it is incompressible where it stands: with a zstandard dictionary made of the
 corpus's identifiers and the code around the candidate, the bytes it adds to
@@ -38,9 +39,11 @@ _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 # Words that announce a secret, and the strings they may announce.
 SENSITIVE = ("key", "secret", "token", "passw", "credential", "auth", "bearer", "signature", "private")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+_INNER = re.compile(r"=+(?=[A-Za-z0-9+/_-])")
 REACH = 48
-"""Characters before a candidate in which a sensitive word must stand."""
+"""Characters from the end of a sensitive word in which a candidate must start."""
 CONTEXT = 512
 NOVELTY = 0.7
 IDENTIFIERS = 2000
@@ -97,20 +100,30 @@ def may_be_key(s: str) -> bool:
 
 def candidates(text: str, lower: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     """Spans near a sensitive word that no base span touches."""
-    out, at = [], -1
-    hints = sorted({m.start() for w in SENSITIVE if w in lower for m in re.finditer(w, lower)})
-    for h in hints:
-        for m in CANDIDATE.finditer(text, max(h, at), min(len(text), h + REACH)):
-            # The window may cut the string: take all of it.
-            start, end = m.start(), CANDIDATE.match(text, m.start()).end()
-            while start and _key_char(text[start - 1]):
-                start -= 1
-            if start >= at and may_be_key(text[start:end]) and not any(a < end and start < b for a, b, _ in taken):
-                out.append((start, end))
-                at = end
+    out, at = [], 0
+    hints = sorted({m.span() for w in SENSITIVE if w in lower for m in re.finditer(w, lower)})
+    for h, stop in hints:
+        begin = max(h, at)
+        while begin > at and _key_char(text[begin - 1]):
+            begin -= 1
+        # A string may start up to REACH after the word; its end is not bounded.
+        while begin <= stop + REACH and (m := CANDIDATE.search(text, begin, stop + REACH + LEAST)):
+            start, at = m.start(), CANDIDATE.match(text, m.start()).end()
+            out += [(s, e) for s, e in values(text, start, at)
+                    if may_be_key(text[s:e]) and not any(a < e and s < b for a, b, _ in taken)]
+            begin = at
     return out
 
 
+def values(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The string, or the sides of its first inner ``=`` (a name and its value)
+    that are long enough; whole if the value is not."""
+    sign = _INNER.search(text, start + 1, end)
+    if not sign or end - sign.end() < LEAST:
+        return [(start, end)]
+    return [(s, e) for s, e in ((start, sign.start()), (sign.end(), end)) if e - s >= LEAST]
+
+
 def _key_char(c: str) -> bool:
     return c.isascii() and (c.isalnum() or c in "+/_=-")
 

@@ -375,6 +375,29 @@ def test_digit_poor_keys_are_found_and_words_are_not(spark):
     assert all(out[i] == "the credential [SECRET] is used" for i in range(len(keys)))
 
 
+@pytest.mark.parametrize("gap", [1, 20, 32, 33, 40, 47, 48])
+def test_candidates_start_within_reach_of_the_word(gap):
+    key = "qX7vTz0LkP93mNwR2sYbA1zE"
+    text = "credential" + " " * gap + key + " and a long tail of other text"
+    assert secrets.find(text)[1] == [(10 + gap, 34 + gap, text[:10 + gap], key)]
+    assert not secrets.find("credential" + " " * 49 + key)[1]
+    long = key * 400
+    assert [x[3] for x in secrets.find("credential " + long)[1]] == [long]
+
+
+def test_novelty_is_measured_on_the_value_alone(spark):
+    name, rng = "client_credential_private_key", random.Random(8)
+    keys = ["".join(rng.choices("ABCDEFGHJKabcdefghjk0123456789", k=n)) for n in range(16, 33)]
+    text = [f"{name} is needed: {name}={k}" for k in keys]
+    rows = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(rows).collect()}
+    for i, (t, k) in enumerate(zip(text, keys)):
+        assert got[i] == f"novel:{t.index(k)}:{len(t)}"
+    padded, short = "qX7vTz0LkP93mNwR2sYb==", "private_key=a1b2c3"
+    assert [x[3] for x in secrets.find(f"private {padded} ")[1]] == [padded]
+    assert [x[3] for x in secrets.find(short)[1]] == [short]
+
+
 # --- pipeline -----------------------------------------------------------------
 
 def test_pipeline_stages(spark, tmp_path):
