@@ -16,9 +16,11 @@ from .packing import op4_best_fit_packing
 from .secrets import op9_secret_scan
 from .toxicity import op5_toxicity
 from .sp_codec import op3_sentencepiece
+from .token_alignment import op13_token_alignment
 from .token_store import op7_token_store
 
-_QUERIES = [op1_lattice_score, op2_language_id, op3_sentencepiece, op4_best_fit_packing, op5_toxicity, op6_nearest_neighbours, op7_token_store, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup]
+_QUERIES = [op1_lattice_score, op2_language_id, op3_sentencepiece, op4_best_fit_packing, op5_toxicity, op6_nearest_neighbours, op7_token_store, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup,
+            op13_token_alignment]
 
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
