@@ -13,6 +13,7 @@ from .lang_id import op2_language_id
 from .lm_lattice import op1_lattice_score
 from .ngram_join import op8_ngram_jaccard
 from .packing import op4_best_fit_packing
+from .quality_ratio import op11_quality_ratio
 from .secrets import op9_secret_scan
 from .toxicity import op5_toxicity
 from .sp_codec import op3_sentencepiece
@@ -20,7 +21,7 @@ from .token_alignment import op13_token_alignment
 from .token_store import op7_token_store
 
 _QUERIES = [op1_lattice_score, op2_language_id, op3_sentencepiece, op4_best_fit_packing, op5_toxicity, op6_nearest_neighbours, op7_token_store, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup,
-            op13_token_alignment]
+            op11_quality_ratio, op13_token_alignment]
 
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

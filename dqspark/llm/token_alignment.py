@@ -87,7 +87,7 @@ class Pair:
 @cache
 def pair(a_path: str, b_path: str) -> Pair:
     a, b = encoder(a_path, specials=False), PieceEncoder(b_path)
-    size_a, size_b = max(a.token_bytes) + 1, len(b.token_bytes)
+    size_a, size_b = a.size, len(b.token_bytes)
     written = [f"{i}{s}" for i in range(size_a) for s in ",|"] + [f"{i}{s}" for i in range(size_b) for s in (",", ";", "")]
     return Pair(a, b, np.array([len(a.token_bytes.get(i, b"")) for i in range(size_a)]),
                 np.array([len(x) for x in b.token_bytes]), pa.array(b.token_bytes, pa.large_binary()),

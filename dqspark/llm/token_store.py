@@ -99,7 +99,7 @@ def write_store(docs: DataFrame, vocabulary: str | None = None) -> TokenStore:
     """Encode ``docs`` (doc_id, text) into shards and index them."""
     spark = docs.sparkSession
     path = vocabulary or vocabulary_path()
-    width = 2 if encoder(path).tok.get_vocab_size() <= 1 << 16 else 4
+    width = 2 if encoder(path).size <= 1 << 16 else 4
     root = new_dir(spark, "token-store")
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .repartitionByRange(scan_partitions(docs), F.col("doc_id").asc_nulls_first())

@@ -63,6 +63,7 @@ class BatchEncoder:
         self.limit, self.special = limit, list(added)
         self.token_bytes: dict[int, bytes] = {
             i: t.encode() if t in added else bytes(alphabet[c] for c in t) for t, i in (vocab | added).items()}
+        self.size = max(self.token_bytes) + 1
         ranks = {self.token_bytes[i]: i for t, i in vocab.items() if t not in added}
         merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
         splitter = spec["pre_tokenizer"]
