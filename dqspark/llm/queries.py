@@ -13,6 +13,7 @@ from .lang_id import op2_language_id
 from .lm_lattice import op1_lattice_score
 from .ngram_join import op8_ngram_jaccard
 from .packing import op4_best_fit_packing
+from .phrase_mining import OP12_SQL, op12_phrase_mining
 from .quality_ratio import op11_quality_ratio
 from .secrets import op9_secret_scan
 from .toxicity import op5_toxicity
@@ -21,7 +22,7 @@ from .token_alignment import op13_token_alignment
 from .token_store import op7_token_store
 
 _QUERIES = [op1_lattice_score, op2_language_id, op3_sentencepiece, op4_best_fit_packing, op5_toxicity, op6_nearest_neighbours, op7_token_store, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup,
-            op11_quality_ratio, op13_token_alignment]
+            op11_quality_ratio, op12_phrase_mining, op13_token_alignment]
 
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -37,4 +38,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op10_exact_dedup": OP10_SQL, "op12_phrase_mining": OP12_SQL}
