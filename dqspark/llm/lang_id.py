@@ -5,12 +5,14 @@ edges included) hashed into ``DIM`` counts; counts are weighted ``log(1 + c)``
 times the inverse document frequency and scaled to length 1. Each language has
 ``CENTROIDS`` centroids (spherical k-means); a text takes the language of the
 centroid with the largest cosine. It is *rejected* when even that cosine is
-below the language's limit: ``SLACK`` times the smallest cosine its training
-texts have to their own centroids.
+below the language's limit: ``SLACK`` times the cosine to their own centroids
+that all but ``LOWEST`` of the language's training texts reach.
 
-The model is fitted on a bounded sample of the training rows, at most
-``PER_LANGUAGE`` of each language (those with the smallest hash of id and
-text). Only text and lang of those rows are read; a prediction reads text.
+Document frequencies and limits cover all training rows (the limits through
+histograms of ``_BIN`` wide bins). The centroids are fitted on a bounded
+sample, at most ``PER_LANGUAGE`` distinct rows of each language (those with the
+smallest hash of id and text). Only text and lang of training rows are read; a
+prediction reads text. Counts are made for at most ``_ROWS`` texts at a time.
 
 Defined cases: NULL text, or text without a letter, is ``und`` with score 0
 and rejected; with no training row at all everything is ``und``; ties take the
@@ -21,7 +23,8 @@ ignored by ``predict`` and kept by ``keep_accepted``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections import defaultdict
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +40,13 @@ DIM = 1 << BITS
 CENTROIDS = 4
 PER_LANGUAGE = 1500
 PARTS = 64
-SLACK = 0.6
+LOWEST = 0.002
+SLACK = 0.9
 FOLDS = 5
 UNKNOWN = "und"
 _SLICE = 2_000_000
+_ROWS = 256
+_BIN = 1e-3
 _LETTER = None
 
 
@@ -107,36 +113,59 @@ class Model:
     limits: dict[str, float]
 
 
-def _count_rows(batches):
+def _blocks(batches, column: str = "text"):
+    """Slices of few rows and little text each: dense counts stay small."""
     for batch in batches:
-        for a, b in text_slices(batch, most=_SLICE):
-            rows = batch.slice(a, b - a)
-            counts = np.minimum(ngram_counts(rows.column("text")), 65535).astype("<u2")
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("lang"), pa.array([r.tobytes() for r in counts], pa.binary())], names=["lang", "counts"])
+        for a, b in text_slices(batch, column, most=_SLICE):
+            for first in range(a, b, _ROWS):
+                yield batch.slice(first, min(_ROWS, b - first))
+
+
+def _count_rows(batches):
+    for rows in _blocks(batches):
+        counts = ngram_counts(rows.column("text")).astype("<u4")
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("lang"), pa.array([r.tobytes() for r in counts], pa.binary())], names=["lang", "counts"])
 
 
 def _document_frequency(batches):
     df, n = np.zeros(DIM, np.int64), 0
-    for batch in batches:
-        for raw in batch.column("counts").to_pylist():
-            df += np.frombuffer(raw, "<u2") > 0
-            n += 1
-    yield pa.RecordBatch.from_arrays([pa.array([df.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["df", "n"])
+    for rows in _blocks(batches):
+        df += np.count_nonzero(ngram_counts(rows.column("text")), axis=0)
+        n += rows.num_rows
+    # The last slot holds the number of documents.
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIM + 1)), pa.array(np.append(df, n))], names=["slot", "n"])
+
+
+def _own_cosines(model: "Model"):
+    bins = int(round(1 / _BIN)) + 1
+
+    def run(batches):
+        seen = {}
+        for rows in _blocks(batches):
+            counts = ngram_counts(rows.column("text"))
+            cosine = vectors(counts, model.idf) @ model.centroids.T
+            has, langs = counts.any(axis=1), np.array(rows.column("lang").to_pylist(), object)
+            for lang in set(langs[has]) & set(model.languages):
+                own = cosine[:, [x == lang for x in model.languages]].max(axis=1)[has & (langs == lang)]
+                seen[lang] = seen.get(lang, 0) + np.bincount(np.clip(own / _BIN, 0, bins - 1).astype(int), minlength=bins)
+        for lang, n in seen.items():
+            some = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(n[some])],
+                                             names=["lang", "bin", "n"])
+    return run
 
 
 def _fit_language(idf: np.ndarray):
     def run(key, table):
-        counts = np.array([np.frombuffer(r, "<u2") for r in table.column("counts").to_pylist()])
+        counts = np.array([np.frombuffer(r, "<u4") for r in table.column("counts").to_pylist()])
         v = vectors(counts, idf)
         v = v[np.linalg.norm(v, axis=1) > 0]
         if not len(v):
-            return pa.table({"lang": pa.array([], pa.string()), "centroid": pa.array([], pa.binary()), "limit": pa.array([], pa.float64())})
+            return pa.table({"lang": pa.array([], pa.string()), "centroid": pa.array([], pa.binary())})
         c = cluster(v, min(CENTROIDS, len(v)))
-        limit = SLACK * float(np.max(v @ c.T, axis=1).min())
         return pa.table({"lang": pa.array([key[0].as_py()] * len(c), pa.string()),
-                         "centroid": pa.array([x.astype("<f4").tobytes() for x in c], pa.binary()),
-                         "limit": pa.array([limit] * len(c))})
+                         "centroid": pa.array([x.astype("<f4").tobytes() for x in c], pa.binary())})
     return run
 
 
@@ -144,7 +173,7 @@ def fit(train: DataFrame) -> Model:
     """Fit on rows ``doc_id, text, lang``; those without a language are left out."""
     rows = train.filter("lang IS NOT NULL AND text IS NOT NULL").select(
         F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("draw"))
-    first = rows.select("lang", "draw")
+    first = rows.select("lang", "draw").distinct()   # repeated rows are one draw
     # The first of each part, then of what the parts leave: no task reads a whole language.
     for by in (["lang", F.pmod("draw", F.lit(PARTS))], ["lang"]):
         first = first.withColumn("nth", F.row_number().over(W.partitionBy(*by).orderBy("draw"))).filter(f"nth <= {PER_LANGUAGE}")
@@ -154,13 +183,29 @@ def fit(train: DataFrame) -> Model:
     last = F.create_map(*[F.lit(x) for kv in limits_by.items() for x in kv])
     sample = saved(rows.filter(F.col("draw") <= last[F.col("lang")]).dropDuplicates(["lang", "draw"])
                    .select("lang", "text").mapInArrow(_count_rows, "lang string, counts binary"), "language-sample")
-    parts = sample.mapInArrow(_document_frequency, "df binary, n long").collect()  # one row per task of the sample
-    df, n = sum(np.frombuffer(r.df, np.int64) for r in parts), sum(r.n for r in parts)
-    idf = np.log((n + 1) / (df + 1)) + 1
-    got = sorted(sample.groupBy("lang").applyInArrow(_fit_language(idf), "lang string, centroid binary, limit double")
+    texts = rows.select("lang", "text")
+    df = np.zeros(DIM + 1)
+    for r in texts.mapInArrow(_document_frequency, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # DIM + 1 rows
+        df[r.slot] = r.n
+    idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
+    got = sorted(sample.groupBy("lang").applyInArrow(_fit_language(idf), "lang string, centroid binary")
                  .collect(), key=lambda r: (r.lang, r.centroid))  # CENTROIDS rows per language
-    return Model([r.lang for r in got], np.array([np.frombuffer(r.centroid, "<f4") for r in got], float).reshape(-1, DIM),
-                 idf, {r.lang: r.limit for r in got})
+    model = Model([r.lang for r in got], np.array([np.frombuffer(r.centroid, "<f4") for r in got], float).reshape(-1, DIM), idf, {})
+    bins = texts.mapInArrow(_own_cosines(model), "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    seen = defaultdict(dict)
+    for r in bins.collect():      # at most 1 / _BIN rows per language
+        seen[r.lang][r.bin] = r.n
+    return replace(model, limits={lang: SLACK * _low(seen[lang]) for lang in set(model.languages)})
+
+
+def _low(counts: dict[int, int]) -> float:
+    """The value that all but the ``LOWEST`` share reach, from counts by bin."""
+    may_miss, done = LOWEST * sum(counts.values()), 0
+    for b in sorted(counts):
+        done += counts[b]
+        if done > may_miss:
+            return b * _BIN
+    return 0.0
 
 
 def classify(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -179,13 +224,11 @@ def classify(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.n
 
 def _predict(model: Model, carried: list[str], outputs: dict[str, str]):
     def run(batches):
-        for batch in batches:
-            for a, b in text_slices(batch, most=_SLICE):
-                rows = batch.slice(a, b - a)
-                names, score, rejected = classify(rows.column("text"), model)
-                made = {"lang_pred": pa.array(names, pa.string()), "score": pa.array(score), "rejected": pa.array(rejected)}
-                yield pa.RecordBatch.from_arrays([rows.column(c) for c in carried] + [made[k] for k in outputs],
-                                                 names=carried + list(outputs.values()))
+        for rows in _blocks(batches):
+            names, score, rejected = classify(rows.column("text"), model)
+            made = {"lang_pred": pa.array(names, pa.string()), "score": pa.array(score), "rejected": pa.array(rejected)}
+            yield pa.RecordBatch.from_arrays([rows.column(c) for c in carried] + [made[k] for k in outputs],
+                                             names=carried + list(outputs.values()))
     return run
 
 
