@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -114,3 +114,11 @@ def pct(part: Column, whole: Column, digits: int = 2) -> Column:
 def money_text(amount: Column) -> Column:
     """Python's ``f"{x:.2f}"`` of an amount: two decimals, no grouping."""
     return amount.cast("decimal(20,2)").cast("string")
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

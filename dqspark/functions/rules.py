@@ -42,6 +42,7 @@ DISCREPANCY_TOTAL_PREFIX = "Claim total: $"
 DISCREPANCY_LINES_PREFIX = ", Line items sum: $"
 DISCREPANCY_AMOUNT_PREFIX = ", Discrepancy: $"
 DUPLICATES_PREFIX = "Duplicate patients found: "
+DUPLICATES_MORE = ", more: "
 EXPIRED_PREFIX = "License expired "
 EXPIRED_SUFFIX = " days ago"
 SEVERITY_MEDIUM = "MEDIUM"
@@ -74,7 +75,7 @@ HIGH_MISSING_FIELDS = 2
 RECENT_DAYS = 30
 REPORT_PREVIEW_ROWS = 10
 
-# Field lists of the completeness checks, in the reference's order.
+# --- Fixed values: field lists of the completeness checks, in the reference's order
 PATIENT_REQUIRED_FIELDS = ("name", "date_of_birth", "insurance_id", "primary_provider")
 PROVIDER_REQUIRED_FIELDS = ("npi_number", "license_number", "specialty", "contact_email")
 CONTACT_INFO_FIELD = "contact_info"

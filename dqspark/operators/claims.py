@@ -60,8 +60,14 @@ def claim_line_mismatch(claims: DataFrame, lines: DataFrame, tolerance=R.AMOUNT_
     largest discrepancy first (the reference's ORDER BY).
     """
     extra = ["service_date", "status"] if with_service_columns else []
-    t = claim_line_totals(claims, lines, extra)
-    diff = _line_diff()
+    return mismatched_totals(claim_line_totals(claims, lines, extra), tolerance, sort, with_service_columns, with_issue_type)
+
+
+def mismatched_totals(t: DataFrame, tolerance=R.AMOUNT_TOLERANCE, sort: bool = False, with_service_columns: bool = True,
+                      with_issue_type: bool = True) -> DataFrame:
+    """C06 over ``claim_line_totals`` rows."""
+    extra = ["service_date", "status"] if with_service_columns else []
+    diff = line_difference()
     out_cols = ["claim_id", "patient_id", "provider_id"] + extra + [
         "claim_total_amount", "calculated_total", "line_item_count",
         diff.alias("discrepancy_amount"),
@@ -73,13 +79,14 @@ def claim_line_mismatch(claims: DataFrame, lines: DataFrame, tolerance=R.AMOUNT_
     return out.orderBy(F.col("discrepancy_amount").desc()) if sort else out
 
 
-def _line_diff():
+def line_difference():
+    """The amount C06 compares, over ``claim_line_totals`` rows."""
     return F.abs(F.col("claim_total_amount") - F.col("calculated_total"))
 
 
 def claim_line_mismatch_condition(tolerance=R.AMOUNT_TOLERANCE):
     """Row predicate of C06 over ``claim_line_totals`` rows."""
-    return _line_diff() > money(tolerance)
+    return line_difference() > money(tolerance)
 
 
 def _parts():
@@ -155,11 +162,21 @@ def temporal_anomalies(claims: DataFrame) -> DataFrame:
     )
 
 
+def long_pending_condition(as_of: dt.date | str, days: int = R.PENDING_DAYS, statuses=R.OPEN_STATUSES):
+    """Row predicate of C10."""
+    return F.col("status").isin(*statuses) & before("submission_date", as_of, days)
+
+
+def high_amount_condition(threshold=R.HIGH_AMOUNT_THRESHOLD):
+    """Row predicate of C17."""
+    return F.col("claim_total_amount") > money(threshold)
+
+
 def long_pending_claims(claims: DataFrame, as_of: dt.date | str, days: int = R.PENDING_DAYS,
                         statuses=R.OPEN_STATUSES, sort: bool = False) -> DataFrame:
     """Open claims submitted more than ``days`` days before ``as_of``;
     ``sort=True``: oldest first."""
-    out = claims.filter(F.col("status").isin(*statuses) & before("submission_date", as_of, days)).select(
+    out = claims.filter(long_pending_condition(as_of, days, statuses)).select(
         "claim_id", "patient_id", "provider_id", "submission_date", "status",
         days_between(date_lit(as_of), F.col("submission_date")).alias("days_pending"),
         F.lit(R.ISSUE_LONG_PENDING).alias("issue_type"),
@@ -167,18 +184,16 @@ def long_pending_claims(claims: DataFrame, as_of: dt.date | str, days: int = R.P
     return out.orderBy("submission_date") if sort else out
 
 
-def duplicate_claim_groups(claims: DataFrame, **kw) -> DuplicateGroups:
-    keys = ["patient_id", "provider_id", "service_date", "claim_total_amount"]
-    return duplicates(claims, keys, "claim_id", "claim_ids", **kw)
+def duplicate_claim_groups(claims: DataFrame) -> DuplicateGroups:
+    return duplicates(claims, ["patient_id", "provider_id", "service_date", "claim_total_amount"], "claim_id")
 
 
-def duplicate_claims(claims: DataFrame, **kw) -> DataFrame:
-    """C14: claims equal on patient, provider, service date and amount; NULL
-    keys group together. A group is its row of ``part`` 0; later parts continue
-    its ids."""
-    return duplicate_claim_groups(claims, **kw).members.select(
+def duplicate_claims(claims: DataFrame) -> DataFrame:
+    """C14: claims equal on patient, provider, service date and amount, one row
+    per claim, numbered within their group; NULL keys group together."""
+    return duplicate_claim_groups(claims).members().select(
         "patient_id", "provider_id", "service_date", "claim_total_amount", "duplicate_count",
-        "claim_ids", F.lit(R.ISSUE_DUPLICATE_CLAIM).alias("issue_type"), "part",
+        "first_id", "member_no", "claim_id", F.lit(R.ISSUE_DUPLICATE_CLAIM).alias("issue_type"),
     )
 
 
@@ -198,7 +213,7 @@ def orphan_claims_provider(claims: DataFrame, providers: DataFrame) -> DataFrame
 
 def high_amount_claims(claims: DataFrame, threshold=R.HIGH_AMOUNT_THRESHOLD, sort: bool = False) -> DataFrame:
     """C17: claim totals strictly above ``threshold``; ``sort=True``: largest first."""
-    out = claims.filter(F.col("claim_total_amount") > money(threshold)).select(
+    out = claims.filter(high_amount_condition(threshold)).select(
         "claim_id", "patient_id", "provider_id", "service_date", "claim_total_amount",
         F.lit(R.ISSUE_HIGH_AMOUNT).alias("issue_type"),
     )

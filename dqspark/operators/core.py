@@ -7,11 +7,9 @@
 
 Skew: a single key may hold a large share of all rows (the fixture's hot
 patient ``P7`` holds a third of the claims). Counting, min/max and sums are
-partially aggregated map-side, so a hot key costs one row per map task. The
-only per-group collection, the id list of a duplicate group, is split into
-numbered parts of about ``max_ids_per_row`` ids, so no single task or row
-holds an unbounded group. ``one_row_per_group`` joins the parts where the
-result is one row a group with all its ids (findings, audit text).
+partially aggregated map-side, so a hot key costs one row per map task. A
+duplicate group's ids are rows of a member table, numbered across range
+partitions: no task and no row holds a whole group, whatever its size.
 """
 
 from __future__ import annotations
@@ -23,10 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import any_of, date_lit, missing_fields
-
-# Largest id list carried by one output row of a duplicate group.
-MAX_IDS_PER_ROW = 100_000
-
+from .numbering import ordered
 
 def incomplete(
     df: DataFrame,
@@ -49,58 +44,43 @@ class DuplicateGroups:
     """Result of ``duplicates``.
 
     ``groups``: one row per duplicated key with ``count_col`` and ``first_id``,
-    the group's smallest id.
-    ``members``: the group's ids as sorted arrays, one row per ``part``. Every
-    group has exactly one part 0, which holds its smallest id; a group with
-    more than ``max_ids_per_row`` ids goes on in further parts (disjoint hash
-    buckets of the ids; every row repeats the keys and the full count).
+    the group's smallest id, by which findings point to the members.
+    ``rows``: the ungrouped key and id columns.
     """
 
+    keys: list[str]
+    id_col: str
+    count_col: str
     groups: DataFrame
-    members: DataFrame
-
-
-def duplicates(
-    df: DataFrame,
-    keys: list[str],
-    id_col: str,
-    ids_out: str,
-    count_col: str = "duplicate_count",
-    max_ids_per_row: int = MAX_IDS_PER_ROW,
-) -> DuplicateGroups:
-    """``GROUP BY keys HAVING COUNT(*) > 1`` with ``ARRAY_AGG(id)``.
-
-    NULL keys form one group (SQL GROUP BY). Plan: a partially aggregated
-    count per key; the (usually few) duplicated keys are joined back to the
-    rows to pick up their ids; the ids are collected per (key, slice) where
-    the slice is ``hash(id) mod ceil(count / max_ids_per_row)``, counted from the
-    slice of the smallest id. The join back uses null-safe equality so NULL keys meet again.
-    """
+    rows: DataFrame
+
+    def members(self) -> DataFrame:
+        """One row per member: the keys, ``count_col``, ``first_id``, the id and
+        ``member_no`` (1 for the smallest id).
+
+        The duplicated keys are joined back to the rows (null-safe, so NULL
+        keys meet again), and rows numbered in the order of keys and ids across
+        range partitions; a member's number is its row's less its group's
+        first. Sorting on the id too spreads a large group over many tasks.
+        """
+        named = self.groups.select(*[F.col(k).alias(f"_g_{k}") for k in self.keys], self.count_col, "first_id")
+        meets = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in self.keys]
+        rows = self.rows.join(named, meets).select(*self.keys, self.count_col, "first_id", self.id_col)
+        placed = ordered(rows, [*self.keys, self.id_col], "_row")
+        firsts = placed.groupBy(*self.keys).agg(F.min("_row").alias("_first_row")).select(
+            *[F.col(k).alias(f"_g_{k}") for k in self.keys], "_first_row")
+        return placed.join(firsts, meets).select(
+            *self.keys, self.count_col, "first_id", (F.col("_row") - F.col("_first_row") + 1).alias("member_no"), self.id_col)
+
+
+def duplicates(df: DataFrame, keys: list[str], id_col: str, count_col: str = "duplicate_count") -> DuplicateGroups:
+    """``GROUP BY keys HAVING COUNT(*) > 1``; NULL keys form one group. One
+    partially aggregated count per key."""
     rows = df.select(*keys, id_col)
     groups = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(count_col), F.min(id_col).alias("first_id")
     ).filter(F.col(count_col) > 1)
-    n_slices = F.ceil(F.col(count_col) / F.lit(max_ids_per_row)).cast("int")
-    tagged = groups.select(
-        *[F.col(k).alias(f"_g_{k}") for k in keys], count_col,
-        n_slices.alias("_slices"), F.pmod(F.xxhash64("first_id"), n_slices).alias("_first"),
-    )
-    cond = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
-    joined = rows.join(tagged, cond, "inner").select(
-        *keys, count_col, id_col,
-        F.pmod(F.pmod(F.xxhash64(F.col(id_col)), F.col("_slices")) - F.col("_first"), F.col("_slices")).alias("part"),
-    )
-    members = joined.groupBy(*keys, count_col, "part").agg(F.sort_array(F.collect_list(id_col)).alias(ids_out))
-    return DuplicateGroups(groups=groups, members=members)
-
-
-def one_row_per_group(members: DataFrame, ids: str) -> DataFrame:
-    """The rows of ``members`` with a group's parts joined again: all its ids,
-    sorted, in one row, whatever bound the parts were made with. Only parts are
-    shuffled, so a task merges as many rows of a group as it has parts."""
-    columns = [c for c in members.columns if c != "part"]
-    joined = members.groupBy(*[c for c in columns if c != ids]).agg(F.sort_array(F.flatten(F.collect_list(ids))).alias(ids))
-    return joined.select(*columns)
+    return DuplicateGroups(list(keys), id_col, count_col, groups, rows)
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None,

@@ -11,6 +11,7 @@ appended in one job instead of one INSERT and commit per finding.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from ..functions.exprs import money, money_text, ts_lit
 from . import claims as C
 from . import patients as P
 from . import providers as V
-from .core import one_row_per_group
+from .numbering import ordered
 
 ISSUE_COLUMNS = ["check_type", "table_name", "record_id", "issue_type", "issue_description", "severity"]
 
@@ -43,13 +44,8 @@ class CheckResult:
     order: tuple = ()
     # summary column -> (issue column summed into it, result type)
     totals: dict[str, tuple[str, str]] = field(default_factory=dict)
-    # the ids that ``base`` spreads over numbered parts of a finding
-    parted: str | None = None
-
-    @property
-    def findings(self) -> DataFrame:
-        """One row per finding, with the ids of all its parts."""
-        return one_row_per_group(self.base, self.parted) if self.parted else self.base
+    # the rows behind each finding, where a finding stands for several
+    members: Callable[[], DataFrame] | None = None
 
     @property
     def details(self) -> DataFrame:
@@ -57,7 +53,7 @@ class CheckResult:
 
     @property
     def issues(self) -> DataFrame:
-        return self.findings.select(*self.issue_columns)
+        return self.base.select(*self.issue_columns)
 
     def checkpointed(self) -> "CheckResult":
         """Reliable checkpoint of ``base`` into ``spark.checkpoint.dir``."""
@@ -115,7 +111,12 @@ def check_patient_completeness(patients: DataFrame) -> CheckResult:
 def check_claims_discrepancies(claims: DataFrame, lines: DataFrame, sort: bool = False) -> CheckResult:
     """C06 without service date, status and label; CRITICAL above 1000,
     else HIGH. The run summary adds ``total_discrepancy``."""
-    base = C.claim_line_mismatch(claims, lines, sort=False, with_service_columns=False, with_issue_type=False)
+    return check_line_totals(C.claim_line_totals(claims, lines), sort)
+
+
+def check_line_totals(totals: DataFrame, sort: bool = False) -> CheckResult:
+    """P02 over ``claim_line_totals`` rows."""
+    base = C.mismatched_totals(totals, with_service_columns=False, with_issue_type=False)
     # Audit rows come from the unsorted rows: the sort is for presentation only.
     order = (F.col("discrepancy_amount").desc(),) if sort else ()
     return CheckResult("claims_discrepancies", R.CHECKER_CLAIMS_DISCREPANCIES[0], base,
@@ -129,22 +130,21 @@ def check_temporal_anomalies(claims: DataFrame) -> CheckResult:
     return CheckResult("temporal_anomalies", R.CHECKER_TEMPORAL_ANOMALIES[0], base, tuple(_temporal_issue_cols()))
 
 
-def check_duplicate_records(patients: DataFrame, sort: bool = False, **kw) -> CheckResult:
-    """C13 without label, keyed on the group's smallest id; MEDIUM. The
-    run summary adds ``total_duplicates``. A group is one finding whatever its
-    size, its audit text lists all ids; detail rows hold them in numbered parts."""
-    base = P.duplicate_patient_groups(patients, **kw).members.select(
-        "name", "date_of_birth", "duplicate_count", "patient_ids", "part"
-    )
-    ids = F.col("patient_ids")
+def check_duplicate_records(patients: DataFrame, sort: bool = False) -> CheckResult:
+    """One finding per group of C13, keyed on its smallest id; MEDIUM. The
+    run summary adds ``total_duplicates``. The text names the smallest id and
+    how many more there are; the members are rows of their own."""
+    groups = P.duplicate_patient_groups(patients)
+    base = groups.groups.select("name", "date_of_birth", "duplicate_count", "first_id")
+    more = (F.col("duplicate_count") - 1).cast("string")
     cols = _issue_cols(
-        R.CHECKER_DUPLICATE_RECORDS, F.element_at(ids, 1),
-        F.concat(F.lit(R.DUPLICATES_PREFIX), F.array_join(ids, ", ")), F.lit(R.SEVERITY_MEDIUM),
+        R.CHECKER_DUPLICATE_RECORDS, F.col("first_id"),
+        F.concat(F.lit(R.DUPLICATES_PREFIX), F.col("first_id"), F.lit(R.DUPLICATES_MORE), more), F.lit(R.SEVERITY_MEDIUM),
         amount=F.col("duplicate_count"),
     )
-    order = (F.col("duplicate_count").desc(), F.col("name"), F.col("date_of_birth"), F.col("part")) if sort else ()
+    order = (F.col("duplicate_count").desc(), F.col("name"), F.col("date_of_birth")) if sort else ()
     return CheckResult("duplicate_records", R.CHECKER_DUPLICATE_RECORDS[0], base, tuple(cols), order,
-                       {"total_duplicates": ("_amount", "bigint")}, "patient_ids")
+                       {"total_duplicates": ("_amount", "bigint")}, groups.members)
 
 
 def check_provider_credentials(providers: DataFrame, as_of: dt.date | str, sort: bool = False) -> CheckResult:
@@ -159,27 +159,38 @@ def check_provider_credentials(providers: DataFrame, as_of: dt.date | str, sort:
     return CheckResult("provider_credentials", R.CHECKER_PROVIDER_CREDENTIALS[0], base, tuple(cols), order)
 
 
-def audit_issues(results: list[CheckResult], run_ts: dt.datetime | str, run_id: str | None = None) -> DataFrame:
+def audit_issues(results: list[CheckResult], run_ts: dt.datetime | str, run_id: str | None = None,
+                 last_id: int | None = None) -> DataFrame:
     """Audit-log rows for every finding of ``results``."""
     union = None
     for r in results:
         part = r.issues.select(*ISSUE_COLUMNS)
         union = part if union is None else union.unionByName(part)
-    return audit_rows(union, run_ts, run_id)
+    return audit_rows(union, run_ts, run_id, last_id)
+
+
+AUDIT_ORDER = ["check_type", "record_id", "issue_type", "issue_description", "severity", "table_name"]
 
 
-def audit_rows(issues: DataFrame, run_ts: dt.datetime | str, run_id: str | None = None) -> DataFrame:
+def audit_rows(issues: DataFrame, run_ts: dt.datetime | str, run_id: str | None = None,
+               last_id: int | Column | None = None) -> DataFrame:
     """Issue rows → ``quality_audit_log`` rows (plus ``run_id``).
 
     ``check_timestamp`` is the run timestamp, ``status`` 'OPEN', the
-    assignment/resolution columns NULL. ``audit_id`` replaces the serial with
-    ``xxhash64(run_id, check_type, record_id, issue_description)``: stable
-    when a run is retried, distinct across runs, so appending a rerun repeats
-    the findings under new ids as the reference does.
+    assignment/resolution columns NULL. With ``last_id`` (the log's largest id,
+    0 for an empty log) ``audit_id`` is the serial that follows it, in
+    ``AUDIT_ORDER``: dense, unique, and distinct for equal findings; the rows
+    are written once to fix it. Without it (streams, whose batches must not
+    wait for each other) it is a hash of run and finding.
     """
     run = run_id or str(run_ts)
-    return issues.select(
-        F.xxhash64(F.lit(run), "check_type", "record_id", "issue_description").alias("audit_id"),
+    if last_id is None:
+        rows = issues.withColumn("audit_id", F.xxhash64(F.lit(run), "check_type", "record_id", "issue_description"))
+    else:
+        first = last_id + 1
+        rows = ordered(issues.select(*ISSUE_COLUMNS), AUDIT_ORDER, "audit_id", first)
+    return rows.select(
+        "audit_id",
         ts_lit(run_ts).alias("check_timestamp"),
         *ISSUE_COLUMNS,
         F.lit(R.AUDIT_OPEN).alias("status"),

@@ -16,6 +16,7 @@ from ..functions import rules as R
 from ..functions.exprs import all_of, as_timestamp, date_lit, pct, ts_lit
 from . import claims as C
 from . import patients as P
+from .numbering import ordered
 
 # The data_type labels of the reference's metrics query.
 PATIENT_DATA_TYPE = "Patient Records"
@@ -23,10 +24,14 @@ CLAIMS_DATA_TYPE = "Claims"
 PROCESSED_STATUS = "PROCESSED"
 
 
-def _patients_complete():
+def patients_complete():
     return all_of([F.col(f).isNotNull() for f in R.PATIENT_REQUIRED_FIELDS])
 
 
+def providers_complete():
+    return all_of([F.col(f).isNotNull() for f in R.PROVIDER_REQUIRED_FIELDS])
+
+
 def quality_metrics(patients: DataFrame, claims: DataFrame, as_of: dt.date | str, days: int = R.RECENT_DAYS) -> DataFrame:
     """The reference's documented two-row metrics table.
 
@@ -38,7 +43,7 @@ def quality_metrics(patients: DataFrame, claims: DataFrame, as_of: dt.date | str
     p = patients.agg(
         F.lit(PATIENT_DATA_TYPE).alias("data_type"),
         F.count(F.lit(1)).alias("total_records"),
-        F.count_if(_patients_complete()).alias("complete_records"),
+        F.count_if(patients_complete()).alias("complete_records"),
         F.count_if(F.col("created_at") >= since.cast("timestamp_ntz")).alias("recent_records"),
     )
     c = claims.agg(
@@ -65,11 +70,10 @@ def completeness_rates(patients: DataFrame, claims: DataFrame, providers: DataFr
             F.count(F.lit(1)).alias("total_records"),
             F.count_if(cond).alias("complete_records"),
         )
-    providers_complete = all_of([F.col(f).isNotNull() for f in R.PROVIDER_REQUIRED_FIELDS])
     out = (
-        rate(patients, "patient_records", _patients_complete())
+        rate(patients, "patient_records", patients_complete())
         .unionByName(rate(claims, "claims", F.col("status") == PROCESSED_STATUS))
-        .unionByName(rate(providers, "providers", providers_complete))
+        .unionByName(rate(providers, "providers", providers_complete()))
     )
     return out.withColumn("completeness_rate", pct(F.col("complete_records"), F.col("total_records")))
 
@@ -137,19 +141,27 @@ def weekly_error_trend(audit_log: DataFrame) -> DataFrame:
     return audit_log.groupBy(week.alias("week_start"), "issue_type").agg(F.count(F.lit(1)).alias("findings"))
 
 
+# A weekly count may pass the ten digits the declared schema gives a metric.
+METRIC_TYPE = "decimal(20,2)"
+METRIC_ORDER = ["metric_name", "notes", "category"]
+
+
 def metric_rows(as_of: dt.date | str, run_ts: dt.datetime | str | None = None,
                 completeness: DataFrame | None = None, accuracy: DataFrame | None = None,
                 errors: DataFrame | None = None, resolution: DataFrame | None = None,
-                trend: DataFrame | None = None, targets: dict[str, float] | None = None) -> DataFrame:
+                trend: DataFrame | None = None, targets: dict[str, float] | None = None,
+                rates: DataFrame | None = None, last_id: int = 0) -> DataFrame:
     """M6: M1–M5 as ``quality_metrics`` rows.
 
     ``metric_name`` names the measure, ``notes`` the table, check type or
     week/issue it is about; ``target_value`` comes from ``targets`` keyed by
-    metric name (NULL when absent: the reference defines no targets).
-    ``metric_id`` is a hash of (date, name, notes), stable across retries.
+    metric name (NULL when absent: the reference defines no targets). ``rates``
+    holds such values already (``metric_name, value, category, notes``), as
+    one pass of the fused run gives them. ``metric_id`` is the serial after
+    ``last_id``, in ``METRIC_ORDER``; the rows are written once to fix it.
     """
     ts = as_timestamp(run_ts if run_ts is not None else as_of)
-    parts = []
+    parts = [] if rates is None else [rates.select("metric_name", "value", "category", "notes")]
     if completeness is not None:
         parts.append(completeness.select(F.lit("completeness_rate").alias("metric_name"),
                                          F.col("completeness_rate").alias("value"),
@@ -172,15 +184,15 @@ def metric_rows(as_of: dt.date | str, run_ts: dt.datetime | str | None = None,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    target = F.lit(None).cast("decimal(10,2)")
+    target = F.lit(None).cast(METRIC_TYPE)
     for name, value in (targets or {}).items():
-        target = F.when(F.col("metric_name") == name, F.lit(value).cast("decimal(10,2)")).otherwise(target)
+        target = F.when(F.col("metric_name") == name, F.lit(value).cast(METRIC_TYPE)).otherwise(target)
     day = date_lit(as_of)
-    return out.select(
-        F.xxhash64(day, F.col("metric_name"), F.col("notes")).alias("metric_id"),
+    return ordered(out, METRIC_ORDER, "metric_id", last_id + 1).select(
+        "metric_id",
         day.alias("metric_date"),
         "metric_name",
-        F.col("value").cast("decimal(10,2)").alias("metric_value"),
+        F.col("value").cast(METRIC_TYPE).alias("metric_value"),
         target.alias("target_value"),
         "category",
         "notes",

@@ -15,6 +15,7 @@ from ..functions import rules as R
 from ..functions.exprs import (
     age_years,
     all_of,
+    any_of,
     as_timestamp,
     date_lit,
     days_between,
@@ -37,6 +38,20 @@ def _required_checks(fields=R.PATIENT_REQUIRED_FIELDS):
     return [(f, F.col(f).isNull()) for f in fields]
 
 
+def _completeness_checks():
+    return _required_checks() + [(R.CONTACT_INFO_FIELD, _no_contact())]
+
+
+def incomplete_patient_condition() -> Column:
+    """Row predicate of C02 and P01."""
+    return is_true(F.col("is_active")) & any_of([c for _, c in _completeness_checks()])
+
+
+def missing_field_condition() -> Column:
+    """Row predicate of R1."""
+    return any_of([c for _, c in _required_checks()])
+
+
 def patient_completeness_summary(patients: DataFrame) -> DataFrame:
     """One row of counts over active patients.
 
@@ -67,8 +82,7 @@ def incomplete_patients(patients: DataFrame, sort: bool = False, with_contact_co
         cols += ["contact_phone", "contact_email"]
     if with_timestamps:
         cols += ["created_at", "updated_at"]
-    checks = _required_checks() + [(R.CONTACT_INFO_FIELD, _no_contact())]
-    out = incomplete(_active(patients), checks, cols)
+    out = incomplete(_active(patients), _completeness_checks(), cols)
     if with_timestamps:
         out = out.select(*[c for c in cols if c not in ("created_at", "updated_at")],
                          "missing_fields", "created_at", "updated_at")
@@ -125,19 +139,29 @@ def invalid_email(patients: DataFrame, pattern: str = R.EMAIL_PATTERN) -> DataFr
     )
 
 
-def duplicate_patient_groups(patients: DataFrame, **kw) -> DuplicateGroups:
-    keyed = _active(patients).filter(F.col("name").isNotNull() & F.col("date_of_birth").isNotNull())
-    return duplicates(keyed, ["name", "date_of_birth"], "patient_id", "patient_ids", **kw)
+def duplicate_key_condition() -> Column:
+    """Rows that C13 compares: active, with a name and a birth date."""
+    return is_true(F.col("is_active")) & F.col("name").isNotNull() & F.col("date_of_birth").isNotNull()
+
+
+def duplicate_patient_groups(patients: DataFrame) -> DuplicateGroups:
+    return duplicates(patients.filter(duplicate_key_condition()), ["name", "date_of_birth"], "patient_id")
 
 
-def duplicate_patients(patients: DataFrame, sort: bool = False, **kw) -> DataFrame:
-    """Active patients sharing name and birth date; ``sort=True``: largest
-    groups first. A group is its row of ``part`` 0; later parts continue its ids."""
-    out = duplicate_patient_groups(patients, **kw).members.select(
-        "name", "date_of_birth", "duplicate_count", "patient_ids",
-        F.lit(R.ISSUE_DUPLICATE_PATIENT).alias("issue_type"), "part",
+def duplicate_patients(patients: DataFrame, sort: bool = False) -> DataFrame:
+    """Active patients sharing name and birth date, one row per patient,
+    numbered within their group; ``sort=True``: largest groups first."""
+    out = duplicate_patient_groups(patients).members().select(
+        "name", "date_of_birth", "duplicate_count", "first_id", "member_no", "patient_id",
+        F.lit(R.ISSUE_DUPLICATE_PATIENT).alias("issue_type"),
     )
-    return out.orderBy(F.col("duplicate_count").desc(), "name", "date_of_birth", "part") if sort else out
+    return out.orderBy(F.col("duplicate_count").desc(), "name", "date_of_birth", "member_no") if sort else out
+
+
+def stale_patient_condition(as_of: dt.datetime | dt.date | str, years: int = R.STALE_YEARS) -> Column:
+    """Row predicate of C19."""
+    cutoff = ts_lit(as_timestamp(as_of)) - F.make_interval(F.lit(years))
+    return is_true(F.col("is_active")) & (F.col("updated_at") < cutoff)
 
 
 def stale_patients(patients: DataFrame, as_of: dt.datetime | dt.date | str,
@@ -145,8 +169,7 @@ def stale_patients(patients: DataFrame, as_of: dt.datetime | dt.date | str,
     """Active patients not updated for more than ``years`` years before
     the run timestamp; the day count uses the date part of ``updated_at``."""
     now = as_timestamp(as_of)
-    cutoff = ts_lit(now) - F.make_interval(F.lit(years))
-    out = _active(patients).filter(F.col("updated_at") < cutoff).select(
+    out = patients.filter(stale_patient_condition(now, years)).select(
         "patient_id", "name", "last_visit_date", "updated_at",
         days_between(date_lit(now.date()), F.to_date("updated_at")).alias("days_since_update"),
         F.lit(R.ISSUE_STALE_PATIENT).alias("issue_type"),

@@ -4,14 +4,24 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.exprs import date_lit, days_between, is_true
+from ..functions.exprs import any_of, date_lit, days_between, is_true
 from .core import incomplete
 
 
+def expired_license_condition(as_of: dt.date | str) -> Column:
+    """Row predicate of C11 and P05."""
+    return (F.col("license_expiry_date") < date_lit(as_of)) & is_true(F.col("is_active"))
+
+
+def incomplete_provider_condition() -> Column:
+    """Row predicate of C12."""
+    return is_true(F.col("is_active")) & any_of([F.col(f).isNull() for f in R.PROVIDER_REQUIRED_FIELDS])
+
+
 def expired_licenses(providers: DataFrame, as_of: dt.date | str, with_issue_type: bool = True,
                      sort: bool = False) -> DataFrame:
     """C11: active providers whose licence expired before ``as_of``."""
@@ -22,7 +32,7 @@ def expired_licenses(providers: DataFrame, as_of: dt.date | str, with_issue_type
     ]
     if with_issue_type:
         cols.append(F.lit(R.ISSUE_EXPIRED_LICENSE).alias("issue_type"))
-    out = providers.filter((F.col("license_expiry_date") < today) & is_true(F.col("is_active"))).select(*cols)
+    out = providers.filter(expired_license_condition(as_of)).select(*cols)
     return out.orderBy("license_expiry_date") if sort else out
 
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import ts_lit
 from ..operators import claims as C
 from ..operators import constraints as K
 from ..operators import encounters as E
@@ -20,14 +21,14 @@ from ..operators import findings as FND
 from ..operators import metrics as MT
 from ..operators import patients as P
 from ..operators import providers as V
-from ..operators.core import one_row_per_group
 from ..operators.updates import apply_updates
 from ..sources.fixtures import FIXTURE_AS_OF, load_fixtures
 from ..sources.readers import conform
 from ..sources.schemas import AUDIT_STATUSES, CLAIM_STATUSES, PATIENT_RECORDS, SEVERITIES
-from .checker import run_all_checks
+from . import fused
+from .checker import count_checks, run_all_checks
 from .registry import investigate
-from .sinks import report_preview
+from .sinks import csv_ready, json_records, report_preview
 
 AS_OF = dt.date.fromisoformat(FIXTURE_AS_OF)
 
@@ -54,8 +55,10 @@ CHECK_QUERIES: dict[str, Query] = {
     "long_pending_claims": _q(lambda t: C.long_pending_claims(t.claims, AS_OF)),
     "expired_licenses": _q(lambda t: V.expired_licenses(t.providers, AS_OF)),
     "incomplete_providers": _q(lambda t: V.incomplete_providers(t.providers)),
-    "duplicate_patients": _q(lambda t: one_row_per_group(P.duplicate_patients(t.patient_records), "patient_ids")),
-    "duplicate_claims": _q(lambda t: one_row_per_group(C.duplicate_claims(t.claims), "claim_ids")),
+    "duplicate_patients": _q(lambda t: P.duplicate_patients(t.patient_records)),
+    "duplicate_claims": _q(lambda t: C.duplicate_claims(t.claims)),
+    "duplicate_patient_groups": _q(lambda t: P.duplicate_patient_groups(t.patient_records).groups),
+    "duplicate_claim_groups": _q(lambda t: C.duplicate_claim_groups(t.claims).groups),
     "orphan_claims_patient": _q(lambda t: C.orphan_claims_patient(t.claims, t.patient_records)),
     "orphan_claims_provider": _q(lambda t: C.orphan_claims_provider(t.claims, t.providers)),
     "high_amount_claims": _q(lambda t: C.high_amount_claims(t.claims)),
@@ -72,7 +75,7 @@ CHECK_QUERIES: dict[str, Query] = {
 
 
 AUDIT_CONTRACT_COLUMNS = [
-    "check_timestamp", "check_type", "table_name", "record_id", "issue_type",
+    "audit_id", "check_timestamp", "check_type", "table_name", "record_id", "issue_type",
     "issue_description", "severity", "status", "assigned_to", "resolution_notes", "resolved_at",
 ]
 
@@ -81,13 +84,12 @@ CHECKER_QUERIES: dict[str, Query] = {
     "checker_claims_discrepancies": _q(
         lambda t: FND.check_claims_discrepancies(t.claims, t.claims_line_items).details),
     "checker_temporal_anomalies": _q(lambda t: FND.check_temporal_anomalies(t.claims).details),
-    "checker_duplicate_records": _q(lambda t: FND.check_duplicate_records(t.patient_records).findings),
+    "checker_duplicate_records": _q(lambda t: FND.check_duplicate_records(t.patient_records).details),
     "checker_provider_credentials": _q(lambda t: FND.check_provider_credentials(t.providers, AS_OF).details),
-    # audit_id is a hash DuckDB cannot reproduce and run_id a label; the
-    # comparison covers every other audit column.
-    "audit_issues": _q(lambda t: run_all_checks(t, AS_OF).audit.select(*AUDIT_CONTRACT_COLUMNS)),
-    "run_check_counts": _q(lambda t: run_all_checks(t, AS_OF).check_counts),
-    "run_summary": _q(lambda t: run_all_checks(t, AS_OF).summary),
+    # run_id is a label; the comparison covers every other audit column.
+    "audit_issues": _q(lambda t: run_all_checks(t, AS_OF, materialize=True).audit.select(*AUDIT_CONTRACT_COLUMNS)),
+    "run_check_counts": _q(lambda t: count_checks(t, AS_OF)[0]),
+    "run_summary": _q(lambda t: count_checks(t, AS_OF)[1].select(ts_lit(AS_OF).alias("run_timestamp"), "*")),
 }
 
 
@@ -131,29 +133,16 @@ CONSTRAINT_QUERIES: dict[str, Query] = {
 # --- Metrics (R3, M1–M6) ----------------------------------------------------
 
 
-def _metric_inputs(t):
-    run = run_all_checks(t, AS_OF)
-    return dict(
-        completeness=MT.completeness_rates(t.patient_records, t.claims, t.providers),
-        accuracy=MT.accuracy_rates(t.patient_records, t.claims, t.claims_line_items, AS_OF),
-        errors=MT.error_rates(run.audit, {"patient_records": t.patient_records, "claims": t.claims,
-                                          "providers": t.providers}),
-        resolution=MT.resolution_times(t.quality_audit_log),
-        trend=MT.weekly_error_trend(t.quality_audit_log),
-    )
-
-
 METRIC_QUERIES: dict[str, Query] = {
     "quality_metrics": _q(lambda t: MT.quality_metrics(t.patient_records, t.claims, AS_OF)),
     "completeness_rates": _q(lambda t: MT.completeness_rates(t.patient_records, t.claims, t.providers)),
     "accuracy_rates": _q(lambda t: MT.accuracy_rates(t.patient_records, t.claims, t.claims_line_items, AS_OF)),
-    "error_rates": _q(lambda t: MT.error_rates(
-        run_all_checks(t, AS_OF).audit,
-        {"patient_records": t.patient_records, "claims": t.claims, "providers": t.providers})),
+    "error_rates": _q(lambda t: fused.error_rates(fused.tallies(t, AS_OF))),
     "resolution_times": _q(lambda t: MT.resolution_times(t.quality_audit_log)),
     "weekly_error_trend": _q(lambda t: MT.weekly_error_trend(t.quality_audit_log)),
-    # metric_id is a hash DuckDB cannot reproduce; every other column is compared.
-    "quality_metric_rows": _q(lambda t: MT.metric_rows(AS_OF, **_metric_inputs(t)).drop("metric_id")),
+    "quality_metric_rows": _q(lambda t: MT.metric_rows(
+        AS_OF, rates=fused.rate_values(fused.tallies(t, AS_OF)),
+        resolution=MT.resolution_times(t.quality_audit_log), trend=MT.weekly_error_trend(t.quality_audit_log))),
 }
 
 
@@ -177,9 +166,19 @@ MAINTENANCE_QUERIES: dict[str, Query] = {
     "conformed_claims": _q(lambda t: conform(t.claims, "claims", now=RUN_TS)),
     "conformed_encounters": _q(lambda t: conform(t.encounters, "encounters", now=RUN_TS)),
     "claims_after_processing": _q(_processed_pending),
-    # row_json is compared through the rows it previews (record_id, rank).
-    "report_preview": _q(lambda t: report_preview(run_all_checks(t, AS_OF)).drop("row_json")),
+    "report_preview": _q(lambda t: report_preview(run_all_checks(t, AS_OF, materialize=True))),
     "investigate_claims_billing_validation": _q(lambda t: investigate(t, "claims", "billing_validation", AS_OF)),
+    # As ``export_csv`` writes them: arrays joined to text.
+    "investigate_patient_records_completeness_csv": _q(
+        lambda t: csv_ready(investigate(t, "patient_records", "completeness", AS_OF))),
+    "investigate_providers_completeness_csv": _q(lambda t: csv_ready(investigate(t, "providers", "completeness", AS_OF))),
+    "investigate_encounters_billing": _q(lambda t: investigate(t, "encounters", "billing", AS_OF)),
+    # As ``export_json`` writes them: one record per finding.
+    "json_patient_completeness": _q(lambda t: json_records(FND.check_patient_completeness(t.patient_records).details)),
+    "json_claims_discrepancies": _q(lambda t: json_records(FND.check_claims_discrepancies(t.claims, t.claims_line_items).details)),
+    "json_temporal_anomalies": _q(lambda t: json_records(FND.check_temporal_anomalies(t.claims).details)),
+    "json_duplicate_records": _q(lambda t: json_records(FND.check_duplicate_records(t.patient_records).details)),
+    "json_provider_credentials": _q(lambda t: json_records(FND.check_provider_credentials(t.providers, AS_OF).details)),
 }
 
 

@@ -6,52 +6,99 @@ size). The per-check counts and the two totals come from ONE aggregation
 over that union — partial aggregation on every task, a single-row final
 merge — so the run needs no driver-side loop over results.
 
-With ``materialize=True`` each check's detail rows are checkpointed once
-(reliable checkpoint into the session's shared ``spark.checkpoint.dir``):
-the audit append, the summary, the exports and the report preview then read
-the saved rows instead of recomputing the checks, and a lost executor costs
-a re-read, not a re-run.
+With ``materialize=True`` the rows the checks find are written once, one pass
+per table (``fused.flag_tables``: a reliable checkpoint into the session's
+shared ``spark.checkpoint.dir``): the audit append, the summary, the exports
+and the report preview then read the saved rows instead of the tables, and a
+lost executor costs a re-read, not a re-run. Duplicate keys are counted in a
+pass of their own, over the three key columns.
+
+``count_checks`` is the run that only counts: one scan of each table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import cached_property
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.exprs import as_timestamp
+from ..functions.exprs import as_timestamp, ts_lit
 from ..operators import findings as FND
-from ..operators.core import MAX_IDS_PER_ROW
 from ..session import checkpoint_dir
+from . import fused
 
 
 @dataclass(frozen=True)
 class RunResult:
     checks: dict[str, FND.CheckResult]
-    audit: DataFrame          # W1 rows of this run
     check_counts: DataFrame   # check_key, check_name, issues_found
     summary: DataFrame        # one row
+    findings: DataFrame       # issue rows tagged with their check
+    run_ts: dt.datetime
+    run_id: str
+    last_audit_id: int = 0
 
+    @cached_property
+    def audit(self) -> DataFrame:
+        """W1 rows of this run, numbered."""
+        return FND.audit_rows(self.findings, self.run_ts, self.run_id, self.last_audit_id)
 
-def build_checks(tables, as_of: dt.date | str, max_ids_per_row: int = MAX_IDS_PER_ROW) -> dict[str, FND.CheckResult]:
+
+CHECK_NAMES = {
+    "patient_completeness": R.CHECKER_PATIENT_COMPLETENESS[0], "claims_discrepancies": R.CHECKER_CLAIMS_DISCREPANCIES[0],
+    "temporal_anomalies": R.CHECKER_TEMPORAL_ANOMALIES[0], "duplicate_records": R.CHECKER_DUPLICATE_RECORDS[0],
+    "provider_credentials": R.CHECKER_PROVIDER_CREDENTIALS[0]}
+
+# The row-local rules the five checks rest on.
+CHECKER_RULES = {"incomplete_patients", "claim_line_mismatch", "submitted_before_service", "processed_before_submission",
+                 "expired_licenses"}
+
+
+def _namespace(tables) -> SimpleNamespace:
+    return SimpleNamespace(**tables) if isinstance(tables, dict) else tables
+
+
+def build_checks(tables, as_of: dt.date | str) -> dict[str, FND.CheckResult]:
     """The five checks of the reference's checker, in its order. ``tables``
     is anything with ``patient_records``, ``providers``, ``claims`` and
     ``claims_line_items`` attributes (e.g. ``HealthcareTables``) or a dict."""
-    t = SimpleNamespace(**tables) if isinstance(tables, dict) else tables
+    t = _namespace(tables)
     checks = [
         FND.check_patient_completeness(t.patient_records),
         FND.check_claims_discrepancies(t.claims, t.claims_line_items),
         FND.check_temporal_anomalies(t.claims),
-        FND.check_duplicate_records(t.patient_records, max_ids_per_row=max_ids_per_row),
+        FND.check_duplicate_records(t.patient_records),
         FND.check_provider_credentials(t.providers, as_of),
     ]
     return {c.key: c for c in checks}
 
 
+def saved_checks(tables, as_of: dt.date | str) -> dict[str, FND.CheckResult]:
+    """The same checks over rows written once: flagged rows of one pass per
+    table, and the groups of duplicate keys."""
+    t = _namespace(tables)
+    flagged = fused.flag_tables(t, as_of, only=CHECKER_RULES)
+    checks = [
+        FND.check_patient_completeness(flagged["patient_records"]),
+        FND.check_line_totals(flagged["claims"]),
+        FND.check_temporal_anomalies(flagged["claims"]),
+        FND.check_duplicate_records(t.patient_records).checkpointed(),
+        FND.check_provider_credentials(flagged["providers"], as_of),
+    ]
+    return {c.key: c for c in checks}
+
+
+def count_checks(tables, as_of: dt.date | str) -> tuple[DataFrame, DataFrame]:
+    """P06 without details: counts per check and the summary row, from one
+    scan of each table."""
+    return fused.run_counts(fused.tallies(tables, as_of), CHECK_NAMES)
+
+
 def _tagged_union(checks: dict[str, FND.CheckResult]) -> DataFrame:
     union = None
     for key, c in checks.items():
@@ -85,19 +132,18 @@ def summarize(checks: dict[str, FND.CheckResult], findings: DataFrame) -> tuple[
 
 
 def run_all_checks(tables, as_of: dt.date | str, run_ts: dt.datetime | str | None = None,
-                   run_id: str | None = None, materialize: bool = False,
-                   max_ids_per_row: int = MAX_IDS_PER_ROW) -> RunResult:
-    """P06. Nothing executes until an action on the returned DataFrames,
-    unless ``materialize`` checkpoints each check's detail rows first."""
+                   run_id: str | None = None, materialize: bool = False, last_audit_id: int = 0) -> RunResult:
+    """P06. The summary and the audit rows carry the run's timestamp; audit ids
+    follow ``last_audit_id``, the log's largest. The audit rows are written
+    once to number them, when ``audit`` is first asked for; nothing else
+    executes until an action, unless ``materialize`` saves the rows found."""
     ts = as_timestamp(run_ts if run_ts is not None else as_of)
-    checks = build_checks(tables, as_of, max_ids_per_row)
     if materialize:
-        # Each check's detail rows are computed once and saved; the audit
-        # rows, the summary, exports and previews all read the saved rows.
-        checkpoint_dir(next(iter(checks.values())).base.sparkSession)
-        checks = {k: c.checkpointed() for k, c in checks.items()}
+        checkpoint_dir(_namespace(tables).claims.sparkSession)
+        checks = saved_checks(tables, as_of)
+    else:
+        checks = build_checks(tables, as_of)
     findings = _tagged_union(checks)
-    run = run_id or ts.isoformat()
-    audit = FND.audit_rows(findings, ts, run)
     counts, summary = summarize(checks, findings)
-    return RunResult(checks=checks, audit=audit, check_counts=counts, summary=summary)
+    summary = summary.select(ts_lit(ts).alias("run_timestamp"), *summary.columns)
+    return RunResult(checks, counts, summary, findings, ts, run_id or ts.isoformat(), last_audit_id)

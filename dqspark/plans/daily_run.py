@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as MT
 from ..sources.readers import conform, read_table
 from ..sources.schemas import TABLES
-from . import sinks
+from . import fused, sinks
 from .checker import RunResult, run_all_checks
 
 INPUT_TABLES = ("patient_records", "providers", "claims", "claims_line_items", "encounters")
@@ -48,6 +48,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def last_id(spark: SparkSession, path: str, column: str, run_id: str) -> int:
+    """The largest serial of the rows that runs other than ``run_id`` (which
+    replaces its own) wrote under ``path``; 0 for none."""
+    if not path_exists(spark, path):
+        return 0
+    return spark.read.parquet(path).filter(F.col("run_id") != run_id).agg(F.max(column)).first()[0] or 0
+
+
 def load_tables(spark: SparkSession, root: str, fmt: str = "parquet", audit_log: str | None = None) -> SimpleNamespace:
     """``root/<table>`` for each input table, conformed to its declared schema.
 
@@ -71,14 +79,12 @@ def daily_run(tables, as_of: dt.date, out_root: str, run_id: str | None = None,
     ts = run_ts or dt.datetime.now().replace(microsecond=0)
     rid = run_id or f"{ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     paths = DailyRunPaths.under(out_root)
-    run = run_all_checks(tables, as_of, run_ts=ts, run_id=rid, materialize=True)
     t = tables if not isinstance(tables, dict) else SimpleNamespace(**tables)
-    metric_parts = dict(
-        completeness=MT.completeness_rates(t.patient_records, t.claims, t.providers),
-        accuracy=MT.accuracy_rates(t.patient_records, t.claims, t.claims_line_items, as_of),
-        errors=MT.error_rates(run.audit, {"patient_records": t.patient_records, "claims": t.claims,
-                                          "providers": t.providers}),
-    )
+    spark = t.claims.sparkSession
+    run = run_all_checks(tables, as_of, run_ts=ts, run_id=rid, materialize=True,
+                         last_audit_id=last_id(spark, paths.audit, "audit_id", rid))
+    metric_parts = dict(rates=fused.rate_values(fused.tallies(t, as_of)),
+                        last_id=last_id(spark, paths.metrics, "metric_id", rid))
     log = getattr(t, "quality_audit_log", None)
     if log is not None:
         metric_parts.update(resolution=MT.resolution_times(log), trend=MT.weekly_error_trend(log))

@@ -28,7 +28,7 @@ def preview_order() -> dict:
         "patient_completeness": ([], "patient_id"),
         "claims_discrepancies": ([F.col("discrepancy_amount").desc()], "claim_id"),
         "temporal_anomalies": ([], "claim_id"),
-        "duplicate_records": ([F.col("duplicate_count").desc()], F.element_at("patient_ids", 1)),
+        "duplicate_records": ([F.col("duplicate_count").desc()], "first_id"),
         "provider_credentials": ([F.col("license_expiry_date").asc()], "provider_id"),
     }
 
@@ -61,11 +61,11 @@ def report_preview(run: RunResult, n: int = R.REPORT_PREVIEW_ROWS) -> DataFrame:
     for key, check in run.checks.items():
         order, id_expr = orders[key]
         id_col = F.col(id_expr) if isinstance(id_expr, str) else id_expr
-        d = check.findings.select("*", id_col.cast("string").alias("_record_id"))
+        d = check.base.select("*", id_col.cast("string").alias("_record_id"))
         top = d.orderBy(*order, F.col("_record_id")).limit(n)
         # A window over the ≤ n rows left after the top-n: one small task.
         w = Window.orderBy(*order, F.col("_record_id"))
-        fields = list(check.findings.columns)
+        fields = list(check.base.columns)
         parts.append(top.select(
             F.lit(key).alias("check_key"),
             F.row_number().over(w).alias("preview_rank"),
@@ -81,7 +81,7 @@ def report_preview(run: RunResult, n: int = R.REPORT_PREVIEW_ROWS) -> DataFrame:
     )
 
 
-def _csv_ready(df: DataFrame) -> DataFrame:
+def csv_ready(df: DataFrame) -> DataFrame:
     """Arrays (not representable in CSV) joined to ', ' text."""
     return df.select(*[
         F.array_join(F.col(f.name), ", ").alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
@@ -91,15 +91,25 @@ def _csv_ready(df: DataFrame) -> DataFrame:
 
 def export_csv(df: DataFrame, path: str) -> None:
     """R4 sink: details as CSV with a header row."""
-    _csv_ready(df).write.mode("overwrite").option("header", "true").csv(path)
+    csv_ready(df).write.mode("overwrite").option("header", "true").csv(path)
+
+
+def json_records(details: DataFrame) -> DataFrame:
+    """A check's details as the JSON records ``export_json`` writes (one
+    column, ``record``)."""
+    return details.select(F.to_json(F.struct(*details.columns), {"ignoreNullFields": "false"}).alias("record"))
 
 
 def export_json(run: RunResult, path: str) -> None:
     """Every check's details as JSON records under ``path/<check_key>``
-    and the run summary under ``path/summary`` — written by the executors,
-    nothing collected on the driver. Dates are ISO text, amounts numbers."""
+    (as many as it has findings), the rows behind grouped findings under
+    ``path/<check_key>_members`` and the run summary under ``path/summary`` —
+    written by the executors, nothing collected on the driver. Dates are ISO
+    text, amounts numbers."""
     for key, check in run.checks.items():
         check.details.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{key}")
+        if check.members is not None:
+            check.members().write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{key}_members")
     run.summary.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary")
     run.check_counts.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/check_counts")
 
@@ -127,7 +137,7 @@ def render_html_report(run: RunResult, generated_at: str, n: int = R.REPORT_PREV
         out.append(f"<h2>{esc(name)}</h2><p><strong>Issues Found:</strong> {found}</p>")
         rows = previews.get(key, [])
         if found and rows:
-            cols = list(run.checks[key].findings.columns)
+            cols = list(run.checks[key].base.columns)
             out.append("<table><tr>" + "".join(f"<th>{esc(c)}</th>" for c in cols) + "</tr>")
             for row in rows:
                 out.append("<tr>" + "".join(f"<td>{esc(str(row.get(c, '')))}</td>" for c in cols) + "</tr>")

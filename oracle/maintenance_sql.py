@@ -3,8 +3,18 @@
 
 from __future__ import annotations
 
-from .checker_sql import _C_TOTALS_4, _P03_WHERE, _P04_GROUPS, _P05_ROWS
-from .checks_sql import CLAIM_LINE_MISMATCH, D, M, _PATIENT_INCOMPLETE_WHERE
+from .checker_sql import _P03_ROWS, _P04_GROUPS, _P05_ROWS
+from .checks_sql import (
+    CLAIM_LINE_MISMATCH,
+    DOCUMENTED_NOT_BILLED,
+    INCOMPLETE_PATIENTS,
+    INCOMPLETE_PROVIDERS,
+    D,
+    M,
+    _C06_TOTALS,
+    _PATIENT_INCOMPLETE_WHERE,
+    _PATIENT_MISSING_5,
+)
 
 _NOW = "'2024-02-01 00:00:00'"
 _LATER = "'2024-02-01 12:00:00'"
@@ -41,43 +51,69 @@ CLAIMS_AFTER_PROCESSING = _claims_select(
 LEFT JOIN (SELECT claim_id AS uid FROM claims WHERE status = 'PENDING') u ON u.uid = c.claim_id
 """
 
-_PREVIEW = f"""
-previews AS (
-  SELECT 'patient_completeness' AS check_key, patient_id AS record_id,
-    ROW_NUMBER() OVER (ORDER BY patient_id) AS preview_rank
-  FROM patient_records WHERE {_PATIENT_INCOMPLETE_WHERE}
-  UNION ALL
-  SELECT 'claims_discrepancies', claim_id,
-    ROW_NUMBER() OVER (ORDER BY ABS(claim_total_amount - calculated_total) DESC, claim_id)
-  FROM ({_C_TOTALS_4}) t WHERE ABS(claim_total_amount - calculated_total) > 0.01
-  UNION ALL
-  SELECT 'temporal_anomalies', claim_id, ROW_NUMBER() OVER (ORDER BY claim_id)
-  FROM claims WHERE {_P03_WHERE}
-  UNION ALL
-  SELECT 'duplicate_records', ids[1], ROW_NUMBER() OVER (ORDER BY duplicate_count DESC, ids[1])
-  FROM ({_P04_GROUPS}) g
-  UNION ALL
-  SELECT 'provider_credentials', provider_id, ROW_NUMBER() OVER (ORDER BY license_expiry_date, provider_id)
-  FROM ({_P05_ROWS}) p
-),
-counts AS (SELECT check_key, COUNT(*) AS issues_found FROM previews GROUP BY check_key),
+
+def _json(*fields: str, **raw: str) -> str:
+    """A JSON record of text columns, in order; ``raw`` gives other columns' text."""
+    return "'{' || " + " || ',' || ".join(
+        f"""'"{f}":' || coalesce({raw.get(f, f"to_json({f}::VARCHAR)::VARCHAR")}, 'null')""" for f in fields) + " || '}'"
+
+
+def _cents(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(20,2)) AS VARCHAR)"
+
+
+_MISSING_JSON = "'[\"' || " + _PATIENT_MISSING_5.replace("concat_ws(','", "concat_ws('\",\"'") + " || '\"]'"
+_GAP_PERCENT = "CASE WHEN claim_total_amount <> 0 THEN " + _cents("round(gap / claim_total_amount * 100, 2)") + " END"
+
+# Per check: its rows as JSON records, the record's id and the order of the report.
+_RECORDS = {
+    "patient_completeness": (
+        "patient_id", "patient_id", f"FROM patient_records WHERE {_PATIENT_INCOMPLETE_WHERE}",
+        _json("patient_id", "name", "date_of_birth", "insurance_id", "primary_provider", "contact_phone", "contact_email",
+              "missing_fields", missing_fields=_MISSING_JSON)),
+    "claims_discrepancies": (
+        "claim_id", "gap DESC, claim_id", f"FROM ({_C06_TOTALS}) t WHERE gap >= 0.02",
+        _json("claim_id", "patient_id", "provider_id", "claim_total_amount", "calculated_total", "line_item_count",
+              "discrepancy_amount", "discrepancy_percentage", claim_total_amount=_cents("claim_total_amount"),
+              calculated_total=_cents("calculated_total"), line_item_count="line_item_count::VARCHAR",
+              discrepancy_amount=_cents("gap"), discrepancy_percentage=_GAP_PERCENT)),
+    "temporal_anomalies": (
+        "claim_id", "claim_id", f"FROM ({_P03_ROWS}) r",
+        _json("claim_id", "patient_id", "service_date", "submission_date", "processing_date", "anomaly_type",
+              anomaly_type="to_json(faults[1])::VARCHAR")),
+    "duplicate_records": (
+        "first_id", "duplicate_count DESC, first_id", f"FROM ({_P04_GROUPS}) g",
+        _json("name", "date_of_birth", "duplicate_count", "first_id", duplicate_count="duplicate_count::VARCHAR")),
+    "provider_credentials": (
+        "provider_id", "license_expiry_date, provider_id", f"FROM ({_P05_ROWS}) p",
+        _json("provider_id", "provider_name", "license_number", "license_state", "license_expiry_date", "days_expired",
+              days_expired="days_expired::VARCHAR")),
+}
+
+REPORT_PREVIEW = "WITH previews AS (" + " UNION ALL ".join(
+    f"SELECT '{key}' AS check_key, {rid} AS record_id, row_number() OVER (ORDER BY {order}) AS preview_rank, "
+    f"count(*) OVER () AS issues_found, {record} AS row_json {source}"
+    for key, (rid, order, source, record) in _RECORDS.items()) + """),
 names AS (
   SELECT * FROM (VALUES ('patient_completeness', 'Patient Completeness'), ('claims_discrepancies', 'Claims Discrepancies'),
     ('temporal_anomalies', 'Temporal Anomalies'), ('duplicate_records', 'Duplicate Records'),
     ('provider_credentials', 'Provider Credentials')) v(check_key, check_name))
+SELECT check_key, check_name, issues_found, preview_rank, record_id, row_json
+FROM previews JOIN names USING (check_key) WHERE preview_rank <= 10
 """
 
-REPORT_PREVIEW = f"""
-WITH {_PREVIEW.strip()}
-SELECT p.check_key, n.check_name, c.issues_found, p.preview_rank, p.record_id
-FROM previews p JOIN counts c ON c.check_key = p.check_key JOIN names n ON n.check_key = p.check_key
-WHERE p.preview_rank <= 10
-"""
+_ALL = ["patient_records", "providers", "claims", "claims_line_items"]
 
 MAINTENANCE = {
     "conformed_claims": (["claims"], CONFORMED_CLAIMS),
     "conformed_encounters": (["encounters"], CONFORMED_ENCOUNTERS),
     "claims_after_processing": (["claims"], CLAIMS_AFTER_PROCESSING),
-    "report_preview": (["patient_records", "providers", "claims"], REPORT_PREVIEW),
+    "report_preview": (_ALL, REPORT_PREVIEW),
     "investigate_claims_billing_validation": (["claims", "claims_line_items"], CLAIM_LINE_MISMATCH),
+    "investigate_patient_records_completeness_csv": (
+        ["patient_records"], f"SELECT * REPLACE (replace(missing_fields, ',', ', ') AS missing_fields) FROM ({INCOMPLETE_PATIENTS})"),
+    "investigate_providers_completeness_csv": (
+        ["providers"], f"SELECT * REPLACE (replace(missing_fields, ',', ', ') AS missing_fields) FROM ({INCOMPLETE_PROVIDERS})"),
+    "investigate_encounters_billing": (["encounters"], DOCUMENTED_NOT_BILLED),
+    **{f"json_{key}": (_ALL, f"SELECT {record} AS record {source}") for key, (_, _, source, record) in _RECORDS.items()},
 }

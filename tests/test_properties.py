@@ -41,20 +41,18 @@ KEYS = st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))
 
 
 @settings(max_examples=6, deadline=None)
-@given(st.lists(st.tuples(KEYS, st.one_of(st.none(), st.integers(0, 2))), min_size=1, max_size=60),
-       st.integers(1, 5))
-def test_duplicates_match_brute_force(spark, rows, max_ids):
+@given(st.lists(st.tuples(KEYS, st.one_of(st.none(), st.integers(0, 2))), min_size=1, max_size=60), st.integers(1, 5))
+def test_duplicates_match_brute_force(spark, rows, parts):
     data = [(k1, k2, f"id{i:03d}") for i, (k1, k2) in enumerate(rows)]
-    df = spark.createDataFrame(data, "k1 string, k2 int, id string")
-    out = duplicates(df, ["k1", "k2"], "id", "ids", max_ids_per_row=max_ids).members.collect()
-    got = defaultdict(list)
-    counts = {}
+    df = spark.createDataFrame(data, "k1 string, k2 int, id string").repartition(parts)
+    out = duplicates(df, ["k1", "k2"], "id").members().collect()
+    got = defaultdict(dict)
     for r in out:
-        got[(r["k1"], r["k2"])].extend(r["ids"])
-        counts[(r["k1"], r["k2"])] = r["duplicate_count"]
+        got[(r["k1"], r["k2"])][r["member_no"]] = r["id"]
+        assert r["first_id"] == min(i for k1, k2, i in data if (k1, k2) == (r["k1"], r["k2"]))
     want = defaultdict(list)
     for k1, k2, i in data:
         want[(k1, k2)].append(i)
-    want = {k: sorted(v) for k, v in want.items() if len(v) > 1}
-    assert {k: sorted(v) for k, v in got.items()} == want
-    assert counts == {k: len(v) for k, v in want.items()}
+    want = {k: dict(enumerate(sorted(v), 1)) for k, v in want.items() if len(v) > 1}
+    assert got == want
+    assert {(r["k1"], r["k2"]): r["duplicate_count"] for r in out} == {k: len(v) for k, v in want.items()}

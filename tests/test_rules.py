@@ -203,68 +203,66 @@ def test_orphans_keep_null_keys_but_foreign_keys_do_not(spark):
     assert ids(check_foreign_key(claims, patients, "patient_id", None, "claim_id"), "claim_id") == ["c3"]
 
 
-def test_duplicates_group_null_keys_and_slice_large_groups(spark):
+def test_duplicates_group_null_keys_and_number_every_member(spark):
     rows = [claim(f"n{i}", pid=None, service=D(2023, 1, 1), total="5.00") for i in range(2)]
     rows += [claim(f"h{i:02d}", pid="HOT", service=D(2023, 1, 1), total="5.00") for i in range(25)]
     rows += [claim("single", pid="S")]
-    claims = spark.createDataFrame(rows, CLAIM_SCHEMA)
-    out = C.duplicate_claims(claims).collect()
-    groups = {r["patient_id"]: (r["duplicate_count"], r["claim_ids"]) for r in out}
-    assert groups[None] == (2, ["n0", "n1"])
-    assert groups["HOT"][0] == 25
-    # A hot group is split into bounded slices that together hold every id.
-    sliced = duplicates(claims.filter(F.col("patient_id") == "HOT"), ["patient_id"], "claim_id", "ids",
-                        max_ids_per_row=4).members.collect()
-    assert len(sliced) >= 25 // 4
-    assert all(r["duplicate_count"] == 25 for r in sliced)
-    all_ids = sorted(i for r in sliced for i in r["ids"])
-    assert all_ids == sorted(f"h{i:02d}" for i in range(25))
-
-
-@pytest.mark.parametrize("cap", [1, 4, 100_000])
-def test_duplicate_findings_do_not_depend_on_the_id_bound(spark, cap):
-    from dqspark.plans.checker import run_all_checks
-    from dqspark.plans.sinks import report_preview
-
-    people = [patient(f"p{i:02d}", name="Same Name") for i in range(12)] + [patient(f"q{i}", name="Twin") for i in range(2)]
-    run = run_all_checks({
+    claims = spark.createDataFrame(rows, CLAIM_SCHEMA).repartition(5)
+    out = [(r["patient_id"], r["duplicate_count"], r["first_id"], r["member_no"], r["claim_id"]) for r in C.duplicate_claims(claims).collect()]
+    want = [(None, 2, "n0", i + 1, f"n{i}") for i in range(2)] + [("HOT", 25, "h00", i + 1, f"h{i:02d}") for i in range(25)]
+    assert sorted(out, key=str) == sorted(want, key=str)
+    groups = {r["patient_id"]: (r["duplicate_count"], r["first_id"]) for r in C.duplicate_claim_groups(claims).groups.collect()}
+    assert groups == {None: (2, "n0"), "HOT": (25, "h00")}
+
+
+def test_no_task_holds_a_large_group(spark):
+    """Members of one group lie in many range partitions and are numbered across them."""
+    df = spark.range(20_000).selectExpr("'same' AS k", "id")
+    groups = duplicates(df, ["k"], "id")
+    members = groups.members()
+    assert members.agg(F.count("*"), F.min("member_no"), F.max("member_no"), F.count_distinct("member_no")).first()[:] == (20_000, 1, 20_000, 20_000)
+    assert members.filter("member_no <> id + 1").count() == 0
+    from dqspark.operators.numbering import ordered
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")   # else small parts are joined
+    try:
+        placed = ordered(df, ["k", "id"], "n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 20_000
+    assert all(f"{f}(" not in members._jdf.queryExecution().toString() for f in ("collect_list", "sort_array"))
+
+
+@pytest.mark.parametrize("size", [2, 4, 150])
+def test_duplicate_findings_have_one_shape_at_every_size(spark, size):
+    from dqspark.plans.checker import count_checks, run_all_checks
+    from dqspark.plans.sinks import json_records, report_preview
+
+    people = [patient(f"p{i:03d}", name="Same Name") for i in range(size)] + [patient(f"q{i}", name="Twin") for i in range(2)]
+    tables = {
         "patient_records": spark.createDataFrame(people, PATIENT_SCHEMA),
         "claims": spark.createDataFrame([], CLAIM_SCHEMA),
         "claims_line_items": spark.createDataFrame([], LINE_SCHEMA),
         "providers": spark.createDataFrame(
-            [], "provider_id string, provider_name string, license_number string, license_state string, "
-                "license_expiry_date date, is_active boolean"),
-    }, AS_OF, max_ids_per_row=cap)
-    found = {r["check_key"]: r["issues_found"] for r in run.check_counts.collect()}
-    assert found["duplicate_records"] == 2
-    assert run.summary.first()["total_duplicates"] == 14
-    audit = run.audit.filter("check_type = 'duplicate_check'").collect()
-    assert sorted(r["record_id"] for r in audit) == ["p00", "q0"]
-    preview = report_preview(run).filter("check_key = 'duplicate_records'").orderBy("preview_rank").collect()
-    assert [(r["record_id"], r["preview_rank"]) for r in preview] == [("p00", 1), ("q0", 2)]
-    details = run.checks["duplicate_records"].details.collect()
-    assert sorted(i for r in details for i in r["patient_ids"]) == sorted(p[0] for p in people)
-    assert all(len(r["patient_ids"]) == r["duplicate_count"] for r in details) == (cap > 12)
-
-
-@pytest.mark.parametrize("cap", [1, 4, 100_000])
-def test_duplicate_audit_rows_and_groups_are_whole_at_every_id_bound(spark, cap):
-    from dqspark.operators.core import one_row_per_group
-
-    people = [patient(f"p{i:02d}", name="Same Name") for i in range(12)] + [patient(f"q{i}", name="Twin") for i in range(2)]
-    check = FND.check_duplicate_records(spark.createDataFrame(people, PATIENT_SCHEMA), max_ids_per_row=cap)
-    got = sorted(tuple(r) for r in FND.audit_issues([check], "2024-02-01 00:00:00").drop("audit_id", "check_timestamp").collect())
-    names = [", ".join(f"p{i:02d}" for i in range(12)), "q0, q1"]
-    assert [r[:6] for r in got] == [
-        ("duplicate_check", "patient_records", first, "potential_duplicate", f"Duplicate patients found: {ids}", "MEDIUM")
-        for first, ids in zip(["p00", "q0"], names)]
-    rows = [claim(f"h{i:02d}", pid="HOT", service=D(2023, 1, 1), total="5.00") for i in range(25)]
-    rows += [claim(f"n{i}", pid=None, service=D(2023, 1, 1), total="5.00") for i in range(2)]
-    parts = C.duplicate_claims(spark.createDataFrame(rows, CLAIM_SCHEMA), max_ids_per_row=cap)
-    whole = one_row_per_group(parts, "claim_ids")
-    assert whole.columns == [c for c in parts.columns if c != "part"]
-    assert {r["patient_id"]: r["claim_ids"] for r in whole.collect()} == {
-        "HOT": [f"h{i:02d}" for i in range(25)], None: ["n0", "n1"]} and whole.count() == 2
+            [], "provider_id string, provider_name string, specialty string, npi_number string, license_number string, "
+                "license_state string, license_expiry_date date, contact_email string, is_active boolean"),
+    }
+    for run in (run_all_checks(tables, AS_OF), run_all_checks(tables, AS_OF, materialize=True)):
+        found = {r["check_key"]: r["issues_found"] for r in run.check_counts.collect()}
+        assert found["duplicate_records"] == 2
+        assert run.summary.first()["total_duplicates"] == size + 2
+        audit = run.audit.filter("check_type = 'duplicate_check'").orderBy("audit_id").collect()
+        assert [(r["audit_id"], r["record_id"], r["issue_description"]) for r in audit] == [
+            (1, "p000", f"Duplicate patients found: p000, more: {size - 1}"), (2, "q0", "Duplicate patients found: q0, more: 1")]
+        preview = report_preview(run).filter("check_key = 'duplicate_records'").orderBy("preview_rank").collect()
+        assert sorted(r["record_id"] for r in preview) == ["p000", "q0"]
+        check = run.checks["duplicate_records"]
+        assert check.details.columns == ["name", "date_of_birth", "duplicate_count", "first_id"]
+        assert check.details.count() == json_records(check.details).count() == 2
+        assert sorted(r["patient_id"] for r in check.members().collect()) == sorted(p[0] for p in people)
+    counts, summary = count_checks(tables, AS_OF)
+    assert {r["check_key"]: r["issues_found"] for r in counts.collect()} == found
+    assert summary.first().asDict() == {k: v for k, v in run.summary.first().asDict().items() if k != "run_timestamp"}
 
 
 def test_expired_licenses_and_incomplete_providers(spark):
