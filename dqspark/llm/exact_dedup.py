@@ -29,6 +29,7 @@ from .common import fresh, saved
 WHITE = " \t\n\u000b\f\r"
 CANDIDATES = 256
 COUNTERS = 4096
+BROADCAST_ROWS = 1_000_000
 
 
 def digest(text: str = "text"):
@@ -61,17 +62,40 @@ def decide(docs: DataFrame, candidates: int = CANDIDATES, counters: int = COUNTE
     return heavy.unionByName(light)
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they were."""
-    key, kept = fresh(docs, "dq_key"), decide(docs)
-
-    def row_key(sha):
-        return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), sha)
-
-    stays = kept.filter("kept").select(row_key(F.col("text_sha256")).alias(key))
-    # Repeated rows share a key; the aggregate uses the join's partitioning.
-    return (docs.withColumn(key, row_key(digest())).join(stays, key, "left_semi")
-            .dropDuplicates([key]).select(*docs.columns))
+def _short(sha):
+    """120 bits of a hex digest as two longs."""
+    return [F.conv(F.substring(sha, i, 15), 16, 10).cast("long") for i in (1, 16)]
+
+
+def keep_first(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they were.
+
+    Only keys (id and digest) that are dropped, or held by several rows, are
+    looked up: rows without such a key pass where they are read, and no text is
+    shuffled while those keys are at most ``broadcast_rows`` (two dozen bytes
+    each); beyond that the join shuffles. Of repeated rows, the longest is kept per
+    task before they meet.
+    """
+    names = [fresh(docs, f"dq_{n}") for n in ("id", "a", "b", "drop")]
+    own, keys, drop = names[0], names[:3], names[3]
+    decided = decide(docs).select("doc_id", "kept", *[c.alias(n) for c, n in zip(_short(F.col("text_sha256")), names[1:])])
+    special = saved(decided.groupBy("doc_id", *names[1:3]).agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+                    .filter("NOT kept OR n > 1").select(F.col("doc_id").alias(own), *names[1:3], (~F.col("kept")).alias(drop)),
+                    "dropped-or-repeated")
+    found = {r[drop]: r["count"] for r in special.groupBy(drop).count().collect()}     # two rows
+    if sum(found.values()) <= broadcast_rows:
+        special = F.broadcast(special)
+    looked_up = docs.select("*", *[c.alias(f"{n}_") for c, n in zip(_short(digest()), names[1:3])])
+    meets = [F.col("doc_id").eqNullSafe(F.col(own)), *(F.col(f"{n}_") == F.col(n) for n in names[1:3])]
+    if not found:
+        return docs
+    marked = looked_up.join(special, meets, "left")
+    out = marked.filter(F.col(drop).isNull()).select(*docs.columns)
+    if found.get(False):
+        longest = F.max_by(F.struct(*docs.columns), F.length(F.coalesce(F.col("text"), F.lit(""))))
+        once = marked.filter(~F.col(drop)).groupBy(*keys).agg(longest.alias(drop))
+        out = out.unionByName(once.select(f"{drop}.*"))
+    return out
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
