@@ -44,7 +44,7 @@ LOWEST = 0.002
 SLACK = 0.9
 FOLDS = 5
 UNKNOWN = "und"
-_SLICE = 2_000_000
+_SLICE = 500_000
 _ROWS = 256
 _BIN = 1e-3
 _LETTER = None

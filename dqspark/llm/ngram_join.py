@@ -53,6 +53,8 @@ from .common import drop_saved, fresh, saved, text_slices
 from .components import connected_components
 
 SHINGLE = 5
+SLICE = 1_000_000
+"""Bytes of text taken at a time: a worker's arrays are some 40 times that."""
 FREQUENT = 200_000
 """Signatures kept as frequent, at most (8 bytes each)."""
 FREQUENT_TIMES = 50
@@ -341,7 +343,7 @@ def _summarise(salt: int):
             return s, t
 
         for batch in batches:
-            for a, b in text_slices(batch):
+            for a, b in text_slices(batch, most=SLICE):
                 rows = batch.slice(a, b - a)
                 value, bounds = shingle_sets(rows.column("text"))
                 n = np.diff(bounds)
@@ -382,7 +384,7 @@ def _emit(frequent: np.ndarray, buckets: int, salt: int):
     def run(batches):
         seen = set()
         for batch in batches:
-            for a, b in text_slices(batch):
+            for a, b in text_slices(batch, most=SLICE):
                 value, bounds = shingle_sets(batch.slice(a, b - a).column("text"))
                 key, _ = _class_keys(value, bounds, salt)
                 new = _first_of(key, np.diff(bounds), seen)
@@ -452,7 +454,7 @@ def _set_blobs(wanted: np.ndarray):
             key = np.mod(batch.column("text_key").to_numpy(), len(wanted) * 64)
             through = (wanted[key >> 6] >> (key & 63).astype(np.uint64)) & np.uint64(1)
             batch = batch.filter(pa.array(through.astype(bool)))
-            for a, b in text_slices(batch) if batch.num_rows else []:
+            for a, b in text_slices(batch, most=SLICE) if batch.num_rows else []:
                 rows = batch.slice(a, b - a)
                 value, bounds = shingle_sets(rows.column("text"))
                 yield pa.RecordBatch.from_arrays(
