@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqspark.session import checkpoint_dir
+from dqspark.session import apply_defaults, checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 """A word: a run without ASCII white space."""
@@ -77,10 +77,16 @@ def text_slices(batch, column: str = "text", most: int = 5_000_000):
 _SHIPPED: set[str] = set()
 
 
+ROWS_PER_BATCH = "1000"
+"""Texts are long: Arrow batches of Spark's default 10,000 rows would hold tens of megabytes."""
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the application's Python workers, once, through
-    the shared folder (for sessions started without ``--py-files``)."""
+    the shared folder (for sessions started without ``--py-files``), and keep
+    Arrow batches small unless the submitter has set their size."""
     sc = spark.sparkContext
+    apply_defaults(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": ROWS_PER_BATCH})
     if sc.applicationId in _SHIPPED:
         return
     import io
