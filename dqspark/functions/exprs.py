@@ -35,8 +35,8 @@ def as_timestamp(value: dt.datetime | dt.date | str | None) -> dt.datetime:
     return dt.datetime.fromisoformat(str(value))
 
 
-def date_lit(value: dt.date | str) -> Column:
-    """DATE literal (no time-zone involvement)."""
+def date_lit(value: dt.date | str | None) -> Column:
+    """DATE literal (no time-zone involvement); ``None`` is today."""
     return F.lit(as_date(value))
 
 

@@ -162,7 +162,7 @@ def temporal_anomalies(claims: DataFrame) -> DataFrame:
     )
 
 
-def long_pending_condition(as_of: dt.date | str, days: int = R.PENDING_DAYS, statuses=R.OPEN_STATUSES):
+def long_pending_condition(as_of: dt.date | str | None = None, days: int = R.PENDING_DAYS, statuses=R.OPEN_STATUSES):
     """Row predicate of C10."""
     return F.col("status").isin(*statuses) & before("submission_date", as_of, days)
 
@@ -172,7 +172,7 @@ def high_amount_condition(threshold=R.HIGH_AMOUNT_THRESHOLD):
     return F.col("claim_total_amount") > money(threshold)
 
 
-def long_pending_claims(claims: DataFrame, as_of: dt.date | str, days: int = R.PENDING_DAYS,
+def long_pending_claims(claims: DataFrame, as_of: dt.date | str | None = None, days: int = R.PENDING_DAYS,
                         statuses=R.OPEN_STATUSES, sort: bool = False) -> DataFrame:
     """Open claims submitted more than ``days`` days before ``as_of``;
     ``sort=True``: oldest first."""
@@ -184,8 +184,12 @@ def long_pending_claims(claims: DataFrame, as_of: dt.date | str, days: int = R.P
     return out.orderBy("submission_date") if sort else out
 
 
+# What makes two claims the same.
+DUPLICATE_CLAIM_KEYS = ["patient_id", "provider_id", "service_date", "claim_total_amount"]
+
+
 def duplicate_claim_groups(claims: DataFrame) -> DuplicateGroups:
-    return duplicates(claims, ["patient_id", "provider_id", "service_date", "claim_total_amount"], "claim_id")
+    return duplicates(claims, DUPLICATE_CLAIM_KEYS, "claim_id")
 
 
 def duplicate_claims(claims: DataFrame) -> DataFrame:
@@ -220,7 +224,7 @@ def high_amount_claims(claims: DataFrame, threshold=R.HIGH_AMOUNT_THRESHOLD, sor
     return out.orderBy(F.col("claim_total_amount").desc()) if sort else out
 
 
-def frequent_claimants(claims: DataFrame, patients: DataFrame, as_of: dt.date | str,
+def frequent_claimants(claims: DataFrame, patients: DataFrame, as_of: dt.date | str | None = None,
                        window_months: int = R.FREQUENCY_WINDOW_MONTHS,
                        min_count: int = R.FREQUENCY_MIN_COUNT, sort: bool = False) -> DataFrame:
     """Patients with more than ``min_count`` claims serviced since

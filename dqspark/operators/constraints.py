@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import any_of
 from ..sources.schemas import TABLES, TableSpec
 from .core import orphans
 
+ABSENT_COLUMN = "column is absent"
 VIOLATION_COLUMNS = ["table_name", "constraint_type", "column_name", "record_id", "detail"]
 
 
@@ -30,13 +32,12 @@ def check_primary_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def check_not_null(df: DataFrame, columns: list[str], id_col: str) -> DataFrame:
-    """K2: one row per (record, NOT NULL column holding NULL). One pass: the
-    violated column names are gathered per row and exploded."""
-    names = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
-    cond = F.lit(False)
-    for c in columns:
-        cond = cond | F.col(c).isNull()
-    return df.filter(cond).select(id_col, F.explode(names).alias("column_name"))
+    """K2: one row per (record, NOT NULL column holding NULL); a column that
+    ``df`` lacks holds NULL in every record. One pass: the violated column names
+    are gathered per row and exploded."""
+    missing = {c: F.col(c).isNull() if c in df.columns else F.lit(True) for c in columns}
+    names = F.array_compact(F.array(*[F.when(m, F.lit(c)) for c, m in missing.items()]))
+    return df.filter(any_of(list(missing.values()))).select(id_col, F.explode(names).alias("column_name"))
 
 
 def check_unique(df: DataFrame, column: str) -> DataFrame:
@@ -132,6 +133,8 @@ def row_violations(df: DataFrame, table: str | TableSpec) -> DataFrame:
     for c in spec.not_null:
         if c in present:
             rules.append((F.col(c).isNull(), "not_null", c, F.lit(None).cast("string")))
+        elif spec.column(c).default is None:
+            rules.append((F.lit(True), "not_null", c, F.lit(ABSENT_COLUMN)))
     for c, values in spec.domains:
         if c in present:
             rules.append((~F.col(c).isin(*values), "domain", c, F.col(c).cast("string")))
@@ -167,8 +170,9 @@ def check_table(df: DataFrame, table: str | TableSpec, parents: dict[str, DataFr
     Keys need their own plans (a count per key for PRIMARY KEY and UNIQUE,
     an anti join per FOREIGN KEY); every row-local rule comes from the single
     pass of ``row_violations``. ``parents`` maps parent table names to
-    DataFrames for the foreign keys; keys whose parent is not given are
-    skipped.
+    DataFrames for the foreign keys. What can't be checked is reported too: an
+    absent NOT NULL column in every row, a foreign key whose parent is not
+    given once, without a record.
     """
     spec = table if isinstance(table, TableSpec) else TABLES[table]
     pk = spec.primary_key
@@ -181,7 +185,13 @@ def check_table(df: DataFrame, table: str | TableSpec, parents: dict[str, DataFr
             parts.append(_uniform(check_unique(df, col), spec.name, "unique", col, F.col(col),
                                   F.concat(F.lit("occurrences="), F.col("occurrences").cast("string"))))
     for col, parent, parent_col in spec.foreign_keys:
-        if parents and parent in parents and col in df.columns:
+        if col not in df.columns:
+            continue                                 # NULL in every row, which satisfies it
+        if parent not in (parents or {}):
+            parts.append(df.sparkSession.createDataFrame(
+                [(spec.name, "foreign_key", col, None, f"not checked: {parent} is not given")],
+                ", ".join(f"{c} string" for c in VIOLATION_COLUMNS)))
+        else:
             parts.append(_uniform(check_foreign_key(df, parents[parent], col, parent_col, pk), spec.name,
                                   "foreign_key", col, F.col(pk), F.col(col)))
     parts.append(row_violations(df, spec).select(*VIOLATION_COLUMNS))

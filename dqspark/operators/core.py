@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import any_of, date_lit, missing_fields
+from ..functions.exprs import any_of, date_lit, fresh_name, missing_fields
 from .numbering import ordered
 
 def incomplete(
@@ -83,17 +83,22 @@ def duplicates(df: DataFrame, keys: list[str], id_col: str, count_col: str = "du
     return DuplicateGroups(list(keys), id_col, count_col, groups, rows)
 
 
+# NULL keys of a child are dealt to this many buckets; a bucket is a hash, not a task.
+NULL_BUCKETS = 4096
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None,
             null_passes: bool = False, salt_buckets: int = 0) -> DataFrame:
-    """Child rows with no parent row on ``key``.
+    """Child rows with no parent row on ``key``, from one scan of the child.
 
     ``LEFT JOIN parent ... WHERE parent.key IS NULL`` is written as a
     ``left_anti`` join (Spark does not rewrite the outer-join form). NULL child
-    keys are reported unless ``null_passes`` (foreign-key semantics); they skip
-    the join (no shuffle of a NULL hot key). Only the
-    parent's key column is read. No side is hinted: Spark broadcasts the parent
-    keys when their measured bytes allow it, else shuffles and splits a skewed
-    child key.
+    keys are reported unless ``null_passes`` (foreign-key semantics): they
+    match nothing, so they go through the same join under a second join column
+    that spreads them, instead of meeting in one task. Only the parent's key
+    column is read. No side is hinted: Spark broadcasts the parent keys when
+    their measured bytes allow it, else shuffles and splits a skewed child key
+    (AQE splits the left side of an anti join).
 
     ``salt_buckets=n`` salts the join explicitly, for clusters where AQE's
     skew handling is off: each child row takes bucket ``hash(row) mod n``
@@ -101,24 +106,19 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
     spread over ``n`` tasks at the price of ``n`` copies of the parent keys.
     The result is the same rows.
     """
-    pk = parent_key or key
+    pk, salt = parent_key or key, fresh_name(child, "_salt")
     parent_keys = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull())
-    keyed = child.filter(F.col(key).isNotNull())
-    if salt_buckets and salt_buckets > 1:
-        salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*keyed.columns), F.lit(salt_buckets)))
-        keys = parent_keys.select("_pk", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_psalt"))
-        cond = (salted[key] == keys["_pk"]) & (salted["_salt"] == keys["_psalt"])
-        found = salted.join(keys, cond, "left_anti").drop("_salt")
-    else:
-        found = keyed.join(parent_keys, keyed[key] == parent_keys["_pk"], "left_anti")
-    if null_passes:
-        return found
-    # A NULL key never matches, and all NULL keys would hash to one shuffle
-    # partition: those rows bypass the join instead of being shuffled.
-    return found.unionByName(child.filter(F.col(key).isNull()))
-
-
-def before(col: str | Column, as_of: dt.date | str, days: int) -> Column:
+    rows = child.filter(F.col(key).isNotNull()) if null_passes else child
+    n = max(salt_buckets or 1, 1)
+    dealt = F.xxhash64(*rows.columns)
+    keys = parent_keys.select("_pk", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_psalt")) if n > 1 else \
+        parent_keys.withColumn("_psalt", F.lit(0))
+    salted = rows.withColumn(salt, F.when(F.col(key).isNull(), n + F.pmod(dealt, F.lit(NULL_BUCKETS)))
+                             .otherwise(F.pmod(dealt, F.lit(n)) if n > 1 else F.lit(0)).cast("int"))
+    return salted.join(keys, (salted[key] == keys["_pk"]) & (salted[salt] == keys["_psalt"]), "left_anti").select(*child.columns)
+
+
+def before(col: str | Column, as_of: dt.date | str | None, days: int) -> Column:
     """``col < as_of - INTERVAL 'days days'`` on a DATE column; the bound is a
     literal, so the comparison is pushed to the Parquet scan."""
     c = F.col(col) if isinstance(col, str) else col

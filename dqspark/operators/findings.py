@@ -147,7 +147,7 @@ def check_duplicate_records(patients: DataFrame, sort: bool = False) -> CheckRes
                        {"total_duplicates": ("_amount", "bigint")}, groups.members)
 
 
-def check_provider_credentials(providers: DataFrame, as_of: dt.date | str, sort: bool = False) -> CheckResult:
+def check_provider_credentials(providers: DataFrame, as_of: dt.date | str | None = None, sort: bool = False) -> CheckResult:
     """C11 without label, ordered by expiry; CRITICAL."""
     base = V.expired_licenses(providers, as_of, with_issue_type=False, sort=False)
     cols = _issue_cols(

@@ -32,7 +32,7 @@ def providers_complete():
     return all_of([F.col(f).isNotNull() for f in R.PROVIDER_REQUIRED_FIELDS])
 
 
-def quality_metrics(patients: DataFrame, claims: DataFrame, as_of: dt.date | str, days: int = R.RECENT_DAYS) -> DataFrame:
+def quality_metrics(patients: DataFrame, claims: DataFrame, as_of: dt.date | str | None = None, days: int = R.RECENT_DAYS) -> DataFrame:
     """The reference's documented two-row metrics table.
 
     Patients are complete with the four required fields and recent when
@@ -78,7 +78,7 @@ def completeness_rates(patients: DataFrame, claims: DataFrame, providers: DataFr
     return out.withColumn("completeness_rate", pct(F.col("complete_records"), F.col("total_records")))
 
 
-def accuracy_rates(patients: DataFrame, claims: DataFrame, lines: DataFrame, as_of: dt.date | str) -> DataFrame:
+def accuracy_rates(patients: DataFrame, claims: DataFrame, lines: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     """M2: share of records passing the validation rules, per table:
     patients by C03–C05, claims by C06–C09.
 

@@ -91,7 +91,7 @@ def incomplete_patients(patients: DataFrame, sort: bool = False, with_contact_co
     return out
 
 
-def invalid_dob_condition(as_of: dt.date | str, min_date: str = R.MIN_BIRTH_DATE,
+def invalid_dob_condition(as_of: dt.date | str | None = None, min_date: str = R.MIN_BIRTH_DATE,
                           max_age: int = R.MAX_AGE_YEARS) -> Column:
     """Row predicate of C03 (NULL birth dates are not reported)."""
     today = date_lit(as_of)
@@ -113,7 +113,7 @@ def invalid_email_condition(pattern: str = R.EMAIL_PATTERN) -> Column:
     return is_true(F.col("is_active")) & email.isNotNull() & ~email.rlike(pattern)
 
 
-def invalid_dob(patients: DataFrame, as_of: dt.date | str, min_date: str = R.MIN_BIRTH_DATE,
+def invalid_dob(patients: DataFrame, as_of: dt.date | str | None = None, min_date: str = R.MIN_BIRTH_DATE,
                 max_age: int = R.MAX_AGE_YEARS, sort: bool = False) -> DataFrame:
     """Birth date in the future, before ``min_date``, or an age above
     ``max_age`` whole years. Applies to all patients, active or not."""
@@ -158,13 +158,13 @@ def duplicate_patients(patients: DataFrame, sort: bool = False) -> DataFrame:
     return out.orderBy(F.col("duplicate_count").desc(), "name", "date_of_birth", "member_no") if sort else out
 
 
-def stale_patient_condition(as_of: dt.datetime | dt.date | str, years: int = R.STALE_YEARS) -> Column:
+def stale_patient_condition(as_of: dt.datetime | dt.date | str | None = None, years: int = R.STALE_YEARS) -> Column:
     """Row predicate of C19."""
     cutoff = ts_lit(as_timestamp(as_of)) - F.make_interval(F.lit(years))
     return is_true(F.col("is_active")) & (F.col("updated_at") < cutoff)
 
 
-def stale_patients(patients: DataFrame, as_of: dt.datetime | dt.date | str,
+def stale_patients(patients: DataFrame, as_of: dt.datetime | dt.date | str | None = None,
                    years: int = R.STALE_YEARS, sort: bool = False) -> DataFrame:
     """Active patients not updated for more than ``years`` years before
     the run timestamp; the day count uses the date part of ``updated_at``."""

@@ -12,7 +12,7 @@ from ..functions.exprs import any_of, date_lit, days_between, is_true
 from .core import incomplete
 
 
-def expired_license_condition(as_of: dt.date | str) -> Column:
+def expired_license_condition(as_of: dt.date | str | None = None) -> Column:
     """Row predicate of C11 and P05."""
     return (F.col("license_expiry_date") < date_lit(as_of)) & is_true(F.col("is_active"))
 
@@ -22,7 +22,7 @@ def incomplete_provider_condition() -> Column:
     return is_true(F.col("is_active")) & any_of([F.col(f).isNull() for f in R.PROVIDER_REQUIRED_FIELDS])
 
 
-def expired_licenses(providers: DataFrame, as_of: dt.date | str, with_issue_type: bool = True,
+def expired_licenses(providers: DataFrame, as_of: dt.date | str | None = None, with_issue_type: bool = True,
                      sort: bool = False) -> DataFrame:
     """C11: active providers whose licence expired before ``as_of``."""
     today = date_lit(as_of)

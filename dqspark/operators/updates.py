@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,11 +23,11 @@ TOUCHED_TABLES = ("patient_records", "claims", "encounters")
 
 
 def _once_per_key(updates: DataFrame, key: str) -> DataFrame:
-    """``updates`` itself; its plan fails on a key that occurs twice."""
-    repeated = (F.col("_n") > 1) & F.col(key).isNotNull()
+    """``updates`` without NULL keys, which match nothing; its plan fails on a
+    key that occurs twice."""
     message = F.concat(F.lit(f"repeated update key {key}="), F.col(key).cast("string"))
-    return (updates.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
-            .filter(F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return (updates.filter(F.col(key).isNotNull()).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+            .filter(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
             .drop("_n"))
 
 
@@ -43,7 +43,7 @@ def apply_updates(base: DataFrame, updates: DataFrame, key: str, now: dt.datetim
       ``insert_missing``: then they are appended, conformed to ``table``'s
       DDL defaults (``updated_at`` = ``now`` by default, not by trigger).
     * ``updates`` must hold each key at most once: a repeated key fails the
-      job, as MERGE does. NULL keys match nothing.
+      job, as MERGE does. Rows with a NULL key match nothing and are not inserted.
     * When ``table`` is given, only the tables with the trigger
       (``TOUCHED_TABLES``) stamp ``touch_column``.
 
@@ -81,3 +81,38 @@ def apply_updates(base: DataFrame, updates: DataFrame, key: str, now: dt.datetim
         )
         out = out.unionByName(new_rows)
     return out
+
+
+# --- stored tables -----------------------------------------------------------
+
+BUCKET = "key_bucket"
+
+
+def key_bucket(key: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def store_by_key(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Store ``df`` as Parquet in folders by a hash of ``key``, so that an
+    update finds a key's folder without an index."""
+    (df.withColumn(BUCKET, key_bucket(key, buckets)).repartition(buckets, BUCKET)
+     .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
+
+
+def touched_rows(spark: SparkSession, path: str, updates: DataFrame, key: str, buckets: int) -> DataFrame:
+    """The stored rows of the folders that hold an updated key; the others are
+    pruned. At most ``buckets`` folder numbers reach the driver."""
+    hit = [r[0] for r in updates.filter(F.col(key).isNotNull()).select(key_bucket(key, buckets)).distinct().collect()]
+    return spark.read.parquet(path).filter(F.col(BUCKET).isin(hit) if hit else F.lit(False))
+
+
+def update_stored(spark: SparkSession, path: str, updates: DataFrame, key: str, buckets: int, now: dt.datetime | str,
+                  **options) -> None:
+    """``apply_updates`` on a table stored by ``store_by_key``: only folders
+    that hold an updated key are read, and only they are replaced (dynamic
+    partition overwrite; a failed job leaves them as they were). ``options``
+    are those of ``apply_updates``."""
+    base = touched_rows(spark, path, updates, key, buckets)
+    after = apply_updates(base.drop(BUCKET), updates, key, now, **options)
+    (after.withColumn(BUCKET, key_bucket(key, buckets)).repartition(buckets, BUCKET)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))

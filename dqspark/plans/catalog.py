@@ -21,8 +21,12 @@ from ..operators import findings as FND
 from ..operators import metrics as MT
 from ..operators import patients as P
 from ..operators import providers as V
-from ..operators.updates import apply_updates
+from ..operators import resolution as H
+from ..operators.key_counts import add_batch
+from ..operators.updates import BUCKET, apply_updates, store_by_key, update_stored
+from ..session import new_folder
 from ..sources.fixtures import FIXTURE_AS_OF, load_fixtures
+from ..sources.intake import take_in
 from ..sources.readers import conform
 from ..sources.schemas import AUDIT_STATUSES, CLAIM_STATUSES, PATIENT_RECORDS, SEVERITIES
 from . import fused
@@ -32,6 +36,8 @@ from .sinks import csv_ready, json_records, report_preview
 
 AS_OF = dt.date.fromisoformat(FIXTURE_AS_OF)
 
+RUN_TS = dt.datetime.combine(AS_OF, dt.time())
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -124,6 +130,23 @@ CONSTRAINT_QUERIES: dict[str, Query] = {
     "table_violations_providers": _q(lambda t: K.check_table(t.providers, "providers")),
     "table_violations_claims_line_items": _q(
         lambda t: K.check_table(t.claims_line_items, "claims_line_items", {"claims": t.claims})),
+    # Over rows as they arrive, before they are typed.
+    "pk_raw_claims": _q(lambda t: K.check_primary_key(t.raw_claims, "claim_id")),
+    "not_null_raw_claims": _q(lambda t: K.check_not_null(t.raw_claims, ["service_date", "submission_date"], "claim_id")),
+    "not_null_claims_line_items": _q(lambda t: K.check_not_null(t.claims_line_items, ["procedure_code"], "line_item_id")),
+    "not_null_raw_encounters": _q(lambda t: K.check_not_null(t.raw_encounters, ["encounter_date"], "encounter_id")),
+    "fk_raw_encounters_patient": _q(
+        lambda t: K.check_foreign_key(t.raw_encounters, t.patient_records, "patient_id", None, "encounter_id")),
+    "domain_raw_audit_status": _q(lambda t: K.check_domain(t.raw_audit_log, "status", AUDIT_STATUSES, "audit_id")),
+    "decimal_range_raw_claims": _q(lambda t: K.check_decimal_range(
+        t.raw_claims.select("claim_id", F.col("claim_total_amount").try_cast("decimal(38,10)").alias("claim_total_amount")),
+        ["claim_total_amount"], 10, 2, "claim_id")),
+    "table_violations_raw_encounters": _q(
+        lambda t: K.check_table(t.raw_encounters, "encounters", {"patient_records": t.patient_records})),
+    "accepted_claims": _q(lambda t: take_in(t.raw_claims, "claims", now=RUN_TS).accepted),
+    "rejected_claims": _q(lambda t: take_in(t.raw_claims, "claims", now=RUN_TS).rejected),
+    "rejected_claim_violations": _q(lambda t: take_in(t.raw_claims, "claims", now=RUN_TS).violations),
+    "rejected_encounters": _q(lambda t: take_in(t.raw_encounters, "encounters", now=RUN_TS).rejected),
     "table_violations_encounters": _q(
         lambda t: K.check_table(t.encounters, "encounters",
                                 {"patient_records": t.patient_records, "providers": t.providers})),
@@ -149,7 +172,6 @@ METRIC_QUERIES: dict[str, Query] = {
 # --- Table maintenance, report and look-up (W2, W3, P07, R4) ----------------
 
 
-RUN_TS = dt.datetime.combine(AS_OF, dt.time())
 UPDATE_TS = dt.datetime.combine(AS_OF, dt.time(12))
 
 
@@ -162,7 +184,41 @@ def _processed_pending(t):
     return apply_updates(base, updates, "claim_id", now=UPDATE_TS)
 
 
+def _findings(t):
+    """The log's findings as they were written: open, unassigned."""
+    return conform(t.quality_audit_log.drop("status", "resolved_at"), "quality_audit_log", now=RUN_TS)
+
+
+KEY_BUCKETS = 16
+
+
+def _stored_update(t):
+    """W3 on a stored table, folder by folder, read back."""
+    spark, path = t.claims.sparkSession, new_folder(t.claims.sparkSession, "claims")
+    store_by_key(conform(t.claims, "claims", now=RUN_TS), path, "claim_id", KEY_BUCKETS)
+    updates = t.claims.filter(F.col("status") == "PENDING").select(
+        "claim_id", F.lit("PROCESSED").alias("status"), F.lit(AS_OF).alias("processing_date"))
+    update_stored(spark, path, updates, "claim_id", KEY_BUCKETS, now=UPDATE_TS, table="claims")
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def _arrivals(t):
+    """C14 as claims arrive in three batches: the keys that repeat from each on."""
+    spark, path, out = t.claims.sparkSession, new_folder(t.claims.sparkSession, "key-counts"), None
+    for b in range(3):
+        arrived = t.claims.filter(F.dayofmonth("submission_date") % 3 == b)
+        new = add_batch(spark, path, arrived, b, C.DUPLICATE_CLAIM_KEYS, "claim_id").withColumn("batch_id", F.lit(b))
+        out = new if out is None else out.unionByName(new)
+    return out
+
+
 MAINTENANCE_QUERIES: dict[str, Query] = {
+    "claims_after_stored_update": _q(_stored_update),
+    "newly_repeated_claims": _q(_arrivals),
+    "audit_log_current": _q(lambda t: H.current_log(_findings(t), t.audit_events)),
+    "audit_status_timeline": _q(lambda t: H.status_timeline(_findings(t), t.audit_events)),
+    "time_in_status": _q(lambda t: H.time_in_status(H.status_timeline(_findings(t), t.audit_events))),
+    "resolution_times_from_events": _q(lambda t: MT.resolution_times(H.current_log(_findings(t), t.audit_events))),
     "conformed_claims": _q(lambda t: conform(t.claims, "claims", now=RUN_TS)),
     "conformed_encounters": _q(lambda t: conform(t.encounters, "encounters", now=RUN_TS)),
     "claims_after_processing": _q(_processed_pending),

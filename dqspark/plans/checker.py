@@ -63,7 +63,7 @@ def _namespace(tables) -> SimpleNamespace:
     return SimpleNamespace(**tables) if isinstance(tables, dict) else tables
 
 
-def build_checks(tables, as_of: dt.date | str) -> dict[str, FND.CheckResult]:
+def build_checks(tables, as_of: dt.date | str | None = None) -> dict[str, FND.CheckResult]:
     """The five checks of the reference's checker, in its order. ``tables``
     is anything with ``patient_records``, ``providers``, ``claims`` and
     ``claims_line_items`` attributes (e.g. ``HealthcareTables``) or a dict."""
@@ -78,7 +78,7 @@ def build_checks(tables, as_of: dt.date | str) -> dict[str, FND.CheckResult]:
     return {c.key: c for c in checks}
 
 
-def saved_checks(tables, as_of: dt.date | str) -> dict[str, FND.CheckResult]:
+def saved_checks(tables, as_of: dt.date | str | None = None) -> dict[str, FND.CheckResult]:
     """The same checks over rows written once: flagged rows of one pass per
     table, and the groups of duplicate keys."""
     t = _namespace(tables)
@@ -93,7 +93,7 @@ def saved_checks(tables, as_of: dt.date | str) -> dict[str, FND.CheckResult]:
     return {c.key: c for c in checks}
 
 
-def count_checks(tables, as_of: dt.date | str) -> tuple[DataFrame, DataFrame]:
+def count_checks(tables, as_of: dt.date | str | None = None) -> tuple[DataFrame, DataFrame]:
     """P06 without details: counts per check and the summary row, from one
     scan of each table."""
     return fused.run_counts(fused.tallies(tables, as_of), CHECK_NAMES)
@@ -131,7 +131,7 @@ def summarize(checks: dict[str, FND.CheckResult], findings: DataFrame) -> tuple[
     return counts, summary
 
 
-def run_all_checks(tables, as_of: dt.date | str, run_ts: dt.datetime | str | None = None,
+def run_all_checks(tables, as_of: dt.date | str | None = None, run_ts: dt.datetime | str | None = None,
                    run_id: str | None = None, materialize: bool = False, last_audit_id: int = 0) -> RunResult:
     """P06. The summary and the audit rows carry the run's timestamp; audit ids
     follow ``last_audit_id``, the log's largest. The audit rows are written

@@ -16,11 +16,13 @@ import uuid
 from dataclasses import dataclass
 from types import SimpleNamespace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import metrics as MT
-from ..sources.readers import conform, read_table
+from ..sources.intake import take_in
+from ..sources.readers import conform, read_csv_text, read_table
 from ..sources.schemas import TABLES
 from . import fused, sinks
 from .checker import RunResult, run_all_checks
@@ -56,16 +58,38 @@ def last_id(spark: SparkSession, path: str, column: str, run_id: str) -> int:
     return spark.read.parquet(path).filter(F.col("run_id") != run_id).agg(F.max(column)).first()[0] or 0
 
 
-def load_tables(spark: SparkSession, root: str, fmt: str = "parquet", audit_log: str | None = None) -> SimpleNamespace:
+def _raw(spark: SparkSession, path: str, name: str, fmt: str) -> DataFrame:
+    """A source's values before they are typed."""
+    if fmt == "csv":
+        return read_csv_text(spark, path, name)
+    if fmt == "json":
+        # Scalars are read as text whatever they hold; a record that is no JSON has no key and is rejected.
+        schema = T.StructType([T.StructField(c.name, c.dtype if isinstance(c.dtype, T.ArrayType) else T.StringType())
+                               for c in TABLES[name].columns])
+        return spark.read.schema(schema).json(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def load_tables(spark: SparkSession, root: str, fmt: str = "parquet", audit_log: str | None = None,
+                rejects: str | None = None) -> SimpleNamespace:
     """``root/<table>`` for each input table, conformed to its declared schema.
 
+    Without ``rejects`` a value that does not fit the schema fails the read.
+    With it, rows holding one are written as JSON to ``rejects/<table>`` with
+    their reasons, and the run goes on with the others.
+
     ``audit_log`` names the log that M4 and M5 read and must exist; without
     it, ``root/quality_audit_log`` is read where there is one.
     """
     out = {}
     for name in INPUT_TABLES:
         path = os.path.join(root, name)
-        out[name] = conform(read_table(spark, path, name, fmt=fmt), TABLES[name])
+        if rejects:
+            taken = take_in(_raw(spark, path, name, fmt), name)
+            taken.rejected.write.mode("overwrite").option("ignoreNullFields", "false").json(os.path.join(rejects, name))
+            out[name] = taken.accepted
+        else:
+            out[name] = conform(read_table(spark, path, name, fmt=fmt), TABLES[name])
     audit = audit_log or os.path.join(root, "quality_audit_log")
     if audit_log or path_exists(spark, audit):
         out["quality_audit_log"] = spark.read.parquet(audit)

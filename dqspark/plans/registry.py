@@ -14,6 +14,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 
+from ..functions.exprs import as_date
 from ..operators import claims as C
 from ..operators import encounters as E
 from ..operators import patients as P
@@ -44,7 +45,7 @@ INVESTIGATIONS: dict[tuple[str, str], Investigation] = {
 }
 
 
-def investigate(tables, table: str, check_type: str, as_of: dt.date | str) -> DataFrame:
+def investigate(tables, table: str, check_type: str, as_of: dt.date | str | None = None) -> DataFrame:
     """Detail rows of the check registered for (``table``, ``check_type``).
     ``tables`` has the healthcare tables as attributes or dict entries."""
     t = SimpleNamespace(**tables) if isinstance(tables, dict) else tables
@@ -53,5 +54,4 @@ def investigate(tables, table: str, check_type: str, as_of: dt.date | str) -> Da
     except KeyError:
         known = ", ".join(f"{a}/{b}" for a, b in sorted(INVESTIGATIONS))
         raise KeyError(f"no check for {table}/{check_type}; known: {known}") from None
-    d = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
-    return fn(t, d)
+    return fn(t, as_date(as_of))

@@ -9,6 +9,7 @@ scratch folder when the setting is absent (local runs).
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -79,3 +80,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder name under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/dqspark-{label}-{uuid.uuid4().hex}"

@@ -266,6 +266,69 @@ def quality_audit_log(events: DataFrame) -> DataFrame:
     )
 
 
+def raw_claims(orders: DataFrame) -> DataFrame:
+    """Claims as text, as they arrive: some values fit no declared type, some
+    ids are missing or come twice."""
+    k = F.col("k")
+    again = F.when(F.col("o_orderkey") % 67 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    o = orders.select(F.col("o_orderkey").alias("k"), "o_custkey", "o_orderdate", F.explode(again).alias("_copy"))
+    service = F.date_add(F.to_date("o_orderdate"), SERVICE_DATE_SHIFT_DAYS)
+    return o.select(
+        F.when(k % 211 == 0, F.lit(None)).otherwise(F.concat(F.lit("C"), k.cast("string"))).alias("claim_id"),
+        F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("patient_id"),
+        F.concat(F.lit("D"), (k % 10).cast("string")).alias("provider_id"),
+        F.when(k % 113 == 0, F.lit("123456789.00")).when(k % 127 == 0, F.lit("n/a")).when(k % 131 == 0, F.lit("12.345"))
+        .otherwise(F.concat((k % 90000).cast("string"), F.lit(".50"))).alias("claim_total_amount"),
+        F.when(k % 137 == 0, F.lit("2024-02-30")).when(k % 139 == 0, F.lit(None)).otherwise(service.cast("string")).alias("service_date"),
+        F.date_add(service, (k % 10).cast("int")).cast("string").alias("submission_date"),
+        F.when(k % 149 == 0, F.lit("VOID")).otherwise(F.lit("PENDING")).alias("status"),
+        F.when(k % 151 == 0, F.concat(F.lit("PROCEDURE-"), k.cast("string")))
+        .otherwise(F.concat(F.lit("PC"), (k % 1000).cast("string"))).alias("procedure_code"),
+    )
+
+
+def raw_encounters(events: DataFrame) -> DataFrame:
+    """Encounters as text, as they arrive."""
+    e = F.col("e")
+    again = F.when(F.col("event_id") % 71 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = events.select(F.col("event_id").alias("e"), "user_id", "ts", "event_type", F.explode(again).alias("_copy"))
+    return rows.select(
+        F.concat(F.lit("E"), e.cast("string")).alias("encounter_id"),
+        F.when(e % 53 == 0, F.lit("P-none")).otherwise(F.concat(F.lit("P"), F.col("user_id").cast("string"))).alias("patient_id"),
+        F.when(e % 59 == 0, F.lit("D-none")).otherwise(F.concat(F.lit("D"), (1 + e % 9).cast("string"))).alias("provider_id"),
+        F.when(e % 61 == 0, F.lit(None)).otherwise(F.to_date("ts").cast("string")).alias("encounter_date"),
+        F.when(e % 67 == 0, F.repeat(F.lit("visit "), F.lit(12))).otherwise(F.col("event_type")).alias("encounter_type"),
+    )
+
+
+def raw_audit_log(events: DataFrame) -> DataFrame:
+    """Audit rows as another tool hands them over, with a status of its own."""
+    e = F.col("event_id")
+    return events.select(
+        e.cast("string").alias("audit_id"),
+        F.when(e % 2 == 0, F.lit("LOW")).otherwise(F.lit("HIGH")).alias("severity"),
+        F.when(e % 73 == 0, F.lit("CLOSED")).otherwise(F.lit("OPEN")).alias("status"),
+    )
+
+
+def audit_events(events: DataFrame) -> DataFrame:
+    """What happened to the findings of ``quality_audit_log``."""
+    e, ts = F.col("event_id"), F.col("ts").cast("timestamp_ntz")
+
+    def entry(no: int, cond, status: str, hours, who=None, notes=None):
+        return F.when(cond, F.struct(
+            (e * 10 + no).alias("event_id"), F.lit(status).alias("status"), F.timestamp_add("HOUR", hours, ts).alias("event_time"),
+            (who if who is not None else F.lit(None).cast("string")).alias("assigned_to"), F.lit(notes).cast("string").alias("resolution_notes")))
+
+    entries = F.array_compact(F.array(
+        entry(1, e % 3 == 0, "IN_PROGRESS", F.lit(1), F.concat(F.lit("A"), (e % 7).cast("string"))),
+        entry(2, e % 3 == 0, "RESOLVED", 2 + e % 72, notes="checked"),
+        entry(3, e % 15 == 0, "OPEN", F.lit(100), notes="seen again"),
+        entry(4, e % 5 == 1, "ACKNOWLEDGED", F.lit(3)),
+        entry(5, e % 25 == 1, "RESOLVED", F.lit(3))))
+    return events.select(e.alias("audit_id"), F.explode(entries).alias("x")).select("audit_id", "x.*")
+
+
 class HealthcareTables:
     """Lazily derived tables for one test-data directory.
 
@@ -306,6 +369,22 @@ class HealthcareTables:
     def quality_audit_log(self) -> DataFrame:
         return quality_audit_log(self._src("events"))
 
+    @cached_property
+    def audit_events(self) -> DataFrame:
+        return audit_events(self._src("events"))
+
+    @cached_property
+    def raw_claims(self) -> DataFrame:
+        return raw_claims(self._src("orders"))
+
+    @cached_property
+    def raw_encounters(self) -> DataFrame:
+        return raw_encounters(self._src("events"))
+
+    @cached_property
+    def raw_audit_log(self) -> DataFrame:
+        return raw_audit_log(self._src("events"))
+
     def as_dict(self) -> dict[str, DataFrame]:
         return {
             "patient_records": self.patient_records,

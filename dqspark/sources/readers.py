@@ -1,16 +1,21 @@
 """Readers for the source tables and ``conform`` (the DDL defaults, W2).
 
-Sources are read with a declared schema (no inference): Parquet by default,
-CSV for the sample-file layout, JDBC for a live PostgreSQL database. Reading
-is lazy; filters and projections of the checks reach the Parquet scan.
+Sources are checked against the declared schema: Parquet by default, CSV for
+the sample-file layout, JDBC for a live PostgreSQL database. Columns are taken
+by name, file by file; a type that could lose value is refused when the plan
+is built, a text that is no value of its type fails the read (or is set aside:
+``intake``). Reading is lazy; filters and projections of the checks reach the
+Parquet scan.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,26 +43,110 @@ def read_table(
 ) -> DataFrame:
     """Read one healthcare table with its declared schema.
 
-    ``fmt`` is ``parquet``, ``csv`` or ``json``. CSV is matched by header
-    name, not position: the file's columns are read as text and each declared
-    column present is cast to its type (a malformed value fails the read, as
-    an INSERT would; arrays are not representable in CSV). Files written by
-    other tools may lack columns; pass the result through ``conform`` to add
-    them with their defaults.
+    ``fmt`` is ``parquet``, ``csv`` or ``json``. Each file's columns are taken
+    by the names in its own header or footer; a file may lack columns others
+    have (NULL there; pass the result through ``conform`` for columns that no
+    file has). A malformed value or record fails the read, as an INSERT would;
+    arrays are not representable in CSV.
     """
     spec = _spec(table)
     reader = spark.read.options(**options)
     if fmt == "csv":
-        raw = reader.option("header", "true").option("inferSchema", "false").csv(path)
-        declared = {f.name: f.dataType for f in spec.schema.fields}
-        return raw.select(*[
-            F.col(c).cast(declared[c]).alias(c) for c in raw.columns
-            if c in declared and not isinstance(declared[c], T.ArrayType)
-        ])
+        raw = read_csv_text(spark, path, spec, mode="FAILFAST", **options)
+        return raw.select(*[strict_cast(F.col(c), spec.column(c).dtype, c).alias(c) for c in raw.columns])
     if fmt == "json":
         # A malformed record fails the read instead of becoming NULL fields.
         return reader.option("mode", "FAILFAST").schema(spec.schema).json(path)
-    return reader.parquet(path)
+    return check_types(reader.option("mergeSchema", "true").parquet(path), spec)
+
+
+class SchemaMismatch(ValueError):
+    """A source column's type does not fit the declared one."""
+
+
+def _fits(actual: T.DataType, declared: T.DataType) -> bool:
+    """Whether every value of ``actual`` is one of ``declared``."""
+    if actual == declared or isinstance(actual, T.NullType):
+        return True
+    whole = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    digits = whole.get(type(actual))
+    if isinstance(declared, T.DecimalType):
+        if isinstance(actual, T.DecimalType):   # more digits before the point are tested row by row (K7)
+            return actual.scale <= declared.scale
+        return digits is not None
+    if digits and type(declared) in whole:
+        return digits <= whole[type(declared)]
+    if isinstance(declared, T.ArrayType) and isinstance(actual, T.ArrayType):
+        return _fits(actual.elementType, declared.elementType)
+    if isinstance(declared, T.TimestampNTZType):
+        return isinstance(actual, (T.TimestampType, T.DateType))
+    return isinstance(declared, T.StringType) and isinstance(actual, (T.VarcharType, T.CharType))
+
+
+def check_types(df: DataFrame, table: str | TableSpec) -> DataFrame:
+    """``df`` itself; raises ``SchemaMismatch`` naming every declared column
+    whose type there could lose value (``double`` amounts, timestamps as dates,
+    numbers as text). Only the schema is looked at."""
+    spec = _spec(table)
+    wrong = [f"{f.name} is {f.dataType.simpleString()}, declared {spec.column(f.name).dtype.simpleString()}"
+             for f in df.schema.fields if f.name in spec.column_names and not _fits(f.dataType, spec.column(f.name).dtype)]
+    if wrong:
+        raise SchemaMismatch(f"{spec.name}: " + "; ".join(wrong))
+    return df
+
+
+def strict_cast(value: Column, dtype: T.DataType, name: str) -> Column:
+    """``value`` as ``dtype``; a value that is none fails the job in every ANSI mode."""
+    cast = value.try_cast(dtype)
+    message = F.concat(F.lit(f"{name} is no {dtype.simpleString()}: "), value.cast("string"))
+    return F.when(value.isNotNull() & cast.isNull(), F.raise_error(message).cast(dtype)).otherwise(cast)
+
+
+def csv_headers(spark: SparkSession, path: str, **options) -> dict[tuple[str, ...], list[str]]:
+    """The CSV files under ``path`` by their header. One line of each file is
+    read, through the file's own file system; nothing else reaches the driver."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    # The listing (with globs, without contents) is Spark's own.
+    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0").collect()]
+
+    def header(file: str) -> tuple[str, ...]:
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+            raw = codec.createInputStream(stream) if codec is not None else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        row = next(csv.reader([line.lstrip("\ufeff")], delimiter=options.get("sep", ",")), [])
+        return tuple(c.strip() for c in row)
+
+    with ThreadPoolExecutor(16) as pool:
+        found = list(pool.map(header, files))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file, names in zip(files, found):
+        out.setdefault(names, []).append(file)
+    return out
+
+
+def read_csv_text(spark: SparkSession, path: str, table: str | TableSpec, mode: str = "PERMISSIVE", **options) -> DataFrame:
+    """The declared columns (arrays left out) of CSV files as text, each file
+    by its own header. ``mode`` is Spark's: ``FAILFAST`` refuses a line whose
+    fields don't match its header, ``PERMISSIVE`` fills up with NULL."""
+    spec = _spec(table)
+    wanted = [c.name for c in spec.columns if not isinstance(c.dtype, T.ArrayType)]
+    out = None
+    for names, files in sorted(csv_headers(spark, path, **options).items()):
+        lower = [n.lower() for n in names]
+        if len(set(lower)) < len(lower):
+            raise SchemaMismatch(f"{spec.name}: repeated column in the header {', '.join(names)}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        part = (spark.read.options(**options).option("header", "true").option("enforceSchema", "false").option("mode", mode)
+                .schema(schema).csv(files)).select(*[F.col(n) for n in names if n in wanted])
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in wanted]))
+    return out.select(*[n for n in wanted if n in out.columns])
 
 
 def read_jdbc(
@@ -87,7 +176,7 @@ def read_jdbc(
             .option("upperBound", str(upper_bound))
             .option("numPartitions", str(num_partitions or 8))
         )
-    return reader.load()
+    return check_types(reader.load(), spec)
 
 
 def _default_value(spec_default: str, dtype: T.DataType, now: dt.datetime):

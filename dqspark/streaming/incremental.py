@@ -16,10 +16,10 @@ appending twice.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import findings as FND
@@ -41,13 +41,16 @@ def batch_audit(batch: DataFrame, table: str, as_of: dt.date, run_ts: dt.datetim
 
 
 def start_audit_stream(spark: SparkSession, table: str, source_dir: str, sink_path: str,
-                       checkpoint_location: str, as_of: dt.date, schema: T.StructType | None = None,
+                       checkpoint_location: str, as_of: dt.date | None = None, schema: T.StructType | None = None,
                        available_now: bool = True, processing_time: str | None = None,
                        max_files_per_trigger: int | None = None):
     """Start a stream over Parquet files landing in ``source_dir`` and append
     each micro-batch's audit rows to ``sink_path`` (partition ``run_id`` =
-    ``<table>-<batch id>``). ``schema`` defaults to the schema of the files
-    already present. Returns the ``StreamingQuery``."""
+    ``<table>-<stream id>-<batch id>``; the stream's id is its checkpoint's, so a
+    new checkpoint adds rows and a replayed batch replaces its own). ``as_of``
+    is the day of each batch unless given; rows carry the batch's own time.
+    ``schema`` defaults to the schema of the files already present. Returns the
+    ``StreamingQuery``."""
     if table not in ROW_LOCAL_CHECKS:
         raise ValueError(f"{table} has no row-local check; run it as a batch job")
     src_schema = schema or spark.read.parquet(source_dir).schema
@@ -57,9 +60,10 @@ def start_audit_stream(spark: SparkSession, table: str, source_dir: str, sink_pa
     stream = reader.parquet(source_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        run_ts = dt.datetime.combine(as_of, dt.time())
-        rows = batch_audit(batch, table, as_of, run_ts, f"{table}-{batch_id}")
-        write_partitioned(rows.withColumn("batch_id", F.lit(batch_id)), sink_path, "run_id")
+        run_ts = dt.datetime.now().replace(microsecond=0)
+        meta = json.loads(spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()[0])
+        rows = batch_audit(batch, table, as_of or run_ts.date(), run_ts, f"{table}-{meta['id']}-{batch_id}")
+        write_partitioned(rows, sink_path, "run_id")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     if processing_time:

@@ -87,6 +87,45 @@ FROM events
 """
 
 # Dependency order: claims reads claims_line_items.
+RAW_CLAIMS = """
+SELECT CASE WHEN k%211=0 THEN NULL ELSE 'C'||k END AS claim_id, 'P'||o_custkey AS patient_id, 'D'||(k%10) AS provider_id,
+ CASE WHEN k%113=0 THEN '123456789.00' WHEN k%127=0 THEN 'n/a' WHEN k%131=0 THEN '12.345' ELSE (k%90000)||'.50' END AS claim_total_amount,
+ CASE WHEN k%137=0 THEN '2024-02-30' WHEN k%139=0 THEN NULL ELSE CAST(d AS VARCHAR) END AS service_date,
+ CAST(d+CAST(k%10 AS INT) AS VARCHAR) AS submission_date, CASE WHEN k%149=0 THEN 'VOID' ELSE 'PENDING' END AS status,
+ CASE WHEN k%151=0 THEN 'PROCEDURE-'||k ELSE 'PC'||(k%1000) END AS procedure_code
+FROM (SELECT o_orderkey AS k, o_custkey, CAST(o_orderdate AS DATE)+8210 AS d,
+        unnest(CASE WHEN o_orderkey%67=0 THEN [0,1] ELSE [0] END) AS copy FROM orders) t
+"""
+
+RAW_ENCOUNTERS = """
+SELECT 'E'||e AS encounter_id, CASE WHEN e%53=0 THEN 'P-none' ELSE 'P'||user_id END AS patient_id,
+ CASE WHEN e%59=0 THEN 'D-none' ELSE 'D'||(1+e%9) END AS provider_id,
+ CASE WHEN e%61=0 THEN NULL ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS encounter_date,
+ CASE WHEN e%67=0 THEN repeat('visit ', 12) ELSE event_type END AS encounter_type
+FROM (SELECT event_id AS e, user_id, ts, event_type, unnest(CASE WHEN event_id%71=0 THEN [0,1] ELSE [0] END) AS copy FROM events) t
+"""
+
+RAW_AUDIT_LOG = """
+SELECT CAST(event_id AS VARCHAR) AS audit_id, CASE WHEN event_id%2=0 THEN 'LOW' ELSE 'HIGH' END AS severity,
+ CASE WHEN event_id%73=0 THEN 'CLOSED' ELSE 'OPEN' END AS status
+FROM events
+"""
+
+AUDIT_EVENTS = """
+SELECT audit_id, x.event_id, x.status, x.event_time, x.assigned_to, x.resolution_notes
+FROM (SELECT event_id AS audit_id, unnest(list_filter([
+    CASE WHEN event_id%3=0 THEN {'event_id': event_id*10+1, 'status': 'IN_PROGRESS', 'event_time': ts + INTERVAL 1 HOUR,
+      'assigned_to': 'A'||(event_id%7), 'resolution_notes': NULL::VARCHAR} END,
+    CASE WHEN event_id%3=0 THEN {'event_id': event_id*10+2, 'status': 'RESOLVED', 'event_time': ts + to_hours(2+event_id%72),
+      'assigned_to': NULL::VARCHAR, 'resolution_notes': 'checked'} END,
+    CASE WHEN event_id%15=0 THEN {'event_id': event_id*10+3, 'status': 'OPEN', 'event_time': ts + INTERVAL 100 HOUR,
+      'assigned_to': NULL::VARCHAR, 'resolution_notes': 'seen again'} END,
+    CASE WHEN event_id%5=1 THEN {'event_id': event_id*10+4, 'status': 'ACKNOWLEDGED', 'event_time': ts + INTERVAL 3 HOUR,
+      'assigned_to': NULL::VARCHAR, 'resolution_notes': NULL::VARCHAR} END,
+    CASE WHEN event_id%25=1 THEN {'event_id': event_id*10+5, 'status': 'RESOLVED', 'event_time': ts + INTERVAL 3 HOUR,
+      'assigned_to': NULL::VARCHAR, 'resolution_notes': NULL::VARCHAR} END], lambda v: v IS NOT NULL)) AS x FROM events) t
+"""
+
 CTES = {
     "patient_records": PATIENT_RECORDS,
     "providers": PROVIDERS,
@@ -94,6 +133,10 @@ CTES = {
     "claims": CLAIMS,
     "encounters": ENCOUNTERS,
     "quality_audit_log": QUALITY_AUDIT_LOG,
+    "audit_events": AUDIT_EVENTS,
+    "raw_claims": RAW_CLAIMS,
+    "raw_encounters": RAW_ENCOUNTERS,
+    "raw_audit_log": RAW_AUDIT_LOG,
 }
 _DEPS = {"claims": ["claims_line_items"]}
 

@@ -104,7 +104,75 @@ FROM previews JOIN names USING (check_key) WHERE preview_rank <= 10
 
 _ALL = ["patient_records", "providers", "claims", "claims_line_items"]
 
+_LATEST = """
+latest AS (
+  SELECT audit_id, status, event_time,
+    last_value(assigned_to IGNORE NULLS) OVER so_far AS assigned_to, last_value(resolution_notes IGNORE NULLS) OVER so_far AS resolution_notes
+  FROM audit_events WINDOW so_far AS (PARTITION BY audit_id ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING)
+  QUALIFY row_number() OVER (PARTITION BY audit_id ORDER BY event_time DESC, event_id DESC) = 1),
+log AS (
+  SELECT q.audit_id, q.check_timestamp, q.check_type, q.table_name, q.record_id, q.issue_type, CAST(NULL AS VARCHAR) AS issue_description,
+    q.severity, coalesce(e.status, 'OPEN') AS status, e.assigned_to, e.resolution_notes,
+    CASE e.status WHEN 'RESOLVED' THEN e.event_time END AS resolved_at
+  FROM quality_audit_log q LEFT JOIN latest e USING (audit_id))
+"""
+
+AUDIT_LOG_CURRENT = f"""
+WITH {_LATEST.strip()}
+SELECT * REPLACE (CAST(check_timestamp AS VARCHAR) AS check_timestamp, CAST(resolved_at AS VARCHAR) AS resolved_at) FROM log
+"""
+
+RESOLUTION_TIMES_FROM_EVENTS = f"""
+WITH {_LATEST.strip()}
+SELECT check_type, count(*) AS resolved_count,
+  round(avg(CAST(date_diff('second', check_timestamp, resolved_at) AS DOUBLE) / 3600), 2) AS avg_resolution_hours
+FROM log WHERE status = 'RESOLVED' GROUP BY check_type
+"""
+
+_TIMELINE = """
+entries AS (
+  SELECT audit_id, 'OPEN' AS status, check_timestamp AS since, -1 AS no FROM quality_audit_log
+  UNION ALL SELECT audit_id, status, event_time, event_id FROM audit_events WHERE audit_id IN (SELECT audit_id FROM quality_audit_log)),
+timeline AS (
+  SELECT audit_id, row_number() OVER w AS entry_no, status, since AS valid_from, lead(since) OVER w AS valid_to
+  FROM entries WINDOW w AS (PARTITION BY audit_id ORDER BY since, no))
+"""
+
+AUDIT_STATUS_TIMELINE = f"""
+WITH {_TIMELINE.strip()}
+SELECT audit_id, entry_no, status, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to FROM timeline
+"""
+
+TIME_IN_STATUS = f"""
+WITH {_TIMELINE.strip()}
+SELECT status, count(*) AS stays, round(avg(CAST(date_diff('second', valid_from, valid_to) AS DOUBLE) / 3600), 2) AS avg_hours
+FROM timeline WHERE valid_to IS NOT NULL GROUP BY status
+"""
+
+NEWLY_REPEATED_CLAIMS = f"""
+WITH arrived AS (
+  SELECT *, day(submission_date) % 3 AS batch_id,
+    row_number() OVER (PARTITION BY patient_id, provider_id, service_date, claim_total_amount
+                       ORDER BY day(submission_date) % 3, claim_id) AS nth
+  FROM claims WHERE submission_date IS NOT NULL),
+firsts AS (
+  SELECT patient_id, provider_id, service_date, claim_total_amount, batch_id AS since FROM arrived WHERE nth = 2)
+SELECT f.patient_id, f.provider_id, {D('f.service_date')} AS service_date, {M('f.claim_total_amount')} AS claim_total_amount,
+  count(*) AS n, min(a.claim_id) AS first_id, since AS batch_id
+FROM firsts f JOIN arrived a ON a.batch_id <= f.since AND a.patient_id IS NOT DISTINCT FROM f.patient_id
+  AND a.provider_id IS NOT DISTINCT FROM f.provider_id AND a.service_date = f.service_date
+  AND a.claim_total_amount IS NOT DISTINCT FROM f.claim_total_amount
+GROUP BY f.patient_id, f.provider_id, f.service_date, f.claim_total_amount, since
+"""
+_LOG = ["quality_audit_log", "audit_events"]
+
 MAINTENANCE = {
+    "claims_after_stored_update": (["claims"], CLAIMS_AFTER_PROCESSING),
+    "newly_repeated_claims": (["claims"], NEWLY_REPEATED_CLAIMS),
+    "audit_log_current": (_LOG, AUDIT_LOG_CURRENT),
+    "audit_status_timeline": (_LOG, AUDIT_STATUS_TIMELINE),
+    "time_in_status": (_LOG, TIME_IN_STATUS),
+    "resolution_times_from_events": (_LOG, RESOLUTION_TIMES_FROM_EVENTS),
     "conformed_claims": (["claims"], CONFORMED_CLAIMS),
     "conformed_encounters": (["encounters"], CONFORMED_ENCOUNTERS),
     "claims_after_processing": (["claims"], CLAIMS_AFTER_PROCESSING),
