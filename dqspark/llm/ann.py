@@ -48,6 +48,14 @@ def family(dim: int, table: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.normal(size=(dim, HASHES)), rng.uniform(0, WIDTH, HASHES)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors (last axis) times the power of two that brings their largest
+    component to between 1/2 and 1: exact, and squares neither overflow nor
+    vanish."""
+    _, exponent = np.frexp(np.abs(x).max(axis=-1, keepdims=True))
+    return np.ldexp(x, -exponent)
+
+
 def perturbations(down: np.ndarray, probes: int) -> list[np.ndarray]:
     """Steps (-1, 0, 1 per hash) in order of estimated success; ``down`` holds
     the distances to the lower cell borders, in cells."""
@@ -79,7 +87,7 @@ def _hash_rows(probes: int):
             ids, vectors = batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist()
             out_b, out_i, out_v = [], [], []
             for i, v in zip(ids, vectors):
-                x = np.array(v, float)
+                x = scaled(np.array(v, float))
                 unit, dim = x / np.linalg.norm(x), len(x)
                 for t in range(TABLES):
                     if (dim, t) not in tables:
@@ -101,7 +109,7 @@ _HASHED = "bucket string, vec_id long, embedding array<double>"
 
 def _matrix(table: pa.Table) -> np.ndarray:
     flat = table.column("embedding").combine_chunks().flatten().to_numpy()
-    return flat.reshape(len(table), -1)
+    return scaled(flat.reshape(len(table), -1))
 
 
 def _rank(k: int):
@@ -156,8 +164,8 @@ def usable(vectors: DataFrame) -> DataFrame:
     v = F.col("embedding")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    square = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
-    return rows.filter(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).filter(finite).filter(square > 0)
+    return rows.filter(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).filter(finite).filter(
+        F.exists(v, lambda x: x != 0))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, probes: int = PROBES) -> DataFrame:

@@ -163,18 +163,86 @@ def _forward(codes: np.ndarray, pieces: Pieces, logp: np.ndarray):
     return alpha, edges
 
 
+LONG = 200
+"""Words of more characters are recursed one at a time: their edges are found for
+all positions at once, length by length, and only the sums go position by position."""
+
+
+class LongWord:
+    """The lattice of one long word. Edges are sorted by their end."""
+
+    def __init__(self, word: str, pieces: Pieces, logp: np.ndarray):
+        codes = np.frombuffer((MARK + word).encode("utf-32-le"), "<u4")
+        n, plus = len(codes), codes.astype(np.uint64) + np.uint64(1)
+        begins, ends, ids, h = [], [], [], plus
+        with np.errstate(over="ignore"):
+            for size in range(1, min(pieces.longest, n) + 1):
+                if size > 1:
+                    h = h[:-1] * _BASE + plus[size - 1:]
+                piece = pieces.find(h)
+                at = np.flatnonzero(piece >= 0)
+                begins.append(at), ends.append(at + size), ids.append(piece[at])
+        at = np.flatnonzero(np.isin(codes, pieces.single, invert=True))
+        self.kinds, which = np.unique(codes[at], return_inverse=True)
+        self.written = [pieces.byte[list(chr(c).encode())] for c in self.kinds.tolist()]
+        begins.append(at), ends.append(at + 1), ids.append(-1 - which)      # written byte by byte
+        begin, end, ids = (np.concatenate(x) for x in (begins, ends, ids))
+        order = np.argsort(end, kind="stable")
+        self.n, self.begin, self.end, self.ids = n, begin[order], end[order], ids[order]
+        spelt = np.array([logp[w].sum() for w in self.written] or [0.0])
+        self.lp = np.where(self.ids >= 0, logp[np.maximum(self.ids, 0)], spelt[np.maximum(-1 - self.ids, 0)])
+
+    def _recursion(self, sources: np.ndarray, targets: np.ndarray, order: np.ndarray, first: int) -> np.ndarray:
+        """Log sums over all paths from ``first``, taking edges in ``order``."""
+        out, lp = [-math.inf] * (self.n + 1), self.lp
+        out[first] = 0.0
+        exp, log1p = math.exp, math.log1p
+        for i, j, p in zip(sources[order].tolist(), targets[order].tolist(), lp[order].tolist()):
+            x, y = out[i] + p, out[j]
+            if x > -math.inf:
+                out[j] = x if y == -math.inf else (x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y)))
+        return np.array(out)
+
+    def forward(self) -> np.ndarray:
+        return self._recursion(self.begin, self.end, np.arange(len(self.end)), 0)
+
+    def backward(self) -> np.ndarray:
+        return self._recursion(self.end, self.begin, np.argsort(-self.begin, kind="stable"), self.n)
+
+    def expected(self, out: np.ndarray, weight: float) -> None:
+        """Add ``weight`` times the expected uses of each piece to ``out``."""
+        alpha, beta = self.forward(), self.backward()
+        use = np.exp(alpha[self.begin] + self.lp + beta[self.end] - alpha[-1]) * weight
+        known = self.ids >= 0
+        out += np.bincount(self.ids[known], use[known], minlength=len(out))
+        for ids, share in zip(self.written, np.bincount(-1 - self.ids[~known], use[~known], minlength=len(self.written))):
+            np.add.at(out, ids, share)
+
+
+def _short_and_long(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    length = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(length <= LONG), np.flatnonzero(length > LONG)
+
+
 def word_log_probability(words: pa.Array, pieces: Pieces, logp: np.ndarray) -> np.ndarray:
     """Natural log of each word's marginal probability."""
     out = np.empty(len(words))
-    for rows, alpha, _ in _lattices(words, pieces, logp):
-        out[rows] = alpha[-1]
+    short, long = _short_and_long(words)
+    for rows, alpha, _ in _lattices(words.take(pa.array(short)), pieces, logp):
+        out[short[rows]] = alpha[-1]
+    for i in long:
+        out[i] = LongWord(words[int(i)].as_py(), pieces, logp).forward()[-1]
     return out
 
 
 def expected_counts(words: pa.Array, weight: np.ndarray, pieces: Pieces, logp: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece over ``weight`` copies of the words."""
     out = np.zeros(pieces.size)
-    for rows, alpha, edges in _lattices(words, pieces, logp):
+    short, long = _short_and_long(words)
+    for i in long:
+        LongWord(words[int(i)].as_py(), pieces, logp).expected(out, float(weight[i]))
+    weight = weight[short]
+    for rows, alpha, edges in _lattices(words.take(pa.array(short)), pieces, logp):
         beta = np.full(alpha.shape, -np.inf)
         beta[-1] = 0.0
         total, w = alpha[-1], weight[rows]

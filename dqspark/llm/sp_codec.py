@@ -36,6 +36,7 @@ from .common import text_slices
 
 MARK = "▁"
 REMEMBERED = 600_000
+LONGEST_KEPT = 64
 
 
 def default_vocabulary() -> str:
@@ -108,9 +109,10 @@ class Codec:
         if len(known) + len(new) > REMEMBERED:  # forgetting changes speed only
             known = self.words = {}
             new = sorted(" " + w for w in words)
+        once: dict[str, bytes] = {}      # long words are not remembered: what is kept stays small in bytes too
         for word, ids in self.viterbi(new):
-            known[word[1:]] = ids
-        table = [known[w] for w in words]
+            (known if len(word) <= LONGEST_KEPT else once)[word[1:]] = ids
+        table = [once[w] if w in once else known[w] for w in words]
         which, out, at = coded.indices.to_pylist(), [], 0
         empty = pc.equal(texts, "").to_pylist()
         for n, nothing in zip(sizes.tolist(), empty):
