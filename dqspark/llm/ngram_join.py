@@ -26,8 +26,9 @@ link when ``100 * |x & y| >= 75 * |x | y|``. The join is exact:
   documents, merged by a sum.
 * **Candidates.** Copies of one set are one class from the start. The
   classes of a signature first meet only its smallest class (a star, not all
-  pairs); verified stars are merged; then only pairs of a signature whose
-  classes are still in different components meet. Frequent signatures are kept
+  pairs); verified stars are merged; further stars around other classes follow
+  while signatures still hold many pairs in different components; then the
+  pairs left of such signatures meet, all of them. Frequent signatures are kept
   out of the grouped path and met by joins. Every candidate is verified on the
   whole sets.
 
@@ -62,6 +63,10 @@ FREQUENT_TIMES = 50
 CHANCE = 4
 COUNTERS = 65_536
 """Misra-Gries counters a task passes on."""
+TURNS = 8
+"""Further rounds of stars, at most."""
+PAIRS_PER_ROW = 8
+"""Pairs a row of a signature may meet, on average, before another round of stars."""
 RATIO = 16 / 9
 """Width of a size band."""
 BUCKET_ROWS = 500_000
@@ -356,7 +361,7 @@ def _summarise(salt: int):
                 _, sig, _ = signatures(*_only(value, bounds, new), None)
                 pending.append(np.unique(sig, return_counts=True))
                 held += len(pending[-1][0])
-                if held > 4_000_000:
+                if held > 1_000_000:
                     counted, pending, held = merge(counted, pending), [], 0
         if pending:
             s, t = merge(counted, pending)
@@ -514,6 +519,28 @@ def _close(x: str, y: str) -> str:
     return f"(abs({x} - {y}) <= 6 OR greatest({x}, {y}) = 255)"
 
 
+def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``shared`` (signature, class, code) whose signature is held
+    in several components, with their component (``label``). Signatures only
+    ever leave this table."""
+    labelled = saved(shared.join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        "signature", "class", "code", F.coalesce("component", "class").alias("label")), "labelled")
+    mixed = labelled.groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    out = saved(labelled.join(mixed.select("signature"), "signature", "left_semi"), "apart")
+    drop_saved(labelled)
+    return out
+
+
+def _verified_links(near: DataFrame, links: DataFrame, sets: DataFrame, classes: DataFrame, rows: DataFrame):
+    """``links`` and ``sets`` with what the pairs of ``near`` add; the same objects if there is no link more."""
+    if near.isEmpty():
+        return links, sets
+    further = _sets_of(near, classes.join(sets.select("class"), "class", "left_anti"), rows)
+    sets = saved(sets.unionByName(further), "sets")
+    more = saved(_verified(near, sets), "links")
+    return (links if more.isEmpty() else saved(links.unionByName(more), "links")), sets
+
+
 def components(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, n_shingles, component_id, group`` of every row of
     ``docs`` (doc_id, text); ``text_key`` is a hash of the text, ``group`` the
@@ -550,20 +577,34 @@ def components(docs: DataFrame) -> DataFrame:
     links = saved(_verified(near, sets), "links")
     found = saved(connected_components(links), "components")
 
-    # What the stars left apart: pairs of a signature in different components.
-    labelled = saved(shared.join(found.withColumnRenamed("node", "class"), "class", "left").select(
-        "signature", "class", "code", F.coalesce("component", "class").alias("label")), "labelled")
-    mixed = labelled.groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    apart = labelled.join(mixed.select("signature"), "signature", "left_semi")
+    # What the stars left apart. A group of near copies hangs together although its first
+    # centre does not link them all: further stars, each around another class of every
+    # signature that is still in several components, merge most of it before pairs are met.
+    apart = _apart(shared, found)
+    for turn in range(TURNS):
+        rows_left, pairs_left = apart.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()
+        if pairs_left <= PAIRS_PER_ROW * rows_left:
+            break
+        centre = apart.groupBy("signature").agg(F.min_by(F.struct("class", "code", "label"), F.xxhash64(F.lit(turn), "class")).alias("c"))
+        near = saved(_possible(apart.join(centre, "signature").filter("label <> c.label").filter(_close("code", "c.code")).select(
+            F.least("class", "c.class").alias("a"), F.greatest("class", "c.class").alias("b")).distinct(), classes), "possible")
+        before = links
+        links, sets = _verified_links(near, links, sets, classes, rows)
+        if links is not before:
+            found = saved(connected_components(links), "components")
+        apart, done = _apart(apart.drop("label"), found), apart
+        drop_saved(done)
+    # The rest: all pairs of a signature whose classes are in different components.
     pairs = (apart.alias("p").join(apart.alias("q"), F.expr(
         f"p.signature = q.signature AND p.class < q.class AND p.label <> q.label AND {_close('p.code', 'q.code')}"))
-        .select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
+        .select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct())
     near = saved(_possible(pairs, classes), "possible")
-    if not near.isEmpty():
-        further = saved(_sets_of(near, classes.join(sets.select("class"), "class", "left_anti"), rows), "sets")
-        more = saved(_verified(near, sets.unionByName(further)), "links")
-        found = saved(connected_components(links.unionByName(more)), "components")
-    for table in (shared, sets, stars, labelled):
+    before = links
+    links, sets = _verified_links(near, links, sets, classes, rows)
+    if links is not before:
+        found = saved(connected_components(links), "components")
+    for table in (shared, sets, stars, apart):
         drop_saved(table)
 
     named = documents.drop("sketch").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(
