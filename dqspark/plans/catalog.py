@@ -19,6 +19,7 @@ from ..operators import constraints as K
 from ..operators import encounters as E
 from ..operators import findings as FND
 from ..operators import metrics as MT
+from ..operators import partials as D
 from ..operators import patients as P
 from ..operators import providers as V
 from ..operators import resolution as H
@@ -156,7 +157,17 @@ CONSTRAINT_QUERIES: dict[str, Query] = {
 # --- Metrics (R3, M1–M6) ----------------------------------------------------
 
 
+def _log_by_days(t):
+    """Partials of the log's even and odd days, added up."""
+    even = F.dayofmonth("check_timestamp") % 2 == 0
+    return D.merge(*[D.log_partials(t.quality_audit_log.filter(c)) for c in (even, ~even)])
+
+
 METRIC_QUERIES: dict[str, Query] = {
+    "weekly_trend_from_partials": _q(lambda t: D.weekly_trend(_log_by_days(t))),
+    "resolution_times_from_partials": _q(lambda t: D.resolution_times(_log_by_days(t))),
+    "completeness_from_partials": _q(lambda t: D.completeness_rates(
+        D.merge(D.record_partials(t.patient_records, t.claims, t.providers)))),
     "quality_metrics": _q(lambda t: MT.quality_metrics(t.patient_records, t.claims, AS_OF)),
     "completeness_rates": _q(lambda t: MT.completeness_rates(t.patient_records, t.claims, t.providers)),
     "accuracy_rates": _q(lambda t: MT.accuracy_rates(t.patient_records, t.claims, t.claims_line_items, AS_OF)),

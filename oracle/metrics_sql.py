@@ -125,6 +125,9 @@ FROM m
 _ALL = ["patient_records", "providers", "claims", "claims_line_items", "quality_audit_log"]
 
 METRICS = {
+    "weekly_trend_from_partials": (["quality_audit_log"], WEEKLY_ERROR_TREND),
+    "resolution_times_from_partials": (["quality_audit_log"], RESOLUTION_TIMES),
+    "completeness_from_partials": (["patient_records", "claims", "providers"], COMPLETENESS_RATES),
     "quality_metrics": (["patient_records", "claims"], QUALITY_METRICS),
     "completeness_rates": (["patient_records", "claims", "providers"], COMPLETENESS_RATES),
     "accuracy_rates": (["patient_records", "claims", "claims_line_items"], ACCURACY_RATES),
