@@ -635,3 +635,26 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE lists AS MATERIALIZED (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT d, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT d, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM lists WHERE len(w) > 0) t),
+sizes AS MATERIALIZED (SELECT d, count(*) AS n FROM shingles GROUP BY d),
+meets AS MATERIALIZED (
+  SELECT a.d AS x, b.d AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.d < b.d GROUP BY ALL),
+linked AS MATERIALIZED (
+  SELECT x, y FROM meets JOIN sizes p ON p.d = x JOIN sizes q ON q.d = y WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+edges AS MATERIALIZED (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+reach AS (
+  SELECT d AS a, d AS b FROM sizes
+  UNION SELECT reach.a, edges.y FROM reach JOIN edges ON edges.x = reach.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(
+    (SELECT min(o.doc_id) FROM reach JOIN lists o ON o.d = reach.b WHERE reach.a = l.d), doc_id) AS component_id
+FROM lists l LEFT JOIN sizes USING (d)
+"""

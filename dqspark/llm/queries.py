@@ -11,7 +11,7 @@ from .ann import op6_nearest_neighbours
 from .exact_dedup import OP10_SQL, op10_exact_dedup
 from .lang_id import op2_language_id
 from .lm_lattice import op1_lattice_score
-from .ngram_join import op8_ngram_jaccard
+from .ngram_join import OP8_SQL, op8_ngram_jaccard
 from .packing import op4_best_fit_packing
 from .phrase_mining import OP12_SQL, op12_phrase_mining
 from .quality_ratio import op11_quality_ratio
@@ -38,4 +38,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL, "op12_phrase_mining": OP12_SQL}
+    return {"op8_ngram_jaccard": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op12_phrase_mining": OP12_SQL}
