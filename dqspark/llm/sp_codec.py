@@ -63,13 +63,19 @@ class Codec:
                 raw = text.encode()
                 self.pieces[text] = i, sp.get_score(i)
             self.bytes_of.append(raw)
-        self.longest = max(map(len, self.pieces))
+        # Pieces from their last character on: a walk ends where no piece goes on.
+        self.backward: dict = {}
+        for text, found in self.pieces.items():
+            node = self.backward
+            for ch in reversed(text):
+                node = node.setdefault(ch, {})
+            node[""] = found
         self.unknown = min(s for _, s in self.pieces.values()) - 10
         self.words: dict[str, bytes] = {}
 
     def viterbi(self, words: list[str]):
         """``(word, ids as uint32 bytes)`` of sorted distinct words."""
-        pieces, longest, last = self.pieces, self.longest, ""
+        pieces, backward, last = self.pieces, self.backward, ""
         best, back, ident = [0.0], [0], [0]  # by end position in the current word
         for word in words:
             common, most = 0, min(len(word), len(last))
@@ -78,9 +84,15 @@ class Codec:
             del best[common + 1:], back[common + 1:], ident[common + 1:]
             for end in range(common + 1, len(word) + 1):
                 top, start, piece = float("-inf"), end - 1, -1
-                for begin in range(max(0, end - longest), end):
-                    found = pieces.get(word[begin:end])
-                    if found is not None and best[begin] + found[1] > top:
+                # Shortest piece first, up to the longest that ends here; of equal sums the longest piece's stays.
+                node, begin = backward, end
+                while begin:
+                    begin -= 1
+                    node = node.get(word[begin])
+                    if node is None:
+                        break
+                    found = node.get("")
+                    if found is not None and best[begin] + found[1] >= top:
                         top, start, piece = best[begin] + found[1], begin, found[0]
                 if word[end - 1] not in pieces and best[end - 1] + self.unknown > top:
                     top, start, piece = best[end - 1] + self.unknown, end - 1, -1
