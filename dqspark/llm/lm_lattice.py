@@ -52,6 +52,8 @@ CONCENTRATION = 2000.0
 CLASSES = 15
 PRIOR = 1000.0
 PART_WORDS = 400_000
+PART_TOKENS = 20_000_000
+"""A part ends with either many words or many tokens: its texts are scored in one task."""
 FOLDS = 10
 MARK = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -271,7 +273,7 @@ def _number_words(classes: int):
     training counts by class, part by part."""
 
     def run(batches):
-        task, k, known, train = TaskContext.get().partitionId(), 0, {}, np.zeros(0, np.int64)
+        task, k, known, train, tokens = TaskContext.get().partitionId(), 0, {}, np.zeros(0, np.int64), 0
         part = task << 24
 
         def words_out():
@@ -307,9 +309,10 @@ def _number_words(classes: int):
                      pa.array([raw[4 * (e - s):4 * e] for s, e in zip(sizes.tolist(), ends.tolist())], pa.binary()),
                      pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.string()), pa.nulls(b - a, _NUMBERED[-1].type)],
                     schema=_NUMBERED)
-                if len(known) > PART_WORDS:
+                tokens += len(words)
+                if len(known) > PART_WORDS or tokens > PART_TOKENS:
                     yield from words_out()
-                    known, train, k = {}, np.zeros(0, np.int64), k + 1
+                    known, train, tokens, k = {}, np.zeros(0, np.int64), 0, k + 1
                     part = task << 24 | k
         yield from words_out()
     return run
