@@ -1,7 +1,13 @@
 """A corpus pipeline over ``documents``: language ID, exact deduplication,
 n-gram Jaccard join (one document of each group stays), secret scans (spans
 are masked), best-fit packing. Each stage takes the rows its predecessor
-wrote; all but the last return the columns of ``documents``."""
+wrote; all but the last return the columns of ``documents``.
+
+Defined cases: rows without a letter (NULL and empty texts too) have no
+language and go in the first stage; of equal texts, and of a component of near
+copies, one row stays, repeated rows included; NULL ids are rows like any
+other; a NULL ``n_chars`` stays NULL unless a span is masked; extra columns are
+carried along under any name; an empty table gives no row."""
 
 from __future__ import annotations
 
