@@ -9,17 +9,22 @@ from pyspark.sql import functions as F
 
 from dqspark.session import apply_defaults, checkpoint_dir
 
-WORD = r"[^\x20\x09-\x0D]+"
-"""A word: a run without ASCII white space."""
-
+def new_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder, named with
+    its file system: a path without scheme means Hadoop's default one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/dqspark-{label}-{uuid.uuid4().hex}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
+def open_fs(uri: str):
+    """pyarrow's file system and path of a qualified folder, for tasks that
+    write or read raw files: local, S3 (whatever Hadoop calls it), GCS, HDFS."""
+    from pyarrow import fs
 
-def new_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the session's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/dqspark-{label}-{uuid.uuid4().hex}"
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else uri)
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
@@ -27,16 +32,31 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     lineage is cut, and the rows survive the loss of any executor."""
     spark = df.sparkSession
     path = new_dir(spark, label)
+    _SAVED.add(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SAVED: set[str] = set()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_all_saved(spark: SparkSession) -> None:
+    """Delete every ``saved`` table of this application; for the end of a job,
+    when all results that read them are written."""
+    while _SAVED:
+        _delete(spark, _SAVED.pop())
+
+
 def drop_saved(df: DataFrame) -> None:
     """Delete the files behind a ``saved`` table nothing reads any more."""
     spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -52,10 +72,6 @@ def fold(doc_id: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % n
 
 
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
-
-
 def scan_partitions(df: DataFrame) -> int:
     """Tasks for work that follows the input: its scan's splits, at least the
     session's shuffle partitions."""
@@ -93,19 +109,16 @@ def ship(spark: SparkSession) -> None:
     import zipfile
     from pathlib import Path
 
-    from pyarrow import fs
-
     package, data = Path(__file__).resolve().parent.parent, io.BytesIO()
     with zipfile.ZipFile(data, "w") as z:
         for p in sorted(package.rglob("*.py")):
             z.write(p, p.relative_to(package.parent))
-    folder = new_dir(spark, "code")
-    uri = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    filesystem, path = fs.FileSystem.from_uri(uri)
-    filesystem.create_dir(path, recursive=True)
-    with filesystem.open_output_stream(f"{path}/dqspark.zip") as out:
-        out.write(data.getvalue())
-    sc.addPyFile(f"{uri}/dqspark.zip")
+    file = f"{new_dir(spark, 'code')}/dqspark.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(file)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(file)
     _SHIPPED.add(sc.applicationId)
 
 

@@ -32,13 +32,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import new_dir, saved, scan_partitions, text_slices
+from .common import new_dir, open_fs, saved, scan_partitions, text_slices
 from .tokens import encoder, vocabulary_path
 
 END_ID = 0
@@ -47,10 +46,6 @@ KEYS_PER_BUCKET = 2000
 KEYS_PER_GROUP = 4
 
 
-def _open_fs(uri: str):
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 @dataclass(frozen=True)
 class TokenStore:
     root: str
@@ -68,7 +63,7 @@ def _shard_writer(root: str, path: str, width: int):
     def write(batches):
         shard = TaskContext.get().partitionId()
         name = f"part-{shard:06d}-{uuid.uuid4().hex}.bin"
-        filesystem, base = _open_fs(root)
+        filesystem, base = open_fs(root)
         out, at = None, 0
         enc = encoder(path)
         for batch in batches:
@@ -248,7 +243,7 @@ def locate(store: TokenStore, keys: DataFrame) -> DataFrame:
 
 def _payload_reader(root: str):
     def read(batches):
-        filesystem, base = _open_fs(root)
+        filesystem, base = open_fs(root)
         name, file, width = None, None, 0
         for batch in batches:
             payload = []
