@@ -26,9 +26,9 @@ link when ``100 * |x & y| >= 75 * |x | y|``. The join is exact:
   documents, merged by a sum.
 * **Candidates.** Copies of one set are one class from the start. The
   classes of a signature first meet only its smallest class (a star, not all
-  pairs); verified stars are merged; further stars around other classes follow
-  while signatures still hold many pairs in different components; then the
-  pairs left of such signatures meet, all of them. Frequent signatures are kept
+  pairs); verified stars are merged; then only pairs of a signature whose
+  classes are still in different components meet. Signatures with the same
+  classes (a passage gives many) count as one. Frequent signatures are kept
   out of the grouped path and met by joins. Every candidate is verified on the
   whole sets.
 
@@ -63,10 +63,6 @@ FREQUENT_TIMES = 50
 CHANCE = 4
 COUNTERS = 65_536
 """Misra-Gries counters a task passes on."""
-TURNS = 8
-"""Further rounds of stars, at most."""
-PAIRS_PER_ROW = 8
-"""Pairs a row of a signature may meet, on average, before another round of stars."""
 RATIO = 16 / 9
 """Width of a size band."""
 BUCKET_ROWS = 500_000
@@ -411,8 +407,12 @@ def _emit(frequent: np.ndarray, buckets: int, salt: int):
 
 
 def _shared(key, table):
-    """Of one bucket, the signatures that more than one class has; of a
-    negative bucket, all."""
+    """Of one bucket, the groups of classes that share a signature; of a
+    negative bucket, all rows.
+
+    Texts with a passage in common share many signatures, all with the same
+    classes: a group is named by a hash of its classes and given once. Should
+    two groups have one name, their classes merely meet as one group."""
     bucket = key[0].as_py()
     raw = np.frombuffer(b"".join(table.column("signatures").to_pylist()), np.uint8)
     c = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.int64)
@@ -431,7 +431,18 @@ def _shared(key, table):
         same = np.zeros(len(s), bool)
         same[1:] = s[1:] == s[:-1]
         same[:-1] |= same[1:]
-        s = s + (bucket << 40)
+        s, c, n = s[same], c[same], n[same]
+        starts = np.flatnonzero(np.diff(s, prepend=s[:1] - 1)) if len(s) else np.zeros(0, np.int64)
+        if len(s):
+            with np.errstate(over="ignore"):
+                name = mix(np.add.reduceat(mix(c.view(np.uint64)), starts))
+            sizes = np.diff(np.append(starts, len(s)))
+            _, once = np.unique(name, return_index=True)
+            keep = np.zeros(len(starts), bool)
+            keep[once] = True
+            keep = np.repeat(keep, sizes)
+            s, c, n = np.repeat(name, sizes)[keep].view(np.int64), c[keep], n[keep]
+        same = np.ones(len(s), bool)
     return pa.table({"signature": pa.array(s[same]), "class": pa.array(c[same]),
                      "code": pa.array(n[same].astype(np.int32))})
 
@@ -566,7 +577,7 @@ def components(docs: DataFrame) -> DataFrame:
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(elements / BUCKET_ROWS))
 
     shared = saved(rows.select("text").mapInArrow(_emit(frequent, buckets, salt), _EMITTED).groupBy("bucket").applyInArrow(
-        _shared, "signature long, class long, code int"), "shared-signatures")
+        _shared, "signature long, class long, code int").distinct(), "shared-signatures")
     # Stars: each class against the smallest class of each of its signatures.
     least = shared.groupBy("signature").agg(F.min(F.struct("class", "code")).alias("centre"))
     stars = saved(shared.join(least, "signature").filter(F.col("class") != F.col("centre.class"))
@@ -577,25 +588,8 @@ def components(docs: DataFrame) -> DataFrame:
     links = saved(_verified(near, sets), "links")
     found = saved(connected_components(links), "components")
 
-    # What the stars left apart. A group of near copies hangs together although its first
-    # centre does not link them all: further stars, each around another class of every
-    # signature that is still in several components, merge most of it before pairs are met.
+    # What the stars left apart: pairs of a group in different components.
     apart = _apart(shared, found)
-    for turn in range(TURNS):
-        rows_left, pairs_left = apart.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).agg(
-            F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()
-        if pairs_left <= PAIRS_PER_ROW * rows_left:
-            break
-        centre = apart.groupBy("signature").agg(F.min_by(F.struct("class", "code", "label"), F.xxhash64(F.lit(turn), "class")).alias("c"))
-        near = saved(_possible(apart.join(centre, "signature").filter("label <> c.label").filter(_close("code", "c.code")).select(
-            F.least("class", "c.class").alias("a"), F.greatest("class", "c.class").alias("b")).distinct(), classes), "possible")
-        before = links
-        links, sets = _verified_links(near, links, sets, classes, rows)
-        if links is not before:
-            found = saved(connected_components(links), "components")
-        apart, done = _apart(apart.drop("label"), found), apart
-        drop_saved(done)
-    # The rest: all pairs of a signature whose classes are in different components.
     pairs = (apart.alias("p").join(apart.alias("q"), F.expr(
         f"p.signature = q.signature AND p.class < q.class AND p.label <> q.label AND {_close('p.code', 'q.code')}"))
         .select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct())
