@@ -48,6 +48,8 @@ BITMAP_BITS = 1 << 26
 UNKNOWN = "und"
 _OVERLAP = LONGEST - 1
 _SLICE = 4_000_000
+_COUNTED = 8_000_000
+"""Bytes of dictionary rows counted together."""
 _CLASSES = byte_classes(white=b" \t", end=b".,;:!?\n\x0b\f\r")
 
 
@@ -163,7 +165,7 @@ def _counter(size: int, bitmap: np.ndarray | None):
         for batch in batches:
             held.append(batch)
             bytes_held += batch.nbytes
-            if bytes_held >= _SLICE:
+            if bytes_held >= _COUNTED:
                 yield from ngrams(pa.Table.from_batches(held), size, bitmap).combine_chunks().to_batches()
                 held, bytes_held = [], 0
         if held:
