@@ -93,6 +93,32 @@ def text_slices(batch, column: str = "text", most: int = 5_000_000):
 _SHIPPED: set[str] = set()
 
 
+def release_memory() -> None:
+    """Give memory that was freed back to the system: Spark's Python workers
+    live on between tasks, next to those of later stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):    # no glibc
+        pass
+
+
+def tidy(run):
+    """``run`` (batches to batches) that releases memory when it is done."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 ROWS_PER_BATCH = "1000"
 """Texts are long: Arrow batches of Spark's default 10,000 rows would hold tens of megabytes."""
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from .common import fold, fresh, saved, text_slices
+from .common import fold, fresh, saved, text_slices, tidy
 
 BITS = 11
 DIM = 1 << BITS
@@ -182,16 +182,16 @@ def fit(train: DataFrame) -> Model:
         return Model([], np.zeros((0, DIM)), np.ones(DIM), {})
     last = F.create_map(*[F.lit(x) for kv in limits_by.items() for x in kv])
     sample = saved(rows.filter(F.col("draw") <= last[F.col("lang")]).dropDuplicates(["lang", "draw"])
-                   .select("lang", "text").mapInArrow(_count_rows, "lang string, counts binary"), "language-sample")
+                   .select("lang", "text").mapInArrow(tidy(_count_rows), "lang string, counts binary"), "language-sample")
     texts = rows.select("lang", "text")
     df = np.zeros(DIM + 1)
-    for r in texts.mapInArrow(_document_frequency, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # DIM + 1 rows
+    for r in texts.mapInArrow(tidy(_document_frequency), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # DIM + 1 rows
         df[r.slot] = r.n
     idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
     got = sorted(sample.groupBy("lang").applyInArrow(_fit_language(idf), "lang string, centroid binary")
                  .collect(), key=lambda r: (r.lang, r.centroid))  # CENTROIDS rows per language
     model = Model([r.lang for r in got], np.array([np.frombuffer(r.centroid, "<f4") for r in got], float).reshape(-1, DIM), idf, {})
-    bins = texts.mapInArrow(_own_cosines(model), "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    bins = texts.mapInArrow(tidy(_own_cosines(model)), "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     seen = defaultdict(dict)
     for r in bins.collect():      # at most 1 / _BIN rows per language
         seen[r.lang][r.bin] = r.n
@@ -236,7 +236,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", FOLDS) == 0).alias("held_out"),
                        F.col("text").cast("string").alias("text"))
     out = {k: k for k in ("lang_pred", "score", "rejected")}
-    return rows.mapInArrow(_predict(model, ["doc_id", "held_out"], out),
+    return rows.mapInArrow(tidy(_predict(model, ["doc_id", "held_out"], out)),
                            "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
 
 
@@ -245,7 +245,7 @@ def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
     name = fresh(docs, "dq_rejected")
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BooleanType())])
     docs_columns = docs.columns
-    marked = docs.mapInArrow(_predict(model, docs_columns, {"rejected": name}), schema)
+    marked = docs.mapInArrow(tidy(_predict(model, docs_columns, {"rejected": name})), schema)
     return marked.filter(~F.col(name)).select(*docs_columns)
 
 

@@ -50,11 +50,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_saved, fresh, saved, text_slices
+from .common import drop_saved, fresh, saved, text_slices, tidy
 from .components import connected_components
 
 SHINGLE = 5
-SLICE = 1_000_000
+SLICE = 500_000
 """Bytes of text taken at a time: a worker's arrays are some 40 times that."""
 FREQUENT = 200_000
 """Signatures kept as frequent, at most (8 bytes each)."""
@@ -494,7 +494,7 @@ def _verify(batches):
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("class").alias("b"), F.col("shingles").alias("xs"))
     right = sets.select(F.col("class").alias("a"), F.col("shingles").alias("ys"))
-    return pairs.join(left, "b").join(right, "a").mapInArrow(_verify, "a long, b long")
+    return pairs.join(left, "b").join(right, "a").mapInArrow(tidy(_verify), "a long, b long")
 
 
 def _possible_rows(batches):
@@ -510,7 +510,7 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     left = classes.select(F.col("class").alias("b"), F.col("sketch").alias("xs"), F.col("n").alias("n_b"))
     right = classes.select(F.col("class").alias("a"), F.col("sketch").alias("ys"), F.col("n").alias("n_a"))
     return (pairs.join(left, "b").join(right, "a").select("a", "b", "xs", "ys", (F.col("n_a") + F.col("n_b")).alias("n"))
-            .mapInArrow(_possible_rows, "a long, b long"))
+            .mapInArrow(tidy(_possible_rows), "a long, b long"))
 
 
 def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -521,7 +521,7 @@ def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     # A NULL id reads as -1: the text's hash still tells such rows apart. Rows
     # that repeat an id and its text give the same set; one is taken.
     texts = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text_key", "text")
-    some = texts.mapInArrow(_set_blobs(_row_filter(wanted, wanted.count())), "id long, text_key long, shingles binary")
+    some = texts.mapInArrow(tidy(_set_blobs(_row_filter(wanted, wanted.count()))), "id long, text_key long, shingles binary")
     return some.join(wanted, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("class", "shingles")
 
 
@@ -561,7 +561,7 @@ def components(docs: DataFrame) -> DataFrame:
     salt, clash = -1, True
     while clash:  # two sets of one name: name them anew
         salt += 1
-        summary = saved(rows.mapInArrow(_summarise(salt), "text_key long, doc_id long, n_shingles long, class long, "
+        summary = saved(rows.mapInArrow(tidy(_summarise(salt)), "text_key long, doc_id long, n_shingles long, class long, "
                                         "check long, sketch binary, signature long, times long"), "set-summary")
         documents = summary.filter("signature IS NULL").select("text_key", "doc_id", "n_shingles", "class", "check", "sketch")
         # One class per distinct set; one of its texts stands for it.
@@ -576,7 +576,7 @@ def components(docs: DataFrame) -> DataFrame:
     frequent = np.sort(np.array([r.signature for r in common], np.int64).astype(np.uint64))
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(elements / BUCKET_ROWS))
 
-    shared = saved(rows.select("text").mapInArrow(_emit(frequent, buckets, salt), _EMITTED).groupBy("bucket").applyInArrow(
+    shared = saved(rows.select("text").mapInArrow(tidy(_emit(frequent, buckets, salt)), _EMITTED).groupBy("bucket").applyInArrow(
         _shared, "signature long, class long, code int").distinct(), "shared-signatures")
     # Stars: each class against the smallest class of each of its signatures.
     least = shared.groupBy("signature").agg(F.min(F.struct("class", "code")).alias("centre"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import saved, text_slices
+from .common import saved, text_slices, tidy
 from .tokens import encoder, vocabulary_path
 
 CAPACITY = 2048
@@ -41,7 +41,7 @@ def _cutter(path: str, capacity: int):
         task, made = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         enc = encoder(path)
         for batch in batches:
-            for a, b in text_slices(batch):
+            for a, b in text_slices(batch, most=1_000_000):
                 part = batch.slice(a, b - a)
                 ids, bounds = enc.encode_batch(part.column("text"))
                 ends = bounds[1:] + np.arange(1, b - a + 1)
@@ -75,7 +75,7 @@ def _cutter(path: str, capacity: int):
 def cut_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
     """The pieces of ``docs`` (doc_id, text), written once into the shared folder."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return saved(rows.mapInArrow(_cutter(vocabulary or vocabulary_path(), capacity), PIECES), "pieces")
+    return saved(rows.mapInArrow(tidy(_cutter(vocabulary or vocabulary_path(), capacity)), PIECES), "pieces")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

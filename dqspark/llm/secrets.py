@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, text_slices
+from .common import saved, text_slices, tidy
 
 # The base kinds, in their order.
 KINDS = ("assign", "access", "hex", "novel")
@@ -217,7 +217,7 @@ def identifier_dictionary(found: DataFrame) -> str:
 def scan(docs: DataFrame) -> DataFrame:
     """Counts and spans of every row of ``docs`` (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = saved(rows.mapInArrow(_find, FOUND), "secret-candidates")
+    found = saved(rows.mapInArrow(tidy(_find), FOUND), "secret-candidates")
     return found.mapInArrow(_judge(identifier_dictionary(found)), SCANNED)
 
 
@@ -249,9 +249,9 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     changed rows, where there is such a column); rows without a span are as
     they were."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    identifiers = identifier_dictionary(saved(rows.mapInArrow(_find, FOUND), "secret-candidates"))
+    identifiers = identifier_dictionary(saved(rows.mapInArrow(tidy(_find), FOUND), "secret-candidates"))
     lengths = "n_chars" if "n_chars" in docs.columns else None
-    return docs.mapInArrow(_redact(identifiers, docs.columns, lengths, mask), docs.schema)
+    return docs.mapInArrow(tidy(_redact(identifiers, docs.columns, lengths, mask)), docs.schema)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
