@@ -52,6 +52,14 @@ AUDIT_OPEN = "OPEN"
 RUN_STATUS_FAIL = "FAIL"
 RUN_STATUS_PASS = "PASS"
 
+# --- Fixed values: headings of the report page -------------------------------
+REPORT_TITLE = "Healthcare Data Quality Report"
+REPORT_GENERATED = "Report Generated:"
+REPORT_CHECKS = "Total Checks Performed:"
+REPORT_ISSUES = "Total Issues Found:"
+REPORT_STATUS = "Overall Status:"
+REPORT_CHECK_ISSUES = "Issues Found:"
+
 # --- Fixed values: validation patterns and thresholds -----------------------
 # Email pattern of the reference; ``\z`` (end of input) replaces ``$`` because
 # Java's ``$`` would also accept a trailing newline.

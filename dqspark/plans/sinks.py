@@ -124,17 +124,21 @@ def render_html_report(run: RunResult, generated_at: str, n: int = R.REPORT_PREV
     for r in report_preview(run, n).orderBy("check_key", "preview_rank").collect():
         previews.setdefault(r["check_key"], []).append(json.loads(r["row_json"]))
     esc = html.escape
+
+    def line(label: str, value) -> str:
+        return f"<p><strong>{label}</strong> {esc(str(value))}</p>"
+
     out = [
-        "<!DOCTYPE html><html><head><title>Healthcare Data Quality Report</title></head><body>",
-        "<h1>Healthcare Data Quality Report</h1>",
-        f"<p><strong>Report Generated:</strong> {esc(generated_at)}</p>",
-        f"<p><strong>Total Checks Performed:</strong> {summary['checks_performed']}</p>",
-        f"<p><strong>Total Issues Found:</strong> {summary['total_issues_found']}</p>",
-        f"<p><strong>Overall Status:</strong> {esc(summary['status'])}</p>",
+        f"<!DOCTYPE html><html><head><title>{R.REPORT_TITLE}</title></head><body>",
+        f"<h1>{R.REPORT_TITLE}</h1>",
+        line(R.REPORT_GENERATED, generated_at),
+        line(R.REPORT_CHECKS, summary["checks_performed"]),
+        line(R.REPORT_ISSUES, summary["total_issues_found"]),
+        line(R.REPORT_STATUS, summary["status"]),
     ]
     for key in run.checks:
         name, found = counts[key]
-        out.append(f"<h2>{esc(name)}</h2><p><strong>Issues Found:</strong> {found}</p>")
+        out += [f"<h2>{esc(name)}</h2>", line(R.REPORT_CHECK_ISSUES, found)]
         rows = previews.get(key, [])
         if found and rows:
             cols = list(run.checks[key].base.columns)
