@@ -1,7 +1,7 @@
 """Serial numbers without one task that sees all rows.
 
-Rows are sorted across range partitions and written once (a reliable
-checkpoint in ``spark.checkpoint.dir``), which fixes every row's partition and
+Rows are written, sorted across range partitions and written again (reliable
+checkpoints in ``spark.checkpoint.dir``), which fixes every row's partition and
 place in it. A row's number is its place plus the rows of all partitions
 before its own: prefix sums over one count per partition.
 """
@@ -21,7 +21,9 @@ def ordered(df: DataFrame, order: list[str | Column], number: str, start: int |
     """``df`` with the column ``number``: ``start``, ``start + 1``, ... in
     ``order``, without gaps. Rows equal in ``order`` are numbered in any order."""
     checkpoint_dir(df.sparkSession)
-    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # Range partitioning reads its input twice, first to sample it: what made the rows runs once.
+    once = df.checkpoint(eager=True)
+    rows = once.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
     return in_place(rows, number, start)
 
 
