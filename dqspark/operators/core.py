@@ -9,7 +9,8 @@ Skew: a single key may hold a large share of all rows (the fixture's hot
 patient ``P7`` holds a third of the claims). Counting, min/max and sums are
 partially aggregated map-side, so a hot key costs one row per map task. A
 duplicate group's ids are rows of a member table, numbered across range
-partitions: no task and no row holds a whole group, whatever its size.
+partitions: no task and no row holds a whole group, whatever its size. Only
+where the result is the list itself (``listed``) does a row hold a group.
 """
 
 from __future__ import annotations
@@ -72,6 +73,15 @@ class DuplicateGroups:
         return placed.join(firsts, meets).select(
             *self.keys, self.count_col, "first_id", (F.col("_row") - F.col("_first_row") + 1).alias("member_no"), self.id_col)
 
+    def listed(self, ids_out: str) -> DataFrame:
+        """One row per group with ``ids_out``, all its ids in order (NULL ids
+        are counted, not listed). A list is one value, so a row holds a whole
+        group; only the rows of duplicated keys are gathered."""
+        named = self.groups.select(*[F.col(k).alias(f"_g_{k}") for k in self.keys], self.count_col, "first_id")
+        meets = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in self.keys]
+        return self.rows.join(named, meets).groupBy(*self.keys, self.count_col, "first_id").agg(
+            F.sort_array(F.collect_list(self.id_col)).alias(ids_out))
+
 
 def duplicates(df: DataFrame, keys: list[str], id_col: str, count_col: str = "duplicate_count") -> DuplicateGroups:
     """``GROUP BY keys HAVING COUNT(*) > 1``; NULL keys form one group. One

@@ -147,6 +147,13 @@ def check_duplicate_records(patients: DataFrame, sort: bool = False) -> CheckRes
                        {"total_duplicates": ("_amount", "bigint")}, groups.members)
 
 
+def duplicate_record_lists(patients: DataFrame) -> DataFrame:
+    """P04's details with every group's ids (``patient_ids``, sorted), as the
+    reference returns them."""
+    return P.duplicate_patient_groups(patients).listed("patient_ids").select(
+        "name", "date_of_birth", "duplicate_count", "first_id", "patient_ids")
+
+
 def check_provider_credentials(providers: DataFrame, as_of: dt.date | str | None = None, sort: bool = False) -> CheckResult:
     """C11 without label, ordered by expiry; CRITICAL."""
     base = V.expired_licenses(providers, as_of, with_issue_type=False, sort=False)

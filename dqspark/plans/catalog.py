@@ -91,7 +91,7 @@ CHECKER_QUERIES: dict[str, Query] = {
     "checker_claims_discrepancies": _q(
         lambda t: FND.check_claims_discrepancies(t.claims, t.claims_line_items).details),
     "checker_temporal_anomalies": _q(lambda t: FND.check_temporal_anomalies(t.claims).details),
-    "checker_duplicate_records": _q(lambda t: FND.check_duplicate_records(t.patient_records).details),
+    "checker_duplicate_records": _q(lambda t: FND.duplicate_record_lists(t.patient_records)),
     "checker_provider_credentials": _q(lambda t: FND.check_provider_credentials(t.providers, AS_OF).details),
     # run_id is a label; the comparison covers every other audit column.
     "audit_issues": _q(lambda t: run_all_checks(t, AS_OF, materialize=True).audit.select(*AUDIT_CONTRACT_COLUMNS)),

@@ -32,7 +32,10 @@ FROM ({_P03_ROWS}) r
 _P04_GROUPS = f"SELECT * FROM ({_SAME_PATIENTS}) m WHERE duplicate_count >= 2 AND member_no = 1"
 
 P04 = f"""
-SELECT name, {D('date_of_birth')} AS date_of_birth, duplicate_count, first_id FROM ({_P04_GROUPS}) g
+SELECT name, {D('date_of_birth')} AS date_of_birth, duplicate_count, first_id,
+  coalesce(array_to_string(ids, ','), '') AS patient_ids
+FROM (SELECT name, date_of_birth, duplicate_count, first_id, list_sort(list(patient_id)) AS ids
+      FROM ({_SAME_PATIENTS}) m WHERE duplicate_count >= 2 GROUP BY ALL) g
 """
 
 _P05_ROWS = f"""

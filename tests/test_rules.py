@@ -265,6 +265,17 @@ def test_duplicate_findings_have_one_shape_at_every_size(spark, size):
     assert summary.first().asDict() == {k: v for k, v in run.summary.first().asDict().items() if k != "run_timestamp"}
 
 
+def test_duplicate_record_details_list_every_id(spark):
+    from dqspark.operators import findings as FND
+
+    people = ([patient(f"p{i:03d}", name="Same Name") for i in reversed(range(150))] + [patient("q1", name="Twin"), patient("q0", name="Twin")]
+              + [patient("q0", name="Again")] * 2 + [patient("s", name="Single"), patient("n0", name=None), patient("n1", name=None)])
+    out = FND.duplicate_record_lists(spark.createDataFrame(people, PATIENT_SCHEMA))
+    assert out.columns == ["name", "date_of_birth", "duplicate_count", "first_id", "patient_ids"]
+    assert {r["name"]: (r["duplicate_count"], r["first_id"], r["patient_ids"]) for r in out.collect()} == {
+        "Same Name": (150, "p000", [f"p{i:03d}" for i in range(150)]), "Twin": (2, "q0", ["q0", "q1"]), "Again": (2, "q0", ["q0", "q0"])}
+
+
 def test_expired_licenses_and_incomplete_providers(spark):
     df = spark.createDataFrame([
         ("D1", "a", "Cardiology", "1", "L1", "CA", D(2024, 1, 31), "x@y.org", True),
