@@ -12,11 +12,12 @@ must not lie more than ``SLACK`` below that of the ``LOWEST`` share of trusted
 documents. Documents that fail the base rules (few words, or many repeated
 ones) are not kept either.
 
-At most ``TRUSTED`` labelled documents are used, those with the smallest hash
-of their id. One in ``CALIBRATE`` of them sets the threshold (by a histogram of
-all their ratios, the same however rows are dealt), the others are the target:
-a document scores higher under counts that hold it. Only ids are broadcast, no
-text is shuffled. Raw counts cover all documents, counted where they are read.
+All labelled documents are used, however many there are. One in ``CALIBRATE``
+of them, by a hash of the id, sets the threshold (by a histogram of all their
+ratios, the same however rows are dealt), all others are the target: a document
+scores higher under counts that hold it. Raw counts cover all documents. Ids
+meet documents by a join that Spark broadcasts while the ids are few; beyond
+that each text is shuffled once, for the counts, and no text for the threshold.
 
 Defined cases: NULL text has no words and fails the base rules; NULL ids are
 never trusted; repeated rows count, and are judged, each; a document with
@@ -42,7 +43,6 @@ from .words import WHITE, Words, byte_classes, words
 
 BITS = 16
 DIM = 1 << BITS
-TRUSTED = 50_000
 DRAW_BITS = 16
 PRIOR = 20_000.0
 CALIBRATE = 4
@@ -52,6 +52,7 @@ FOLDS = 5
 MIN_WORDS = 20
 MOST_REPEATED = 30
 WINDOW = 8
+NULL_BUCKETS = 4096
 _SLICE = 4_000_000
 _BIN = 1e-3
 _CLASSES = byte_classes(white=WHITE)
@@ -139,11 +140,17 @@ def ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.log((target + PRIOR * p_raw) / (target.sum() + PRIOR) / p_raw)
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """At most ``most`` ids labelled of good quality and not held out, those
-    with the smallest hash; ``calibrates`` marks those kept out of the target."""
+def trusted_ids(labels: DataFrame, most: int | None = None) -> DataFrame:
+    """The ids labelled of good quality and not held out, all of them unless a
+    caller wants at most ``most``, those with the smallest hash; ``calibrates``
+    marks those kept out of the target."""
     ids = (labels.filter("quality = 1 AND doc_id IS NOT NULL").filter(fold("doc_id", FOLDS) != 0)
            .select(F.col("doc_id").cast("long").alias("trusted_id")).distinct().withColumn("draw", F.xxhash64("trusted_id")))
+    return saved((ids if most is None else _smallest(ids, most)).select(
+        "trusted_id", (F.pmod(F.xxhash64(F.lit(1), "trusted_id"), F.lit(CALIBRATE)) == 0).alias("calibrates")), "trusted")
+
+
+def _smallest(ids: DataFrame, most: int) -> DataFrame:
     # Hashes fall into bins of equal width; the first bins that hold at most ``most`` ids are taken whole.
     bins = ids.groupBy(F.shiftright("draw", 64 - DRAW_BITS).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
     taken, last = 0, -(1 << DRAW_BITS)
@@ -151,14 +158,18 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
         if taken + r.n > most:
             break
         taken, last = taken + r.n, r.bin
-    return saved(ids.filter(F.shiftright("draw", 64 - DRAW_BITS) <= last).select(
-        "trusted_id", (F.pmod(F.xxhash64(F.lit(1), "trusted_id"), F.lit(CALIBRATE)) == 0).alias("calibrates")), "trusted")
+    return ids.filter(F.shiftright("draw", 64 - DRAW_BITS) <= last)
 
 
 def fit(docs: DataFrame, trusted: DataFrame) -> Model:
-    """Count n-grams of all ``docs`` (doc_id, text); ``trusted``: bounded ids."""
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left").select("text", F.coalesce(~F.col("calibrates"), F.lit(False)).alias("trusted"))
+    """Count n-grams of all ``docs`` (doc_id, text), and of those in ``trusted``
+    that do not calibrate."""
+    # NULL ids match nothing; a second join column spreads them over tasks.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
+        "spread", F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(NULL_BUCKETS))).otherwise(F.lit(0)))
+    target = trusted.filter("NOT calibrates").select(F.col("trusted_id").alias("doc_id"), F.lit(0).cast("long").alias("spread"),
+                                                     F.lit(True).alias("trusted"))
+    marked = rows.join(target, ["doc_id", "spread"], "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     counts = (marked.mapInArrow(_count, "bucket long, raw long, target long").groupBy("bucket")
               .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect())      # at most DIM rows
     raw, target = np.zeros(DIM), np.zeros(DIM)
@@ -206,7 +217,7 @@ def base_failed(n_words="n_words", n_repeat_words="n_repeat_words"):
 
 def threshold(measured: DataFrame, trusted: DataFrame) -> float:
     """The ratio that all but ``LOWEST`` of the calibrating documents reach, less ``SLACK``."""
-    bins = (measured.filter(~base_failed()).join(F.broadcast(trusted.filter("calibrates")), F.col("doc_id") == F.col("trusted_id"), "left_semi")
+    bins = (measured.filter(~base_failed()).join(trusted.filter("calibrates"), F.col("doc_id") == F.col("trusted_id"), "left_semi")
             .groupBy(F.floor(F.col("ratio") / _BIN).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect())
     # A ratio lies between log(PRIOR / (all + PRIOR)) and -log of the smallest p_raw: a few tens of thousands of bins.
     if not bins:

@@ -112,3 +112,21 @@ def test_trusted_ids_are_bounded(spark):
     assert every.count() == every.select("trusted_id").distinct().count()
     some = {r.trusted_id for r in q.trusted_ids(labels, most=50).collect()}
     assert 45 <= len(some) <= 50 and some <= {r.trusted_id for r in every.collect()}
+
+
+def test_every_trusted_id_takes_part_without_a_broadcast(spark):
+    labels = spark.range(60_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    trusted = q.trusted_ids(labels)
+    assert trusted.count() == sum(1 for i in range(60_000) if zlib.crc32(str(i).encode()) % 5) < 50_000
+    more = q.trusted_ids(labels.unionByName(labels.selectExpr("doc_id + 60000 AS doc_id", "quality", "toxic")))
+    assert more.count() == sum(1 for i in range(120_000) if zlib.crc32(str(i).encode()) % 5) > 90_000
+    docs = spark.createDataFrame([(None if i % 3 == 0 else i // 2, f"word{i % 7} word{i % 5} tail") for i in range(300)], "doc_id long, text string")
+    want = q.fit(docs, trusted).ratio
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert (q.fit(docs, trusted).ratio == want).all()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
