@@ -3,33 +3,29 @@
 A document's set is its distinct word 5-grams (64-bit hashes). Two documents
 link when ``100 * |x & y| >= 75 * |x | y|``. The join is exact:
 
-* **Bound.** Linked sets differ in at most ``(|x| + |y|) / 7`` elements, and
-  the smaller has at least 3/4 of the larger's size.
-* **Segments.** Sizes fall into bands. Within a band the universe of hashes is
-  dealt into segments by a hash; a set's subset in each segment is hashed to a
-  signature. A segment with allowance 1 also gives the signatures of its
-  subset with one element deleted. Such a segment counts two units, others
-  one: a pair spoils a unit only with an element it differs in, so sets
-  that differ in H elements still agree on a signature in any H + 1 units. A
-  set is written in its own band and, if it may be the smaller partner, the
-  next one.
-* **Cost-based allocation.** ``allocate`` chooses per band how many segments
-  get allowance 1, by the expected number of signatures and of empty segments.
-  Each set then walks the band's segments in a fixed order and spends its own
-  H + 1 units on signatures that are not frequent, skipping the empty and the
-  frequent ones. Whatever set is called frequent, no link is lost: of two sets
-  the one with the shorter walk spoils fewer units than it spent. A set that
-  runs out of segments ("deep": most of it is common passages, or it has
-  thousands of near copies) writes its frequent signatures too, and these are
-  met only by other deep sets.
-* **Frequent signatures** come from per-task Misra-Gries counts over all
-  documents, merged by a sum.
-* **Candidates.** Copies of one set are one class from the start. The
-  classes of a signature first meet only its smallest class (a star, not all
-  pairs); verified stars are merged; then only pairs of a signature whose
-  classes are still in different components meet. Signatures with the same
-  classes (a passage gives many) count as one. Frequent signatures are kept
-  out of the grouped path and met by joins. Every candidate is verified on the
+* **Bound.** Linked sets share at least ``3/7 * (|x| + |y|)`` elements, and the
+  smaller has at least 3/4 of the larger's size.
+* **Order.** The universe of hashes is put in one order: elements that few sets
+  hold first, by hash, then the frequent ones, rarest first. Any order loses no
+  link; this one leaves common passages and the shared text of near copies at
+  the end.
+* **Prefixes.** Counted from either set's start, the first element two linked
+  sets share leaves room for all the elements they must share: at place ``i`` of
+  ``x``, ``i <= |x| - 3/7 * (|x| + |y|)``. So a set writes its first quarter
+  (place ``|x| / 4`` at most), and two sets of an element meet only if both
+  places leave that room.
+* **Partition.** Written elements are dealt by hash into parts of the universe;
+  a part is grouped in one task. Frequent elements are kept out of it, dealt by
+  set and met by joins.
+* **Frequent elements** come from exact counts over all sets, dealt by hash like
+  the partition; the list is bounded by its lowest count. What it leaves out
+  is only later in meeting, never lost.
+* **Candidates.** Copies of one set are one class from the start. Elements with
+  the same classes count as one, with each class's first place. The
+  classes of an element first meet a few neighbours in a random order of them
+  (no more pairs than rows); what links is merged, again while many pairs are
+  left and rounds find links; then all pairs of an element whose classes are
+  still in different components meet. Every candidate is verified on the
   whole sets.
 
 Defined cases: NULL and empty texts have the empty set, size 0, and link with
@@ -47,26 +43,29 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_saved, fresh, saved, text_slices, tidy
+from .common import drop_saved, fresh, saved, scan_partitions, text_slices, tidy
 from .components import connected_components
 
 SHINGLE = 5
 SLICE = 500_000
 """Bytes of text taken at a time: a worker's arrays are some 40 times that."""
 FREQUENT = 200_000
-"""Signatures kept as frequent, at most (8 bytes each)."""
-FREQUENT_TIMES = 50
-"""Distinct sets that make a signature frequent."""
-CHANCE = 4
-COUNTERS = 65_536
-"""Misra-Gries counters a task passes on."""
-RATIO = 16 / 9
-"""Width of a size band."""
-BUCKET_ROWS = 500_000
-"""Signatures a grouped task holds, about."""
+"""Elements kept as frequent, at most (16 bytes each)."""
+FREQUENT_TIMES = 10
+"""Distinct sets that make an element frequent."""
+HELD = 2_000_000
+"""Elements a task holds before it passes them on to be counted."""
+BUCKET_ROWS = 2_000_000
+"""Elements of all sets to a part of the universe, about; a quarter is written."""
+TURNS, REACH = 4, 4
+"""Rounds of neighbours at most, and the neighbours a class meets in all but the first."""
+PAIRS_A_ROW = 16
+"""Pairs left per row, at most, that end the rounds."""
+CHUNK = 512
+"""Classes of an element that are put in order together, about."""
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -194,109 +193,61 @@ def cells_apart(x: bytes, y: bytes) -> int:
     return int(np.abs(x - y.reshape(len(x), -1).sum(axis=1)).sum())
 
 
-# --- segments -------------------------------------------------------------------
+# --- prefixes -------------------------------------------------------------------
 
-def band_edges(band: int) -> tuple[int, int]:
-    """Sizes ``[low, high)`` of a band."""
-    return math.ceil(4 * RATIO ** band) if band else 1, math.ceil(4 * RATIO ** (band + 1))
+def part_of(value: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the universe each element falls into; parts ascend with the elements."""
+    return (value >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
 
 
-def differences(size: int, band: int) -> int:
-    """Most elements by which a linked pair can differ that holds a set of
-    ``size`` and whose larger set is in ``band``."""
-    low, high = band_edges(band)
-    largest = min(high - 1, size * 4 // 3)
-    return (size + largest) // 7 if largest >= max(low, size) else -1
+def counted_names(value: np.ndarray, parts: int) -> np.ndarray:
+    """Elements as they are counted: their part and low 32 bits. Should two
+    share a name, they are merely counted as one."""
+    return part_of(value, parts) << np.uint64(32) | value & np.uint64(0xFFFFFFFF)
 
 
-@functools.lru_cache(maxsize=None)
-def allocate(band: int) -> tuple[int, int]:
-    """``(segments, with_allowance)`` of a band: enough units for the largest
-    set and a reserve for skipped ones, at the least expected cost. Segments
-    of at most one element agree by chance or over a common passage, so they
-    cost as much as ``CHANCE`` signatures; an allowance makes fewer, larger
-    segments do, for one signature more per element of its segment."""
-    low, high = band_edges(band)
-    need = differences(high - 1, band) + 1
-    units = need + max(1, math.ceil(need / 5)) if high > 8 else need
-    best = None
-    for allowed in range(units // 2 + 1):
-        segments = units - allowed
-        size = (high - 1) / segments
-        weak = segments * math.exp(-size) * (1 + size)
-        cost = segments + allowed * size + CHANCE * weak
-        if best is None or cost < best[0]:
-            best = cost, segments, allowed
-    return best[1], best[2]
-
-
-def signatures(value: np.ndarray, bounds: np.ndarray, frequent: np.ndarray | None):
-    """``(row, signature, size, deep)`` arrays of the sets' signatures.
-
-    ``frequent`` is None while frequent signatures are being counted; then
-    each set writes the ones it would without any.
-    """
-    out = []
-    size = np.diff(bounds)
-    for band in range(int(math.log(max(4, size.max(initial=0)) / 4, RATIO)) + 3):
-        low, high = band_edges(band)
-        rows = np.flatnonzero((size > 0) & (size < high) & (size * 4 // 3 >= low))
-        if not len(rows):
-            continue
-        segments, allowed = allocate(band)
-        n = size[rows]
-        need = np.array([differences(int(x), band) + 1 for x in range(int(n.max()) + 1)])[n]
-        # Elements of the chosen sets with their segment.
-        owner = np.repeat(np.arange(len(rows)), n)
-        x = value[np.repeat(bounds[rows], n) + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)]
-        salt = np.uint64((band * 0x51ED2701 + 0x2545F491) % (1 << 62))
-        h = mix(x ^ salt)
-        seg = ((h >> np.uint64(33)) % np.uint64(segments)).astype(np.int64)
-        cell = owner * segments + seg
-        cells = len(rows) * segments
-        with np.errstate(over="ignore"):
-            # A subset's hash is a sum, so one element is taken out by subtraction.
-            body = mix(h + np.uint64(0x632BE59BD9B4E019))
-            held = np.bincount(cell, minlength=cells)
-            # Sums of the halves are exact in doubles; their carry makes the sum modulo 2**64.
-            low_half = np.bincount(cell, (body & np.uint64(0xFFFFFFFF)).astype(float), minlength=cells).astype(np.uint64)
-            high_half = np.bincount(cell, (body >> np.uint64(32)).astype(float), minlength=cells).astype(np.uint64)
-            subset = low_half + (high_half << np.uint64(32))
-            tag = mix(salt + np.tile(np.arange(1, segments + 1, dtype=np.uint64), len(rows)))
-            sub = mix(subset + tag)
-            gone = seg < allowed
-            less = mix(subset[cell[gone]] - body[gone] + tag[cell[gone]])
-        ok = held > 0
-        less_ok = held[cell[gone]] > 1
-        if frequent is not None and len(frequent):
-            def common(s):
-                at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                return frequent[at] == s
-            ok_all = ok & ~common(sub)
-            less_plain = less_ok & ~common(less)
-        else:
-            ok_all, less_plain = ok, less_ok
-        # A segment's units count only if none of its signatures is skipped.
-        whole = ok_all.copy()
-        whole[cell[gone][~less_plain]] = False
-        units = np.where(np.arange(segments) < allowed, 2, 1)
-        spent = np.cumsum(whole.reshape(-1, segments) * units, axis=1)
-        deep = spent[:, -1] < need
-        walk = (spent - whole.reshape(-1, segments) * units) < need[:, None]  # segments up to the one that completes it
-        walk[deep] = True
-        walk = walk.ravel()
-        own = np.repeat(np.arange(len(rows)), segments)
-        if frequent is None:
-            keep, keep_less = walk & ok, walk[cell[gone]] & less_ok
-        else:
-            # Deep sets also write what they would skip, the empty subset as well.
-            keep = walk & (ok_all | deep[own])
-            keep_less = walk[cell[gone]] & (less_plain | deep[owner[gone]])
-        out.append((rows[own[keep]], sub[keep], deep[own[keep]] & ~ok_all[keep]))
-        out.append((rows[owner[gone][keep_less]], less[keep_less], deep[owner[gone][keep_less]] & ~less_plain[keep_less]))
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
-    return tuple(np.concatenate(c) for c in zip(*out))
+_MAYBE = np.uint64((1 << 22) - 1)
+
+
+class Frequent:
+    """Ranks of the frequent elements, rarest first from 1; 0 for all others."""
+
+    def __init__(self, names: np.ndarray, times: np.ndarray, parts: int):
+        rank = np.empty(len(names), np.int64)
+        rank[np.lexsort((names, times))] = np.arange(1, len(names) + 1)
+        order = np.argsort(names)
+        self.names, self.rank, self.parts = names[order], rank[order], parts
+
+    def ranks(self, value: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(value), np.int64)
+        if not len(self.names):
+            return out
+        maybe = np.zeros(int(_MAYBE) + 1, bool)  # most elements need no search
+        maybe[self.names & _MAYBE] = True
+        some = np.flatnonzero(maybe[value & _MAYBE])
+        name = counted_names(value[some], self.parts)
+        at = np.minimum(np.searchsorted(self.names, name), len(self.names) - 1)
+        out[some] = np.where(self.names[at] == name, self.rank[at], 0)
+        return out
+
+
+def prefixes(value: np.ndarray, bounds: np.ndarray, rank: np.ndarray):
+    """``(row, at, place)``: the sets' elements (``value[at]``) up to place
+    ``size // 4`` of the order by rank, then hash. Sets are sorted by hash."""
+    n = np.diff(bounds)
+    owner, last = np.repeat(np.arange(len(n)), n), n // 4
+    before = np.concatenate([[0], np.cumsum(rank == 0)])
+    rare = before[bounds[1:]] - before[bounds[:-1]]
+    place = before[:-1] - before[bounds[:-1]][owner]
+    first = np.flatnonzero((rank == 0) & (place <= last[owner]))
+    # Frequent elements follow, where the others don't fill the prefix.
+    more = np.flatnonzero((rank > 0) & (rare <= last)[owner])
+    more = more[np.lexsort((value[more], rank[more], owner[more]))]
+    own = owner[more]
+    follow = rare[own] + np.arange(len(own)) - np.searchsorted(own, own)
+    kept = follow <= last[own]
+    at = np.concatenate([first, more[kept]])
+    return owner[at], at, np.concatenate([place[first], follow[kept]])
 
 
 # --- Spark jobs -----------------------------------------------------------------
@@ -325,24 +276,27 @@ def _only(value, bounds, rows):
     return value[at], np.concatenate([[0], np.cumsum(n)])
 
 
-_SUMMARY = ["text_key", "doc_id", "n_shingles", "class", "check", "sketch", "signature", "times"]
+_DOCUMENT = ["text_key", "doc_id", "n_shingles", "class", "check", "sketch"]
+_DOCUMENT_TYPES = "text_key long, doc_id long, n_shingles long, class long, check long, sketch binary"
 
 
-def _summarise(salt: int):
-    """Per document its set's size and name; per task the commonest signatures."""
-
-    def run(batches):
-        counted, pending, held, seen = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], 0, set()
+def _summarise(salt: int, parts: int):
+    """Per document its set's size and name (to negative parts, in turn); the
+    elements of a task's distinct sets, packed by part of the universe."""
 
-        def merge(counted, pending):
-            s, inverse = np.unique(np.concatenate([counted[0], *[x for x, _ in pending]]), return_inverse=True)
-            t = np.bincount(inverse, np.concatenate([counted[1], *[x for _, x in pending]])).astype(np.int64)
-            if len(s) > COUNTERS:  # Misra-Gries: take the next largest count from all
-                top = np.argpartition(-t, COUNTERS)
-                t = t - t[top[COUNTERS]]
-                s, t = s[t > 0], t[t > 0]
-            return s, t
+    def packed(held):
+        value = np.sort(np.concatenate(held))
+        part = part_of(value, parts).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(part, prepend=part[:1] - 1, append=part[-1:] + 1))
+        low = (value & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        nothing = pa.nulls(len(cuts) - 1, pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[cuts[:-1]].astype(np.int32)), *[nothing] * 5, pa.nulls(len(nothing), pa.binary()),
+             pa.array([low[p:q].tobytes() for p, q in zip(cuts, cuts[1:])], pa.binary())],
+            names=["part", *_DOCUMENT, "elements"])
 
+    def run(batches):
+        held, size, seen, done = [], 0, set(), 0
         for batch in batches:
             for a, b in text_slices(batch, most=SLICE):
                 rows = batch.slice(a, b - a)
@@ -350,37 +304,64 @@ def _summarise(salt: int):
                 n = np.diff(bounds)
                 key, check = _class_keys(value, bounds, salt)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("text_key"), rows.column("doc_id"), pa.array(n), pa.array(key), pa.array(check),
-                     pa.array(sketches(value, bounds), pa.binary()), pa.nulls(b - a, pa.int64()),
-                     pa.nulls(b - a, pa.int64())], names=_SUMMARY)
-                new = _first_of(key, n, seen)
-                _, sig, _ = signatures(*_only(value, bounds, new), None)
-                pending.append(np.unique(sig, return_counts=True))
-                held += len(pending[-1][0])
-                if held > 1_000_000:
-                    counted, pending, held = merge(counted, pending), [], 0
-        if pending:
-            s, t = merge(counted, pending)
-            more = t > 1
-            nothing = pa.nulls(int(more.sum()), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [nothing] * 5 + [pa.nulls(len(nothing), pa.binary()), pa.array(s[more].astype(np.int64)), pa.array(t[more])], names=_SUMMARY)
+                    [pa.array((-1 - np.arange(done, done + b - a) % parts).astype(np.int32)),
+                     rows.column("text_key"), rows.column("doc_id"), pa.array(n), pa.array(key), pa.array(check),
+                     pa.array(sketches(value, bounds), pa.binary()), pa.nulls(b - a, pa.binary())],
+                    names=["part", *_DOCUMENT, "elements"])
+                done += b - a
+                held.append(_only(value, bounds, _first_of(key, n, seen))[0])
+                size += len(held[-1])
+                if size > HELD:
+                    yield packed(held)
+                    held, size = [], 0
+        if size:
+            yield packed(held)
     return run
 
 
-def _code(size: np.ndarray) -> np.ndarray:
-    """A byte for a size: steps of a twelfth of a doubling."""
-    return np.minimum(np.floor(12 * np.log2(np.maximum(size, 1))), 255).astype(np.uint8)
+def _counted(least: int):
+    """Of a part of the universe, the elements that ``least`` sets hold and
+    their number; of a negative part, the documents."""
+
+    def run(key, table):
+        part = key[0].as_py()
+        if part < 0:
+            nothing = pa.nulls(table.num_rows, pa.int64())
+            return table.select(_DOCUMENT).append_column("element", nothing).append_column("times", nothing)
+        low = np.frombuffer(b"".join(table.column("elements").to_pylist()), np.uint32)
+        value, times = np.unique(low, return_counts=True)
+        value, times = value[times >= least], times[times >= least]
+        nothing = pa.nulls(len(value), pa.int64())
+        return pa.table([*[nothing] * 5, pa.nulls(len(value), pa.binary()),
+                         pa.array(value.astype(np.int64) + (part << 32)), pa.array(times.astype(np.int64))],
+                        names=[*_DOCUMENT, "element", "times"])
+    return run
+
 
+def _frequent(counts: DataFrame, parts: int) -> Frequent:
+    """The most frequent elements, down to the lowest count that keeps them within ``FREQUENT``."""
+    least, total = None, 0
+    for r in sorted(counts.groupBy("times").agg(F.count(F.lit(1)).alias("many")).collect(), key=lambda r: -r.times):
+        total += r.many
+        if total > FREQUENT:
+            break
+        least = r.times
+    if least is None:
+        return Frequent(np.zeros(0, np.uint64), np.zeros(0, np.int64), parts)
+    found = counts.filter(F.col("times") >= least).select("element", "times").toArrow()
+    return Frequent(found.column("element").to_numpy().astype(np.uint64), found.column("times").to_numpy(), parts)
 
-_EMITTED = "bucket int, signatures binary, classes binary, codes binary"
 
+_EMITTED = "part int, elements binary, classes binary, sizes binary, places binary"
+_PACKED = [("classes", np.int64), ("sizes", np.uint32), ("places", np.uint16)]
 
-def _emit(frequent: np.ndarray, buckets: int, salt: int):
-    """Signatures of a task's distinct sets, packed by bucket, one row per
-    bucket and slice of text. A signature is written as 40 bits beside its
-    bucket's. Frequent ones (of deep sets) go by class, to negative buckets,
-    whole: no bucket gathers all of a frequent signature."""
+
+def _emit(frequent: Frequent, parts: int, salt: int):
+    """Prefixes of a task's distinct sets, packed by part of the universe, one
+    row per part and slice of text. An element is written as 40 bits beside
+    its part. Frequent ones go by class, to negative parts, whole: no part
+    gathers all of a frequent element. A place past 65,535 is written as that,
+    which lets more pairs meet, not fewer."""
 
     def run(batches):
         seen = set()
@@ -390,61 +371,62 @@ def _emit(frequent: np.ndarray, buckets: int, salt: int):
                 key, _ = _class_keys(value, bounds, salt)
                 new = _first_of(key, np.diff(bounds), seen)
                 value, bounds = _only(value, bounds, new)
-                row, sig, common = signatures(value, bounds, frequent)
-                ids, code = key[new][row], _code(np.diff(bounds))[row]
-                bucket = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-                bucket[common] = -1 - (ids[common].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                sig, ids, code, bucket = sig[order], ids[order], code[order], bucket[order]
-                cuts = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1, append=bucket[-1:] + 1))
-                short = sig.view(np.uint8).reshape(-1, 8)
-                raw = [(short[p:q] if bucket[p] < 0 else short[p:q, :5]).tobytes() for p, q in zip(cuts, cuts[1:])]
+                rank = frequent.ranks(value)
+                row, at, place = prefixes(value, bounds, rank)
+                if not len(row):
+                    continue
+                ids, common = key[new][row], rank[at] > 0
+                part = part_of(value[at], parts).astype(np.int64)
+                part[common] = -1 - (ids[common].view(np.uint64) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                part, short = part[order], value[at][order].view(np.uint8).reshape(-1, 8)
+                columns = [ids[order], np.diff(bounds)[row][order].astype(np.uint32),
+                           np.minimum(place, 65_535)[order].astype(np.uint16)]
+                cuts = np.flatnonzero(np.diff(part, prepend=part[:1] - 1, append=part[-1:] + 1))
+                raw = [(short[p:q] if part[p] < 0 else short[p:q, :5]).tobytes() for p, q in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[cuts[:-1]].astype(np.int32)), pa.array(raw, pa.binary()),
-                     *[pa.array([x[p:q].tobytes() for p, q in zip(cuts, cuts[1:])], pa.binary()) for x in (ids, code)]],
-                    names=["bucket", "signatures", "classes", "codes"])
+                    [pa.array(part[cuts[:-1]].astype(np.int32)), pa.array(raw, pa.binary()),
+                     *[pa.array([x[p:q].tobytes() for p, q in zip(cuts, cuts[1:])], pa.binary()) for x in columns]],
+                    names=["part", "elements", *[name for name, _ in _PACKED]])
     return run
 
 
+def _first_places(s, c, n, place):
+    """Rows in the order of ``s``, ``c``, one of each with its smallest place."""
+    order = np.lexsort((place, c, s))
+    s, c, n, place = s[order], c[order], n[order], place[order]
+    first = np.ones(len(s), bool)
+    first[1:] = (s[1:] != s[:-1]) | (c[1:] != c[:-1])
+    return s[first], c[first], n[first], place[first]
+
+
 def _shared(key, table):
-    """Of one bucket, the groups of classes that share a signature; of a
-    negative bucket, all rows.
-
-    Texts with a passage in common share many signatures, all with the same
-    classes: a group is named by a hash of its classes and given once. Should
-    two groups have one name, their classes merely meet as one group."""
-    bucket = key[0].as_py()
-    raw = np.frombuffer(b"".join(table.column("signatures").to_pylist()), np.uint8)
-    c = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.int64)
-    n = np.frombuffer(b"".join(table.column("codes").to_pylist()), np.uint8)
-    if bucket < 0:
-        s, same = raw.view(np.int64), np.ones(len(c), bool)
+    """Of one part of the universe, the groups of classes that share an
+    element (``signature``); of a negative part, all rows.
+
+    Texts with a passage in common share many elements, all with the same
+    classes: a group is named by a hash of its classes and given once, with
+    the smallest place of each class. Should two groups have one name, their
+    classes merely meet as one group."""
+    raw = np.frombuffer(b"".join(table.column("elements").to_pylist()), np.uint8)
+    c, n, place = (np.frombuffer(b"".join(table.column(name).to_pylist()), kind) for name, kind in _PACKED)
+    if key[0].as_py() < 0:
+        s, c, n, place = _first_places(raw.view(np.int64), c, n, place)
     else:
         wide = np.zeros((len(c), 8), np.uint8)
         wide[:, :5] = raw.reshape(-1, 5)
-        s = wide.view(np.int64).ravel()
-        order = np.lexsort((c, s))
-        s, c, n = s[order], c[order], n[order]
-        first = np.ones(len(s), bool)  # tasks that hold copies write the same rows
-        first[1:] = (s[1:] != s[:-1]) | (c[1:] != c[:-1])
-        s, c, n = s[first], c[first], n[first]
+        s, c, n, place = _first_places(wide.view(np.int64).ravel(), c, n, place)  # tasks that hold copies write the same rows
         same = np.zeros(len(s), bool)
         same[1:] = s[1:] == s[:-1]
         same[:-1] |= same[1:]
-        s, c, n = s[same], c[same], n[same]
-        starts = np.flatnonzero(np.diff(s, prepend=s[:1] - 1)) if len(s) else np.zeros(0, np.int64)
+        s, c, n, place = s[same], c[same], n[same], place[same]
         if len(s):
+            starts = np.flatnonzero(np.diff(s, prepend=s[:1] - 1))
             with np.errstate(over="ignore"):
-                name = mix(np.add.reduceat(mix(c.view(np.uint64)), starts))
-            sizes = np.diff(np.append(starts, len(s)))
-            _, once = np.unique(name, return_index=True)
-            keep = np.zeros(len(starts), bool)
-            keep[once] = True
-            keep = np.repeat(keep, sizes)
-            s, c, n = np.repeat(name, sizes)[keep].view(np.int64), c[keep], n[keep]
-        same = np.ones(len(s), bool)
-    return pa.table({"signature": pa.array(s[same]), "class": pa.array(c[same]),
-                     "code": pa.array(n[same].astype(np.int32))})
+                name = mix(np.add.reduceat(mix(c.view(np.uint64)), starts)).view(np.int64)
+            s, c, n, place = _first_places(np.repeat(name, np.diff(np.append(starts, len(s)))), c, n, place)
+    return pa.table({"signature": pa.array(s), "class": pa.array(c), "n": pa.array(n.astype(np.int64)),
+                     "place": pa.array(place.astype(np.int64))})
 
 
 BITS_PER_ROW, MOST_BITS = 32, 1 << 26
@@ -525,21 +507,51 @@ def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     return some.join(wanted, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("class", "shingles")
 
 
-def _close(x: str, y: str) -> str:
-    """Size codes that a linked pair may have: 3/4 is five twelfths of a doubling."""
-    return f"(abs({x} - {y}) <= 6 OR greatest({x}, {y}) = 255)"
+def _room(x: str, y: str) -> str:
+    """Whether the places of a shared element leave room for a link."""
+    return f"(7 * {x}.place <= 4 * {x}.n - 3 * {y}.n AND 7 * {y}.place <= 4 * {y}.n - 3 * {x}.n)"
+
+
+def _neighbours(apart: DataFrame, turn: int) -> DataFrame:
+    """Pairs of classes in different components that are near each other in a
+    random order of a signature's classes. A signature of many classes is put
+    in order in several chunks, which no task gathers."""
+    many = (apart.groupBy("signature").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > CHUNK)
+            .select("signature", F.ceil(F.col("held") / CHUNK).alias("chunks")))
+    dealt = apart.join(many, "signature", "left").withColumn("h", F.xxhash64("class", "signature", F.lit(turn))).withColumn(
+        "chunk", F.pmod("h", F.coalesce("chunks", F.lit(1))))
+    order = Window.partitionBy("signature", "chunk").orderBy("h", "class")
+    row = F.struct("class", "n", "place", "label")
+    next_rows = F.array(*[F.lead(row, k).over(order) for k in range(1, (REACH if turn else 1) + 1)])
+    return (dealt.select(row.alias("p"), next_rows.alias("next")).select("p", F.explode("next").alias("q"))
+            .filter(f"q IS NOT NULL AND p.label <> q.label AND {_room('p', 'q')}")
+            .select(F.least("p.class", "q.class").alias("a"), F.greatest("p.class", "q.class").alias("b")).distinct())
+
+
+def _apart(shared: DataFrame, found: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows of ``shared`` (signature, class, n, place) whose signature is
+    held in several components, with their component (``label``) and the one
+    that most rows of the signature have (``usual``); whether they make many
+    pairs. Signatures only ever leave this table."""
+    labelled = saved(shared.join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        "signature", "class", "n", "place", F.coalesce("component", "class").alias("label")), "labelled")
+    held = labelled.groupBy("signature", "label").agg(F.count(F.lit(1)).cast("double").alias("held"))
+    mixed = saved(held.groupBy("signature").agg(
+        F.max_by("label", F.struct("held", "label")).alias("usual"), F.count(F.lit(1)).alias("labels"),
+        F.sum("held").alias("all"), F.sum(F.col("held") * F.col("held")).alias("same")).filter("labels > 1"), "mixed")
+    out = saved(labelled.join(mixed.select("signature", "usual"), "signature"), "apart")
+    rows, pairs = mixed.agg(F.sum("all"), F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()
+    for table in (labelled, mixed):
+        drop_saved(table)
+    return out, (pairs or 0) > PAIRS_A_ROW * (rows or 0)
 
 
-def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``shared`` (signature, class, code) whose signature is held
-    in several components, with their component (``label``). Signatures only
-    ever leave this table."""
-    labelled = saved(shared.join(found.withColumnRenamed("node", "class"), "class", "left").select(
-        "signature", "class", "code", F.coalesce("component", "class").alias("label")), "labelled")
-    mixed = labelled.groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    out = saved(labelled.join(mixed.select("signature"), "signature", "left_semi"), "apart")
-    drop_saved(labelled)
-    return out
+def _all_pairs(apart: DataFrame) -> DataFrame:
+    """All pairs of a signature's classes in different components: at least
+    one of the two is not of the usual component."""
+    return (apart.filter("label <> usual").alias("p").join(apart.alias("q"), F.expr(
+        f"p.signature = q.signature AND p.label <> q.label AND (q.label = q.usual OR p.class < q.class) AND {_room('p', 'q')}"))
+        .select(F.least("p.class", "q.class").alias("a"), F.greatest("p.class", "q.class").alias("b")).distinct())
 
 
 def _verified_links(near: DataFrame, links: DataFrame, sets: DataFrame, classes: DataFrame, rows: DataFrame):
@@ -558,47 +570,48 @@ def components(docs: DataFrame) -> DataFrame:
     component's class (NULL for the empty set)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+    parts = 4 * scan_partitions(rows)
     salt, clash = -1, True
     while clash:  # two sets of one name: name them anew
         salt += 1
-        summary = saved(rows.mapInArrow(tidy(_summarise(salt)), "text_key long, doc_id long, n_shingles long, class long, "
-                                        "check long, sketch binary, signature long, times long"), "set-summary")
-        documents = summary.filter("signature IS NULL").select("text_key", "doc_id", "n_shingles", "class", "check", "sketch")
+        summary = saved(rows.mapInArrow(tidy(_summarise(salt, parts)), f"part int, {_DOCUMENT_TYPES}, elements binary")
+                        .groupBy("part").applyInArrow(_counted(FREQUENT_TIMES), f"{_DOCUMENT_TYPES}, element long, times long"),
+                        "set-summary")
+        documents = summary.filter("element IS NULL").select(*_DOCUMENT)
         # One class per distinct set; one of its texts stands for it.
         classes = saved(documents.filter("n_shingles > 0").groupBy("class").agg(
             F.min(F.struct("doc_id", "text_key")).alias("of"), F.first("n_shingles").alias("n"),
             F.first("sketch").alias("sketch"),
             (F.min("check") != F.max("check")).alias("clash")), "classes")
         elements, clash = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.bool_or("clash"), F.lit(False))).first()
-    common = (summary.filter("signature IS NOT NULL").groupBy("signature").agg(F.sum("times").alias("times"))
-              .filter(F.col("times") >= FREQUENT_TIMES)
-              .orderBy(F.desc("times"), "signature").limit(FREQUENT).select("signature").collect())  # at most FREQUENT
-    frequent = np.sort(np.array([r.signature for r in common], np.int64).astype(np.uint64))
+    frequent = _frequent(summary.filter("element IS NOT NULL"), parts)
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(elements / BUCKET_ROWS))
 
-    shared = saved(rows.select("text").mapInArrow(tidy(_emit(frequent, buckets, salt)), _EMITTED).groupBy("bucket").applyInArrow(
-        _shared, "signature long, class long, code int").distinct(), "shared-signatures")
-    # Stars: each class against the smallest class of each of its signatures.
-    least = shared.groupBy("signature").agg(F.min(F.struct("class", "code")).alias("centre"))
-    stars = saved(shared.join(least, "signature").filter(F.col("class") != F.col("centre.class"))
-                  .filter(_close("code", "centre.code"))
-                  .select(F.col("centre.class").alias("a"), F.col("class").alias("b")).distinct(), "stars")
-    near = saved(_possible(stars, classes), "possible")
-    sets = saved(_sets_of(near, classes, rows), "sets")
-    links = saved(_verified(near, sets), "links")
-    found = saved(connected_components(links), "components")
-
-    # What the stars left apart: pairs of a group in different components.
-    apart = _apart(shared, found)
-    pairs = (apart.alias("p").join(apart.alias("q"), F.expr(
-        f"p.signature = q.signature AND p.class < q.class AND p.label <> q.label AND {_close('p.code', 'q.code')}"))
-        .select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct())
-    near = saved(_possible(pairs, classes), "possible")
+    shared = saved(rows.select("text").mapInArrow(tidy(_emit(frequent, buckets, salt)), _EMITTED).groupBy("part").applyInArrow(
+        _shared, "signature long, class long, n long, place long").groupBy("signature", "class").agg(
+        F.first("n").alias("n"), F.min("place").alias("place")), "shared-signatures")
+    empty = rows.sparkSession.createDataFrame
+    links, found = empty([], "a long, b long"), empty([], "node long, component long")
+    sets, apart = empty([], "class long, shingles binary"), shared.withColumn("label", F.col("class"))
+    # Neighbours first, until few pairs are left or a round finds no link; then all pairs of different components.
+    for turn in range(TURNS):
+        near = saved(_possible(_neighbours(apart, turn), classes), "possible")
+        before = links
+        links, sets = _verified_links(near, links, sets, classes, rows)
+        if links is not before:
+            found = saved(connected_components(links), "components")
+        met = apart
+        apart, many = _apart(met, found)
+        if turn:
+            drop_saved(met)
+        if links is before or not many:
+            break
+    near = saved(_possible(_all_pairs(apart), classes), "possible")
     before = links
     links, sets = _verified_links(near, links, sets, classes, rows)
     if links is not before:
         found = saved(connected_components(links), "components")
-    for table in (shared, sets, stars, apart):
+    for table in (shared, sets, apart):
         drop_saved(table)
 
     named = documents.drop("sketch").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(

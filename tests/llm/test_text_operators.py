@@ -317,6 +317,67 @@ def test_op8_on_edits_with_any_frequent_signatures(spark, monkeypatch, frequent)
     assert in_order(ngram_join.join(docs)) == brute_components(rows)
 
 
+def spied_pairs(monkeypatch):
+    """Numbers of candidate pairs, round by round."""
+    seen, possible = [], ngram_join._possible
+
+    def spy(pairs, classes):
+        seen.append(pairs.count())
+        return possible(pairs, classes)
+    monkeypatch.setattr(ngram_join, "_possible", spy)
+    return seen
+
+
+def test_op8_texts_with_a_common_passage_do_not_meet(spark, monkeypatch):
+    """Two thirds of each text are the same: no pair links, and none needs to be looked at."""
+    seen, rng = spied_pairs(monkeypatch), random.Random(3)
+    passage = [f"p{i}" for i in range(120)]
+    rows = [(i, " ".join(passage + [f"w{rng.randint(0, 10 ** 9)}" for _ in range(60)])) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert in_order(ngram_join.join(docs)) == brute_components(rows)
+    assert sum(seen) == 0
+
+
+def test_op8_large_group_of_near_copies(spark, monkeypatch):
+    """Copies with edits, some linked and some not: far fewer pairs are looked at than there are."""
+    seen, rng = spied_pairs(monkeypatch), random.Random(5)
+    monkeypatch.setattr(ngram_join, "CHUNK", 40)
+    words, rows = [f"w{i}" for i in range(200)], []
+    for i in range(240):
+        copy = list(words)
+        for k in rng.sample(range(200), rng.randint(2, 9)):
+            copy[k] = f"e{rng.randint(0, 10 ** 9)}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_components(rows)
+    assert 1 < len({c for _, _, c in want}) < 240
+    assert in_order(ngram_join.join(docs)) == want
+    assert sum(seen) < 240 * 239 // 2 // 3
+
+
+def test_op8_prefixes_keep_room_for_every_link():
+    rng = np.random.default_rng(2)
+    universe = np.unique(rng.integers(1, 2 ** 63, 400).astype(np.uint64))
+    sets = [np.sort(rng.choice(universe, n, replace=False)) for n in (3, 4, 7, 30)]
+    for s in list(sets):
+        for _ in range(20):
+            kept = s[rng.random(len(s)) < 0.9]
+            sets.append(np.unique(np.append(kept, rng.choice(universe, rng.integers(0, 3)))))
+    bounds = np.cumsum([0, *(len(s) for s in sets)])
+    value = np.concatenate(sets)
+    names = ngram_join.counted_names(universe[::3], 5)
+    rank = ngram_join.Frequent(names, rng.integers(10, 20, len(names)), 5).ranks(value)
+    assert (rank > 0).tolist() == np.isin(value, universe[::3]).tolist()
+    held = [{} for _ in sets]
+    for r, at, place in zip(*(x.tolist() for x in ngram_join.prefixes(value, bounds, rank))):
+        held[r][int(value[at])] = place
+    for x, y in itertools.combinations(range(len(sets)), 2):
+        n, m, both = len(sets[x]), len(sets[y]), len(np.intersect1d(sets[x], sets[y]))
+        if both and 100 * both >= 75 * (n + m - both):
+            assert any(7 * held[x][e] <= 4 * n - 3 * m and 7 * held[y][e] <= 4 * m - 3 * n
+                       for e in held[x].keys() & held[y].keys())
+
+
 def test_keep_one_and_empty(spark, odd):
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns
