@@ -1,7 +1,8 @@
 """Connected components over a table of links, by the large-star/small-star
 rounds on DataFrames. Links are aggregated by node with map-side partial
 minima and joined back, so no neighbourhood is collected; every round is
-written to the shared folder."""
+written to the shared folder. ``FEW`` links or less are one partition, so that
+their rounds need no shuffles."""
 
 from __future__ import annotations
 
@@ -11,6 +12,10 @@ from pyspark.sql import functions as F
 from .common import drop_saved, saved
 
 
+FEW = 100_000
+"""Links that one task takes, at most: a few MB."""
+
+
 def fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("v", "u"))).first())
 
@@ -23,14 +28,18 @@ def connected_components(links: DataFrame) -> DataFrame:
                   "links")
     mark = fingerprint(edges)
     while True:
+        def together(df, few=mark[0] <= FEW):
+            return df.coalesce(1) if few else df
+
+        edges = together(edges)
         # Large star: every neighbour above a node is linked to the node's smallest neighbour.
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = together(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: every neighbour below a node, and the node, to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        small = together(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                         .unionByName(low.select("u", F.col("m").alias("v")))).filter("u <> v").distinct()
         after = saved(small, "links")
         drop_saved(edges)
         edges, before, mark = after, mark, fingerprint(after)

@@ -385,6 +385,14 @@ def test_keep_one_and_empty(spark, odd):
     assert {r.doc_id for r in kept.collect()} >= {1, 2, 3, 4, 7, 10}
 
 
+def test_connected_components_of_few_and_many_links(spark, monkeypatch):
+    rng = random.Random(4)
+    links = spark.createDataFrame([(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(170)], "a long, b long")
+    few = sorted(components.connected_components(links).collect())
+    monkeypatch.setattr(components, "FEW", -1)
+    assert few == sorted(components.connected_components(links).collect())
+
+
 def test_connected_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components.connected_components(links).collect()}
