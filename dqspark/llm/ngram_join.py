@@ -518,7 +518,8 @@ def _neighbours(apart: DataFrame, turn: int) -> DataFrame:
     in order in several chunks, which no task gathers."""
     many = (apart.groupBy("signature").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > CHUNK)
             .select("signature", F.ceil(F.col("held") / CHUNK).alias("chunks")))
-    dealt = apart.join(many, "signature", "left").withColumn("h", F.xxhash64("class", "signature", F.lit(turn))).withColumn(
+    # Broadcast (a row for 512 at most): a join's partitions by signature would serve the window, chunks or not.
+    dealt = apart.join(F.broadcast(many), "signature", "left").withColumn("h", F.xxhash64("class", "signature", F.lit(turn))).withColumn(
         "chunk", F.pmod("h", F.coalesce("chunks", F.lit(1))))
     order = Window.partitionBy("signature", "chunk").orderBy("h", "class")
     row = F.struct("class", "n", "place", "label")
