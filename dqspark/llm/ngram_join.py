@@ -60,10 +60,10 @@ HELD = 2_000_000
 """Elements a task holds before it passes them on to be counted."""
 BUCKET_ROWS = 2_000_000
 """Elements of all sets to a part of the universe, about; a quarter is written."""
-TURNS, REACH = 4, 5
-"""Rounds of neighbours at most, and the neighbours that follow a class."""
-PAIRS_A_ROW = 200
-"""Pairs left per row, at most, that end the rounds: a round costs more than these."""
+TURNS, REACH = 4, 6
+"""Rounds of neighbours at most, and the neighbours that follow a class in all but the first."""
+PAIRS_A_ROW = 16
+"""Pairs left per row, at most, that end the rounds."""
 CHUNK = 512
 """Classes of an element that are put in order together, about."""
 
@@ -523,9 +523,9 @@ def _neighbours(apart: DataFrame, turn: int) -> DataFrame:
         "chunk", F.pmod("h", F.coalesce("chunks", F.lit(1))))
     order = Window.partitionBy("signature", "chunk").orderBy("h", "class")
     row = F.struct("class", "n", "place", "label")
-    next_rows = F.array(*[F.lead(row, k).over(order) for k in range(1, REACH + 1)])
-    return (dealt.select(row.alias("p"), next_rows.alias("next")).select("p", F.explode("next").alias("q"))
-            .filter(f"q IS NOT NULL AND p.label <> q.label AND {_room('p', 'q')}")
+    next_rows = F.array(*[F.lead(row, k).over(order) for k in range(1, (REACH if turn else 1) + 1)])
+    wanted = F.expr(f"filter(next, q -> q IS NOT NULL AND p.label <> q.label AND {_room('p', 'q')})")
+    return (dealt.select(row.alias("p"), next_rows.alias("next")).select("p", F.explode(wanted).alias("q"))
             .select(F.least("p.class", "q.class").alias("a"), F.greatest("p.class", "q.class").alias("b")).distinct())
 
 
