@@ -1,8 +1,8 @@
 """Connected components over a table of links, by the large-star/small-star
 rounds on DataFrames. Links are aggregated by node with map-side partial
 minima and joined back, so no neighbourhood is collected; every round is
-written to the shared folder. ``FEW`` links or less are one partition, so that
-their rounds need no shuffles."""
+written to the shared folder. ``FEW`` links or less are one partition from the
+first step to the last, so that none needs a shuffle."""
 
 from __future__ import annotations
 
@@ -20,17 +20,24 @@ def fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("v", "u"))).first())
 
 
+def is_few(df: DataFrame) -> bool:
+    """Whether a ``saved`` table has so few rows that one task or a broadcast takes them."""
+    return df.count() <= FEW
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """``node, component`` (the smallest node reachable) of every node of
     ``links`` (a, b: long, not NULL). Loops and repeated links are harmless;
     no link gives no row."""
-    edges = saved(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-                  "links")
+    def together(df):
+        return df.coalesce(1) if few else df
+
+    few = is_few(links)
+    edges = saved(together(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+                  .distinct(), "links")
     mark = fingerprint(edges)
     while True:
-        def together(df, few=mark[0] <= FEW):
-            return df.coalesce(1) if few else df
-
+        few = mark[0] <= FEW
         edges = together(edges)
         # Large star: every neighbour above a node is linked to the node's smallest neighbour.
         both = together(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
@@ -45,5 +52,6 @@ def connected_components(links: DataFrame) -> DataFrame:
         edges, before, mark = after, mark, fingerprint(after)
         if mark == before:  # a round that changes nothing leaves stars only
             break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    edges = together(edges)
+    return together(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))

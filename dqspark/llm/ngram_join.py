@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import drop_saved, fresh, saved, scan_partitions, text_slices, tidy
-from .components import connected_components
+from .components import connected_components, is_few
 
 SHINGLE = 5
 SLICE = 500_000
@@ -476,6 +476,8 @@ def _verify(batches):
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("class").alias("b"), F.col("shingles").alias("xs"))
     right = sets.select(F.col("class").alias("a"), F.col("shingles").alias("ys"))
+    if is_few(pairs):
+        pairs = F.broadcast(pairs)
     return pairs.join(left, "b").join(right, "a").mapInArrow(tidy(_verify), "a long, b long")
 
 
@@ -495,10 +497,15 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             .mapInArrow(tidy(_possible_rows), "a long, b long"))
 
 
-def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """Whole sets of those of ``classes`` that stand in ``pairs``, from their texts."""
-    named = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = saved(classes.join(named, "class", "left_semi").select(
+def _sets_of(pairs: DataFrame, classes: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """Whole sets, from their texts, of the ``classes`` in ``pairs`` that ``sets`` has not."""
+    named = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
+    if is_few(pairs):  # joined where the classes are, without a shuffle
+        named = F.broadcast(named.coalesce(1).distinct())
+        held = F.broadcast(sets.select("class").join(named, "class", "left_semi"))
+    else:
+        named, held = named.distinct(), sets.select("class")
+    wanted = saved(classes.join(named, "class", "left_semi").join(held, "class", "left_anti").select(
         "class", F.coalesce("of.doc_id", F.lit(-1)).alias("id"), F.col("of.text_key").alias("text_key")), "wanted")
     # A NULL id reads as -1: the text's hash still tells such rows apart. Rows
     # that repeat an id and its text give the same set; one is taken.
@@ -516,31 +523,40 @@ def _neighbours(apart: DataFrame, turn: int) -> DataFrame:
     """Pairs of classes in different components that are near each other in a
     random order of a signature's classes. A signature of many classes is put
     in order in several chunks, which no task gathers."""
-    many = (apart.groupBy("signature").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > CHUNK)
-            .select("signature", F.ceil(F.col("held") / CHUNK).alias("chunks")))
-    # Broadcast (a row for 512 at most): a join's partitions by signature would serve the window, chunks or not.
-    dealt = apart.join(F.broadcast(many), "signature", "left").withColumn("h", F.xxhash64("class", "signature", F.lit(turn))).withColumn(
-        "chunk", F.pmod("h", F.coalesce("chunks", F.lit(1))))
+    dealt = apart.withColumn("h", F.xxhash64("class", "signature", F.lit(turn))).withColumn(
+        "chunk", F.pmod("h", F.coalesce(F.ceil(F.col("all") / CHUNK), F.lit(1))))
     order = Window.partitionBy("signature", "chunk").orderBy("h", "class")
     row = F.struct("class", "n", "place", "label")
     next_rows = F.array(*[F.lead(row, k).over(order) for k in range(1, (REACH if turn else 1) + 1)])
     wanted = F.expr(f"filter(next, q -> q IS NOT NULL AND p.label <> q.label AND {_room('p', 'q')})")
+    # Dealt by b, as the join that follows needs them: a class has a few neighbours a signature.
     return (dealt.select(row.alias("p"), next_rows.alias("next")).select("p", F.explode(wanted).alias("q"))
-            .select(F.least("p.class", "q.class").alias("a"), F.greatest("p.class", "q.class").alias("b")).distinct())
+            .select(F.least("p.class", "q.class").alias("a"), F.greatest("p.class", "q.class").alias("b"))
+            .repartition("b").distinct())
+
+
+def _unmerged(shared: DataFrame) -> DataFrame:
+    """The rows of ``shared`` before any link: each class is a component, and
+    signatures of many classes have their number (``all``)."""
+    many = shared.groupBy("signature").agg(F.count(F.lit(1)).alias("all")).filter(F.col("all") > CHUNK)
+    # Broadcast (a row for 512 at most): a join's partitions by signature would serve the window, chunks or not.
+    return shared.join(F.broadcast(many), "signature", "left").withColumn("label", F.col("class"))
 
 
 def _apart(shared: DataFrame, found: DataFrame) -> tuple[DataFrame, bool]:
     """The rows of ``shared`` (signature, class, n, place) whose signature is
-    held in several components, with their component (``label``) and the one
-    that most rows of the signature have (``usual``); whether they make many
-    pairs. Signatures only ever leave this table."""
+    held in several components, with their component (``label``), the one
+    that most rows of the signature have (``usual``) and the number of its rows
+    (``all``); whether they make many pairs. Signatures only ever leave this
+    table."""
     labelled = saved(shared.join(found.withColumnRenamed("node", "class"), "class", "left").select(
         "signature", "class", "n", "place", F.coalesce("component", "class").alias("label")), "labelled")
     held = labelled.groupBy("signature", "label").agg(F.count(F.lit(1)).cast("double").alias("held"))
     mixed = saved(held.groupBy("signature").agg(
         F.max_by("label", F.struct("held", "label")).alias("usual"), F.count(F.lit(1)).alias("labels"),
         F.sum("held").alias("all"), F.sum(F.col("held") * F.col("held")).alias("same")).filter("labels > 1"), "mixed")
-    out = saved(labelled.join(mixed.select("signature", "usual"), "signature"), "apart")
+    usual = mixed.select("signature", "usual", "all")
+    out = saved(labelled.join(F.broadcast(usual) if is_few(mixed) else usual, "signature"), "apart")
     rows, pairs = mixed.agg(F.sum("all"), F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()
     for table in (labelled, mixed):
         drop_saved(table)
@@ -559,8 +575,7 @@ def _verified_links(near: DataFrame, links: DataFrame, sets: DataFrame, classes:
     """``links`` and ``sets`` with what the pairs of ``near`` add; the same objects if there is no link more."""
     if near.isEmpty():
         return links, sets
-    further = _sets_of(near, classes.join(sets.select("class"), "class", "left_anti"), rows)
-    sets = saved(sets.unionByName(further), "sets")
+    sets = sets.unionByName(saved(_sets_of(near, classes, sets, rows), "sets"))
     more = saved(_verified(near, sets), "links")
     return (links if more.isEmpty() else saved(links.unionByName(more), "links")), sets
 
@@ -593,7 +608,7 @@ def components(docs: DataFrame) -> DataFrame:
         F.first("n").alias("n"), F.min("place").alias("place")), "shared-signatures")
     empty = rows.sparkSession.createDataFrame
     links, found = empty([], "a long, b long"), empty([], "node long, component long")
-    sets, apart = empty([], "class long, shingles binary"), shared.withColumn("label", F.col("class"))
+    sets, apart = empty([], "class long, shingles binary"), _unmerged(shared)
     # Neighbours first, until few pairs are left or a round finds no link; then all pairs of different components.
     for turn in range(TURNS):
         near = saved(_possible(_neighbours(apart, turn), classes), "possible")

@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dqspark.llm import ann, components, lang_id, lm_lattice, ngram_join, secrets, sp_codec, toxicity
+from dqspark.llm import ann, common, components, lang_id, lm_lattice, ngram_join, secrets, sp_codec, toxicity
 from dqspark.llm.queries import llm_queries
 
 from ..conftest import SMALL
@@ -393,6 +393,52 @@ def test_connected_components_of_few_and_many_links(spark, monkeypatch):
     assert few == sorted(components.connected_components(links).collect())
 
 
+def tasks_of_stages(spark, run):
+    """What ``run`` returns, and the numbers of tasks of the stages it started."""
+    sc, group = spark.sparkContext, f"tasks-{random.random()}"
+    sc.setJobGroup(group, "counted")
+    try:
+        got = run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    status = sc.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds}
+    return got, [info.numTasks for s in stages if (info := status.getStageInfo(s)) and info.numCompletedTasks]
+
+
+def test_connected_components_of_few_links_need_no_shuffle_partitions(spark):
+    """Each stage of a few links is one task, the first and the last too, however many partitions shuffles have."""
+    links = common.saved(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long").coalesce(1), "few")
+    old = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "31")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got, tasks = tasks_of_stages(spark, lambda: components.connected_components(links).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old[1])
+    assert {r.node: r.component for r in got} == {i: 0 for i in range(51)}
+    assert len(got) == 51 and tasks and max(tasks) == 1
+
+
+@pytest.mark.parametrize("few", [-1, 5])
+def test_op8_by_broadcasts_and_by_shuffles(spark, monkeypatch, few):
+    """Large and small groups of near copies: the same components however many rows are few."""
+    monkeypatch.setattr(components, "FEW", few)
+    monkeypatch.setattr(ngram_join, "CHUNK", 40)
+    monkeypatch.setattr(ngram_join, "PAIRS_A_ROW", 0)
+    rng, rows = random.Random(8), list(ODD)
+    for base, copies in enumerate((100, 7, 3, 2)):
+        words = [f"g{base}w{i}" for i in range(120)]
+        for _ in range(copies):
+            copy = list(words)
+            for k in rng.sample(range(120), rng.randint(1, 5)):
+                copy[k] = f"e{rng.randint(0, 10 ** 9)}"
+            rows.append((1000 + len(rows), " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert in_order(ngram_join.join(docs)) == brute_components(rows)
+
+
 def test_connected_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components.connected_components(links).collect()}
